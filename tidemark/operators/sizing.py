@@ -1,0 +1,23 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after a bounded count proves it small
+(``limit(max_rows + 1).count()`` never scans more than the bound past the
+filter). Beyond the bound the caller falls back to a shuffle join, and AQE
+can still convert that join at run time from real shuffle sizes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 1_000_000
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else return it as is."""
+    return F.broadcast(df) if fits(df, max_rows) else df
