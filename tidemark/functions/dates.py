@@ -35,9 +35,9 @@ def parse_date_text(text: Column) -> Column:
     """
     return (
         F.when(text.isNull(), F.lit(None).cast(T.DateType()))
-        .when(F.length(text) == 8, F.try_to_date(text, F.lit("yyyyMMdd")))
-        .when(text.contains("-"), F.try_to_date(text, F.lit("yyyy-M-d")))
-        .otherwise(F.try_to_date(text, F.lit("yyyy/M/d")))
+        .when(F.length(text) == 8, F.try_to_date(text, "yyyyMMdd"))
+        .when(text.contains("-"), F.try_to_date(text, "yyyy-M-d"))
+        .otherwise(F.try_to_date(text, "yyyy/M/d"))
     )
 
 

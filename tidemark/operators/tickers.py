@@ -12,6 +12,30 @@ from tidemark.functions.quotes import asset_class_of, instrument_type_of
 NO_QUOTE = "No quote found"
 
 
+def case_unique(df: DataFrame) -> DataFrame:
+    """Rename columns whose names collide ignoring case (``shortname`` and
+    ``shortName`` in search results) by position, so each is addressable:
+    the n-th repeat becomes ``<lower name>_<n>``. Spark resolves names
+    case-insensitively, so the plain names would be ambiguous."""
+    seen: dict[str, int] = {}
+    names = []
+    for c in df.columns:
+        key = c.lower()
+        n = seen.get(key, 0)
+        seen[key] = n + 1
+        names.append(c if n == 0 else f"{key}_{n}")
+    return df.toDF(*names) if names != df.columns else df
+
+
+def _first_present(df: DataFrame, base: str):
+    """First non-null of every spelling of ``base`` (in column order)."""
+    cols = [F.col(f"`{c}`") for c in df.columns
+            if c.lower() == base or c.lower().startswith(base + "_")]
+    if not cols:
+        return F.lit(None).cast(T.StringType())
+    return F.coalesce(*cols) if len(cols) > 1 else cols[0]
+
+
 def best_match(requested: DataFrame, candidates: DataFrame) -> DataFrame:
     """O3: per requested ticker, the exact case-insensitive symbol match with
     the best rank, else the best-ranked candidate.
@@ -22,6 +46,7 @@ def best_match(requested: DataFrame, candidates: DataFrame) -> DataFrame:
     (not exact, rank), which Spark combines map-side.
     """
     c = F.col
+    candidates = case_unique(candidates)
     exact = F.coalesce(F.upper(c("symbol")) == F.upper(c("ticker")), F.lit(False))
     picked = candidates.groupBy("ticker").agg(
         F.min_by(
@@ -29,7 +54,7 @@ def best_match(requested: DataFrame, candidates: DataFrame) -> DataFrame:
                 c("symbol").alias("symbol"),
                 c("quoteType").alias("quote_type"),
                 c("exchange").alias("exchange"),
-                F.coalesce(c("shortname"), c("shortName")).alias("short_name"),
+                _first_present(candidates, "shortname").alias("short_name"),
             ),
             F.struct((~exact).cast(T.IntegerType()), c("rank")),
         ).alias("m")
