@@ -48,6 +48,11 @@ def _col_or_null(df: DataFrame, name: str, dtype=T.DoubleType()) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
 
 
+def _v(df: DataFrame, name: str) -> Column:
+    """A vendor text column, or a typed null when the landed file lacks it."""
+    return _col_or_null(df, name, T.StringType())
+
+
 def to_table(df: DataFrame, spec: S.TableSpec) -> DataFrame:
     """Conform a mapped frame the way loaders do: absent registered columns
     become nulls first (C2), then C1 types and orders them."""
@@ -70,9 +75,9 @@ def stock_list(raw: DataFrame) -> DataFrame:
     m = _ids(raw) | {
         "asset_class": F.lit("equity"),
         "instrument_type": F.lit("stock"),
-        "full_name": F.col("fullname"),
-        "currency": F.col("curr_type"),
-        "is_hs": F.coalesce(F.col("is_hs"), F.lit("N")) != F.lit("N"),
+        "full_name": _v(raw, "fullname"),
+        "currency": _v(raw, "curr_type"),
+        "is_hs": F.coalesce(_v(raw, "is_hs"), F.lit("N")) != F.lit("N"),
     }
     return to_table(raw.withColumns(m), S.REFERENCE_INSTRUMENT)
 
@@ -83,8 +88,8 @@ def etf_list(raw: DataFrame) -> DataFrame:
         "asset_class": F.lit("fund"),
         "instrument_type": F.lit("etf"),
         "symbol": F.col("ts_code"),
-        "name": F.col("cname"),
-        "full_name": F.col("cname"),
+        "name": _v(raw, "cname"),
+        "full_name": _v(raw, "cname"),
         "currency": F.lit("CNY"),
         "is_hs": F.lit(False),
     }
@@ -97,8 +102,8 @@ def index_list(raw: DataFrame) -> DataFrame:
         "asset_class": F.lit("index"),
         "instrument_type": F.lit("index"),
         "symbol": F.col("ts_code"),
-        "full_name": F.col("fullname"),
-        "exchange": F.col("market"),
+        "full_name": _v(raw, "fullname"),
+        "exchange": _v(raw, "market"),
         "currency": F.lit("CNY"),
         "list_status": F.lit("L"),
         "is_hs": F.lit(False),
@@ -111,7 +116,7 @@ def future_list_instrument(raw: DataFrame) -> DataFrame:
     m = _ids(raw) | {
         "asset_class": F.lit("future"),
         "instrument_type": F.lit("future"),
-        "full_name": F.col("name"),
+        "full_name": _v(raw, "name"),
         "currency": F.lit("CNY"),
         "is_hs": F.lit(False),
     }
@@ -234,7 +239,7 @@ def yahoo_bars(raw: DataFrame, updated_at: Column | None = None) -> DataFrame:
         "trade_date": to_calendar_date("date"),
         "source_code": F.col("ticker"),
         "source_id": F.lit(YFINANCE),
-        "volume": to_double("volume"),
+        "volume": to_double(_col_or_null(raw, "volume")),
         "amount": F.lit(None).cast(T.DoubleType()),
         "updated_at": _now(updated_at),
     }
