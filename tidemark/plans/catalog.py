@@ -4,6 +4,7 @@ not SQL-expressible)."""
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from tidemark.operators import transforms as P
 from tidemark.operators import universe as U
 from tidemark.plans.oracle import LOADED_AT, head_tail_sql, parse_date_sql, with_views
 from tidemark.sources import fixtures as fx
+from tidemark.sources import landing as L
 
 # Fixed parameters of the registered queries.
 GAP_START, GAP_END = "1995-01-01", "2002-12-31"
@@ -596,3 +598,68 @@ def existing_keys(spark, d):
     """Stored keys of the source inside the incoming window."""
     keys = J.incoming_keys(fx.history(spark, d))
     return J.existing_keys(fx.stored_bars(spark, d), keys, "yfinance")
+
+
+# ============================================================ coverage ======
+
+@register("table_coverage", with_views("""
+    SELECT min(trade_date) AS first_date, max(trade_date) AS last_date
+    FROM stored_bars WHERE source_id = 'tushare'""", "stored_bars"))
+def table_coverage(spark, d):
+    """A1 + A2 + F1: first and last stored date under equality filters."""
+    return G.date_bounds(fx.stored_bars(spark, d), filters={"source_id": "tushare"})
+
+
+@register("coverage_by_instrument", with_views("""
+    SELECT instrument_id, min(trade_date) AS first_date, max(trade_date) AS last_date
+    FROM stored_bars WHERE source_id = 'tushare' GROUP BY instrument_id""", "stored_bars"))
+def coverage_by_instrument(spark, d):
+    """A3: first and last stored date per instrument of a source."""
+    return G.instrument_bounds(fx.stored_bars(spark, d), "tushare")
+
+
+# ============================================================ conform =======
+
+@register("conform_lenient_cast", with_views(f"""
+    SELECT instrument_id, {parse_date_sql('trade_date')} AS trade_date,
+           TRY_CAST(open AS DOUBLE) AS open, CAST(NULL AS DOUBLE) AS high,
+           CAST(NULL AS DOUBLE) AS low, TRY_CAST(close AS DOUBLE) AS close,
+           CAST(NULL AS DOUBLE) AS pre_close, CAST(NULL AS DOUBLE) AS change,
+           CAST(NULL AS DOUBLE) AS pct_chg, TRY_CAST(volume AS DOUBLE) AS volume,
+           CAST(NULL AS DOUBLE) AS amount, {_NULL_S} AS source_code, {_NULL_S} AS source_id,
+           TRY_CAST(updated_at AS TIMESTAMP) AS updated_at
+    FROM text_bars""", "text_bars"))
+def conform_lenient_cast(spark, d):
+    """C1 + C2 + C3 + M1 + D1 + D2: a text batch conformed to market_bars_daily
+    (absent columns -> typed nulls, bad values -> null, extra column dropped)."""
+    return C.conform(fx.text_bars(spark, d), S.MARKET_BARS_DAILY, fill_missing=True)
+
+
+@register("nan_to_null", """
+    SELECT l_orderkey, l_linenumber,
+           CASE WHEN l_linenumber = 1 THEN NULL ELSE l_discount END AS discount,
+           CASE WHEN l_linenumber = 2 THEN NULL ELSE l_tax END AS tax, l_returnflag
+    FROM lineitem""")
+def nan_to_null(spark, d):
+    """M7: NaN -> null over every double column of a landed frame."""
+    return L.nan_as_null(fx.nan_lines(spark, d))
+
+
+# ============================================================ landing =======
+
+@register("landing_window", with_views("""
+    SELECT ts_code, trade_date, close, pct_chg / 100.0 AS pct_chg FROM daily_landing
+    WHERE trade_date BETWEEN '19950301' AND '19950630'""", "daily_landing"))
+def landing_window(spark, d):
+    """S2 + S6: inclusive text-date window, percent -> fraction for the
+    index feed, field choice."""
+    return L.daily_frame(fx.daily_landing(spark, d), "index_daily", start="1995-03-01",
+                         end=_dt.date(1995, 6, 30), fields="ts_code,trade_date,close,pct_chg")
+
+
+@register("history_window", with_views("""
+    SELECT * FROM history
+    WHERE date >= TIMESTAMP '1995-03-01' AND date < TIMESTAMP '1995-06-30'""", "history"))
+def history_window(spark, d):
+    """S4 + Q8: history window with a text end, which is exclusive."""
+    return L.history_window(fx.history(spark, d), start="1995-03-01", end="1995-06-30")

@@ -307,6 +307,38 @@ def date_text(spark, sf_dir) -> DataFrame:
     return o.select("o_orderkey", text.alias("raw_date"))
 
 
+def text_bars(spark, sf_dir) -> DataFrame:
+    """A bar batch landed as text (every order a row): mixed date shapes,
+    'n/a' prices, a status letter where a number belongs, a bigint volume,
+    an instant as text and an extra column (conform input)."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    dates = date_text(spark, sf_dir)
+    return o.join(dates, "o_orderkey").select(
+        F.concat(F.lit("O"), k.cast("string")).alias("instrument_id"),
+        F.col("raw_date").alias("trade_date"),
+        F.when(F.pmod(k, F.lit(7)) == 0, F.lit("n/a"))
+         .otherwise(F.col("o_totalprice").cast("string")).alias("open"),
+        F.col("o_orderstatus").alias("close"),
+        F.col("o_custkey").alias("volume"),
+        F.col("o_orderdate").cast("string").alias("updated_at"),
+        F.col("o_orderpriority").alias("comment"),
+    )
+
+
+def nan_lines(spark, sf_dir) -> DataFrame:
+    """Line items with NaN marking missing discounts/taxes (NaN -> null input)."""
+    li = table(spark, sf_dir, "lineitem")
+    nan = F.lit(float("nan"))
+    n = F.col("l_linenumber")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        F.when(n == 1, nan).otherwise(F.col("l_discount")).alias("discount"),
+        F.when(n == 2, nan).otherwise(F.col("l_tax")).alias("tax"),
+        "l_returnflag",
+    )
+
+
 def union_left(spark, sf_dir) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.where(F.coalesce(F.col("o_orderstatus"), F.lit("")) == "F").select(

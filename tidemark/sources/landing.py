@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.dates import date_to_text, lit_date, lit_timestamp_ntz, parse_param_date
+from tidemark.functions.numeric import nan_to_null
 from tidemark.schema import LANDING
 
 # Feeds whose percent change becomes a fraction at scan.
@@ -35,7 +36,19 @@ def read_landing(
         schema = LANDING[dataset]
     except KeyError:
         raise KeyError(f"Unknown landing dataset: {dataset}") from None
-    return spark.read.schema(schema).format(fmt).load(path)
+    return nan_as_null(spark.read.schema(schema).format(fmt).load(path))
+
+
+def nan_as_null(df: DataFrame) -> DataFrame:
+    """M7: NaN -> null in every double column (vendor frames mark missing
+    values with NaN). A projection, so filters still reach the scan."""
+    doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
+    if not doubles:
+        return df
+    return df.select(*[
+        nan_to_null(F.col(f"`{c}`")).alias(c) if c in doubles else F.col(f"`{c}`")
+        for c in df.columns
+    ])
 
 
 def select_fields(df: DataFrame, fields=None) -> DataFrame:
@@ -119,7 +132,13 @@ def daily_feed(
     """A daily bar feed (daily, fund_daily, index_daily, index_global,
     fut_index_daily, fut_daily, fx_daily) over an inclusive window, with S6
     applied for the feeds that report a fraction."""
-    df = read_landing(spark, path, feed)
+    return daily_frame(read_landing(spark, path, feed), feed, ts_code, start, end, trade_date,
+                       exchange, fields)
+
+
+def daily_frame(df: DataFrame, feed: str, ts_code=None, start=None, end=None,
+                trade_date=None, exchange=None, fields=None) -> DataFrame:
+    """S2 over an already-landed frame: parameters, window, S6, field choice."""
     df = where_equal(df, ts_code=ts_code, exchange=exchange if "exchange" in df.columns else None)
     df = where_window(df, "trade_date", start, end, trade_date)
     return select_fields(pct_to_fraction_at_scan(df, feed), fields)
@@ -147,7 +166,12 @@ def price_history(
 ) -> DataFrame:
     """Long-form price history. A ``date``-typed end is inclusive; a text
     end is exclusive (the vendor call's own convention)."""
-    df = read_landing(spark, path, "history")
+    return history_window(read_landing(spark, path, "history"), tickers, start, end)
+
+
+def history_window(df: DataFrame, tickers=None, start=None, end=None) -> DataFrame:
+    """S4 over a landed frame: ticker list, start inclusive, end inclusive for
+    a ``date`` value and exclusive for text (Q8)."""
     if tickers:
         df = df.where(F.col("ticker").isin([tickers] if isinstance(tickers, str) else list(tickers)))
     if start is not None:

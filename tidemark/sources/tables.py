@@ -133,10 +133,19 @@ class Store:
         cond = month.isin(values) if values else F.lit(False)
         return cond | month.isNull() if has_null else cond
 
-    def _write_months(self, name: str, merged: DataFrame, month) -> None:
-        """Overwrite the months present in ``merged`` (dynamic partitions)."""
+    def _write_months(self, name: str, merged: DataFrame, month, keys) -> None:
+        """Overwrite the months present in ``merged`` (dynamic partitions).
+
+        Range-partitioned on (month, key): a month larger than one task's
+        share is split across several tasks by key (a key holds at most one
+        row per day, so no key is hot inside a month), and each task covers a
+        contiguous run of months, so few files are written per month. Rows
+        come out sorted by key inside each file (O1 layout).
+        """
         out = merged.withColumn(MONTH, month).checkpoint(eager=True)
-        (out.repartition(MONTH).write.mode("overwrite")
+        order = [MONTH, *keys]
+        (out.repartitionByRange(*order).sortWithinPartitions(*order)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(MONTH).parquet(self.path(name)))
 
@@ -166,7 +175,8 @@ class Store:
             stored = self.read(spec)
             if stored is not None:
                 stored = stored.where(self._in_months(month_key(date_col), touched))
-            self._write_months(spec.name, upsert(stored, incoming, spec), month_key(date_col))
+            self._write_months(spec.name, upsert(stored, incoming, spec), month_key(date_col),
+                               list(spec.primary_key))
         else:
             merged = upsert(self.read(spec), incoming, spec)
             self._write_snapshot(spec.name, merged)
@@ -200,8 +210,7 @@ class Store:
                 stored = stored.where(
                     self._in_months(month_key(_as_date(stored, date_col)), touched))
             merged = merge_keep_latest(stored, incoming, keys, ordinal)
-            self._write_months(name, merged.sortWithinPartitions(*keys),
-                               month_key(_as_date(merged, date_col)))
+            self._write_months(name, merged, month_key(_as_date(merged, date_col)), keys)
             return self.read_raw(name, partitioned=True).count()
         merged = merge_keep_latest(stored, incoming, keys, ordinal)
         merged = merged.repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint(eager=True)
