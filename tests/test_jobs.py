@@ -123,3 +123,48 @@ def test_future_list_two_tables(spark, tmp_root):
     feed = spark.createDataFrame(
         [("IF2606.CFX", "20260601") + (1.0,) * 14], LANDING["fut_daily"])
     assert loader.future_daily(feed, "2026-06-01", "2026-06-01").rows_written == 1
+
+
+def _bars(spark, rows):
+    """rows: (instrument_id, day, source_id) -> market_bars_daily rows."""
+    return spark.createDataFrame(
+        [(i, dt.date(2026, 6, d), 1.0, None, None, 1.0, None, None, None, None, None, i, s, NOW)
+         for i, d, s in rows], S.MARKET_BARS_DAILY.schema)
+
+
+def _exact(store):
+    t = store.read(S.MARKET_BARS_DAILY)
+    return sorted(tuple(r) for r in t.groupBy("instrument_id", "source_id").agg(
+        {"trade_date": "min"}).join(t.groupBy("instrument_id", "source_id").agg(
+            {"trade_date": "max"}), ["instrument_id", "source_id"]).collect())
+
+
+def _summary(store):
+    c = store.coverage(S.MARKET_BARS_DAILY)
+    return None if c is None else sorted(
+        tuple(r) for r in c.select("instrument_id", "source_id", "first_date", "last_date").collect())
+
+
+def test_coverage_summary_stays_exact(spark, tmp_root):
+    store = Store(spark, tmp_root)
+    store.upsert(S.MARKET_BARS_DAILY, _bars(spark, [("a", 5, "tushare"), ("a", 6, "tushare"),
+                                                    ("b", 3, "yfinance")]))
+    assert _summary(store) == _exact(store)
+    store.upsert(S.MARKET_BARS_DAILY, _bars(spark, [("a", 9, "tushare"), ("c", 1, "tushare")]))
+    assert _summary(store) == _exact(store)
+    # a second vendor overwrites a's first day: tushare coverage of a shrinks
+    store.upsert(S.MARKET_BARS_DAILY, _bars(spark, [("a", 5, "yfinance")]))
+    assert _summary(store) == _exact(store)
+    assert ("a", "tushare", dt.date(2026, 6, 6), dt.date(2026, 6, 9)) in _summary(store)
+
+
+def test_plan_reads_summary(spark, tmp_root):
+    loader = Loader(spark, tmp_root, updated_at=NOW)
+    loader.db.upsert(S.MARKET_BARS_DAILY, _bars(spark, [("a", 5, "tushare"), ("a", 10, "tushare")]))
+    ids = spark.createDataFrame([("a",), ("z",)], "instrument_id string")
+    plan = loader._plan(ids, S.MARKET_BARS_DAILY, "2026-06-01", "2026-06-18")
+    got = sorted((r[0], r[1].day, r[2].day) for r in plan.collect())
+    assert got == [("a", 1, 4), ("a", 11, 18), ("z", 1, 18)]
+    files = plan.inputFiles()
+    assert any("/_coverage/" in f for f in files)
+    assert not any("/market_bars_daily/trade_month=" in f for f in files)  # table not scanned

@@ -135,9 +135,14 @@ def missing_ranges(
     filters: dict | None = None,
     list_date=None,
     delist_date=None,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """G1: missing ``(range_start, range_end)`` rows for a whole table.
 
+    ``bounds`` (optional) is a precomputed one-row ``(first_date,
+    last_date)`` frame, e.g. from a coverage summary, used instead of
+    aggregating ``table``.
+
     start > end -> ValueError. The window is clipped to [list_date,
     delist_date]; a window clipped away is empty; a missing table or no
     matching rows -> the whole window; a covered window -> nothing. The
@@ -152,10 +157,11 @@ def missing_ranges(
         end = min(end, parse_param_date(delist_date))
     if start > end:
         return spark.createDataFrame([], RANGE_SCHEMA)
-    if table is None:
+    if table is None and bounds is None:
         return spark.createDataFrame([(start, end)], RANGE_SCHEMA)
     s, e = lit_date(start), lit_date(end)
-    bounds = date_bounds(table, date_col, filters)
+    if bounds is None:
+        bounds = date_bounds(table, date_col, filters)
     first, last = F.col("first_date"), F.col("last_date")
     ranges = F.when(
         first.isNull() | last.isNull(),
@@ -195,9 +201,13 @@ def missing_ranges_by_instrument(
     end,
     source_id: str | None = "tushare",
     date_col: str = "trade_date",
+    coverage: DataFrame | None = None,
 ) -> DataFrame:
     """G2 + J4: ``(instrument_id, range_start, range_end)`` per requested id.
 
+    ``coverage`` (optional) is a precomputed ``(instrument_id, source_id,
+    first_date, last_date)`` summary used instead of aggregating ``table``.
+
     requested ids LEFT JOIN per-instrument coverage (A3); an id with no stored
     rows gets the whole window (not clipped, not checked for start > end);
     otherwise the head/tail rule. Covered ids produce no rows. The ids side
@@ -206,9 +216,15 @@ def missing_ranges_by_instrument(
     start, end = parse_param_date(start), parse_param_date(end)
     s, e = lit_date(start), lit_date(end)
     ids = ids.select("instrument_id").distinct()
-    if table is None:
+    if table is None and coverage is None:
         return ids.select("instrument_id", s.alias("range_start"), e.alias("range_end"))
-    coverage = instrument_bounds(table, source_id, date_col)
+    if coverage is None:
+        coverage = instrument_bounds(table, source_id, date_col, ids=ids)
+    else:
+        if source_id is not None:
+            coverage = coverage.where(F.col("source_id") == F.lit(source_id))
+        coverage = coverage.groupBy("instrument_id").agg(
+            F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
     joined = ids.join(coverage, "instrument_id", "left")
     first, last = F.col("first_date"), F.col("last_date")
     ranges = F.when(

@@ -98,8 +98,10 @@ class Loader:
             batch.unpersist()
 
     def _plan(self, ids: DataFrame, spec: S.TableSpec, start, end) -> DataFrame:
-        """G2 over the canonical table of the job (tushare rows)."""
-        return G.missing_ranges_by_instrument(ids, self.table(spec), start, end, "tushare")
+        """G2 over the canonical table of the job (tushare rows), read from the
+        table's coverage summary when it has one."""
+        return G.missing_ranges_by_instrument(ids, self.table(spec), start, end, "tushare",
+                                              coverage=self.db.coverage(spec))
 
     def _select(self, landing: DataFrame, plan: DataFrame) -> DataFrame:
         """Landed rows inside their instrument's missing ranges."""
@@ -138,8 +140,11 @@ class Loader:
 
     def stock_daily(self, landing: DataFrame, start, end) -> LoadResult:
         """G1 on market_bars_daily (no filters) -> landed rows inside the gaps."""
+        cov = self.db.coverage(S.MARKET_BARS_DAILY)
+        bounds = None if cov is None else cov.agg(
+            F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
         ranges = G.collect_ranges(G.missing_ranges(
-            self.spark, self.table(S.MARKET_BARS_DAILY), start, end))
+            self.spark, self.table(S.MARKET_BARS_DAILY), start, end, bounds=bounds))
         batch = (landing.withColumn("_d", lenient_date("trade_date"))
                  .where(G.ranges_predicate(ranges, "_d")).drop("_d"))
         now = self._now()

@@ -39,6 +39,8 @@ from tidemark.session import ensure_checkpoint_dir
 MONTH = "trade_month"
 SNAPSHOT = "snapshot"
 MANIFEST = "_manifest"
+COVERAGE = "_coverage"
+COVERAGE_KEYS = ("instrument_id", "source_id")
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
     T.StructField("snapshot", T.StringType(), False),
@@ -92,8 +94,9 @@ class Store:
         m = self._manifest()
         if m is None:
             return None
-        row = m.where(F.col("table_name") == name).agg(F.max("snapshot").alias("s")).first()
-        return row["s"] if row else None
+        row = m.where(F.col("table_name") == name).agg(
+            F.max_by("snapshot", F.struct("committed_at", "snapshot")).alias("s")).first()
+        return (row["s"] or None) if row else None
 
     def _commit(self, name: str, snapshot: str, rows: int | None) -> None:
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -117,6 +120,49 @@ class Store:
         df = self.read_raw(spec.name, partitioned=bool(spec.partition_by))
         return None if df is None else align_to_spec(df, spec)
 
+    # ------------------------------------------------------------ coverage ---
+    @staticmethod
+    def keeps_coverage(spec: TableSpec) -> bool:
+        """Month-partitioned instrument tables keep a coverage summary."""
+        cols = set(spec.columns)
+        return bool(spec.partition_by) and {"instrument_id", "source_id", "trade_date"} <= cols
+
+    def coverage(self, spec: TableSpec) -> DataFrame | None:
+        """Coverage summary ``(instrument_id, source_id, first_date,
+        last_date)`` of a table: one row per instrument and source, so gap
+        planning reads this instead of aggregating the whole table. None when
+        absent or invalidated (callers then aggregate the table)."""
+        if not self.keeps_coverage(spec):
+            return None
+        snap = self.latest_snapshot(f"{COVERAGE}/{spec.name}")
+        if snap is None:
+            return None
+        return self._read_parquet(f"{self.path(COVERAGE)}/{spec.name}/{SNAPSHOT}={snap}")
+
+    def _coverage_of(self, df: DataFrame) -> DataFrame:
+        return df.groupBy(*COVERAGE_KEYS).agg(
+            F.min("trade_date").alias("first_date"), F.max("trade_date").alias("last_date"))
+
+    def _rebuild_coverage(self, spec: TableSpec) -> None:
+        table = self.read(spec)
+        if table is not None:
+            self._write_snapshot(f"{COVERAGE}/{spec.name}", self._coverage_of(table))
+
+    def _extend_coverage(self, spec: TableSpec, old: DataFrame, incoming: DataFrame) -> None:
+        merged = old.select(*COVERAGE_KEYS, "first_date", "last_date").unionByName(
+            self._coverage_of(incoming)).groupBy(*COVERAGE_KEYS).agg(
+            F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
+        self._write_snapshot(f"{COVERAGE}/{spec.name}", merged)
+
+    def _displaces_source(self, stored: DataFrame, incoming: DataFrame, spec: TableSpec) -> bool:
+        """True when an incoming row replaces a stored row of another source
+        (the key holds no source, Q16): coverage of the old source may shrink."""
+        keys = list(spec.primary_key)
+        new_src = incoming.select(*keys, F.col("source_id").alias("_new_source"))
+        clash = stored.select(*keys, "source_id").join(new_src, keys).where(
+            ~F.col("source_id").eqNullSafe(F.col("_new_source")))
+        return not clash.isEmpty()
+
     # ------------------------------------------------------------ writes -----
     def _touched_months(self, month: DataFrame) -> tuple[list[int], bool]:
         """Distinct months of a batch (bounded by its date span) and whether a
@@ -163,6 +209,11 @@ class Store:
         ValueError with sorted names), required columns non-null, key unique.
         """
         incoming = guard_required(check_upsert_columns(incoming, spec), spec)
+        # Materialize the batch once, before anything is written: it may read
+        # the very table it updates (e.g. a new-key filter), and a lazy
+        # re-evaluation after the overwrite would see other files. A null in a
+        # required column fails here, so nothing is written.
+        incoming = incoming.checkpoint(eager=True)
         rows, max_n = batch_key_stats(incoming, spec.primary_key)
         if rows == 0:
             return 0
@@ -175,8 +226,18 @@ class Store:
             stored = self.read(spec)
             if stored is not None:
                 stored = stored.where(self._in_months(month_key(date_col), touched))
+            cov = self.coverage(spec)
+            stale = cov is None
+            if cov is not None and stored is not None and self._displaces_source(stored, incoming, spec):
+                self._commit(f"{COVERAGE}/{spec.name}", "", None)  # invalidate before writing
+                stale = True
             self._write_months(spec.name, upsert(stored, incoming, spec), month_key(date_col),
                                list(spec.primary_key))
+            if self.keeps_coverage(spec):
+                if stale:
+                    self._rebuild_coverage(spec)
+                else:
+                    self._extend_coverage(spec, cov, incoming)
         else:
             merged = upsert(self.read(spec), incoming, spec)
             self._write_snapshot(spec.name, merged)
