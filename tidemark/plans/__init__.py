@@ -1,0 +1,2 @@
+"""Registered queries (``catalog``), their SQL twins (``oracle``) and the
+composed load jobs (``jobs``)."""
