@@ -5,9 +5,11 @@ call), works out what to load with the library operators, merges the batch
 into the raw keep-latest store, maps and conforms it, upserts the canonical
 table(s) and appends one audit row per load to ``update_events``.
 
-The selected batch is read twice (raw merge, canonical upsert); it is
-persisted so both see the same rows. Landed files are immutable, so a lost
-executor recomputes the same rows.
+The selected batch is read twice (raw merge, canonical upsert) and its
+selection depends on the canonical table (gap plan, new-key filter), which
+the job then rewrites. It is therefore cut from its lineage with a reliable
+``checkpoint()`` before anything is written: a lost executor re-reads the
+checkpoint instead of re-planning against the updated table.
 """
 
 from __future__ import annotations
@@ -15,7 +17,6 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ from tidemark.operators import tickers as O
 from tidemark.operators import transforms as P
 from tidemark.operators import universe as U
 from tidemark.operators.store import relaxed_union
-from tidemark.sources.landing import pct_to_fraction_at_scan, where_window
+from tidemark.sources.landing import pct_to_fraction_at_scan, text_year_prefilter, where_window
 from tidemark.sources.tables import Store, new_run_id
 
 
@@ -79,23 +80,20 @@ class Loader:
         """Shared tail: raw merge (S7) -> map + conform -> upsert(s) (S10) ->
         audit (S11). ``targets`` is a list of (spec, mapper)."""
         started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            raw_rows = batch.count()
-            raw_path = self.raw.path(f"{source}/{raw_name}")
-            if raw_rows == 0:
-                for spec, _ in targets:
-                    self._audit(dataset, source, spec.name, scope, started, 0, 0)
-                return LoadResult(dataset, raw_path, self.db.root, 0, 0)
-            self.raw.merge_raw(f"{source}/{raw_name}", batch, raw_keys, date_col=raw_date)
-            written = 0
-            for spec, mapper in targets:
-                n = self.db.upsert(spec, mapper(batch))
-                self._audit(dataset, source, spec.name, scope, started, raw_rows, n)
-                written += n
-            return LoadResult(dataset, raw_path, self.db.root, raw_rows, written)
-        finally:
-            batch.unpersist()
+        batch = batch.checkpoint(eager=True)
+        raw_rows = batch.count()
+        raw_path = self.raw.path(f"{source}/{raw_name}")
+        if raw_rows == 0:
+            for spec, _ in targets:
+                self._audit(dataset, source, spec.name, scope, started, 0, 0)
+            return LoadResult(dataset, raw_path, self.db.root, 0, 0)
+        self.raw.merge_raw(f"{source}/{raw_name}", batch, raw_keys, date_col=raw_date)
+        written = 0
+        for spec, mapper in targets:
+            n = self.db.upsert(spec, mapper(batch))
+            self._audit(dataset, source, spec.name, scope, started, raw_rows, n)
+            written += n
+        return LoadResult(dataset, raw_path, self.db.root, raw_rows, written)
 
     def _plan(self, ids: DataFrame, spec: S.TableSpec, start, end) -> DataFrame:
         """G2 over the canonical table of the job (tushare rows), read from the
@@ -104,7 +102,12 @@ class Loader:
                                               coverage=self.db.coverage(spec))
 
     def _select(self, landing: DataFrame, plan: DataFrame) -> DataFrame:
-        """Landed rows inside their instrument's missing ranges."""
+        """Landed rows inside their instrument's missing ranges. The
+        plan's overall bounds (one-row aggregate) give a pushable year
+        prefilter on the landed text dates; the range join stays exact."""
+        b = plan.agg(F.min("range_start").alias("lo"), F.max("range_end").alias("hi")).first()
+        if b is not None and b["lo"] is not None:
+            landing = text_year_prefilter(landing, "trade_date", b["lo"], b["hi"])
         return G.select_in_ranges(landing, plan, "ts_code",
                                   date_expr=lenient_date("trade_date"))
 
@@ -145,6 +148,9 @@ class Loader:
             F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
         ranges = G.collect_ranges(G.missing_ranges(
             self.spark, self.table(S.MARKET_BARS_DAILY), start, end, bounds=bounds))
+        if ranges:
+            landing = text_year_prefilter(landing, "trade_date", min(r[0] for r in ranges),
+                                          max(r[1] for r in ranges))
         batch = (landing.withColumn("_d", lenient_date("trade_date"))
                  .where(G.ranges_predicate(ranges, "_d")).drop("_d"))
         now = self._now()

@@ -98,6 +98,18 @@ def where_window(df: DataFrame, col: str, start=None, end=None, trade_date=None)
     return df
 
 
+def text_year_prefilter(df: DataFrame, col: str, start, end) -> DataFrame:
+    """A pushable superset filter for a text date column: every accepted
+    shape (``yyyymmdd``, ``yyyy-M-d``, ``yyyy/M/d``) starts with the 4-digit
+    year, so ``col >= 'YYYY' AND col < 'YYYY+1'`` keeps every row an exact
+    date filter keeps and lets the parquet reader skip row groups. Apply the
+    exact (parsed) filter as well. Non-text columns are left alone."""
+    if start is None or end is None or not isinstance(df.schema[col].dataType, T.StringType):
+        return df
+    lo, hi = parse_param_date(start).year, parse_param_date(end).year
+    return df.where((F.col(col) >= F.lit(f"{lo:04d}")) & (F.col(col) < F.lit(f"{hi + 1:04d}")))
+
+
 def pct_to_fraction_at_scan(df: DataFrame, feed: str) -> DataFrame:
     """Percent -> fraction for the fund, index and global-index feeds only."""
     if feed in FRACTION_FEEDS and "pct_chg" in df.columns:
