@@ -168,3 +168,52 @@ def test_plan_reads_summary(spark, tmp_root):
     files = plan.inputFiles()
     assert any("/_coverage/" in f for f in files)
     assert not any("/market_bars_daily/trade_month=" in f for f in files)  # table not scanned
+
+
+def _row(dataset, **values):
+    return tuple(values.get(f) for f in LANDING[dataset].fieldNames())
+
+
+def test_list_jobs_share_one_raw_store(spark, tmp_root):
+    loader = Loader(spark, tmp_root, updated_at=NOW)
+    stock = spark.createDataFrame([_row("stock_basic", ts_code="000001.SZ", symbol="000001",
+                                        name="PA", fullname="Ping An", exchange="SZSE",
+                                        curr_type="CNY", list_status="L", list_date="19910403",
+                                        is_hs="S")], LANDING["stock_basic"])
+    index = spark.createDataFrame([
+        _row("index_basic", ts_code="000300.SH", name="CSI 300", fullname="CSI 300 Index",
+             market="SSE", list_date="2005/04/08"),
+        _row("index_basic", ts_code="H00300.CSI", name="CSI 300 TR", fullname="x", market="CSI"),
+        _row("index_basic", ts_code="X.MSCI", name="msci", fullname="x", market="MSCI"),
+    ], LANDING["index_basic"])
+    assert loader.stock_list(stock).rows_written == 1
+    assert loader.index_list(index).rows_written == 2  # MSCI is outside the default markets
+    raw = loader.raw.read_raw("tushare/reference_instrument")
+    assert sorted(r["ts_code"] for r in raw.collect()) == ["000001.SZ", "000300.SH", "H00300.CSI"]
+    assert {"fullname", "is_hs", "publisher"} <= set(raw.columns)  # relaxed union of both lists
+    ref = {r["instrument_id"]: r for r in loader.table(S.REFERENCE_INSTRUMENT).collect()}
+    assert ref["000001.SZ"]["is_hs"] and str(ref["000001.SZ"]["list_date"]) == "1991-04-03"
+    assert (ref["000300.SH"]["exchange"], ref["000300.SH"]["list_status"]) == ("SSE", "L")
+    assert str(ref["000300.SH"]["list_date"]) == "2005-04-08"
+
+
+def test_stock_st_whole_window(spark, tmp_root):
+    loader = Loader(spark, tmp_root, updated_at=NOW)
+    st = spark.createDataFrame([
+        _row("stock_st", ts_code="a.SZ", name="*ST A", trade_date=f"202606{d:02d}", type="ST",
+             type_name="risk") for d in (1, 2, 3)], LANDING["stock_st"])
+    assert loader.stock_st(st, "2026-06-02", "2026-06-03").rows_written == 2
+    # not incremental: the same window is loaded again (and stays unique by key)
+    assert loader.stock_st(st, "2026-06-01", "2026-06-03").rows_written == 3
+    assert loader.table(S.REFERENCE_INSTRUMENT_ST).count() == 3
+
+
+def test_index_job_api(spark, tmp_root):
+    loader = Loader(spark, tmp_root, updated_at=NOW)
+    feed = spark.createDataFrame([_daily("HKTECH", "20260601", 1.0)], LANDING["index_global"])
+    r = loader.index_daily(feed, "2026-06-01", "2026-06-01", api="index_global",
+                           params={"index_codes": ["HKTECH"]})
+    assert r.rows_written == 1
+    assert loader.table(S.MARKET_BARS_DAILY).collect()[0]["pct_chg"] == 0.01
+    with pytest.raises(ValueError):
+        loader.index_daily(feed, "2026-06-01", "2026-06-01", api="nope", params={"ts_code": "x"})
