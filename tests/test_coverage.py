@@ -139,3 +139,14 @@ def test_ranges_property(spark, lo, span, ask_lo, ask_span):
     assert covered == (hi_all - lo_all).days + 1
     filled = [s_lo, s_hi] + [d for r in got for d in (r[0], r[1])]
     assert ranges(G.missing_ranges(spark, stored(spark, filled), a_lo, a_hi)) == []
+
+
+def test_raw_store_twin_text_dates(spark):
+    """G1/A1/A2 over a raw store whose dates are vendor text."""
+    raw = spark.createDataFrame([("a", "20260605"), ("a", "20260610"), ("b", None)],
+                                "ts_code string, trade_date string")
+    assert G.last_update_date(raw) == D(Y, 6, 10)
+    assert G.first_update_date(raw, filters={"ts_code": "a"}) == D(Y, 6, 5)
+    assert G.last_update_date(None) is None
+    got = ranges(G.missing_ranges(spark, raw, D(Y, 6, 1), D(Y, 6, 18)))
+    assert got == [(D(Y, 6, 1), D(Y, 6, 4)), (D(Y, 6, 11), D(Y, 6, 18))]

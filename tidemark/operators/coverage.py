@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.dates import lit_date, parse_param_date
+from tidemark.functions.dates import lenient_date, lit_date, parse_param_date
 
 RANGE_SCHEMA = T.StructType([
     T.StructField("range_start", T.DateType()),
@@ -26,6 +26,12 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _day(df: DataFrame, date_col: str) -> Column:
+    """The date column as a DATE: raw stores keep vendor text dates
+    (``yyyymmdd``) or instants, canonical tables keep dates."""
+    return lenient_date(_q(date_col), df.schema[date_col].dataType)
+
+
 def equality_filter(df: DataFrame, filters: dict | None) -> DataFrame:
     """AND of ``column = value``; a None value keeps nothing (SQL ``=``)."""
     if not filters:
@@ -39,9 +45,11 @@ def equality_filter(df: DataFrame, filters: dict | None) -> DataFrame:
 def date_bounds(
     df: DataFrame, date_col: str = "trade_date", filters: dict | None = None
 ) -> DataFrame:
-    """A1 + A2: one row ``(first_date, last_date)``; nulls when nothing matches."""
+    """A1 + A2: one row ``(first_date, last_date)``; nulls when nothing matches.
+    Works on canonical tables and on raw stores (text or instant dates)."""
+    d = _day(df, date_col)
     return equality_filter(df, filters).agg(
-        F.min(_q(date_col)).alias("first_date"), F.max(_q(date_col)).alias("last_date")
+        F.min(d).alias("first_date"), F.max(d).alias("last_date")
     )
 
 
@@ -75,8 +83,9 @@ def instrument_bounds(
         df = df.where(F.col("source_id") == F.lit(source_id))
     if ids is not None:
         df = df.join(ids.select("instrument_id"), "instrument_id", "left_semi")
+    d = _day(df, date_col)
     return df.groupBy("instrument_id").agg(
-        F.min(_q(date_col)).alias("first_date"), F.max(_q(date_col)).alias("last_date")
+        F.min(d).alias("first_date"), F.max(d).alias("last_date")
     )
 
 

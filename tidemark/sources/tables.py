@@ -154,6 +154,16 @@ class Store:
             F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
         self._write_snapshot(f"{COVERAGE}/{spec.name}", merged)
 
+    @staticmethod
+    def _may_displace(cov: DataFrame, incoming: DataFrame) -> bool:
+        """Cheap pre-check on the summary (one row per instrument and source):
+        a key can only change source for an instrument that already has
+        coverage under another source."""
+        pairs = incoming.select("instrument_id", F.col("source_id").alias("_new_source")).distinct()
+        other = cov.select(*COVERAGE_KEYS).join(pairs, "instrument_id").where(
+            ~F.col("source_id").eqNullSafe(F.col("_new_source")))
+        return not other.isEmpty()
+
     def _displaces_source(self, stored: DataFrame, incoming: DataFrame, spec: TableSpec) -> bool:
         """True when an incoming row replaces a stored row of another source
         (the key holds no source, Q16): coverage of the old source may shrink."""
@@ -228,7 +238,8 @@ class Store:
                 stored = stored.where(self._in_months(month_key(date_col), touched))
             cov = self.coverage(spec)
             stale = cov is None
-            if cov is not None and stored is not None and self._displaces_source(stored, incoming, spec):
+            if (cov is not None and stored is not None and self._may_displace(cov, incoming)
+                    and self._displaces_source(stored, incoming, spec)):
                 self._commit(f"{COVERAGE}/{spec.name}", "", None)  # invalidate before writing
                 stale = True
             self._write_months(spec.name, upsert(stored, incoming, spec), month_key(date_col),
