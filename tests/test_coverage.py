@@ -150,3 +150,23 @@ def test_raw_store_twin_text_dates(spark):
     assert G.last_update_date(None) is None
     got = ranges(G.missing_ranges(spark, raw, D(Y, 6, 1), D(Y, 6, 18)))
     assert got == [(D(Y, 6, 1), D(Y, 6, 4)), (D(Y, 6, 11), D(Y, 6, 18))]
+
+
+@settings(max_examples=6, deadline=None)
+@given(spans=st.lists(st.tuples(st.integers(0, 40), st.integers(0, 20)), min_size=1, max_size=4),
+       ask_lo=st.integers(0, 60), ask_span=st.integers(0, 30))
+def test_by_instrument_property(spark, spans, ask_lo, ask_span):
+    """G2 per instrument equals G1 on that instrument's own rows."""
+    base = D(2026, 1, 1)
+    a_lo, a_hi = base + dt.timedelta(ask_lo), base + dt.timedelta(ask_lo + ask_span)
+    rows = []
+    for i, (lo, span) in enumerate(spans):
+        rows += [(f"i{i}", base + dt.timedelta(lo), "tushare"),
+                 (f"i{i}", base + dt.timedelta(lo + span), "tushare")]
+    table = spark.createDataFrame(rows, SCHEMA)
+    ids = spark.createDataFrame([(f"i{i}",) for i in range(len(spans) + 1)], "instrument_id string")
+    got = G.missing_ranges_by_instrument(ids, table, a_lo, a_hi, "tushare").collect()
+    for i in range(len(spans) + 1):
+        mine = sorted((r["range_start"], r["range_end"]) for r in got if r["instrument_id"] == f"i{i}")
+        own = table.where(f"instrument_id = 'i{i}'")
+        assert mine == ranges(G.missing_ranges(spark, own, a_lo, a_hi))

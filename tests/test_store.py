@@ -133,3 +133,17 @@ def test_registry_refuses_unknown_type():
     from pyspark.sql import types as T
     with pytest.raises(TypeError):
         S.TableSpec("t", T.StructType([T.StructField("x", T.DecimalType(10, 2))]), ())
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 99)),
+                     min_size=1, max_size=12, unique_by=lambda r: r[1]))
+def test_keep_latest_property(spark, rows):
+    """One row per key (null keys are one key); the greatest ordinal wins."""
+    df = spark.createDataFrame([(k, o, o * 10) for k, o in rows], "k string, o int, v int")
+    got = {r["k"]: (r["o"], r["v"]) for r in ST.keep_latest(df, ["k"], "o").collect()}
+    expected = {}
+    for k, o in rows:
+        if k not in expected or o > expected[k][0]:
+            expected[k] = (o, o * 10)
+    assert got == expected
