@@ -106,3 +106,17 @@ def test_explicit_codes_precedence():
     assert U.explicit_codes({"ts_code": "x", "ts_codes": ["b", "a"], "index_codes": None}) == ["a", "b"]
     assert U.explicit_codes({"ts_code": "x"}) == ["x"]
     assert U.explicit_codes({}) is None
+
+
+def test_previous_close_across_years(spark):
+    """The lag runs inside year segments; a segment's first row takes the
+    last close of the previous non-empty year."""
+    days = [dt.datetime(2024, 12, 30), dt.datetime(2024, 12, 31), dt.datetime(2026, 1, 2),
+            dt.datetime(2026, 1, 5), dt.datetime(2027, 3, 1)]
+    rows = [("T", d, float(i + 1)) for i, d in enumerate(days)] + [("U", dt.datetime(2026, 1, 1), 9.0)]
+    hist = spark.createDataFrame(rows, "ticker string, date timestamp_ntz, close double")
+    out = {(r["instrument_id"], r["trade_date"]): r["pre_close"]
+           for r in P.yahoo_bars(hist, updated_at=now()).collect()}
+    got = [out[("T", d.date())] for d in days]
+    assert got == [None, 1.0, 2.0, 3.0, 4.0]
+    assert out[("U", dt.date(2026, 1, 1))] is None

@@ -216,14 +216,37 @@ def previous_close(df: DataFrame, id_col: str, order_col: str,
     change = close - pre_close; pct_chg = change / pre_close (a fraction),
     null when pre_close is null or zero.
 
-    The window partitions by instrument; with daily bars keyed by
-    (instrument, date) one partition holds at most one row per calendar day,
-    so a partition is bounded by the batch's day count however hot the
-    instrument is.
+    A per-instrument window would put a whole instrument's history into one
+    task. The lag is instead taken inside (instrument, calendar year)
+    segments, so a hot instrument is spread over its years. The first row of
+    a segment takes the last close of the instrument's previous non-empty
+    segment, from a small aggregate with one row per (instrument, year)
+    joined back on the segment key.
     """
-    w = Window.partitionBy(id_col).orderBy(order_col)
+    seg = "_segment"
+    order = F.col(order_col)
     close = F.col(close_col)
-    out = df.withColumn("pre_close", F.lag(close).over(w))
+    keyed = df.withColumn(seg, F.year(order))
+    w = Window.partitionBy(id_col, seg).orderBy(order_col)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rn = F.row_number().over(w)
+    lagged = keyed.withColumns({
+        "_lag": F.lag(close).over(w),
+        "_rn": rn,
+        "_n": F.count(F.lit(1)).over(whole),
+    })
+    # Segment ends come from the same window pass (one row per instrument and
+    # year), so the upstream plan is not evaluated twice.
+    ends = lagged.where(F.col("_rn") == F.col("_n")).select(
+        id_col, seg, close.alias("_last_close"))
+    prev = ends.select(
+        id_col, seg,
+        F.lag("_last_close").over(Window.partitionBy(id_col).orderBy(seg)).alias("_prev_close"),
+    )
+    out = lagged.join(prev, [id_col, seg], "left").withColumn(
+        "pre_close",
+        F.when(F.col("_rn") == F.lit(1), F.col("_prev_close")).otherwise(F.col("_lag")))
+    out = out.drop(seg, "_lag", "_rn", "_n", "_prev_close")
     pre = F.col("pre_close")
     return out.withColumns({
         "change": close - pre,
