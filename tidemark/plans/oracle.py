@@ -45,7 +45,7 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                CASE WHEN k % 3 = 0 THEN 'yfinance' ELSE 'tushare' END AS source_id,
                {STORED_AT} AS updated_at
         FROM bars_keyed
-        WHERE trade_date BETWEEN DATE '1996-07-01' AND DATE '1999-06-30' AND k % 5 <> 0""",
+        WHERE trade_date BETWEEN DATE '1996-07-01' AND DATE '1999-06-30'""",
                     ("bars_keyed",)),
     "history": ("""
         SELECT instrument_id AS ticker, CAST(trade_date AS TIMESTAMP) AS date, open, high, low, close,

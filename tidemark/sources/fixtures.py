@@ -77,14 +77,11 @@ def _bar_source(k: Column) -> Column:
 
 
 def stored_bars(spark, sf_dir) -> DataFrame:
-    """Canonical market_bars_daily state: bars of 1996-07-01..1999-06-30 for
-    parts with k mod 5 != 0 (so some instruments have no state); source
-    'yfinance' when k mod 3 = 0 else 'tushare'."""
+    """Canonical market_bars_daily state: every bar of 1996-07-01..1999-06-30;
+    source 'yfinance' when k mod 3 = 0 else 'tushare' (so instruments of the
+    other source have no tushare state)."""
     b = bars_keyed(spark, sf_dir)
-    b = b.where(
-        F.col("trade_date").between(lit_date(STORED_FROM), lit_date(STORED_TO))
-        & (F.pmod(F.col("k"), F.lit(5)) != 0)
-    )
+    b = b.where(F.col("trade_date").between(lit_date(STORED_FROM), lit_date(STORED_TO)))
     null = F.lit(None).cast(T.DoubleType())
     return b.select(
         "instrument_id", "trade_date", "open", "high", "low", "close",
