@@ -56,6 +56,7 @@ def test_stock_daily_incremental_and_partitioned(spark, tmp_root):
     assert raw.count() == 21
     audit = loader.db.read_appended(S.UPDATE_EVENTS)
     assert audit.count() == 3 and {r["status"] for r in audit.collect()} == {"success"}
+    assert audit.select("event_id").distinct().count() == 3  # audit key stays unique
 
 
 def test_etf_job_uses_universe_and_plan(spark, tmp_root):

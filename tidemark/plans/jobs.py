@@ -15,6 +15,7 @@ checkpoint instead of re-planning against the updated table.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,7 +71,8 @@ class Loader:
                raw_rows: int, written: int, status: str = "success",
                message: str | None = None) -> None:
         finished = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        row = (f"{self.run_id}:{dataset}:{table}", self.run_id, source, table, scope, started,
+        event_id = f"{self.run_id}:{dataset}:{table}:{uuid.uuid4().hex[:8]}"
+        row = (event_id, self.run_id, source, table, scope, started,
                finished, status, int(raw_rows), int(written), message)
         df = self.spark.createDataFrame([row], S.UPDATE_EVENTS.schema)
         self.db.append(S.UPDATE_EVENTS, df.coalesce(1))
