@@ -89,6 +89,17 @@ def instrument_bounds(
     )
 
 
+def coverage_summary(df: DataFrame, date_col: str = "trade_date",
+                     keys=("instrument_id", "source_id")) -> DataFrame:
+    """A3 for every source at once: ``(instrument_id, source_id, first_date,
+    last_date)``, the summary a bar table keeps next to its data so gap
+    planning does not aggregate the whole table. Partial (map-side)
+    aggregate."""
+    d = _day(df, date_col)
+    return df.groupBy(*[_q(k) for k in keys]).agg(
+        F.min(d).alias("first_date"), F.max(d).alias("last_date"))
+
+
 def batch_bounds(df: DataFrame, id_col: str = "instrument_id",
                  date_col: str = "trade_date", with_count: bool = False) -> DataFrame:
     """A4 (+A6): one row ``(start_date, end_date, n_instruments[, n_rows])``

@@ -618,6 +618,14 @@ def coverage_by_instrument(spark, d):
     return G.instrument_bounds(fx.stored_bars(spark, d), "tushare")
 
 
+@register("coverage_summary", with_views("""
+    SELECT instrument_id, source_id, min(trade_date) AS first_date, max(trade_date) AS last_date
+    FROM stored_bars GROUP BY instrument_id, source_id""", "stored_bars"))
+def coverage_summary(spark, d):
+    """Coverage summary of a bar table (A3 per instrument and source)."""
+    return G.coverage_summary(fx.stored_bars(spark, d))
+
+
 # ============================================================ conform =======
 
 @register("conform_lenient_cast", with_views(f"""

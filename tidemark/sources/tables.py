@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.dates import month_key
+from tidemark.operators.coverage import coverage_summary
 from tidemark.operators.conform import guard_required
 from tidemark.operators.store import align_to_spec, check_upsert_columns, merge_keep_latest, upsert
 from tidemark.schema import TableSpec
@@ -140,8 +141,7 @@ class Store:
         return self._read_parquet(f"{self.path(COVERAGE)}/{spec.name}/{SNAPSHOT}={snap}")
 
     def _coverage_of(self, df: DataFrame) -> DataFrame:
-        return df.groupBy(*COVERAGE_KEYS).agg(
-            F.min("trade_date").alias("first_date"), F.max("trade_date").alias("last_date"))
+        return coverage_summary(df, "trade_date", COVERAGE_KEYS)
 
     def _rebuild_coverage(self, spec: TableSpec) -> None:
         table = self.read(spec)
