@@ -102,7 +102,8 @@ def merge_keep_latest(
         latest = latest.drop(ORDINAL)
     if stored is None:
         return latest
-    inc_keys = latest.select(*[_q(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct()
+    # ``latest`` has one row per key already (grouped on the keys): no distinct.
+    inc_keys = latest.select(*[_q(k).alias(f"_k{i}") for i, k in enumerate(keys)])
     cond = reduce(
         lambda a, b: a & b,
         [stored[k].eqNullSafe(inc_keys[f"_k{i}"]) for i, k in enumerate(keys)],
