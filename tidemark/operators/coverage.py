@@ -239,7 +239,11 @@ def missing_ranges_by_instrument(
     if table is None and coverage is None:
         return ids.select("instrument_id", s.alias("range_start"), e.alias("range_end"))
     if coverage is None:
-        coverage = instrument_bounds(table, source_id, date_col, ids=ids)
+        # No semi join with ids before the aggregate: the partial aggregate
+        # already shrinks each task to one row per instrument, and the left
+        # join below restricts to the requested ids without evaluating the
+        # universe twice.
+        coverage = instrument_bounds(table, source_id, date_col)
     else:
         if source_id is not None:
             coverage = coverage.where(F.col("source_id") == F.lit(source_id))
