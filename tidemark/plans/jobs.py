@@ -164,7 +164,8 @@ class Loader:
         params = params or {}
         ref = self.table(S.REFERENCE_INSTRUMENT)
         universe = None if ref is None else U.etf_universe(ref, end)
-        ids = U.resolve_universe(self.spark, params, universe, what="ETF")
+        ids = U.resolve_universe(self.spark, params, universe, keys=("ts_codes", "ts_code"),
+                                 what="ETF")
         plan = self._plan(ids, S.MARKET_BARS_DAILY, start, end)
         batch = pct_to_fraction_at_scan(self._select(landing, plan), "fund_daily")
         now = self._now()
@@ -192,7 +193,8 @@ class Loader:
         params = params or {}
         ref = self.table(S.REFERENCE_FUTURE)
         universe = None if ref is None else U.future_universe(ref, start, end)
-        ids = U.resolve_universe(self.spark, params, universe, what="futures")
+        ids = U.resolve_universe(self.spark, params, universe, keys=("ts_codes", "ts_code"),
+                                 what="futures")
         plan = self._plan(ids, S.MARKET_BARS_DERIVATIVE_DAILY, start, end)
         now = self._now()
         return self._load("market_bars_future_daily", "tushare", "future_daily",
