@@ -218,3 +218,16 @@ def test_index_job_api(spark, tmp_root):
     assert loader.table(S.MARKET_BARS_DAILY).collect()[0]["pct_chg"] == 0.01
     with pytest.raises(ValueError):
         loader.index_daily(feed, "2026-06-01", "2026-06-01", api="nope", params={"ts_code": "x"})
+
+
+def test_yahoo_bars_validate_tickers(spark, tmp_root):
+    loader = Loader(spark, tmp_root, updated_at=NOW)
+    req = spark.createDataFrame([("nvda",), ("goog",)], "ticker string")
+    cand = spark.createDataFrame([("nvda", 1, "NVDA", "EQUITY", "NMS", None, None),
+                                  ("goog", 1, "GOOGL", "EQUITY", "NMS", None, None)], LANDING["quotes"])
+    hist = spark.createDataFrame(
+        [(t, dt.datetime(2026, 6, 1), 1.0, 1.0, 1.0, 1.0, None, 5.0, None, None)
+         for t in ("NVDA", "GOOGL", "nvda")], LANDING["history"])
+    r = loader.yf_market_bars_daily(hist, "2026-06-01", "2026-06-01", tickers=req, candidates=cand)
+    assert r.rows_written == 1  # only NVDA is an exact match; GOOGL is not 'goog'
+    assert [x["instrument_id"] for x in loader.table(S.MARKET_BARS_DAILY).collect()] == ["NVDA"]

@@ -226,10 +226,19 @@ class Loader:
                                   lambda b: P.yahoo_instrument(b, currency))])
 
     def yf_market_bars_daily(self, history: DataFrame, start=None, end=None,
-                             tickers: DataFrame | None = None) -> LoadResult:
+                             tickers: DataFrame | None = None,
+                             candidates: DataFrame | None = None) -> LoadResult:
         """Tickers (validated) or the Yahoo universe -> history window -> raw
         merge of all rows -> new keys only (J2, J1) -> lag (after the filter,
-        Q5) -> upsert. ``end`` is inclusive."""
+        Q5) -> upsert. ``end`` is inclusive.
+
+        With ``tickers`` and their search ``candidates``, tickers are
+        validated first (O3 -> O4 -> F7) and the matched symbols are loaded;
+        with ``tickers`` alone they are taken as already validated."""
+        if tickers is not None and candidates is not None:
+            requested = tickers.select(F.col(tickers.columns[0]).alias("ticker"))
+            info = U.valid_only(O.ticker_info(O.best_match(requested, candidates)))
+            tickers = info.where(F.col("instrument_id").isNotNull()).select("instrument_id")
         if tickers is None:
             ref = self.table(S.REFERENCE_INSTRUMENT)
             universe = None if ref is None else U.yahoo_universe(ref)
