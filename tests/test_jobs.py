@@ -231,3 +231,18 @@ def test_yahoo_bars_validate_tickers(spark, tmp_root):
     r = loader.yf_market_bars_daily(hist, "2026-06-01", "2026-06-01", tickers=req, candidates=cand)
     assert r.rows_written == 1  # only NVDA is an exact match; GOOGL is not 'goog'
     assert [x["instrument_id"] for x in loader.table(S.MARKET_BARS_DAILY).collect()] == ["NVDA"]
+
+
+def test_upsert_reads_only_touched_months(spark, tmp_root):
+    store = Store(spark, tmp_root)
+    rows = [(i, d, "tushare") for i in ("a", "b") for d in (1, 2)]
+    store.upsert(S.MARKET_BARS_DAILY, _bars(spark, rows))
+    july = spark.createDataFrame(
+        [("a", dt.date(2026, 7, 1), 2.0, None, None, 2.0, None, None, None, None, None, "a", "tushare", NOW)],
+        S.MARKET_BARS_DAILY.schema)
+    store.upsert(S.MARKET_BARS_DAILY, july)
+    got = store.read_months("market_bars_daily", ([202607], False))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    part = plan.split("PartitionFilters")[1][:200]
+    assert "trade_month" in part and "202607" in part  # directories pruned, not rows filtered
+    assert got.count() == 1 and store.read(S.MARKET_BARS_DAILY).count() == 5

@@ -115,6 +115,15 @@ class Store:
             return None
         return self._read_parquet(f"{self.path(name)}/{SNAPSHOT}={snap}")
 
+    def read_months(self, name: str, touched: tuple[list[int], bool]) -> DataFrame | None:
+        """Rows of a month-partitioned store in the touched months only. The
+        filter is on the partition column itself, so Spark prunes directories
+        (``PartitionFilters``) instead of scanning every month."""
+        df = self._read_parquet(self.path(name))
+        if df is None:
+            return None
+        return df.where(self._in_months(F.col(MONTH), touched)).drop(MONTH)
+
     def read(self, spec: TableSpec) -> DataFrame | None:
         """A canonical table aligned to its registered columns (absent
         columns come back as typed nulls); None when the table does not exist."""
@@ -233,9 +242,9 @@ class Store:
         if spec.partition_by and date_keys:
             date_col = date_keys[0]
             touched = self._touched_months(incoming.select(month_key(date_col)))
-            stored = self.read(spec)
+            stored = self.read_months(spec.name, touched)
             if stored is not None:
-                stored = stored.where(self._in_months(month_key(date_col), touched))
+                stored = align_to_spec(stored, spec)
             cov = self.coverage(spec)
             stale = cov is None
             if (cov is not None and stored is not None and self._may_displace(cov, incoming)
@@ -278,9 +287,7 @@ class Store:
             return 0 if stored is None else stored.count()
         if partitioned:
             touched = self._touched_months(incoming.select(month_key(_as_date(incoming, date_col))))
-            if stored is not None:
-                stored = stored.where(
-                    self._in_months(month_key(_as_date(stored, date_col)), touched))
+            stored = self.read_months(name, touched)
             merged = merge_keep_latest(stored, incoming, keys, ordinal)
             self._write_months(name, merged, month_key(_as_date(merged, date_col)), keys)
             return self.read_raw(name, partitioned=True).count()
