@@ -251,10 +251,15 @@ class Loader:
         if end is not None:
             batch = batch.where(F.col("date") < lit_timestamp_ntz(
                 _dt.datetime.combine(parse_param_date(end) + _dt.timedelta(days=1), _dt.time())))
-        stored = self.table(S.MARKET_BARS_DAILY)
         now = self._now()
 
         def to_bars(b: DataFrame) -> DataFrame:
+            # J2 reads only the stored months of the batch's window (two
+            # scalars from a one-row aggregate of the checkpointed batch).
+            w = b.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+            stored = None
+            if w is not None and w["lo"] is not None:
+                stored = self.db.read_window(S.MARKET_BARS_DAILY, w["lo"].date(), w["hi"].date())
             return P.yahoo_bars(J.new_rows(b, stored, "ticker", "date", "yfinance"), updated_at=now)
 
         return self._load("yf_market_bars_daily", "yfinance", "daily", batch,

@@ -124,6 +124,19 @@ class Store:
             return None
         return df.where(self._in_months(F.col(MONTH), touched)).drop(MONTH)
 
+    def read_window(self, spec: TableSpec, lo: _dt.date, hi: _dt.date,
+                    date_col: str = "trade_date") -> DataFrame | None:
+        """A month-partitioned table between two dates: a partition filter on
+        the month range (directory pruning) plus the exact date filter (row
+        groups); aligned to the registered columns."""
+        df = self._read_parquet(self.path(spec.name))
+        if df is None:
+            return None
+        lo_m, hi_m = lo.year * 100 + lo.month, hi.year * 100 + hi.month
+        df = df.where(F.col(MONTH).between(lo_m, hi_m)).drop(MONTH)
+        df = df.where(F.col(date_col).between(F.lit(lo), F.lit(hi)))
+        return align_to_spec(df, spec)
+
     def read(self, spec: TableSpec) -> DataFrame | None:
         """A canonical table aligned to its registered columns (absent
         columns come back as typed nulls); None when the table does not exist."""
