@@ -152,11 +152,18 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                     ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS raw_date
         FROM orders""", ()),
     "text_bars": ("""
-        SELECT 'O' || CAST(o.o_orderkey AS VARCHAR) AS instrument_id, d.raw_date AS trade_date,
-               CASE WHEN o.o_orderkey % 7 = 0 THEN 'n/a' ELSE CAST(o.o_totalprice AS VARCHAR) END AS open,
-               o.o_orderstatus AS close, o.o_custkey AS volume,
-               CAST(o.o_orderdate AS VARCHAR) AS updated_at, o.o_orderpriority AS comment
-        FROM orders o JOIN date_text d ON o.o_orderkey = d.o_orderkey""", ("date_text",)),
+        SELECT 'O' || CAST(o_orderkey AS VARCHAR) AS instrument_id,
+               CASE o_orderkey % 6
+                    WHEN 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y%m%d')
+                    WHEN 1 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d')
+                    WHEN 2 THEN strftime(CAST(o_orderdate AS DATE), '%Y/%m/%d')
+                    WHEN 3 THEN 'bad'
+                    WHEN 4 THEN NULL
+                    ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS trade_date,
+               CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' ELSE CAST(o_totalprice AS VARCHAR) END AS open,
+               o_orderstatus AS close, o_custkey AS volume,
+               CAST(o_orderdate AS VARCHAR) AS updated_at, o_orderpriority AS comment
+        FROM orders""", ()),
     "quote_candidates": ("""
         SELECT lower(c_mktsegment) AS ticker, c_custkey AS rank,
                CASE WHEN c_mktsegment <> 'MACHINERY' AND c_custkey % 7 = 3 THEN c_mktsegment

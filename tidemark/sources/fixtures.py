@@ -288,20 +288,25 @@ def fx_landing(spark, sf_dir) -> DataFrame:
     )
 
 
-def date_text(spark, sf_dir) -> DataFrame:
-    """Dates as text in mixed shapes, by o_orderkey mod 6."""
-    o = table(spark, sf_dir, "orders")
-    d = F.col("o_orderdate").cast(T.DateType())
-    m = F.pmod(F.col("o_orderkey"), F.lit(6))
-    text = (
+def _mixed_date_text(k: Column, ts: Column) -> Column:
+    """Dates as text in mixed shapes, by key mod 6."""
+    d = ts.cast(T.DateType())
+    m = F.pmod(k, F.lit(6))
+    return (
         F.when(m == 0, F.date_format(d, "yyyyMMdd"))
         .when(m == 1, F.date_format(d, "yyyy-MM-dd"))
         .when(m == 2, F.date_format(d, "yyyy/MM/dd"))
         .when(m == 3, F.lit("bad"))
         .when(m == 4, F.lit(None).cast("string"))
-        .otherwise(F.date_format(F.col("o_orderdate"), "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
     )
-    return o.select("o_orderkey", text.alias("raw_date"))
+
+
+def date_text(spark, sf_dir) -> DataFrame:
+    """Dates as text in mixed shapes, by o_orderkey mod 6."""
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey",
+                    _mixed_date_text(F.col("o_orderkey"), F.col("o_orderdate")).alias("raw_date"))
 
 
 def text_bars(spark, sf_dir) -> DataFrame:
@@ -310,10 +315,9 @@ def text_bars(spark, sf_dir) -> DataFrame:
     an instant as text and an extra column (conform input)."""
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
-    dates = date_text(spark, sf_dir)
-    return o.join(dates, "o_orderkey").select(
+    return o.select(
         F.concat(F.lit("O"), k.cast("string")).alias("instrument_id"),
-        F.col("raw_date").alias("trade_date"),
+        _mixed_date_text(k, F.col("o_orderdate")).alias("trade_date"),
         F.when(F.pmod(k, F.lit(7)) == 0, F.lit("n/a"))
          .otherwise(F.col("o_totalprice").cast("string")).alias("open"),
         F.col("o_orderstatus").alias("close"),
