@@ -29,14 +29,19 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when
-    the session has none (local tests)."""
+    """Use the session's checkpoint folder (``spark.checkpoint.dir``). A
+    scratch folder is created only for local masters (tests); on a cluster a
+    missing setting is an error, never a machine-local folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
-        conf = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        if not sc.master.startswith("local"):
+            # Checkpoints must live in a folder every executor shares.
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; name a shared folder for checkpoints")
+        conf = tempfile.mkdtemp(prefix="tidemark-ckpt-")  # local runs and tests only
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()
