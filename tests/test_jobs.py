@@ -246,3 +246,17 @@ def test_upsert_reads_only_touched_months(spark, tmp_root):
     part = plan.split("PartitionFilters")[1][:200]
     assert "trade_month" in part and "202607" in part  # directories pruned, not rows filtered
     assert got.count() == 1 and store.read(S.MARKET_BARS_DAILY).count() == 5
+
+
+def test_merge_raw_default_keys(spark, tmp_root):
+    store = Store(spark, tmp_root)
+    rows = spark.createDataFrame([("a", dt.date(2026, 6, 1), 1.0), ("a", dt.date(2026, 6, 1), 2.0),
+                                  ("b", dt.date(2026, 6, 1), 3.0)],
+                                 "instrument_id string, trade_date date, close double")
+    assert store.merge_raw("raw/x", rows) == 2  # keyed on (trade_date, instrument_id)
+    more = spark.createDataFrame([("a", dt.date(2026, 6, 1), 5.0)],
+                                 "instrument_id string, trade_date date, close double")
+    assert store.merge_raw("raw/x", more) == 2
+    assert store.merge_raw("raw/x", more.limit(0)) == 2  # empty batch: store untouched
+    got = {r["instrument_id"]: r["close"] for r in store.read_raw("raw/x").collect()}
+    assert got == {"a": 5.0, "b": 3.0}

@@ -78,7 +78,8 @@ class Loader:
         self.db.append(S.UPDATE_EVENTS, df.coalesce(1))
 
     def _load(self, dataset: str, source: str, raw_name: str, batch: DataFrame,
-              raw_keys, raw_date: str | None, targets, scope: str = "all") -> LoadResult:
+              raw_keys, raw_date: str | None, targets, scope: str = "all",
+              raw_sort=None) -> LoadResult:
         """Shared tail: raw merge (S7) -> map + conform -> upsert(s) (S10) ->
         audit (S11). ``targets`` is a list of (spec, mapper)."""
         started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -89,7 +90,8 @@ class Loader:
             for spec, _ in targets:
                 self._audit(dataset, source, spec.name, scope, started, 0, 0)
             return LoadResult(dataset, raw_path, self.db.root, 0, 0)
-        self.raw.merge_raw(f"{source}/{raw_name}", batch, raw_keys, date_col=raw_date)
+        self.raw.merge_raw(f"{source}/{raw_name}", batch, raw_keys, date_col=raw_date,
+                           sort_by=raw_sort)
         written = 0
         for spec, mapper in targets:
             n = self.db.upsert(spec, mapper(batch))
@@ -141,7 +143,8 @@ class Loader:
         batch = where_window(landing, "trade_date", start, end)
         return self._load("stock_st", "tushare", "reference_instrument_st", batch,
                           ["ts_code", "trade_date"], "trade_date",
-                          [(S.REFERENCE_INSTRUMENT_ST, P.stock_st)])
+                          [(S.REFERENCE_INSTRUMENT_ST, P.stock_st)],
+                          raw_sort=["trade_date", "ts_code"])
 
     def stock_daily(self, landing: DataFrame, start, end) -> LoadResult:
         """G1 on market_bars_daily (no filters) -> landed rows inside the gaps."""

@@ -51,6 +51,8 @@ MANIFEST_SCHEMA = T.StructType([
 # A batch spanning more months than this is refused (the touched-month list
 # becomes a literal partition filter; 100 years of months).
 MAX_TOUCHED_MONTHS = 1200
+# Default raw-store key when a dataset names none.
+DEFAULT_RAW_KEYS = ("trade_date", "instrument_id")
 
 
 def new_run_id() -> str:
@@ -280,20 +282,23 @@ class Store:
         self,
         name: str,
         incoming: DataFrame,
-        keys,
+        keys=None,
         ordinal: str | None = None,
         date_col: str | None = None,
+        sort_by=None,
     ) -> int:
         """S7 on disk: keep-latest merge of incoming rows over the raw store;
         returns the merged store's row count. An empty batch leaves the store
-        alone and returns its count.
+        alone and returns its count. ``keys`` defaults to (trade_date,
+        instrument_id); ``sort_by`` (file layout only) defaults to the keys.
 
         With ``date_col`` (a DATE or ``yyyymmdd`` text key) the store is
         month-partitioned and only touched months are rewritten; otherwise a
         new snapshot is written. Rows of the store are sorted by key within
         each file (layout only, O1).
         """
-        keys = list(keys)
+        keys = list(keys or DEFAULT_RAW_KEYS)
+        order = list(sort_by or keys)
         partitioned = date_col is not None
         stored = self.read_raw(name, partitioned=partitioned)
         if incoming.isEmpty():
@@ -302,10 +307,10 @@ class Store:
             touched = self._touched_months(incoming.select(month_key(_as_date(incoming, date_col))))
             stored = self.read_months(name, touched)
             merged = merge_keep_latest(stored, incoming, keys, ordinal)
-            self._write_months(name, merged, month_key(_as_date(merged, date_col)), keys)
+            self._write_months(name, merged, month_key(_as_date(merged, date_col)), order)
             return self.read_raw(name, partitioned=True).count()
         merged = merge_keep_latest(stored, incoming, keys, ordinal)
-        merged = merged.repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+        merged = merged.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint(eager=True)
         n = merged.count()
         self._write_snapshot(name, merged, n)
         return n
