@@ -27,6 +27,9 @@ def test_snapshot_upsert_and_duplicate_rejected(spark, tmp_root):
         store.upsert(KV, kv(spark, [("b", 9), ("b", 8)]))
     assert {r["k"]: r["v"] for r in store.read(KV).collect()} == {"a": 1, "b": 9, "c": 3}
     assert store.upsert(KV, kv(spark, [])) == 0
+    assert store.upsert(KV, spark.createDataFrame([], "k string")) == 0  # empty: no column check
+    with pytest.raises(ValueError, match=r"missing columns: \['v'\]"):
+        store.upsert(KV, spark.createDataFrame([("z",)], "k string"))
 
 
 def _daily(code, day, close):

@@ -242,6 +242,8 @@ class Store:
         Checked before any write: all registered columns present (else
         ValueError with sorted names), required columns non-null, key unique.
         """
+        if set(spec.columns) - set(incoming.columns) and incoming.isEmpty():
+            return 0  # an empty batch writes nothing, whatever its columns
         incoming = guard_required(check_upsert_columns(incoming, spec), spec)
         # Materialize the batch once, before anything is written: it may read
         # the very table it updates (e.g. a new-key filter), and a lazy
