@@ -263,3 +263,17 @@ def test_merge_raw_default_keys(spark, tmp_root):
     assert store.merge_raw("raw/x", more.limit(0)) == 2  # empty batch: store untouched
     got = {r["instrument_id"]: r["close"] for r in store.read_raw("raw/x").collect()}
     assert got == {"a": 5.0, "b": 3.0}
+
+
+def test_failed_load_is_audited(spark, tmp_root):
+    loader = Loader(spark, tmp_root, updated_at=NOW)
+    dup = spark.createDataFrame([_daily("a.SZ", "20260601", 1.0), _daily("a.SZ", "20260601", 2.0)],
+                                LANDING["daily"])
+    # two rows with one key: the raw store keeps the last, the canonical upsert
+    # sees both (mapped from the batch) and refuses them before writing
+    with pytest.raises(ValueError, match="duplicate"):
+        loader.stock_daily(dup, "2026-06-01", "2026-06-01")
+    audit = loader.db.read_appended(S.UPDATE_EVENTS).collect()
+    assert [(r["status"], r["table_name"]) for r in audit] == [("failed", "market_bars_daily")]
+    assert "duplicate" in audit[0]["message"]
+    assert loader.table(S.MARKET_BARS_DAILY) is None  # nothing written

@@ -83,21 +83,29 @@ class Loader:
         """Shared tail: raw merge (S7) -> map + conform -> upsert(s) (S10) ->
         audit (S11). ``targets`` is a list of (spec, mapper)."""
         started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        batch = batch.checkpoint(eager=True)
-        raw_rows = batch.count()
-        raw_path = self.raw.path(f"{source}/{raw_name}")
-        if raw_rows == 0:
-            for spec, _ in targets:
-                self._audit(dataset, source, spec.name, scope, started, 0, 0)
-            return LoadResult(dataset, raw_path, self.db.root, 0, 0)
-        self.raw.merge_raw(f"{source}/{raw_name}", batch, raw_keys, date_col=raw_date,
-                           sort_by=raw_sort)
-        written = 0
-        for spec, mapper in targets:
-            n = self.db.upsert(spec, mapper(batch))
-            self._audit(dataset, source, spec.name, scope, started, raw_rows, n)
-            written += n
-        return LoadResult(dataset, raw_path, self.db.root, raw_rows, written)
+        raw_rows, current = 0, targets[0][0].name
+        try:
+            batch = batch.checkpoint(eager=True)
+            raw_rows = batch.count()
+            raw_path = self.raw.path(f"{source}/{raw_name}")
+            if raw_rows == 0:
+                for spec, _ in targets:
+                    self._audit(dataset, source, spec.name, scope, started, 0, 0)
+                return LoadResult(dataset, raw_path, self.db.root, 0, 0)
+            self.raw.merge_raw(f"{source}/{raw_name}", batch, raw_keys, date_col=raw_date,
+                               sort_by=raw_sort)
+            written = 0
+            for spec, mapper in targets:
+                current = spec.name
+                n = self.db.upsert(spec, mapper(batch))
+                self._audit(dataset, source, spec.name, scope, started, raw_rows, n)
+                written += n
+            return LoadResult(dataset, raw_path, self.db.root, raw_rows, written)
+        except Exception as exc:
+            # One audit row for the failed load, then the error goes on.
+            self._audit(dataset, source, current, scope, started, raw_rows, 0,
+                        status="failed", message=f"{type(exc).__name__}: {exc}"[:2000])
+            raise
 
     def _plan(self, ids: DataFrame, spec: S.TableSpec, start, end) -> DataFrame:
         """G2 over the canonical table of the job (tushare rows), read from the
