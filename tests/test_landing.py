@@ -60,3 +60,25 @@ def test_instrument_list_params(spark, tmp_root):
                           LANDING["index_basic"]).write.parquet(path)
     got = L.instrument_list(spark, path, "index_basic", market=["CSI"]).collect()
     assert [r["ts_code"] for r in got] == ["a.CSI"]
+
+
+def test_special_treatment_window(spark, tmp_root):
+    rows = [("a.SZ", "*ST A", d, "ST", "risk") for d in ("20260531", "20260601", "20260602")]
+    path = _land(spark, tmp_root, "stock_st", rows)
+    got = L.special_treatment(spark, path, start="20260601", end="20260602", fields=["ts_code", "trade_date"])
+    assert got.columns == ["ts_code", "trade_date"]
+    assert sorted(r["trade_date"] for r in got.collect()) == ["20260601", "20260602"]
+
+
+def test_quote_search_result_cap_is_the_calls_parameter(spark, tmp_root):
+    rows = [("nvda", r, f"S{r}", "EQUITY", "E", None, None) for r in range(1, 9)]
+    path = _land(spark, tmp_root, "quotes", rows)
+    assert L.quote_search(spark, path, "nvda").count() == 8          # no cap by default
+    assert L.quote_search(spark, path, ["nvda"], max_results=5).count() == 5
+
+
+def test_nan_becomes_null_on_read(spark, tmp_root):
+    path = _land(spark, tmp_root, "fut_daily",
+                 [("f", "20260601") + (float("nan"),) + (1.0,) * 13])
+    r = L.read_landing(spark, path, "fut_daily").collect()[0]
+    assert r["pre_close"] is None and r["pre_settle"] == 1.0

@@ -511,7 +511,7 @@ _MATCH_SQL = """
         SELECT r.ticker,
                coalesce(b.symbol IS NOT NULL AND upper(b.symbol) = upper(r.ticker), false) AS found,
                b.symbol AS matched_symbol, b.quoteType AS quote_type, b.exchange,
-               coalesce(b.shortname, b.shortName_1) AS short_name,
+               coalesce(b.shortname, b.shortname_1) AS short_name,
                CASE WHEN b.ticker IS NULL THEN 'No quote found' END AS reason
         FROM requested_tickers r LEFT JOIN best b ON r.ticker = b.ticker)"""
 

@@ -173,7 +173,7 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                     WHEN 6 THEN 'CRYPTOCURRENCY' ELSE 'other' END AS quoteType,
                'N' || CAST(c_nationkey AS VARCHAR) AS exchange,
                CASE WHEN c_custkey % 2 = 0 THEN c_name END AS shortname,
-               'alt ' || c_name AS shortName
+               'alt ' || c_name AS shortname_1
         FROM customer""", ()),
     "requested_tickers": ("""
         SELECT DISTINCT lower(c_mktsegment) AS ticker FROM customer

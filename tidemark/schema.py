@@ -176,6 +176,9 @@ _DAILY = (
     "change:f?, pct_chg:f?, vol:f?, amount:f?"
 )
 
+# Search results carry the short name twice, as ``shortname`` and
+# ``shortName``; names resolve case-insensitively (Spark, parquet, DuckDB), so
+# the second spelling is landed as ``shortname_1``.
 LANDING = {
     "stock_basic": struct(
         "ts_code:s?, symbol:s?, name:s?, area:s?, industry:s?, fullname:s?, enname:s?, "
@@ -216,7 +219,7 @@ LANDING = {
         "dividends:f?, stock_splits:f?"
     ),
     "quotes": struct(
-        "ticker:s?, rank:i?, symbol:s?, quoteType:s?, exchange:s?, shortname:s?, shortName:s?"
+        "ticker:s?, rank:i?, symbol:s?, quoteType:s?, exchange:s?, shortname:s?, shortname_1:s?"
     ),
 }
 

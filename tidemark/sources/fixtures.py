@@ -368,7 +368,7 @@ def quote_candidates(spark, sf_dir) -> DataFrame:
         F.lower(seg).alias("ticker"), k.alias("rank"), symbol.alias("symbol"), qtype.alias("quoteType"),
         F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("exchange"),
         F.when(F.pmod(k, F.lit(2)) == 0, F.col("c_name")).alias("shortname"),
-        F.concat(F.lit("alt "), F.col("c_name")).alias("shortName"),
+        F.concat(F.lit("alt "), F.col("c_name")).alias("shortname_1"),
     )
 
 

@@ -198,7 +198,7 @@ def history_window(df: DataFrame, tickers=None, start=None, end=None) -> DataFra
 
 def quote_search(spark: SparkSession, path: str, tickers=None, max_results=None) -> DataFrame:
     """Landed search candidates ``(ticker, rank, symbol, quoteType,
-    exchange, shortname, shortName)``; ``max_results`` keeps the best ranks,
+    exchange, shortname, shortname_1)``; ``max_results`` keeps the best ranks,
     the vendor call's own result cap (a feature of the call, not a sample)."""
     df = read_landing(spark, path, "quotes")
     if tickers:
