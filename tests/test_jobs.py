@@ -277,3 +277,21 @@ def test_failed_load_is_audited(spark, tmp_root):
     assert [(r["status"], r["table_name"]) for r in audit] == [("failed", "market_bars_daily")]
     assert "duplicate" in audit[0]["message"]
     assert loader.table(S.MARKET_BARS_DAILY) is None  # nothing written
+
+
+def _value(dtype):
+    from pyspark.sql import types as T
+    return {T.StringType: "x", T.DoubleType: 1.5, T.BooleanType: True, T.DateType: dt.date(2026, 6, 1),
+            T.TimestampNTZType: NOW, T.LongType: 7}[type(dtype)]
+
+
+@pytest.mark.parametrize("spec", S.BUSINESS_TABLES + S.METADATA_TABLES, ids=lambda s: s.name)
+def test_every_table_stores_and_reads_back(spark, tmp_root, spec):
+    store = Store(spark, tmp_root)
+    row = tuple(_value(f.dataType) for f in spec.schema.fields)
+    assert store.upsert(spec, spark.createDataFrame([row], spec.schema)) == 1
+    back = store.read(spec)
+    assert back.columns == spec.columns and back.count() == 1
+    assert tuple(back.collect()[0]) == row
+    if Store.keeps_coverage(spec):
+        assert store.coverage(spec).count() == 1
