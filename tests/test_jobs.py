@@ -295,3 +295,28 @@ def test_every_table_stores_and_reads_back(spark, tmp_root, spec):
     assert tuple(back.collect()[0]) == row
     if Store.keeps_coverage(spec):
         assert store.coverage(spec).count() == 1
+
+
+def test_added_column_survives_mixed_files(spark, tmp_root):
+    """S9 on disk: months written before a column existed and months written
+    after it are read together without losing the new column's values."""
+    old_spec = S.TableSpec("evolving", S.struct("instrument_id:s, trade_date:d, source_id:s, a:f?"),
+                           ("instrument_id", "trade_date"), partition_by=("trade_month",))
+    new_spec = S.TableSpec("evolving", S.struct("instrument_id:s, trade_date:d, source_id:s, a:f?, b:f?"),
+                           ("instrument_id", "trade_date"), partition_by=("trade_month",))
+    store = Store(spark, tmp_root)
+    store.upsert(old_spec, spark.createDataFrame([("x", dt.date(2026, 5, 1), "s", 1.0)], old_spec.schema))
+    store.upsert(new_spec, spark.createDataFrame([("x", dt.date(2026, 6, 1), "s", 2.0, 9.0)], new_spec.schema))
+    got = {r["trade_date"].month: (r["a"], r["b"]) for r in store.read(new_spec).collect()}
+    assert got == {5: (1.0, None), 6: (2.0, 9.0)}
+
+
+def test_raw_store_months_with_different_columns(spark, tmp_root):
+    store = Store(spark, tmp_root)
+    may = spark.createDataFrame([("a", "20260501", 1.0)], "ts_code string, trade_date string, close double")
+    june = spark.createDataFrame([("a", "20260601", 2.0, 7.0)],
+                                 "ts_code string, trade_date string, close double, vol double")
+    store.merge_raw("raw/d", may, ["ts_code", "trade_date"], date_col="trade_date")
+    assert store.merge_raw("raw/d", june, ["ts_code", "trade_date"], date_col="trade_date") == 2
+    got = {r["trade_date"]: (r["close"], r["vol"]) for r in store.read_raw("raw/d", partitioned=True).collect()}
+    assert got == {"20260501": (1.0, None), "20260601": (2.0, 7.0)}

@@ -81,9 +81,18 @@ class Store:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _read_parquet(self, path: str) -> DataFrame | None:
+    def _read_parquet(self, path: str, schema: T.StructType | None = None,
+                      merge: bool = False) -> DataFrame | None:
+        """Read parquet files; None when the path does not exist. ``schema``
+        reads with the registered columns (files lacking one give nulls);
+        ``merge`` unions the files' own schemas (raw stores)."""
+        reader = self.spark.read
+        if schema is not None:
+            reader = reader.schema(schema)
+        if merge:
+            reader = reader.option("mergeSchema", "true")
         try:
-            return self.spark.read.parquet(path)
+            return reader.parquet(path)
         except AnalysisException as exc:
             if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
                 return None
@@ -107,21 +116,36 @@ class Store:
             .coalesce(1).write.mode("append").parquet(self.path(MANIFEST))
 
     # ------------------------------------------------------------ reads ------
+    @staticmethod
+    def storage_schema(spec: TableSpec) -> T.StructType:
+        """Registered columns plus the month partition column, if any."""
+        if not spec.partition_by:
+            return spec.schema
+        return T.StructType(spec.schema.fields + [T.StructField(MONTH, T.IntegerType())])
+
     def read_raw(self, name: str, partitioned: bool = False) -> DataFrame | None:
-        """Stored frame of a table, as written (partition column dropped)."""
+        """Stored frame of a raw store, as written (partition column dropped).
+        Months written at different times may carry different vendor
+        columns, so their schemas are merged."""
         if partitioned:
-            df = self._read_parquet(self.path(name))
+            df = self._read_parquet(self.path(name), merge=True)
             return None if df is None else df.drop(MONTH)
         snap = self.latest_snapshot(name)
         if snap is None:
             return None
         return self._read_parquet(f"{self.path(name)}/{SNAPSHOT}={snap}")
 
-    def read_months(self, name: str, touched: tuple[list[int], bool]) -> DataFrame | None:
+    def read_months(self, name: str, touched: tuple[list[int], bool],
+                    spec: TableSpec | None = None) -> DataFrame | None:
         """Rows of a month-partitioned store in the touched months only. The
         filter is on the partition column itself, so Spark prunes directories
-        (``PartitionFilters``) instead of scanning every month."""
-        df = self._read_parquet(self.path(name))
+        (``PartitionFilters``) instead of scanning every month. Canonical
+        tables (``spec``) read with their registered schema, raw stores merge
+        the files' schemas."""
+        if spec is not None:
+            df = self._read_parquet(self.path(name), schema=self.storage_schema(spec))
+        else:
+            df = self._read_parquet(self.path(name), merge=True)
         if df is None:
             return None
         return df.where(self._in_months(F.col(MONTH), touched)).drop(MONTH)
@@ -131,7 +155,7 @@ class Store:
         """A month-partitioned table between two dates: a partition filter on
         the month range (directory pruning) plus the exact date filter (row
         groups); aligned to the registered columns."""
-        df = self._read_parquet(self.path(spec.name))
+        df = self._read_parquet(self.path(spec.name), schema=self.storage_schema(spec))
         if df is None:
             return None
         lo_m, hi_m = lo.year * 100 + lo.month, hi.year * 100 + hi.month
@@ -140,9 +164,17 @@ class Store:
         return align_to_spec(df, spec)
 
     def read(self, spec: TableSpec) -> DataFrame | None:
-        """A canonical table aligned to its registered columns (absent
-        columns come back as typed nulls); None when the table does not exist."""
-        df = self.read_raw(spec.name, partitioned=bool(spec.partition_by))
+        """A canonical table read with its registered columns: a column
+        the stored files lack (added later) comes back as typed nulls, and
+        files written before and after the addition read together. None when
+        the table does not exist."""
+        if spec.partition_by:
+            df = self._read_parquet(self.path(spec.name), schema=self.storage_schema(spec))
+            df = None if df is None else df.drop(MONTH)
+        else:
+            snap = self.latest_snapshot(spec.name)
+            df = None if snap is None else self._read_parquet(
+                f"{self.path(spec.name)}/{SNAPSHOT}={snap}", schema=spec.schema)
         return None if df is None else align_to_spec(df, spec)
 
     # ------------------------------------------------------------ coverage ---
@@ -259,7 +291,7 @@ class Store:
         if spec.partition_by and date_keys:
             date_col = date_keys[0]
             touched = self._touched_months(incoming.select(month_key(date_col)))
-            stored = self.read_months(spec.name, touched)
+            stored = self.read_months(spec.name, touched, spec)
             if stored is not None:
                 stored = align_to_spec(stored, spec)
             cov = self.coverage(spec)
