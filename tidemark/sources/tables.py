@@ -100,7 +100,7 @@ class Store:
 
     # ------------------------------------------------------------ manifest ---
     def _manifest(self) -> DataFrame | None:
-        return self._read_parquet(self.path(MANIFEST))
+        return self._read_parquet(self.path(MANIFEST), schema=MANIFEST_SCHEMA)
 
     def latest_snapshot(self, name: str) -> str | None:
         m = self._manifest()
@@ -354,7 +354,7 @@ class Store:
         rows.select(*spec.columns).write.mode("append").parquet(self.path(spec.name))
 
     def read_appended(self, spec: TableSpec) -> DataFrame | None:
-        df = self._read_parquet(self.path(spec.name))
+        df = self._read_parquet(self.path(spec.name), schema=spec.schema)
         return None if df is None else align_to_spec(df, spec)
 
 
