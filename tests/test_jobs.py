@@ -320,3 +320,14 @@ def test_raw_store_months_with_different_columns(spark, tmp_root):
     assert store.merge_raw("raw/d", june, ["ts_code", "trade_date"], date_col="trade_date") == 2
     got = {r["trade_date"]: (r["close"], r["vol"]) for r in store.read_raw("raw/d", partitioned=True).collect()}
     assert got == {"20260501": (1.0, None), "20260601": (2.0, 7.0)}
+
+
+def test_index_job_accepts_scanned_feed(spark, tmp_root):
+    """A feed already scanned with S6 is not divided by 100 again in the job."""
+    from tidemark.sources import landing as L
+    loader = Loader(spark, tmp_root, updated_at=NOW)
+    path = f"{tmp_root}/landing/index_daily"
+    spark.createDataFrame([_daily("000300.SH", "20260601", 1.0)], LANDING["index_daily"]).write.parquet(path)
+    feed = L.daily_feed(spark, path, "index_daily")
+    loader.index_daily(feed, "2026-06-01", "2026-06-01", params={"index_codes": ["000300.SH"]})
+    assert loader.table(S.MARKET_BARS_DAILY).collect()[0]["pct_chg"] == 0.01

@@ -93,3 +93,10 @@ def test_every_contract_roundtrips_through_files(spark, tmp_root, dataset):
     assert [(f.name, f.dataType) for f in back.schema.fields] == \
         [(f.name, f.dataType) for f in schema.fields]
     assert back.count() == 1
+
+
+def test_fraction_rule_applies_once(spark, tmp_root):
+    path = _land(spark, tmp_root, "index_daily", [_daily("a.SH", "20260601", pct=5.0)])
+    scanned = L.daily_feed(spark, path, "index_daily")
+    again = L.pct_to_fraction_at_scan(L.pct_to_fraction_at_scan(scanned, "index_daily"), "index_daily")
+    assert again.collect()[0]["pct_chg"] == 0.05

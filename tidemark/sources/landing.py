@@ -110,11 +110,20 @@ def text_year_prefilter(df: DataFrame, col: str, start, end) -> DataFrame:
     return df.where((F.col(col) >= F.lit(f"{lo:04d}")) & (F.col(col) < F.lit(f"{hi + 1:04d}")))
 
 
+FRACTION_MARK = "tidemark.pct_chg_is_fraction"
+
+
 def pct_to_fraction_at_scan(df: DataFrame, feed: str) -> DataFrame:
-    """Percent -> fraction for the fund, index and global-index feeds only."""
-    if feed in FRACTION_FEEDS and "pct_chg" in df.columns:
-        return df.withColumn("pct_chg", F.col("pct_chg") / F.lit(100.0))
-    return df
+    """Percent -> fraction for the fund, index and global-index feeds only.
+
+    Applied once: the converted column carries a schema-metadata mark, so a
+    frame that already went through the scan is left alone by the jobs."""
+    if feed not in FRACTION_FEEDS or "pct_chg" not in df.columns:
+        return df
+    if df.schema["pct_chg"].metadata.get(FRACTION_MARK):
+        return df
+    return df.withColumn(
+        "pct_chg", (F.col("pct_chg") / F.lit(100.0)).alias("pct_chg", metadata={FRACTION_MARK: True}))
 
 
 # ---------------------------------------------------------------- S1 ----------
