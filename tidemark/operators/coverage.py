@@ -193,8 +193,10 @@ def missing_ranges(
 def ranges_predicate(ranges: list, col: str = "trade_date") -> Column:
     """OR of ``col BETWEEN start AND end`` over a short list of ranges.
 
-    Used for whole-table gaps (at most two ranges), so the selection becomes
-    a scan filter that reaches the parquet reader and partition pruning.
+    Used for whole-table gaps (at most two ranges). On a DATE column it is a
+    literal filter the parquet reader receives; over landed text dates the
+    job evaluates it on the parsed date and adds a pushable year prefilter
+    (:func:`tidemark.sources.landing.text_year_prefilter`).
     """
     if not ranges:
         return F.lit(False)

@@ -32,7 +32,9 @@ def existing_keys(
 
     The window comes from a one-row aggregate of the incoming keys (two
     scalars on the driver) and is applied as literal bounds, so it reaches
-    the parquet scan as a pushed filter and prunes month partitions. An
+    the parquet scan as a pushed filter (row groups are skipped by their
+    date statistics; the load job also reads only the window's month
+    partitions, :meth:`tidemark.sources.tables.Store.read_window`). An
     optional ``ids`` frame restricts instruments with a semi join on a
     size-checked broadcast; the anti join (J1) matches instruments anyway.
     """
