@@ -50,3 +50,18 @@ def test_etf_jobs_over_driver_tables(spark, tmp_root):
     assert loader.etf_daily(landing, "1996-01-01", "1996-12-31").rows_written == 0
     assert loader.db.coverage(S.MARKET_BARS_DAILY).count() == \
         loader.table(S.MARKET_BARS_DAILY).select("instrument_id").distinct().count()
+
+
+def test_fx_job_over_driver_tables(spark, tmp_root):
+    loader = Loader(spark, tmp_root, updated_at=NOW)
+    landing = fx.fx_landing(spark, SF)
+    codes = sorted(r[0] for r in landing.select("ts_code").distinct().collect())  # five pairs
+    expected = _in(landing, "1995-01-01", "1995-12-31").count()
+    r = loader.fx_daily(landing, "1995-01-01", "1995-12-31", {"ts_codes": codes}, exchange="OTC")
+    assert r.rows_written == expected + len(codes)  # bars plus one reference row per pair
+    ref = {x["instrument_id"]: x["exchange"] for x in loader.table(S.REFERENCE_INSTRUMENT).collect()}
+    assert ref["MACHIN"] == "OTC" and all(v == "FXCM" for k, v in ref.items() if k != "MACHIN")
+    assert loader.fx_daily(landing, "1995-01-01", "1995-12-31", {"ts_codes": codes}).rows_written == 0
+    fxt = loader.table(S.MARKET_FX_DAILY)
+    assert fxt.count() == expected
+    assert fxt.where("mid_close IS NULL OR spread_close <> 1.0").count() == 0
