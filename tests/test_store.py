@@ -147,3 +147,14 @@ def test_keep_latest_property(spark, rows):
         if k not in expected or o > expected[k][0]:
             expected[k] = (o, o * 10)
     assert got == expected
+
+
+def test_relaxed_union_flag_with_numbers(spark):
+    a = spark.createDataFrame([(True,), (False,)], "x boolean")
+    b = spark.createDataFrame([(5,)], "x bigint")
+    c = spark.createDataFrame([(2.5,)], "x double")
+    out = ST.relaxed_union(a, b, c)
+    assert dict(out.dtypes) == {"x": "double"}
+    assert sorted(r["x"] for r in out.collect()) == [0.0, 1.0, 2.5, 5.0]
+    flags = ST.relaxed_union(a, spark.createDataFrame([(None,)], "x boolean"))
+    assert dict(flags.dtypes) == {"x": "boolean"}  # flags alone stay flags

@@ -43,14 +43,29 @@ def relaxed_union(*frames: DataFrame) -> DataFrame:
         name for name, ts in types.items()
         if T.StringType in ts and len(ts - {T.StringType, T.NullType}) > 0
     }
+    # A flag that is a number elsewhere becomes a whole number (true -> 1);
+    # Spark then widens it with the other numeric types.
+    numeric = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+               T.DecimalType)
+    flag_as_number = {
+        name for name, ts in types.items()
+        if name not in as_text and T.BooleanType in ts and any(issubclass(t, numeric) for t in ts)
+    }
 
     def fix(f: DataFrame) -> DataFrame:
-        if not as_text.intersection(f.columns):
+        kinds = {x.name: type(x.dataType) for x in f.schema.fields}
+        if not as_text.intersection(f.columns) and not any(
+                kinds[c] is T.BooleanType for c in flag_as_number.intersection(f.columns)):
             return f
-        return f.select(*[
-            (_q(c).cast(T.StringType()) if c in as_text else _q(c)).alias(c)
-            for c in f.columns
-        ])
+
+        def one(c: str) -> Column:
+            if c in as_text:
+                return _q(c).cast(T.StringType())
+            if c in flag_as_number and kinds[c] is T.BooleanType:
+                return _q(c).cast(T.LongType())
+            return _q(c)
+
+        return f.select(*[one(c).alias(c) for c in f.columns])
 
     fixed = [fix(f) for f in frames]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), fixed)
