@@ -102,6 +102,8 @@ def test_yahoo_jobs(spark, tmp_root):
     cand = spark.createDataFrame([("nvda", 1, "NVDA", "EQUITY", "NMS", "NVIDIA", None)], LANDING["quotes"])
     r = loader.yf_instrument(req, cand)
     assert (r.raw_rows, r.rows_written) == (2, 1)
+    with pytest.raises(ValueError, match="requires tickers"):
+        loader.yf_instrument(req.limit(0), cand)
     hist = spark.createDataFrame(
         [("NVDA", dt.datetime(2026, 6, d), 1.0, 1.0, 1.0, float(d), None, 5.0, None, None) for d in (1, 2, 3)],
         LANDING["history"])

@@ -230,7 +230,10 @@ class Loader:
     # ------------------------------------------------------------ Yahoo ------
     def yf_instrument(self, requested: DataFrame, candidates: DataFrame,
                       currency: str | None = None) -> LoadResult:
-        """O3 -> O4 -> raw (all rows) -> P13 (valid rows) -> upsert."""
+        """O3 -> O4 -> raw (all rows) -> P13 (valid rows) -> upsert. Tickers
+        are required."""
+        if requested.isEmpty():
+            raise ValueError("yf_instrument requires tickers")
         info = O.ticker_info(O.best_match(requested, candidates))
         return self._load("yf_instrument", "yfinance", "reference_instrument", info, ["ticker"],
                           None, [(S.REFERENCE_INSTRUMENT,
