@@ -61,12 +61,26 @@ def new_run_id() -> str:
     return now.strftime("%Y%m%dT%H%M%S%f")[:-3] + "-" + uuid.uuid4().hex[:8]
 
 
-def batch_key_stats(df: DataFrame, keys) -> tuple[int, int]:
-    """(rows, largest multiplicity of a key) of a batch in one partial
-    aggregate; a hot key is pre-counted inside each map task."""
+def batch_key_stats(df: DataFrame, keys, date_col: str | None = None):
+    """(rows, largest multiplicity of a key[, touched months]) of a batch in
+    one partial aggregate; a hot key is pre-counted inside each map task.
+
+    With ``date_col`` (a key column) the distinct months of the batch come
+    from the same pass; the set is bounded by the batch's date span and
+    checked against ``MAX_TOUCHED_MONTHS``."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    row = per_key.agg(F.sum("_n").alias("rows"), F.max("_n").alias("max_n")).first()
-    return int(row["rows"] or 0), int(row["max_n"] or 0)
+    aggs = [F.sum("_n").alias("rows"), F.max("_n").alias("max_n")]
+    if date_col is not None:
+        aggs += [F.collect_set(month_key(date_col)).alias("months"),
+                 F.max(F.col(date_col).isNull().cast("int")).alias("null_month")]
+    row = per_key.agg(*aggs).first()
+    rows, max_n = int(row["rows"] or 0), int(row["max_n"] or 0)
+    if date_col is None:
+        return rows, max_n
+    months = sorted(row["months"] or [])
+    if len(months) > MAX_TOUCHED_MONTHS:
+        raise ValueError(f"batch spans more than {MAX_TOUCHED_MONTHS} months")
+    return rows, max_n, (months, bool(row["null_month"]))
 
 
 class Store:
@@ -282,15 +296,16 @@ class Store:
         # re-evaluation after the overwrite would see other files. A null in a
         # required column fails here, so nothing is written.
         incoming = incoming.checkpoint(eager=True)
-        rows, max_n = batch_key_stats(incoming, spec.primary_key)
+        date_keys = [k for k in spec.primary_key if isinstance(spec.field(k).dataType, T.DateType)]
+        date_col = date_keys[0] if spec.partition_by and date_keys else None
+        stats = batch_key_stats(incoming, spec.primary_key, date_col)
+        rows, max_n = stats[0], stats[1]
         if rows == 0:
             return 0
         if max_n > 1:
             raise ValueError(f"{spec.name}: duplicate primary key in incoming rows")
-        date_keys = [k for k in spec.primary_key if isinstance(spec.field(k).dataType, T.DateType)]
-        if spec.partition_by and date_keys:
-            date_col = date_keys[0]
-            touched = self._touched_months(incoming.select(month_key(date_col)))
+        if date_col is not None:
+            touched = stats[2]  # months from the same pass as the key check
             stored = self.read_months(spec.name, touched, spec)
             if stored is not None:
                 stored = align_to_spec(stored, spec)
