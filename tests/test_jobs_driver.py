@@ -65,3 +65,23 @@ def test_fx_job_over_driver_tables(spark, tmp_root):
     fxt = loader.table(S.MARKET_FX_DAILY)
     assert fxt.count() == expected
     assert fxt.where("mid_close IS NULL OR spread_close <> 1.0").count() == 0
+
+
+def test_index_jobs_over_driver_tables(spark, tmp_root):
+    from tidemark.operators import universe as U
+    loader = Loader(spark, tmp_root, updated_at=NOW)
+    assert loader.index_list(fx.index_basic_landing(spark, SF)).rows_written > 0
+    live = U.index_universe(loader.table(S.REFERENCE_INSTRUMENT), "1996-12-31")
+    landing = fx.daily_landing(spark, SF)
+    window = _in(landing, "1996-01-01", "1996-12-31")
+    expected = window.join(live.withColumnRenamed("instrument_id", "ts_code"), "ts_code", "left_semi")
+    n = expected.count()
+    r = loader.index_daily(landing, "1996-01-01", "1996-12-31")
+    assert r.rows_written == n > 0
+    got = loader.table(S.MARKET_BARS_DAILY)
+    # S6 for the index feed: stored pct_chg is the landed percent / 100
+    one = expected.where("pct_chg IS NOT NULL").limit(1).collect()[0]
+    row = got.where(F.col("instrument_id") == one["ts_code"]).where(
+        F.col("trade_date") == lenient_date(F.lit(one["trade_date"]))).collect()[0]
+    assert row["pct_chg"] == one["pct_chg"] / 100.0
+    assert loader.index_daily(landing, "1996-01-01", "1996-12-31").rows_written == 0
