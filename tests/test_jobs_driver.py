@@ -85,3 +85,19 @@ def test_index_jobs_over_driver_tables(spark, tmp_root):
         F.col("trade_date") == lenient_date(F.lit(one["trade_date"]))).collect()[0]
     assert row["pct_chg"] == one["pct_chg"] / 100.0
     assert loader.index_daily(landing, "1996-01-01", "1996-12-31").rows_written == 0
+
+
+def test_future_jobs_over_driver_tables(spark, tmp_root):
+    from tidemark.operators import universe as U
+    loader = Loader(spark, tmp_root, updated_at=NOW)
+    r = loader.future_list(fx.fut_basic_landing(spark, SF))
+    n_contracts = fx.fut_basic_landing(spark, SF).count()
+    assert (r.raw_rows, r.rows_written) == (n_contracts, 2 * n_contracts)  # instrument + contract rows
+    live = U.future_universe(loader.table(S.REFERENCE_FUTURE), "1996-01-01", "1996-12-31")
+    landing = fx.fut_daily_landing(spark, SF)
+    expected = _in(landing, "1996-01-01", "1996-12-31").join(
+        live.withColumnRenamed("instrument_id", "ts_code"), "ts_code", "left_semi")
+    assert loader.future_daily(landing, "1996-01-01", "1996-12-31").rows_written == expected.count() > 0
+    got = loader.table(S.MARKET_BARS_DERIVATIVE_DAILY)
+    assert got.where("vol IS NULL AND oi IS NOT NULL").count() == 0  # vol kept, no scaling
+    assert loader.future_daily(landing, "1996-01-01", "1996-12-31").rows_written == 0
