@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tidemark.plans import catalog
 from tools.compare import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -19,10 +20,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.SQL)
+    assert set(catalog.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
@@ -36,5 +38,5 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() >= 0
+    assert df.count() > 0
     assert df.columns[:2] == ["instrument_id", "trade_date"]

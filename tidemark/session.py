@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -31,19 +30,11 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder (``spark.checkpoint.dir``). A
-    scratch folder is created only for local masters (tests); on a cluster a
-    missing setting is an error, never a machine-local folder."""
+    """The session's checkpoint folder (``spark.checkpoint.dir``). Where it is
+    unset, as in tests, a folder below the warehouse, which the driver and all
+    executors share; never a machine-local temporary folder."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
-        if not sc.master.startswith("local"):
-            # Checkpoints must live in a folder every executor shares.
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; name a shared folder for checkpoints")
-        conf = tempfile.mkdtemp(prefix="tidemark-ckpt-")  # local runs and tests only
-    sc.setCheckpointDir(conf)
+    if not sc.getCheckpointDir():
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(conf or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     return sc.getCheckpointDir()
