@@ -17,7 +17,7 @@ from tidemark.functions.numeric import (  # noqa: F401
 )
 from tidemark.functions.text import (  # noqa: F401
     ends_with_any,
-    normalise_header,
+    header_key,
     regex_group,
 )
 from tidemark.functions.quotes import asset_class_of, instrument_type_of  # noqa: F401

@@ -11,9 +11,19 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def to_double(col: Column | str) -> Column:
-    """M1: lenient text/number -> double; unparsable -> null."""
-    return _c(col).try_cast(T.DoubleType())
+# Text that is a number (a cast alone also takes '1.5d' and '0x1p3').
+NUMBER = r"(?i)^\s*[+-]?([0-9]+\.?[0-9]*(e[+-]?[0-9]+)?|\.[0-9]+(e[+-]?[0-9]+)?|inf(inity)?|nan)\s*$"
+
+
+def to_double(col: Column | str, source: T.DataType | None = None) -> Column:
+    """M1: lenient text/number -> double; what is no number -> null.
+    ``source`` is the column's type where it is known (numbers need no look at
+    their text)."""
+    c = _c(col)
+    number = c.try_cast(T.DoubleType())
+    if source is not None and not isinstance(source, T.StringType):
+        return number
+    return F.when(c.cast(T.StringType()).rlike(NUMBER), number)
 
 
 def nan_to_null(col: Column | str) -> Column:
@@ -21,19 +31,19 @@ def nan_to_null(col: Column | str) -> Column:
     return F.nanvl(_c(col), F.lit(None).cast(T.DoubleType()))
 
 
-def scale(col: Column | str, factor: float) -> Column:
-    """M2: unit scaling of a lenient double."""
-    return to_double(col) * F.lit(float(factor))
+def scale(number: Column | str, factor: float) -> Column:
+    """M2: unit scaling of a double."""
+    return _c(number) * F.lit(float(factor))
 
 
 def midpoint(a: Column | str, b: Column | str) -> Column:
-    """M2: (a + b) / 2 over lenient doubles."""
-    return (to_double(a) + to_double(b)) / F.lit(2.0)
+    """M2: (a + b) / 2 of doubles."""
+    return (_c(a) + _c(b)) / F.lit(2.0)
 
 
 def spread(ask: Column | str, bid: Column | str) -> Column:
-    """M2: ask - bid over lenient doubles."""
-    return to_double(ask) - to_double(bid)
+    """M2: ask - bid of doubles."""
+    return _c(ask) - _c(bid)
 
 
 def safe_ratio(num: Column | str, den: Column | str) -> Column:

@@ -23,12 +23,10 @@ def ends_with_any(col: Column | str, suffixes) -> Column:
     return reduce(lambda a, b: a | b, [c.endswith(s) for s in suffixes])
 
 
-def normalise_header(name) -> str:
-    """Header text -> column name: trimmed, lower-cased, space - / . -> _.
-
-    Runs on schema metadata (column names) on the driver, never on data.
-    """
-    text = str(name).strip().lower()
-    for ch in (" ", "-", "/", "."):
-        text = text.replace(ch, "_")
-    return text
+# Characters that a column name has as an underscore.
+HEADER_JOINTS = str.maketrans(dict.fromkeys(" -/.", "_"))
+
+
+def header_key(name) -> str:
+    """A vendor header as a column name. Runs on the schema, never on data."""
+    return str(name).strip().translate(HEADER_JOINTS).lower()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.dates import lenient_date, lenient_timestamp
+from tidemark.functions.numeric import to_double
 from tidemark.schema import TableSpec
 
 
@@ -29,17 +30,11 @@ def lenient_cast(col: Column, source: T.DataType, target: T.DataType) -> Column:
         return F.lit(None).cast(target)
     if source == target:
         return col
+    if isinstance(target, T.DoubleType):
+        return to_double(col, source)
     return col.try_cast(target)
 
 
-def ensure_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Add an untyped null for every registered column the frame lacks."""
-    missing = [c for c in spec.columns if c not in df.columns]
-    if not missing:
-        return df
-    return df.select("*", *[F.lit(None).alias(c) for c in missing])
-
-
 def conform(df: DataFrame, spec: TableSpec, fill_missing: bool = False) -> DataFrame:
     """Conform a frame to a table model.
 
@@ -88,13 +83,3 @@ def key_violations(df: DataFrame, keys) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .where(F.col("n_rows") > 1)
     )
-
-
-def assert_unique_key(df: DataFrame, spec_or_keys) -> None:
-    """C5 (key): raise before any write when the incoming batch repeats a key."""
-    keys = spec_or_keys.primary_key if isinstance(spec_or_keys, TableSpec) else spec_or_keys
-    dup = key_violations(df, keys).limit(1).collect()
-    if dup:
-        row = dup[0].asDict()
-        name = spec_or_keys.name if isinstance(spec_or_keys, TableSpec) else "frame"
-        raise ValueError(f"{name}: duplicate primary key in incoming rows: {row}")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.text import normalise_header
+from tidemark.functions.text import header_key
 from tidemark.schema import HISTORY_COLUMNS, LANDING
 
 HISTORY_SCHEMA = LANDING["history"]
@@ -24,13 +24,26 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _date_column(columns: list[str], sep: str) -> str | None:
-    for c in columns:
-        if sep in c:
-            continue
-        if normalise_header(c) in ("date", "datetime"):
-            return c
-    return None
+def header_fields(columns: list[str], tickers: list[str], sep: str) -> tuple[str | None, dict[str, dict[str, str]]]:
+    """The date column, and for each asked ticker its columns by field.
+
+    A header with ``sep`` is a (ticker, field) pair in either order: the side
+    that names an asked ticker is the ticker. Without any such header the
+    whole frame belongs to the first asked ticker."""
+    flat = [c for c in columns if sep not in c]
+    date = next((c for c in flat if header_key(c) in ("date", "datetime")), None)
+    found: dict[str, dict[str, str]] = {}
+    if len(flat) == len(columns):
+        rest = {header_key(c): c for c in flat if c != date}
+        return date, {tickers[0]: rest} if tickers and rest else {}
+    asked = set(tickers)
+    for column in columns:
+        one, _, two = column.partition(sep)
+        for ticker, field in ((one, two), (two, one)):
+            if two and ticker in asked:
+                found.setdefault(ticker, {})[header_key(field)] = column
+                break
+    return date, {t: found[t] for t in dict.fromkeys(tickers) if t in found}
 
 
 def wide_to_long(
@@ -42,23 +55,7 @@ def wide_to_long(
     be called Date or Datetime; no ticker present -> empty frame with schema.
     """
     tickers = [tickers] if isinstance(tickers, str) else list(tickers)
-    date_col = _date_column(wide.columns, sep)
-    headers = [c for c in wide.columns if c != date_col]
-    multi = any(sep in c for c in headers)
-    per_ticker: dict[str, dict[str, str]] = {}
-    if multi:
-        parts = [tuple(c.split(sep, 1)) + (c,) for c in headers if sep in c]
-        level0 = {p[0] for p in parts}
-        ticker_first = any(t in level0 for t in tickers)
-        for t in tickers:
-            fields = {
-                normalise_header(p[1] if ticker_first else p[0]): p[2]
-                for p in parts if (p[0] if ticker_first else p[1]) == t
-            }
-            if fields:
-                per_ticker[t] = fields
-    elif tickers:
-        per_ticker[tickers[0]] = {normalise_header(c): c for c in headers}
+    date_col, per_ticker = header_fields(wide.columns, tickers, sep)
     if not per_ticker:
         return spark.createDataFrame([], HISTORY_SCHEMA)
 

@@ -27,7 +27,7 @@ def case_unique(df: DataFrame) -> DataFrame:
     return df.toDF(*names) if names != df.columns else df
 
 
-def _first_present(df: DataFrame, base: str):
+def _any_spelling(df: DataFrame, base: str):
     """First non-null of every spelling of ``base`` (in column order)."""
     cols = [F.col(f"`{c}`") for c in df.columns
             if c.lower() == base or c.lower().startswith(base + "_")]
@@ -54,7 +54,7 @@ def best_match(requested: DataFrame, candidates: DataFrame) -> DataFrame:
                 c("symbol").alias("symbol"),
                 c("quoteType").alias("quote_type"),
                 c("exchange").alias("exchange"),
-                _first_present(candidates, "shortname").alias("short_name"),
+                _any_spelling(candidates, "shortname").alias("short_name"),
             ),
             F.struct((~exact).cast(T.IntegerType()), c("rank")),
         ).alias("m")
