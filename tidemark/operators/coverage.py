@@ -115,13 +115,8 @@ def batch_bounds(df: DataFrame, id_col: str = "instrument_id",
 
 
 def distinct_ids(df: DataFrame, id_col: str = "instrument_id") -> DataFrame:
-    """A5: distinct instrument ids (order them in the final query if needed)."""
-    return df.select(_q(id_col).alias("instrument_id")).distinct()
-
-
-def row_count(df: DataFrame) -> DataFrame:
-    """One-row count."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows"))
+    """A5: distinct instrument ids, in order."""
+    return df.select(_q(id_col).alias("instrument_id")).distinct().orderBy("instrument_id")
 
 
 # ---------------------------------------------------------------- G1 ----------
@@ -190,20 +185,18 @@ def missing_ranges(
     return bounds.select(F.inline(ranges))
 
 
-def ranges_predicate(ranges: list, col: str = "trade_date") -> Column:
-    """OR of ``col BETWEEN start AND end`` over a short list of ranges.
+def in_ranges(day: Column, ranges: list) -> Column:
+    """``day`` lies in one of a short list of ranges (a whole table's gaps: two
+    at most). On a DATE column it is a filter that the parquet reader receives."""
+    return reduce(lambda a, b: a | b, [day.between(lit_date(r[0]), lit_date(r[1])) for r in ranges], F.lit(False))
 
-    Used for whole-table gaps (at most two ranges). On a DATE column it is a
-    literal filter the parquet reader receives; over landed text dates the
-    job evaluates it on the parsed date and adds a pushable year prefilter
-    (:func:`tidemark.sources.landing.text_year_prefilter`).
-    """
-    if not ranges:
-        return F.lit(False)
-    return reduce(
-        lambda a, b: a | b,
-        [_q(col).between(lit_date(r[0]), lit_date(r[1])) for r in ranges],
-    )
+
+def in_range_rows(day: Column, ranges: DataFrame) -> Column:
+    """The same over :func:`missing_ranges` rows inside the plan: Spark gathers
+    them (two at most) as one scalar when the query runs."""
+    rows = ranges.agg(F.collect_list(F.struct("range_start", "range_end"))).scalar()
+    one = lambda i: day.between(F.get(rows, i)["range_start"], F.get(rows, i)["range_end"])
+    return F.coalesce(one(0), F.lit(False)) | F.coalesce(one(1), F.lit(False))
 
 
 def collect_ranges(ranges_df: DataFrame) -> list[tuple[_dt.date, _dt.date]]:

@@ -3,11 +3,10 @@ stored yet."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import lit_date, to_calendar_date
-from tidemark.operators.sizing import broadcast_if_small
 
 KEYS = ["instrument_id", "trade_date"]
 
@@ -22,33 +21,30 @@ def incoming_keys(raw: DataFrame, id_col: str = "ticker", date_col: str = "date"
     )
 
 
+def key_window(raw: DataFrame, date_col: str = "date") -> tuple[Column, Column]:
+    """First and last day of a landed batch, as scalars inside the plan."""
+    day = to_calendar_date(date_col)
+    return raw.agg(F.min(day)).scalar(), raw.agg(F.max(day)).scalar()
+
+
 def existing_keys(
     stored: DataFrame,
-    keys: DataFrame,
+    window: tuple,
     source_id: str = "yfinance",
     ids: DataFrame | None = None,
 ) -> DataFrame:
     """Stored keys of a source inside the incoming batch's date window.
 
-    The window comes from a one-row aggregate of the incoming keys (two
-    scalars on the driver) and is applied as literal bounds, so it reaches
-    the parquet scan as a pushed filter (row groups are skipped by their
-    date statistics; the load job also reads only the window's month
-    partitions, :meth:`tidemark.sources.tables.Store.read_window`). An
-    optional ``ids`` frame restricts instruments with a semi join on a
-    size-checked broadcast; the anti join (J1) matches instruments anyway.
-    """
-    bounds = keys.agg(F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi")).first()
-    if bounds is None or bounds["lo"] is None:
-        return stored.select(*KEYS).limit(0)
-    s = stored.where(
-        (F.col("source_id") == F.lit(source_id))
-        & F.col("trade_date").between(lit_date(bounds["lo"]), lit_date(bounds["hi"]))
-    ).select(*KEYS)
-    if ids is not None:
-        s = s.join(broadcast_if_small(ids.select("instrument_id").distinct()),
-                   "instrument_id", "left_semi")
-    return s
+    ``window`` holds the first and last day: dates that the caller has
+    (:meth:`tidemark.sources.tables.Store.read_window` prunes months by the
+    same two), or the scalars of :func:`key_window`, which Spark computes when
+    the query runs and pushes into the scan. An empty batch has null bounds
+    and so no keys. ``ids`` (optional, ``instrument_id``) bounds the
+    instruments by a semi join."""
+    lo, hi = (x if isinstance(x, Column) else lit_date(x) for x in window)
+    keys = stored.where(
+        (F.col("source_id") == F.lit(source_id)) & F.col("trade_date").between(lo, hi)).select(*KEYS)
+    return keys if ids is None else keys.join(ids.select("instrument_id"), "instrument_id", "left_semi")
 
 
 def new_rows(
@@ -57,12 +53,13 @@ def new_rows(
     id_col: str = "ticker",
     date_col: str = "date",
     source_id: str = "yfinance",
+    window: tuple | None = None,
 ) -> DataFrame:
-    """Landed rows whose key is not stored (null keys never match, so stay)."""
+    """Landed rows whose key is not stored (null keys never match, so
+    stay). The anti join matches instruments, so J2 needs no bound on them."""
     if stored is None:
         return raw
-    keys = incoming_keys(raw, id_col, date_col)
-    existing = existing_keys(stored, keys, source_id).select(
+    existing = existing_keys(stored, window or key_window(raw, date_col), source_id).select(
         F.col("instrument_id").alias("_ex_id"), F.col("trade_date").alias("_ex_date")
     )
     cond = (raw[id_col] == existing["_ex_id"]) & (

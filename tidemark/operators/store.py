@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schema import TableSpec
 
-ORDINAL = "_ordinal"
-PRIORITY = "_priority"
+# Arrival order of landed rows; never stored.
+ARRIVAL = "_arrival"
 
 
 def _q(name: str) -> Column:
@@ -71,6 +71,24 @@ def relaxed_union(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), fixed)
 
 
+def relaxed_schema(spark: SparkSession, *schemas: T.StructType) -> T.StructType:
+    """U1 over schemas alone."""
+    return relaxed_union(*[spark.createDataFrame([], s) for s in schemas]).schema
+
+
+def cast_to(df: DataFrame, schema: T.StructType, keep=()) -> DataFrame:
+    """``df`` with the columns and types of a schema that is at least as wide;
+    columns it lacks are null. Columns in ``keep`` stay beside them."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+
+    def one(f: T.StructField) -> Column:
+        if f.name not in have:
+            return F.lit(None).cast(f.dataType)
+        return _q(f.name) if have[f.name] == f.dataType else _q(f.name).cast(f.dataType)
+
+    return df.select(*[one(f).alias(f.name) for f in schema.fields], *[_q(c) for c in keep if c in have])
+
+
 # ---------------------------------------------------------------- N3 / S7 -----
 
 def keep_latest(df: DataFrame, keys, order) -> DataFrame:
@@ -102,19 +120,19 @@ def merge_keep_latest(
     """Merge incoming rows over a stored keep-latest store.
 
     Incoming rows beat stored rows for the same key (whole row, no column
-    merge); among incoming rows the greatest ``ordinal`` wins (Spark has no
-    row order, so the caller names the arrival order; without one the scan
-    order is used). Stored rows are unique per key already, so only the
-    incoming side is deduplicated; the stored side is kept by a null-safe
-    anti join (null keys equal each other, as in the keep-latest rule).
+    merge); among incoming rows the greatest ``ordinal`` wins. Spark has no
+    row order, so the caller names the arrival order: a column, or ``_arrival``
+    as landing scans give it (not kept). Without one the greatest row by all
+    its columns wins, so the result doesn't hang on partitioning. Stored rows
+    are unique per key already, so only the incoming side is deduplicated; the
+    stored side is kept by a null-safe anti join (null keys equal each other,
+    as in the keep-latest rule).
     """
     keys = list(keys)
+    arrival = ARRIVAL in incoming.columns
     if ordinal is None:
-        incoming = incoming.withColumn(ORDINAL, F.monotonically_increasing_id())
-        ordinal = ORDINAL
-    latest = keep_latest(incoming, keys, ordinal)
-    if ordinal == ORDINAL:
-        latest = latest.drop(ORDINAL)
+        ordinal = [ARRIVAL] if arrival else incoming.columns
+    latest = keep_latest(incoming, keys, ordinal).drop(ARRIVAL)
     if stored is None:
         return latest
     # ``latest`` has one row per key already (grouped on the keys): no distinct.
@@ -130,12 +148,12 @@ def merge_keep_latest(
 # ---------------------------------------------------------------- S10 ---------
 
 def check_upsert_columns(incoming: DataFrame, spec: TableSpec) -> DataFrame:
-    """S10 column contract: missing columns -> ValueError with sorted names;
-    extra columns are dropped; model order is kept."""
-    missing = set(spec.columns) - set(incoming.columns)
-    if missing:
-        raise ValueError(f"{spec.name} missing columns: {sorted(missing)}")
-    return incoming.select(*[_q(c) for c in spec.columns])
+    """S10 column contract: the table's columns in its order, no others; a
+    batch without all of them is a ValueError that names the rest, sorted."""
+    absent = sorted(c for c in spec.columns if c not in incoming.columns)
+    if absent:
+        raise ValueError(f"batch for {spec.name} lacks columns {absent}")
+    return incoming.select(*map(_q, spec.columns))
 
 
 def upsert(stored: DataFrame | None, incoming: DataFrame, spec: TableSpec) -> DataFrame:

@@ -16,9 +16,11 @@ from tidemark.functions.dates import to_calendar_date
 from tidemark.functions.numeric import midpoint, safe_ratio, scale, spread, to_double
 from tidemark.functions.text import regex_group
 from tidemark.operators.conform import conform
+from tidemark.operators.universe import valid_only
 from tidemark import schema as S
 
 TUSHARE = "tushare"
+FRACTION_MARK = "tidemark.pct_chg_is_fraction"
 YFINANCE = "yfinance"
 
 # FX reference patterns (exchange = text after the last dot,
@@ -48,6 +50,11 @@ def _col_or_null(df: DataFrame, name: str, dtype=T.DoubleType()) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
 
 
+def _number(df: DataFrame, name: str) -> Column:
+    """A vendor number as a lenient double; null when the landed file lacks it."""
+    return to_double(F.col(name), df.schema[name].dataType) if name in df.columns else _col_or_null(df, name)
+
+
 def _v(df: DataFrame, name: str) -> Column:
     """A vendor text column, or a typed null when the landed file lacks it."""
     return _col_or_null(df, name, T.StringType())
@@ -62,10 +69,12 @@ def to_table(df: DataFrame, spec: S.TableSpec) -> DataFrame:
 # ---------------------------------------------------------------- S6 ----------
 
 def pct_to_fraction(df: DataFrame, col: str = "pct_chg") -> DataFrame:
-    """Percent -> fraction at scan (fund, index and global-index feeds only)."""
-    if col not in df.columns:
+    """Percent -> fraction, once: the converted column carries a mark in
+    its schema, so a frame that went through it already is left alone."""
+    if col not in df.columns or df.schema[col].metadata.get(FRACTION_MARK):
         return df
-    return df.withColumn(col, to_double(col) / F.lit(100.0))
+    fraction = to_double(F.col(col), df.schema[col].dataType) / F.lit(100.0)
+    return df.withColumn(col, fraction.alias(col, metadata={FRACTION_MARK: True}))
 
 
 # ---------------------------------------------------------------- lists -------
@@ -144,8 +153,8 @@ def daily_bars(raw: DataFrame, updated_at: Column | None = None) -> DataFrame:
     A feed without vol or amount yields nulls there.
     """
     m = _ids(raw) | {
-        "volume": to_double(_col_or_null(raw, "vol")),
-        "amount": scale(_col_or_null(raw, "amount"), 1000.0),
+        "volume": _number(raw, "vol"),
+        "amount": scale(_number(raw, "amount"), 1000.0),
         "updated_at": _now(updated_at),
     }
     return to_table(raw.withColumns(m), S.MARKET_BARS_DAILY)
@@ -185,7 +194,7 @@ def fx_daily(raw: DataFrame, updated_at: Column | None = None) -> DataFrame:
     """Two-sided quotes -> market_fx_daily with mid = (bid + ask) / 2 for
     open/high/low/close and spread_close = ask_close - bid_close. A quote
     column the feed lacks is null."""
-    q = {c: to_double(_col_or_null(raw, c)) for c in FX_QUOTES}
+    q = {c: _number(raw, c) for c in FX_QUOTES}
     m = _ids(raw) | q | {
         "mid_open": midpoint(q["bid_open"], q["ask_open"]),
         "mid_high": midpoint(q["bid_high"], q["ask_high"]),
@@ -206,8 +215,7 @@ def yahoo_instrument(info: DataFrame, currency: str | None = None) -> DataFrame:
         "list_status": F.lit("L"),
         "is_hs": F.lit(False),
     }
-    valid = info.where(F.col("valid") == F.lit(True))
-    return to_table(valid.withColumns(m), S.REFERENCE_INSTRUMENT)
+    return to_table(valid_only(info).withColumns(m), S.REFERENCE_INSTRUMENT)
 
 
 def previous_close(df: DataFrame, id_col: str, order_col: str,
@@ -220,51 +228,40 @@ def previous_close(df: DataFrame, id_col: str, order_col: str,
     task. The lag is instead taken inside (instrument, calendar year)
     segments, so a hot instrument is spread over its years. The first row of
     a segment takes the last close of the instrument's previous non-empty
-    segment, from a small aggregate with one row per (instrument, year)
-    joined back on the segment key.
+    segment, from an aggregate with one row per (instrument, year).
+
+    The rows are dealt out by segment once: lag and aggregate ask for the same
+    columns of the same exchange, so Spark runs ``df`` once and reuses it.
     """
     seg = "_segment"
-    order = F.col(order_col)
-    close = F.col(close_col)
-    keyed = df.withColumn(seg, F.year(order))
-    w = Window.partitionBy(id_col, seg).orderBy(order_col)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rn = F.row_number().over(w)
-    lagged = keyed.withColumns({
-        "_lag": F.lag(close).over(w),
-        "_rn": rn,
-        "_n": F.count(F.lit(1)).over(whole),
-    })
-    # Segment ends come from the same window pass (one row per instrument and
-    # year), so the upstream plan is not evaluated twice.
-    ends = lagged.where(F.col("_rn") == F.col("_n")).select(
-        id_col, seg, close.alias("_last_close"))
-    prev = ends.select(
+    dealt = df.withColumn(seg, F.year(order_col)).repartition(id_col, seg)
+    last = F.max_by(F.struct(*dealt.columns), F.col(order_col))
+    ends = dealt.groupBy(id_col, seg).agg(last[close_col].alias("_last_close"))
+    before = ends.select(
         id_col, seg,
         F.lag("_last_close").over(Window.partitionBy(id_col).orderBy(seg)).alias("_prev_close"),
     )
-    out = lagged.join(prev, [id_col, seg], "left").withColumn(
-        "pre_close",
-        F.when(F.col("_rn") == F.lit(1), F.col("_prev_close")).otherwise(F.col("_lag")))
-    out = out.drop(seg, "_lag", "_rn", "_n", "_prev_close")
-    pre = F.col("pre_close")
-    return out.withColumns({
-        "change": close - pre,
-        "pct_chg": F.when(pre.isNotNull() & (pre != F.lit(0.0)), safe_ratio(close - pre, pre)),
-    })
+    w = Window.partitionBy(id_col, seg).orderBy(order_col)
+    lagged = dealt.withColumns({"_lag": F.lag(close_col).over(w), "_rn": F.row_number().over(w)})
+    pre = F.when(F.col("_rn") == 1, F.col("_prev_close")).otherwise(F.col("_lag"))
+    out = lagged.join(before, [id_col, seg], "left").withColumn("pre_close", pre).drop(
+        seg, "_lag", "_rn", "_prev_close")
+    change = F.col(close_col) - F.col("pre_close")
+    return out.withColumns({"change": change, "pct_chg": safe_ratio(change, "pre_close")})
 
 
 def yahoo_bars(raw: DataFrame, updated_at: Column | None = None) -> DataFrame:
     """Long-form history -> market_bars_daily (lag computed on the rows
     given, i.e. after the new-key filter)."""
+    bars = ["ticker", "date", *(c for c in ("open", "high", "low", "close", "volume") if c in raw.columns)]
+    with_prev = previous_close(raw.select(*bars), "ticker", "date")
     m = {
         "instrument_id": F.col("ticker"),
         "trade_date": to_calendar_date("date"),
         "source_code": F.col("ticker"),
         "source_id": F.lit(YFINANCE),
-        "volume": to_double(_col_or_null(raw, "volume")),
+        "volume": _number(raw, "volume"),
         "amount": F.lit(None).cast(T.DoubleType()),
         "updated_at": _now(updated_at),
     }
-    with_prev = previous_close(raw.withColumns(m), "ticker", "date")
-    return to_table(with_prev, S.MARKET_BARS_DAILY)
+    return to_table(with_prev.withColumns(m), S.MARKET_BARS_DAILY)

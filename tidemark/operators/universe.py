@@ -1,7 +1,8 @@
 """Universe selection (F1-F9): which instruments are live for a window.
 
 Each universe is a ``where`` over a reference table and returns a one-column
-DataFrame ``instrument_id``; ordering is left to the final query (O2).
+DataFrame ``instrument_id``, ordered by it (O2). Where a universe only feeds a
+join or a distinct, the optimizer drops the sort.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ INDEX_NAME_EXCLUDE = "(全收益|净收益|退市|USD|HKD|GBP|EUR|CAD|CNH)"
 
 
 def _ids(df: DataFrame) -> DataFrame:
-    return df.select("instrument_id")
+    return df.select("instrument_id").orderBy("instrument_id")
 
 
 def etf_universe(reference: DataFrame, end) -> DataFrame:
@@ -130,13 +131,3 @@ def in_values(df: DataFrame, col: str, values) -> DataFrame:
     if isinstance(values, str):
         values = [values]
     return df.where(F.col(col).isin(list(values)))
-
-
-def drop_null_keys(df: DataFrame, keys) -> DataFrame:
-    """drop rows with a null in any key column."""
-    return df.dropna(subset=list(keys))
-
-
-def is_live_between(list_col: Column, last_col: Column, start_d: Column, end_d: Column) -> Column:
-    """Interval overlap helper: listed by end and not finished before start."""
-    return list_col.isNotNull() & (list_col <= end_d) & (last_col.isNull() | (last_col >= start_d))
