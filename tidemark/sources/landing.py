@@ -4,9 +4,9 @@ The vendor HTTP calls are not built; a landed file (or directory) with the
 vendor's field list stands in for each call. Every scan reads with an
 explicit schema (no inference), keeps the asked fields (``select``) and turns
 call parameters into ``where`` predicates, so Catalyst pushes them into the
-parquet reader. Vendor dates are ``yyyymmdd`` text; a window over such text
-compares as text (same order as the dates), which keeps the predicate a
-pushed string filter.
+parquet reader. Vendor dates are text, mostly ``yyyymmdd`` but also dashed or
+slashed; a window filters on the parsed date, and beside it on the text itself
+in a form that prunes row groups.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.dates import date_to_text, lit_date, lit_timestamp_ntz, parse_param_date
+from tidemark.functions.dates import lenient_date, lit_date, lit_timestamp_ntz, parse_param_date
 from tidemark.functions.numeric import nan_to_null
+from tidemark.operators.store import ARRIVAL
+from tidemark.operators.transforms import pct_to_fraction
 from tidemark.schema import LANDING
 
 # Feeds whose percent change becomes a fraction at scan.
@@ -29,14 +31,20 @@ INDEX_FEEDS = {"index_daily", "index_global", "fut_index_daily"}
 
 
 def read_landing(
-    spark: SparkSession, path: str, dataset: str, fmt: str = "parquet"
+    spark: SparkSession, path: str, dataset: str, fmt: str = "parquet", arrival: bool = False
 ) -> DataFrame:
-    """Read landed files of ``dataset`` with its contract schema."""
+    """Read landed files of ``dataset`` with its contract schema. ``arrival``
+    (parquet) adds ``_arrival``, the order in which rows landed: by file time,
+    file name and place in the file. Raw stores keep the last by it."""
     try:
         schema = LANDING[dataset]
     except KeyError:
         raise KeyError(f"Unknown landing dataset: {dataset}") from None
-    return nan_as_null(spark.read.schema(schema).format(fmt).load(path))
+    rows = spark.read.schema(schema).format(fmt).load(path)
+    if arrival:
+        place = ("file_modification_time", "file_name", "row_index")
+        rows = rows.withColumn(ARRIVAL, F.struct(*[F.col(f"_metadata.{c}") for c in place]))
+    return nan_as_null(rows)
 
 
 def nan_as_null(df: DataFrame) -> DataFrame:
@@ -75,55 +83,55 @@ def where_equal(df: DataFrame, **params) -> DataFrame:
 
 
 def _date_bound(df: DataFrame, col: str, value) -> Column:
-    """A bound comparable with ``col``: ``yyyymmdd`` text for text columns,
-    a DATE/TIMESTAMP literal otherwise."""
+    """A bound comparable with a date or instant column."""
     d = parse_param_date(value)
-    dtype = df.schema[col].dataType
-    if isinstance(dtype, T.StringType):
-        return F.lit(d.strftime("%Y%m%d"))
-    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
+    if isinstance(df.schema[col].dataType, (T.TimestampNTZType, T.TimestampType)):
         return lit_timestamp_ntz(_dt.datetime.combine(d, _dt.time()))
     return lit_date(d)
 
 
-def where_window(df: DataFrame, col: str, start=None, end=None, trade_date=None) -> DataFrame:
-    """Daily window: ``trade_date`` (one day) or ``start``..``end`` with both
-    ends included (S2). Text dates compare as ``yyyymmdd`` text."""
-    if trade_date is not None:
-        return df.where(F.col(col) == _date_bound(df, col, trade_date))
-    if start is not None:
-        df = df.where(F.col(col) >= _date_bound(df, col, start))
-    if end is not None:
-        df = df.where(F.col(col) <= _date_bound(df, col, end))
-    return df
+def text_window(col: str, lo: _dt.date, hi: _dt.date) -> Column:
+    """A filter on a text date column that the parquet reader can use: it keeps
+    every accepted shape (``yyyymmdd``, ``yyyy-M-d``, ``yyyy/M/d``) of the days
+    lo..hi, and of other days only dashed or slashed ones of the same years.
+    The exact filter on the parsed date goes with it."""
+    c = F.col(col)
+    keep = c.between(F.lit(f"{lo:%Y%m%d}"), F.lit(f"{hi:%Y%m%d}"))
+    for year in range(lo.year, hi.year + 1):  # '-' and '/' sort before '0'
+        keep = keep | ((c >= F.lit(f"{year:04d}-")) & (c < F.lit(f"{year:04d}0")))
+    return keep
 
 
-def text_year_prefilter(df: DataFrame, col: str, start, end) -> DataFrame:
-    """A pushable superset filter for a text date column: every accepted
-    shape (``yyyymmdd``, ``yyyy-M-d``, ``yyyy/M/d``) starts with the 4-digit
-    year, so ``col >= 'YYYY' AND col < 'YYYY+1'`` keeps every row an exact
-    date filter keeps and lets the parquet reader skip row groups. Apply the
-    exact (parsed) filter as well. Non-text columns are left alone."""
-    if start is None or end is None or not isinstance(df.schema[col].dataType, T.StringType):
+def where_days(df: DataFrame, col: str, lo: _dt.date | None, hi: _dt.date | None) -> DataFrame:
+    """Rows whose ``col`` (date, instant or text in any accepted shape) is a
+    day from ``lo`` to ``hi``, both included; None is no bound."""
+    if lo is None and hi is None:
         return df
-    lo, hi = parse_param_date(start).year, parse_param_date(end).year
-    return df.where((F.col(col) >= F.lit(f"{lo:04d}")) & (F.col(col) < F.lit(f"{hi + 1:04d}")))
+    if isinstance(df.schema[col].dataType, T.StringType):
+        day, bound = lenient_date(F.col(col)), lit_date
+        if lo is not None and hi is not None:
+            df = df.where(text_window(col, lo, hi))
+    else:
+        day, bound = F.col(col), lambda d: _date_bound(df, col, d)
+        if hi is not None and not isinstance(df.schema[col].dataType, T.DateType):  # all of the last day
+            return where_days(df, col, lo, None).where(day < bound(hi + _dt.timedelta(days=1)))
+    if lo is not None:
+        df = df.where(day >= bound(lo))
+    return df if hi is None else df.where(day <= bound(hi))
 
 
-FRACTION_MARK = "tidemark.pct_chg_is_fraction"
+def where_window(df: DataFrame, col: str, start=None, end=None, trade_date=None) -> DataFrame:
+    """Daily window: ``trade_date`` (one day) or ``start``..``end`` with both
+    ends included (S2)."""
+    if trade_date is not None:
+        start = end = trade_date
+    return where_days(df, col, None if start is None else parse_param_date(start),
+                      None if end is None else parse_param_date(end))
 
 
 def pct_to_fraction_at_scan(df: DataFrame, feed: str) -> DataFrame:
-    """Percent -> fraction for the fund, index and global-index feeds only.
-
-    Applied once: the converted column carries a schema-metadata mark, so a
-    frame that already went through the scan is left alone by the jobs."""
-    if feed not in FRACTION_FEEDS or "pct_chg" not in df.columns:
-        return df
-    if df.schema["pct_chg"].metadata.get(FRACTION_MARK):
-        return df
-    return df.withColumn(
-        "pct_chg", (F.col("pct_chg") / F.lit(100.0)).alias("pct_chg", metadata={FRACTION_MARK: True}))
+    """Percent -> fraction for the fund, index and global-index feeds only."""
+    return pct_to_fraction(df) if feed in FRACTION_FEEDS else df
 
 
 # ---------------------------------------------------------------- S1 ----------
@@ -209,14 +217,13 @@ def quote_search(spark: SparkSession, path: str, tickers=None, max_results=None)
     """Landed search candidates ``(ticker, rank, symbol, quoteType,
     exchange, shortname, shortname_1)``; ``max_results`` keeps the best ranks,
     the vendor call's own result cap (a feature of the call, not a sample)."""
-    df = read_landing(spark, path, "quotes")
+    return search_results(read_landing(spark, path, "quotes"), tickers, max_results)
+
+
+def search_results(df: DataFrame, tickers=None, max_results=None) -> DataFrame:
+    """S5 over a landed frame."""
     if tickers:
         df = df.where(F.col("ticker").isin([tickers] if isinstance(tickers, str) else list(tickers)))
     if max_results is not None:
         df = df.where(F.col("rank") <= F.lit(int(max_results)))
     return df
-
-
-def dates_as_text(df: DataFrame, col: str = "trade_date") -> DataFrame:
-    """Land a DATE column as vendor ``yyyymmdd`` text."""
-    return df.withColumn(col, date_to_text(col))

@@ -4,17 +4,23 @@ Two layouts:
 
 * **Month-partitioned** (tables whose key holds a date: bars, FX, special
   treatment, and raw stores keyed by date). A key fixes its partition
-  (``trade_month`` = yyyymm of the date), so a batch touches a bounded set of
-  months. The write reads only those months (partition pruning from a literal
-  ``isin``), merges, cuts lineage with a reliable ``checkpoint()`` into the
-  session's shared ``spark.checkpoint.dir`` and overwrites exactly those
-  partitions (dynamic partition overwrite). A lost executor re-reads the
-  checkpoint, never the files being replaced. Not atomic across months.
+  (``trade_month`` = yyyymm of the date). A write reads the months of its
+  batch only (a literal month range on the partition column, and a semi join
+  with the batch's months), merges, cuts lineage with a reliable
+  ``checkpoint()`` into the session's shared ``spark.checkpoint.dir`` and
+  overwrites exactly those partitions (dynamic partition overwrite). A lost
+  executor re-reads the checkpoint, never the files being replaced. Not atomic
+  across months.
 * **Snapshots** (tables keyed by instrument only). The merged table is
-  written to a fresh ``snapshot=<run_id>`` directory and then committed by
-  appending one row to the store's ``_manifest`` table; readers take the
-  newest committed snapshot, so a half-written snapshot is never read.
-  Snapshots are only added.
+  written to a fresh ``snapshot=<run_id>`` directory and then committed by an
+  entry in the table's manifest; readers take the newest committed snapshot,
+  so a half-written snapshot is never read. Older ones expire.
+
+A raw store's columns are those of the vendor, so its schema is registered in
+its manifest and every file is read with it: no file footers are merged. New
+columns are added to it. A column whose type has to widen (number to text, for
+one) starts a new ``version`` of the store: all months are rewritten once in
+the wider types, then committed. Row counts are kept in the manifest too.
 
 Every write checks the batch first (required columns non-null, key unique),
 so a bad batch writes nothing.
@@ -23,17 +29,20 @@ so a bad batch writes nothing.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.dates import month_key
+from tidemark.functions.dates import lenient_date, month_key
 from tidemark.operators.coverage import coverage_summary
 from tidemark.operators.conform import guard_required
-from tidemark.operators.store import align_to_spec, check_upsert_columns, merge_keep_latest, upsert
+from tidemark.operators.store import (
+    ARRIVAL, align_to_spec, cast_to, check_upsert_columns, merge_keep_latest, relaxed_schema, upsert)
 from tidemark.schema import TableSpec
 from tidemark.session import ensure_checkpoint_dir
 
@@ -42,15 +51,15 @@ SNAPSHOT = "snapshot"
 MANIFEST = "_manifest"
 COVERAGE = "_coverage"
 COVERAGE_KEYS = ("instrument_id", "source_id")
+ENTRY, VERSION = "entry", "version"
 MANIFEST_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType(), False),
-    T.StructField("snapshot", T.StringType(), False),
+    T.StructField("snapshot", T.StringType(), False),  # empty: invalidated
+    T.StructField("version", T.IntegerType(), True),  # of a month-partitioned raw store
+    T.StructField("schema", T.StringType(), True),  # its registered schema, as JSON
     T.StructField("rows", T.LongType(), True),
     T.StructField("committed_at", T.TimestampNTZType(), False),
 ])
-# A batch spanning more months than this is refused (the touched-month list
-# becomes a literal partition filter; 100 years of months).
-MAX_TOUCHED_MONTHS = 1200
+KEPT_SNAPSHOTS = 3  # so that a reader of the one before can finish
 # Default raw-store key when a dataset names none.
 DEFAULT_RAW_KEYS = ("trade_date", "instrument_id")
 
@@ -61,26 +70,37 @@ def new_run_id() -> str:
     return now.strftime("%Y%m%dT%H%M%S%f")[:-3] + "-" + uuid.uuid4().hex[:8]
 
 
-def batch_key_stats(df: DataFrame, keys, date_col: str | None = None):
-    """(rows, largest multiplicity of a key[, touched months]) of a batch in
-    one partial aggregate; a hot key is pre-counted inside each map task.
+@dataclass(frozen=True)
+class Months:
+    """The months that a batch touches: their range on the driver, the months
+    themselves as a frame."""
+
+    frame: DataFrame
+    first: int | None
+    last: int | None
+    has_null: bool
+
+    @classmethod
+    def of(cls, month, df: DataFrame) -> Months:
+        frame = df.select(month.alias(MONTH)).distinct()
+        row = frame.agg(F.min(MONTH), F.max(MONTH), F.coalesce(F.max(F.col(MONTH).isNull()), F.lit(False))).first()
+        return cls(frame, *row)
+
+    def of_store(self, stored: DataFrame) -> DataFrame:
+        """The stored rows of these months. The range is a literal filter on
+        the partition column, so other directories aren't listed; the semi
+        join leaves out the months between that the batch doesn't touch."""
+        m = F.col(MONTH)
+        rows = stored.where(m.between(F.lit(self.first), F.lit(self.last))).join(self.frame, MONTH, "left_semi")
+        return rows.unionByName(stored.where(m.isNull())) if self.has_null else rows
 
-    With ``date_col`` (a key column) the distinct months of the batch come
-    from the same pass; the set is bounded by the batch's date span and
-    checked against ``MAX_TOUCHED_MONTHS``."""
+
+def batch_key_stats(df: DataFrame, keys) -> tuple[int, int]:
+    """(rows, largest multiplicity of a key) of a batch in one partial
+    aggregate; a hot key is pre-counted inside each map task."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    aggs = [F.sum("_n").alias("rows"), F.max("_n").alias("max_n")]
-    if date_col is not None:
-        aggs += [F.collect_set(month_key(date_col)).alias("months"),
-                 F.max(F.col(date_col).isNull().cast("int")).alias("null_month")]
-    row = per_key.agg(*aggs).first()
-    rows, max_n = int(row["rows"] or 0), int(row["max_n"] or 0)
-    if date_col is None:
-        return rows, max_n
-    months = sorted(row["months"] or [])
-    if len(months) > MAX_TOUCHED_MONTHS:
-        raise ValueError(f"batch spans more than {MAX_TOUCHED_MONTHS} months")
-    return rows, max_n, (months, bool(row["null_month"]))
+    row = per_key.agg(F.sum("_n").alias("rows"), F.max("_n").alias("max_n")).first()
+    return int(row["rows"] or 0), int(row["max_n"] or 0)
 
 
 class Store:
@@ -95,16 +115,10 @@ class Store:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _read_parquet(self, path: str, schema: T.StructType | None = None,
-                      merge: bool = False) -> DataFrame | None:
+    def _read_parquet(self, path: str, schema: T.StructType | None = None) -> DataFrame | None:
         """Read parquet files; None when the path does not exist. ``schema``
-        reads with the registered columns (files lacking one give nulls);
-        ``merge`` unions the files' own schemas (raw stores)."""
-        reader = self.spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        if merge:
-            reader = reader.option("mergeSchema", "true")
+        reads with the registered columns (files lacking one give nulls)."""
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         try:
             return reader.parquet(path)
         except AnalysisException as exc:
@@ -112,22 +126,46 @@ class Store:
                 return None
             raise
 
+    def _delete(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
     # ------------------------------------------------------------ manifest ---
-    def _manifest(self) -> DataFrame | None:
-        return self._read_parquet(self.path(MANIFEST), schema=MANIFEST_SCHEMA)
+    def _manifest(self, name: str) -> DataFrame | None:
+        """The table's own manifest: one entry for each commit still kept."""
+        return self._read_parquet(f"{self.path(MANIFEST)}/{name}", schema=MANIFEST_SCHEMA)
 
-    def latest_snapshot(self, name: str) -> str | None:
-        m = self._manifest()
+    def _latest(self, name: str):
+        """Newest manifest entry of a table, or None."""
+        m = self._manifest(name)
         if m is None:
             return None
-        row = m.where(F.col("table_name") == name).agg(
-            F.max_by("snapshot", F.struct("committed_at", "snapshot")).alias("s")).first()
-        return (row["s"] or None) if row else None
+        newest = F.max_by(F.struct(*MANIFEST_SCHEMA.fieldNames()), F.struct("committed_at", "snapshot"))
+        return m.agg(newest.alias("e")).first()["e"]
 
-    def _commit(self, name: str, snapshot: str, rows: int | None) -> None:
+    def latest_snapshot(self, name: str) -> str | None:
+        entry = self._latest(name)
+        return (entry["snapshot"] or None) if entry else None
+
+    def _commit(self, name: str, snapshot: str, rows: int | None, version: int | None = None,
+                schema: T.StructType | None = None) -> None:
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        self.spark.createDataFrame([(name, snapshot, rows, now)], MANIFEST_SCHEMA) \
-            .coalesce(1).write.mode("append").parquet(self.path(MANIFEST))
+        row = (snapshot, version, None if schema is None else schema.json(), rows, now)
+        entry = f"{self.path(MANIFEST)}/{name}/{ENTRY}={new_run_id()}"
+        self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.parquet(entry)
+        self._expire(name)
+
+    def _expire(self, name: str) -> None:
+        """Remove what the newest commits have replaced: entries, and the
+        snapshots or versions that only removed entries name."""
+        entries = (self.spark.read.schema(T.StructType(MANIFEST_SCHEMA.fields + [T.StructField(ENTRY, T.StringType())]))
+                   .parquet(f"{self.path(MANIFEST)}/{name}").orderBy(F.desc("committed_at"), F.desc(ENTRY)).collect())
+        kept, old = entries[:KEPT_SNAPSHOTS], entries[KEPT_SNAPSHOTS:]
+        of = lambda e: f"{VERSION}={e['version']}" if e["version"] is not None else f"{SNAPSHOT}={e['snapshot']}"
+        for e in old:
+            if e["snapshot"] and of(e) not in {of(k) for k in kept}:
+                self._delete(f"{self.path(name)}/{of(e)}")
+            self._delete(f"{self.path(MANIFEST)}/{name}/{ENTRY}={e[ENTRY]}")
 
     # ------------------------------------------------------------ reads ------
     @staticmethod
@@ -137,32 +175,26 @@ class Store:
             return spec.schema
         return T.StructType(spec.schema.fields + [T.StructField(MONTH, T.IntegerType())])
 
+    def _raw_months(self, name: str, entry) -> tuple[DataFrame, T.StructType]:
+        """A month-partitioned raw store (with its month column) and its registered schema."""
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        stored = T.StructType(schema.fields + [T.StructField(MONTH, T.IntegerType())])
+        return self._read_parquet(f"{self.path(name)}/{VERSION}={entry['version']}", schema=stored), schema
+
     def read_raw(self, name: str, partitioned: bool = False) -> DataFrame | None:
-        """Stored frame of a raw store, as written (partition column dropped).
-        Months written at different times may carry different vendor
-        columns, so their schemas are merged."""
-        if partitioned:
-            df = self._read_parquet(self.path(name), merge=True)
-            return None if df is None else df.drop(MONTH)
-        snap = self.latest_snapshot(name)
-        if snap is None:
-            return None
-        return self._read_parquet(f"{self.path(name)}/{SNAPSHOT}={snap}")
-
-    def read_months(self, name: str, touched: tuple[list[int], bool],
-                    spec: TableSpec | None = None) -> DataFrame | None:
-        """Rows of a month-partitioned store in the touched months only. The
-        filter is on the partition column itself, so Spark prunes directories
-        (``PartitionFilters``) instead of scanning every month. Canonical
-        tables (``spec``) read with their registered schema, raw stores merge
-        the files' schemas."""
-        if spec is not None:
-            df = self._read_parquet(self.path(name), schema=self.storage_schema(spec))
-        else:
-            df = self._read_parquet(self.path(name), merge=True)
-        if df is None:
+        """Stored frame of a raw store with its registered schema (partition
+        column dropped)."""
+        entry = self._latest(name)
+        if entry is None or not entry["snapshot"]:
             return None
-        return df.where(self._in_months(F.col(MONTH), touched)).drop(MONTH)
+        if partitioned:
+            return self._raw_months(name, entry)[0].drop(MONTH)
+        return self._read_parquet(f"{self.path(name)}/{SNAPSHOT}={entry['snapshot']}")
+
+    def read_months(self, spec: TableSpec, months: Months) -> DataFrame | None:
+        """Rows of a month-partitioned canonical table in a batch's months."""
+        df = self._read_parquet(self.path(spec.name), schema=self.storage_schema(spec))
+        return None if df is None else align_to_spec(months.of_store(df).drop(MONTH), spec)
 
     def read_window(self, spec: TableSpec, lo: _dt.date, hi: _dt.date,
                     date_col: str = "trade_date") -> DataFrame | None:
@@ -244,23 +276,9 @@ class Store:
         return not clash.isEmpty()
 
     # ------------------------------------------------------------ writes -----
-    def _touched_months(self, month: DataFrame) -> tuple[list[int], bool]:
-        """Distinct months of a batch (bounded by its date span) and whether a
-        null date occurs; becomes a literal partition filter."""
-        months = month.distinct().limit(MAX_TOUCHED_MONTHS + 1).collect()
-        if len(months) > MAX_TOUCHED_MONTHS:
-            raise ValueError(f"batch spans more than {MAX_TOUCHED_MONTHS} months")
-        values = sorted(r[0] for r in months if r[0] is not None)
-        return values, any(r[0] is None for r in months)
-
-    @staticmethod
-    def _in_months(month, touched: tuple[list[int], bool]):
-        values, has_null = touched
-        cond = month.isin(values) if values else F.lit(False)
-        return cond | month.isNull() if has_null else cond
-
-    def _write_months(self, name: str, merged: DataFrame, month, keys) -> None:
-        """Overwrite the months present in ``merged`` (dynamic partitions).
+    def _write_months(self, path: str, merged: DataFrame, month, keys) -> DataFrame:
+        """Overwrite the months present in ``merged`` (dynamic partitions);
+        returns the rows written, cut from their lineage.
 
         Range-partitioned on (month, key): a month larger than one task's
         share is split across several tasks by key (a key holds at most one
@@ -273,7 +291,8 @@ class Store:
         (out.repartitionByRange(*order).sortWithinPartitions(*order)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(MONTH).parquet(self.path(name)))
+            .partitionBy(MONTH).parquet(path))
+        return out
 
     def _write_snapshot(self, name: str, merged: DataFrame, rows: int | None = None) -> str:
         snap = new_run_id()
@@ -298,24 +317,20 @@ class Store:
         incoming = incoming.checkpoint(eager=True)
         date_keys = [k for k in spec.primary_key if isinstance(spec.field(k).dataType, T.DateType)]
         date_col = date_keys[0] if spec.partition_by and date_keys else None
-        stats = batch_key_stats(incoming, spec.primary_key, date_col)
-        rows, max_n = stats[0], stats[1]
+        rows, max_n = batch_key_stats(incoming, spec.primary_key)
         if rows == 0:
             return 0
         if max_n > 1:
             raise ValueError(f"{spec.name}: duplicate primary key in incoming rows")
         if date_col is not None:
-            touched = stats[2]  # months from the same pass as the key check
-            stored = self.read_months(spec.name, touched, spec)
-            if stored is not None:
-                stored = align_to_spec(stored, spec)
+            stored = self.read_months(spec, Months.of(month_key(date_col), incoming))
             cov = self.coverage(spec)
             stale = cov is None
             if (cov is not None and stored is not None and self._may_displace(cov, incoming)
                     and self._displaces_source(stored, incoming, spec)):
                 self._commit(f"{COVERAGE}/{spec.name}", "", None)  # invalidate before writing
                 stale = True
-            self._write_months(spec.name, upsert(stored, incoming, spec), month_key(date_col),
+            self._write_months(self.path(spec.name), upsert(stored, incoming, spec), month_key(date_col),
                                list(spec.primary_key))
             if self.keeps_coverage(spec):
                 if stale:
@@ -340,30 +355,53 @@ class Store:
         returns the merged store's row count. An empty batch leaves the store
         alone and returns its count. ``keys`` defaults to (trade_date,
         instrument_id); ``sort_by`` (file layout only) defaults to the keys.
+        Among incoming rows of a key the greatest ``ordinal`` wins; without
+        one, the greatest row (:func:`merge_keep_latest`).
 
-        With ``date_col`` (a DATE or ``yyyymmdd`` text key) the store is
-        month-partitioned and only touched months are rewritten; otherwise a
-        new snapshot is written. Rows of the store are sorted by key within
-        each file (layout only, O1).
+        With ``date_col`` (a DATE or text key) the store is month-partitioned:
+        only the batch's months are read and rewritten, and the count comes
+        from the manifest. Otherwise a new snapshot is written. Rows of the
+        store are sorted by key within each file (layout only, O1).
         """
         keys = list(keys or DEFAULT_RAW_KEYS)
         order = list(sort_by or keys)
-        partitioned = date_col is not None
-        stored = self.read_raw(name, partitioned=partitioned)
+        entry = self._latest(name)
         if incoming.isEmpty():
-            return 0 if stored is None else stored.count()
-        if partitioned:
-            touched = self._touched_months(incoming.select(month_key(_as_date(incoming, date_col))))
-            stored = self.read_months(name, touched)
-            merged = merge_keep_latest(stored, incoming, keys, ordinal)
-            self._write_months(name, merged, month_key(_as_date(merged, date_col)), order)
-            return self.read_raw(name, partitioned=True).count()
-        merged = merge_keep_latest(stored, incoming, keys, ordinal)
+            return 0 if entry is None else entry["rows"]
+        if date_col is not None:
+            return self._merge_raw_months(name, entry, incoming, keys, ordinal, date_col, order)
+        merged = merge_keep_latest(self.read_raw(name), incoming, keys, ordinal)
         merged = merged.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint(eager=True)
         n = merged.count()
         self._write_snapshot(name, merged, n)
         return n
 
+    def _merge_raw_months(self, name: str, entry, incoming: DataFrame, keys, ordinal, date_col, order) -> int:
+        landed = incoming.drop(ARRIVAL).schema
+        if entry is None:
+            version, stored, schema, rows = 1, None, landed, 0
+        else:
+            version, rows = entry["version"], entry["rows"]
+            stored, old = self._raw_months(name, entry)
+            schema = relaxed_schema(self.spark, old, landed)
+            if any(schema[f.name].dataType != f.dataType for f in old.fields):
+                # a type widens: all months once more in the wider types, as a new version
+                version += 1
+                wide = cast_to(stored.drop(MONTH), schema)
+                self._write_months(f"{self.path(name)}/{VERSION}={version}", wide, month_key(_as_date(wide, date_col)), order)
+                self._commit(name, new_run_id(), rows, version, schema)
+                stored = self._raw_months(name, self._latest(name))[0]
+        path = f"{self.path(name)}/{VERSION}={version}"
+        incoming = cast_to(incoming, schema, keep=(ARRIVAL,))
+        before = None
+        if stored is not None:
+            before = cast_to(Months.of(month_key(_as_date(incoming, date_col)), incoming).of_store(stored).drop(MONTH), schema)
+            rows -= before.count()  # of the batch's months only
+        merged = merge_keep_latest(before, incoming, keys, ordinal)
+        rows += self._write_months(path, merged, month_key(_as_date(merged, date_col)), order).count()
+        self._commit(name, new_run_id(), rows, version, schema)
+        return rows
+
     def append(self, spec: TableSpec, rows: DataFrame) -> None:
         """Append-only metadata rows (audit events)."""
         rows.select(*spec.columns).write.mode("append").parquet(self.path(spec.name))
@@ -380,5 +418,4 @@ def _as_date(df: DataFrame, col: str):
         return c
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
         return c.cast(T.DateType())
-    from tidemark.functions.dates import lenient_date
     return lenient_date(c, dtype)
