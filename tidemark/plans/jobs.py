@@ -20,19 +20,43 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schema as S
-from tidemark.functions.dates import lenient_date, lit_timestamp_ntz, parse_param_date
+from tidemark.functions.dates import lenient_date, lit_timestamp_ntz
 from tidemark.operators import coverage as G
 from tidemark.operators import newkeys as J
 from tidemark.operators import tickers as O
 from tidemark.operators import transforms as P
 from tidemark.operators import universe as U
-from tidemark.operators.store import relaxed_union
-from tidemark.sources.landing import pct_to_fraction_at_scan, text_year_prefilter, where_window
+from tidemark.sources.landing import (
+    INDEX_FEEDS, history_window, pct_to_fraction_at_scan, select_fields, text_window, where_window)
 from tidemark.sources.tables import Store, new_run_id
 
 
+def _day_of(landing: DataFrame) -> Column:
+    return lenient_date("trade_date", landing.schema["trade_date"].dataType)
+
+
+def _scan_days(landing: DataFrame, lo: _dt.date | None, hi: _dt.date | None) -> DataFrame:
+    """Beside the exact selection: what the scan of landed text dates can use."""
+    if lo is None or not isinstance(landing.schema["trade_date"].dataType, T.StringType):
+        return landing
+    return landing.where(text_window("trade_date", lo, hi))
+
+
+def select_missing(landing: DataFrame, plan: DataFrame) -> DataFrame:
+    """J5 over a landed daily feed."""
+    return G.select_in_ranges(landing, plan, "ts_code", date_expr=_day_of(landing))
+
+
+def audit_row(spark: SparkSession, **values) -> DataFrame:
+    """One ``update_events`` row of literals or scalars of the plan."""
+    types = {f.name: f.dataType for f in S.UPDATE_EVENTS.schema.fields}
+    one = lambda v: v if isinstance(v, Column) else F.lit(v)
+    return spark.range(1, numPartitions=1).select(*[one(values[c]).cast(types[c]).alias(c) for c in types])
+
+
 @dataclass(frozen=True)
 class LoadResult:
     """Outcome of one dataset load."""
@@ -72,10 +96,10 @@ class Loader:
                message: str | None = None) -> None:
         finished = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         event_id = f"{self.run_id}:{dataset}:{table}:{uuid.uuid4().hex[:8]}"
-        row = (event_id, self.run_id, source, table, scope, started,
-               finished, status, int(raw_rows), int(written), message)
-        df = self.spark.createDataFrame([row], S.UPDATE_EVENTS.schema)
-        self.db.append(S.UPDATE_EVENTS, df.coalesce(1))
+        self.db.append(S.UPDATE_EVENTS, audit_row(
+            self.spark, event_id=event_id, run_id=self.run_id, source_id=source, table_name=table, scope=scope,
+            started_at=lit_timestamp_ntz(started), finished_at=lit_timestamp_ntz(finished), status=status,
+            rows_read=int(raw_rows), rows_written=int(written), message=message))
 
     def _load(self, dataset: str, source: str, raw_name: str, batch: DataFrame,
               raw_keys, raw_date: str | None, targets, scope: str = "all",
@@ -104,7 +128,7 @@ class Loader:
         except Exception as exc:
             # One audit row for the failed load, then the error goes on.
             self._audit(dataset, source, current, scope, started, raw_rows, 0,
-                        status="failed", message=f"{type(exc).__name__}: {exc}"[:2000])
+                        status="failed", message=f"{type(exc).__name__}: {exc}")
             raise
 
     def _plan(self, ids: DataFrame, spec: S.TableSpec, start, end) -> DataFrame:
@@ -115,13 +139,10 @@ class Loader:
 
     def _select(self, landing: DataFrame, plan: DataFrame) -> DataFrame:
         """Landed rows inside their instrument's missing ranges. The
-        plan's overall bounds (one-row aggregate) give a pushable year
-        prefilter on the landed text dates; the range join stays exact."""
+        plan's overall bounds (one-row aggregate) give a filter on the landed
+        text dates that the scan can use; the range join stays exact."""
         b = plan.agg(F.min("range_start").alias("lo"), F.max("range_end").alias("hi")).first()
-        if b is not None and b["lo"] is not None:
-            landing = text_year_prefilter(landing, "trade_date", b["lo"], b["hi"])
-        return G.select_in_ranges(landing, plan, "ts_code",
-                                  date_expr=lenient_date("trade_date"))
+        return select_missing(_scan_days(landing, b["lo"], b["hi"]), plan)
 
     # ------------------------------------------------------------ lists ------
     def stock_list(self, landing: DataFrame) -> LoadResult:
@@ -162,10 +183,8 @@ class Loader:
         ranges = G.collect_ranges(G.missing_ranges(
             self.spark, self.table(S.MARKET_BARS_DAILY), start, end, bounds=bounds))
         if ranges:
-            landing = text_year_prefilter(landing, "trade_date", min(r[0] for r in ranges),
-                                          max(r[1] for r in ranges))
-        batch = (landing.withColumn("_d", lenient_date("trade_date"))
-                 .where(G.ranges_predicate(ranges, "_d")).drop("_d"))
+            landing = _scan_days(landing, min(r[0] for r in ranges), max(r[1] for r in ranges))
+        batch = landing.where(G.in_ranges(_day_of(landing), ranges))
         now = self._now()
         return self._load("stock_daily", "tushare", "stock_daily", batch,
                           ["ts_code", "trade_date"], "trade_date",
@@ -186,7 +205,6 @@ class Loader:
 
     def index_daily(self, landing: DataFrame, start, end, api: str = "index_daily",
                     params: dict | None = None) -> LoadResult:
-        from tidemark.sources.landing import INDEX_FEEDS
         if api not in INDEX_FEEDS:
             raise ValueError(f"Unsupported index api: {api!r}")
         params = params or {}
@@ -244,7 +262,8 @@ class Loader:
                              candidates: DataFrame | None = None) -> LoadResult:
         """Tickers (validated) or the Yahoo universe -> history window -> raw
         merge of all rows -> new keys only (J2, J1) -> lag (after the filter,
-        Q5) -> upsert. ``end`` is inclusive.
+        Q5) -> upsert. ``end`` as for the scan: a date is inclusive, text is
+        exclusive (Q8).
 
         With ``tickers`` and their search ``candidates``, tickers are
         validated first (O3 -> O4 -> F7) and the matched symbols are loaded;
@@ -258,28 +277,47 @@ class Loader:
             universe = None if ref is None else U.yahoo_universe(ref)
             tickers = U.resolve_universe(self.spark, {}, universe, what="Yahoo tickers")
         ids = tickers.select(F.col(tickers.columns[0]).alias("ticker")).distinct()
-        batch = history.join(ids, "ticker", "left_semi")
-        if start is not None:
-            batch = batch.where(F.col("date") >= lit_timestamp_ntz(
-                _dt.datetime.combine(parse_param_date(start), _dt.time())))
-        if end is not None:
-            batch = batch.where(F.col("date") < lit_timestamp_ntz(
-                _dt.datetime.combine(parse_param_date(end) + _dt.timedelta(days=1), _dt.time())))
+        batch = history_window(history.join(ids, "ticker", "left_semi"), start=start, end=end)
         now = self._now()
 
         def to_bars(b: DataFrame) -> DataFrame:
             # J2 reads only the stored months of the batch's window (two
             # scalars from a one-row aggregate of the checkpointed batch).
             w = b.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
-            stored = None
-            if w is not None and w["lo"] is not None:
-                stored = self.db.read_window(S.MARKET_BARS_DAILY, w["lo"].date(), w["hi"].date())
-            return P.yahoo_bars(J.new_rows(b, stored, "ticker", "date", "yfinance"), updated_at=now)
+            stored = days = None
+            if w["lo"] is not None:
+                days = w["lo"].date(), w["hi"].date()
+                stored = self.db.read_window(S.MARKET_BARS_DAILY, *days)
+            return P.yahoo_bars(J.new_rows(b, stored, "ticker", "date", "yfinance", days), updated_at=now)
 
         return self._load("yf_market_bars_daily", "yfinance", "daily", batch,
                           ["ticker", "date"], "date", [(S.MARKET_BARS_DAILY, to_bars)])
 
 
-def union_fetches(*frames: DataFrame) -> DataFrame:
-    """U1 for several landed pieces of one feed (e.g. per market)."""
-    return relaxed_union(*frames)
+    # ------------------------------------------------------------ by name ----
+    def update(self, dataset: str, landing: DataFrame, fields=None, index_api: str | None = None,
+               **params) -> LoadResult:
+        """Run the job of a dataset by its name. ``fields`` chooses the landed
+        fields (text or list); ``index_api`` is the index job's ``api``."""
+        if dataset not in JOBS:
+            raise ValueError(f"no job for {dataset!r}; there are {sorted(JOBS)}")
+        if index_api is not None:
+            params["api"] = index_api
+        return JOBS[dataset](self, select_fields(landing, fields), **params)
+
+
+#: Jobs by the name of the dataset that they load.
+JOBS = {
+    "stock_list": Loader.stock_list,
+    "stock_st": Loader.stock_st,
+    "stock_daily": Loader.stock_daily,
+    "etf_list": Loader.etf_list,
+    "market_bars_etf_daily": Loader.etf_daily,
+    "index_list": Loader.index_list,
+    "market_bars_index_daily": Loader.index_daily,
+    "future_list": Loader.future_list,
+    "market_bars_future_daily": Loader.future_daily,
+    "market_fx_daily": Loader.fx_daily,
+    "yf_instrument": Loader.yf_instrument,
+    "yf_market_bars_daily": Loader.yf_market_bars_daily,
+}
