@@ -26,6 +26,16 @@ def kind(col: str, fund: str, index: str, future: str, other: str) -> str:
 STORED_AT = "TIMESTAMP '2026-01-01 00:00:00'"
 LOADED_AT = "TIMESTAMP '2026-06-01 00:00:00'"
 
+
+def _stored(day: str) -> str:
+    return f"""
+        SELECT instrument_id, {day} AS trade_date, open, high, low, close,
+               CAST(NULL AS DOUBLE) AS pre_close, CAST(NULL AS DOUBLE) AS change,
+               CAST(NULL AS DOUBLE) AS pct_chg, volume, amount, instrument_id AS source_code,
+               CASE WHEN k % 3 = 0 THEN 'yfinance' ELSE 'tushare' END AS source_id,
+               {STORED_AT} AS updated_at"""
+
+
 VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "bars_keyed": (f"""
         SELECT k, {id6('k')} AS instrument_id, trade_date, open, high, low,
@@ -38,25 +48,24 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                      sum(l_quantity) AS volume
               FROM lineitem GROUP BY l_partkey, CAST(l_shipdate AS DATE)) g""", ()),
     "bars": ("SELECT * EXCLUDE (k) FROM bars_keyed", ("bars_keyed",)),
-    "stored_bars": (f"""
-        SELECT instrument_id, trade_date, open, high, low, close,
-               CAST(NULL AS DOUBLE) AS pre_close, CAST(NULL AS DOUBLE) AS change,
-               CAST(NULL AS DOUBLE) AS pct_chg, volume, amount, instrument_id AS source_code,
-               CASE WHEN k % 3 = 0 THEN 'yfinance' ELSE 'tushare' END AS source_id,
-               {STORED_AT} AS updated_at
-        FROM bars_keyed
-        WHERE trade_date BETWEEN DATE '1996-07-01' AND DATE '1999-06-30'""",
+    "stored_bars": (_stored("trade_date") + " FROM bars_keyed", ("bars_keyed",)),
+    "stored_half": (_stored("trade_date") + " FROM bars_keyed WHERE (k + dayofyear(trade_date)) % 2 = 0",
                     ("bars_keyed",)),
+    "stored_middle": (
+        _stored("DATE '1996-01-01' + CAST((trade_date - DATE '1995-01-01') // 2 AS INTEGER)")
+        + " FROM bars_keyed WHERE (trade_date - DATE '1995-01-01') % 2 = 0", ("bars_keyed",)),
     "history": ("""
         SELECT instrument_id AS ticker, CAST(trade_date AS TIMESTAMP) AS date, open, high, low, close,
                CAST(NULL AS DOUBLE) AS adj_close, volume, CAST(NULL AS DOUBLE) AS dividends,
                CAST(NULL AS DOUBLE) AS stock_splits
         FROM bars""", ("bars",)),
     "daily_landing": ("""
-        SELECT instrument_id AS ts_code, strftime(trade_date, '%Y%m%d') AS trade_date,
+        SELECT instrument_id AS ts_code,
+               CASE k % 5 WHEN 1 THEN strftime(trade_date, '%Y-%m-%d') WHEN 2 THEN strftime(trade_date, '%Y/%m/%d')
+                    ELSE strftime(trade_date, '%Y%m%d') END AS trade_date,
                open, high, low, close, CAST(NULL AS DOUBLE) AS pre_close,
                high - low AS change, high - low AS pct_chg, volume AS vol, amount
-        FROM bars""", ("bars",)),
+        FROM bars_keyed""", ("bars_keyed",)),
     "fut_daily_landing": ("""
         SELECT instrument_id AS ts_code, strftime(trade_date, '%Y%m%d') AS trade_date,
                CAST(NULL AS DOUBLE) AS pre_close, low AS pre_settle, open, high, low, close,
@@ -130,6 +139,7 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                strftime(CAST(ts AS DATE), '%Y%m%d') AS trade_date, event_type AS type,
                upper(event_type) AS type_name
         FROM events""", ()),
+    "special_days": ("SELECT DISTINCT * FROM stock_st_landing", ("stock_st_landing",)),
     "fx_landing": ("""
         SELECT ts_code, trade_date,
                min(p) AS bid_open, max(p) AS bid_close, max(p) AS bid_high, min(p) AS bid_low,
@@ -160,7 +170,8 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                     WHEN 3 THEN 'bad'
                     WHEN 4 THEN NULL
                     ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS trade_date,
-               CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' ELSE CAST(o_totalprice AS VARCHAR) END AS open,
+               CASE o_orderkey % 7 WHEN 0 THEN 'n/a' WHEN 1 THEN '1.5d' WHEN 2 THEN '3f'
+                    ELSE CAST(o_totalprice AS VARCHAR) END AS open,
                o_orderstatus AS close, o_custkey AS volume,
                CAST(o_orderdate AS VARCHAR) AS updated_at, o_orderpriority AS comment
         FROM orders""", ()),
@@ -224,3 +235,20 @@ def head_tail_sql(source: str, id_cols: str, start: str, end: str) -> str:
         UNION ALL
         SELECT {ids}CAST(last_date + INTERVAL 1 DAY AS DATE) AS range_start, {e} AS range_end
         FROM {source} WHERE first_date IS NOT NULL AND last_date IS NOT NULL AND {e} > last_date"""
+
+
+def upsert_sql(stored: str, incoming: str, columns, keys) -> str:
+    """S10 in SQL: stored rows without an incoming row of their key, and all incoming rows."""
+    same = " AND ".join(f"i.{k} = s.{k}" for k in keys)
+    names = ", ".join(columns)
+    return f"""
+    SELECT {names} FROM ({stored}) s WHERE NOT EXISTS (SELECT 1 FROM ({incoming}) i WHERE {same})
+    UNION ALL SELECT {names} FROM ({incoming}) n"""
+
+
+def stored_state_sql(mapped: str) -> str:
+    """Twin of ``fixtures.stored_state``."""
+    return f"""
+    SELECT * REPLACE (CASE WHEN ascii(substr(instrument_id, 6, 1)) % 2 = 0 THEN instrument_id
+                           ELSE instrument_id || '~' END AS instrument_id, 'stored' AS source_code)
+    FROM ({mapped}) m"""

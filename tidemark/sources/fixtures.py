@@ -19,9 +19,6 @@ from tidemark.functions.dates import date_to_text, lit_date, lit_timestamp_ntz
 
 # Fixed values shared with the SQL twins.
 SUFFIXES = [".SH", ".SZ", ".CSI", ".NH"]
-STORED_FROM = "1996-07-01"
-STORED_TO = "1999-06-30"
-UPSERT_FROM = "1999-01-01"
 STORED_AT = "2026-01-01 00:00:00"
 LOADED_AT = "2026-06-01 00:00:00"
 QUOTE_TYPES = ["EQUITY", "ETF", "MUTUALFUND", "INDEX", "FUTURE", "CURRENCY", "CRYPTOCURRENCY", "other"]
@@ -77,11 +74,28 @@ def _bar_source(k: Column) -> Column:
 
 
 def stored_bars(spark, sf_dir) -> DataFrame:
-    """Canonical market_bars_daily state: every bar of 1996-07-01..1999-06-30;
-    source 'yfinance' when k mod 3 = 0 else 'tushare' (so instruments of the
-    other source have no tushare state)."""
-    b = bars_keyed(spark, sf_dir)
-    b = b.where(F.col("trade_date").between(lit_date(STORED_FROM), lit_date(STORED_TO)))
+    """Canonical market_bars_daily state: every bar; source 'yfinance' when
+    k mod 3 = 0 else 'tushare' (so instruments of the other source have no
+    tushare state)."""
+    return _stored(bars_keyed(spark, sf_dir))
+
+
+def stored_half(spark, sf_dir) -> DataFrame:
+    """The state before a load: the bars whose key (k, day) is even. What lands
+    is every bar, so both halves of lineitem are read."""
+    day = F.dayofyear("trade_date")
+    return _stored(bars_keyed(spark, sf_dir).where(F.pmod(F.col("k") + day, F.lit(2)) == 0))
+
+
+def stored_middle(spark, sf_dir) -> DataFrame:
+    """A state with earlier and later days missing: every second day of the
+    bars, moved together to half the span from 1996 on."""
+    days = F.datediff("trade_date", lit_date("1995-01-01"))
+    b = bars_keyed(spark, sf_dir).where(F.pmod(days, F.lit(2)) == 0)
+    return _stored(b.withColumn("trade_date", F.date_add(lit_date("1996-01-01"), (days / 2).cast("int"))))
+
+
+def _stored(b: DataFrame) -> DataFrame:
     null = F.lit(None).cast(T.DoubleType())
     return b.select(
         "instrument_id", "trade_date", "open", "high", "low", "close",
@@ -103,14 +117,21 @@ def history(spark, sf_dir) -> DataFrame:
     )
 
 
+def _vendor_date(k: Column, day: Column) -> Column:
+    """Vendor text dates: mostly compact, dashed for k mod 5 = 1, slashed for 2."""
+    m = F.pmod(k, F.lit(5))
+    return (F.when(m == 1, F.date_format(day, "yyyy-MM-dd")).when(m == 2, F.date_format(day, "yyyy/MM/dd"))
+            .otherwise(F.date_format(day, "yyyyMMdd")))
+
+
 def daily_landing(spark, sf_dir) -> DataFrame:
-    """Vendor daily-bar landing (contract ``daily``): text trade_date, amount
-    in thousands, pct_chg in percent."""
-    b = bars(spark, sf_dir)
+    """Vendor daily-bar landing (contract ``daily``): text trade_date in every
+    accepted shape, amount in thousands, pct_chg in percent."""
+    b = bars_keyed(spark, sf_dir)
     null = F.lit(None).cast(T.DoubleType())
     return b.select(
         F.col("instrument_id").alias("ts_code"),
-        date_to_text("trade_date").alias("trade_date"),
+        _vendor_date(F.col("k"), F.col("trade_date")).alias("trade_date"),
         "open", "high", "low", "close", null.alias("pre_close"),
         (F.col("high") - F.col("low")).alias("change"),
         (F.col("high") - F.col("low")).alias("pct_chg"),
@@ -311,7 +332,7 @@ def date_text(spark, sf_dir) -> DataFrame:
 
 def text_bars(spark, sf_dir) -> DataFrame:
     """A bar batch landed as text (every order a row): mixed date shapes,
-    'n/a' prices, a status letter where a number belongs, a bigint volume,
+    'n/a', '1.5d' and '3f' prices, a status letter where a number belongs, a bigint volume,
     an instant as text and an extra column (conform input)."""
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
@@ -319,6 +340,7 @@ def text_bars(spark, sf_dir) -> DataFrame:
         F.concat(F.lit("O"), k.cast("string")).alias("instrument_id"),
         _mixed_date_text(k, F.col("o_orderdate")).alias("trade_date"),
         F.when(F.pmod(k, F.lit(7)) == 0, F.lit("n/a"))
+         .when(F.pmod(k, F.lit(7)) == 1, F.lit("1.5d")).when(F.pmod(k, F.lit(7)) == 2, F.lit("3f"))
          .otherwise(F.col("o_totalprice").cast("string")).alias("open"),
         F.col("o_orderstatus").alias("close"),
         F.col("o_custkey").alias("volume"),
@@ -379,6 +401,22 @@ def requested_tickers(spark, sf_dir) -> DataFrame:
     return segs.unionByName(none).distinct()
 
 
+# ---------------------------------------------------------------- stored state -
+
+def stored_state(mapped: DataFrame) -> DataFrame:
+    """A table before a load, from the rows that the load will bring: those
+    whose id has an even sixth character, under source code 'stored' (the load
+    replaces them), and the others under ids that the load lacks (they stay)."""
+    even = F.pmod(F.ascii(F.substring("instrument_id", 6, 1)), F.lit(2)) == 0
+    iid = F.when(even, F.col("instrument_id")).otherwise(F.concat("instrument_id", F.lit("~")))
+    return mapped.withColumns({"instrument_id": iid, "source_code": F.lit("stored")})
+
+
+def special_days(spark, sf_dir) -> DataFrame:
+    """``stock_st`` landing with one row for each key of its table."""
+    return stock_st_landing(spark, sf_dir).distinct()
+
+
 # ---------------------------------------------------------------- wide --------
 
 def wide_bars(spark, sf_dir) -> DataFrame:
