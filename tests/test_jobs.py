@@ -8,7 +8,8 @@ import pytest
 from tidemark import schema as S
 from tidemark.plans.jobs import Loader
 from tidemark.schema import LANDING
-from tidemark.sources.tables import Store
+from tidemark.functions.dates import month_key
+from tidemark.sources.tables import Months, Store
 
 NOW = dt.datetime(2026, 6, 1)
 KV = S.TableSpec("kv", S.struct("k:s, v:i?"), ("k",))
@@ -28,7 +29,7 @@ def test_snapshot_upsert_and_duplicate_rejected(spark, tmp_root):
     assert {r["k"]: r["v"] for r in store.read(KV).collect()} == {"a": 1, "b": 9, "c": 3}
     assert store.upsert(KV, kv(spark, [])) == 0
     assert store.upsert(KV, spark.createDataFrame([], "k string")) == 0  # empty: no column check
-    with pytest.raises(ValueError, match=r"missing columns: \['v'\]"):
+    with pytest.raises(ValueError, match=r"lacks columns \['v'\]"):
         store.upsert(KV, spark.createDataFrame([("z",)], "k string"))
 
 
@@ -107,8 +108,10 @@ def test_yahoo_jobs(spark, tmp_root):
     hist = spark.createDataFrame(
         [("NVDA", dt.datetime(2026, 6, d), 1.0, 1.0, 1.0, float(d), None, 5.0, None, None) for d in (1, 2, 3)],
         LANDING["history"])
-    assert loader.yf_market_bars_daily(hist, "2026-06-01", "2026-06-01").rows_written == 1
-    r2 = loader.yf_market_bars_daily(hist, "2026-06-01", "2026-06-03")
+    # Q8: a text end is exclusive, a date is inclusive
+    assert loader.yf_market_bars_daily(hist, "2026-06-01", "2026-06-01").rows_written == 0
+    assert loader.yf_market_bars_daily(hist, "2026-06-01", dt.date(2026, 6, 1)).rows_written == 1
+    r2 = loader.yf_market_bars_daily(hist, "2026-06-01", dt.date(2026, 6, 3))
     assert (r2.raw_rows, r2.rows_written) == (3, 2)
     rows = {x["trade_date"].day: x["pre_close"] for x in loader.table(S.MARKET_BARS_DAILY).collect()}
     assert rows == {1: None, 2: None, 3: 2.0}  # Q5: first new row has no pre_close
@@ -233,7 +236,7 @@ def test_yahoo_bars_validate_tickers(spark, tmp_root):
     hist = spark.createDataFrame(
         [(t, dt.datetime(2026, 6, 1), 1.0, 1.0, 1.0, 1.0, None, 5.0, None, None)
          for t in ("NVDA", "GOOGL", "nvda")], LANDING["history"])
-    r = loader.yf_market_bars_daily(hist, "2026-06-01", "2026-06-01", tickers=req, candidates=cand)
+    r = loader.yf_market_bars_daily(hist, "2026-06-01", "2026-06-02", tickers=req, candidates=cand)
     assert r.rows_written == 1  # only NVDA is an exact match; GOOGL is not 'goog'
     assert [x["instrument_id"] for x in loader.table(S.MARKET_BARS_DAILY).collect()] == ["NVDA"]
 
@@ -246,7 +249,7 @@ def test_upsert_reads_only_touched_months(spark, tmp_root):
         [("a", dt.date(2026, 7, 1), 2.0, None, None, 2.0, None, None, None, None, None, "a", "tushare", NOW)],
         S.MARKET_BARS_DAILY.schema)
     store.upsert(S.MARKET_BARS_DAILY, july)
-    got = store.read_months("market_bars_daily", ([202607], False))
+    got = store.read_months(S.MARKET_BARS_DAILY, Months.of(month_key("trade_date"), july))
     plan = got._jdf.queryExecution().executedPlan().toString()
     part = plan.split("PartitionFilters")[1][:200]
     assert "trade_month" in part and "202607" in part  # directories pruned, not rows filtered
@@ -333,3 +336,96 @@ def test_index_job_accepts_scanned_feed(spark, tmp_root):
     feed = L.daily_feed(spark, path, "index_daily")
     loader.index_daily(feed, "2026-06-01", "2026-06-01", params={"index_codes": ["000300.SH"]})
     assert loader.table(S.MARKET_BARS_DAILY).collect()[0]["pct_chg"] == 0.01
+
+
+RAW = "ts_code string, trade_date string, close {}"
+
+
+def _merge(store, spark, rows, kind):
+    df = spark.createDataFrame(rows, RAW.format(kind))
+    return store.merge_raw("raw/t", df, ["ts_code", "trade_date"], date_col="trade_date")
+
+
+def test_raw_store_survives_a_type_change(spark, tmp_root):
+    store = Store(spark, tmp_root)
+    assert _merge(store, spark, [("a", "20260501", 1.0), ("b", "20260501", 2.0)], "double") == 2
+    assert _merge(store, spark, [("a", "20260601", "n/a")], "string") == 3
+    assert _merge(store, spark, [("a", "20260501", 4.0)], "double") == 3  # narrower again: read as text
+    raw = store.read_raw("raw/t", partitioned=True)
+    assert dict(raw.dtypes)["close"] == "string"
+    got = {(r["ts_code"], r["trade_date"]): r["close"] for r in raw.collect()}
+    assert got == {("a", "20260501"): "4.0", ("b", "20260501"): "2.0", ("a", "20260601"): "n/a"}
+
+
+def test_raw_merge_opens_only_its_months(spark, tmp_root):
+    import os
+    import time
+    store = Store(spark, tmp_root)
+    _merge(store, spark, [("a", f"2026{m:02d}01", 1.0) for m in range(1, 7)], "double")
+    path = f"{tmp_root}/raw/t/version=1"
+    before = {d: {f: os.stat(f"{path}/{d}/{f}").st_mtime_ns for f in os.listdir(f"{path}/{d}")}
+              for d in os.listdir(path) if d.startswith("trade_month")}
+    entry = store._latest("raw/t")
+    stored, _ = store._raw_months("raw/t", entry)
+    june = spark.createDataFrame([("a", "20260601", 5.0)], RAW.format("double"))
+    from tidemark.functions.dates import lenient_date
+    part = Months.of(month_key(lenient_date("trade_date")), june).of_store(stored)
+    assert [f.rsplit("/", 2)[1] for f in part.inputFiles()] != [] and part.count() == 1
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "202606" in plan.split("PartitionFilters")[1][:300]
+    time.sleep(0.01)
+    assert _merge(store, spark, [("a", "20260601", 5.0)], "double") == 6
+    after = {d: {f: os.stat(f"{path}/{d}/{f}").st_mtime_ns for f in os.listdir(f"{path}/{d}")}
+             for d in os.listdir(path) if d.startswith("trade_month")}
+    assert [d for d in sorted(after) if after[d] != before[d]] == ["trade_month=202606"]
+
+
+def test_old_snapshots_expire(spark, tmp_root):
+    import os
+    store = Store(spark, tmp_root)
+    for i in range(6):
+        store.upsert(KV, kv(spark, [("a", i)]))
+    assert len([d for d in os.listdir(f"{tmp_root}/kv") if d.startswith("snapshot")]) == 3
+    assert {r["v"] for r in store.read(KV).collect()} == {5}
+
+
+def test_stock_st_raw_rows_do_not_hang_on_order(spark, tmp_root):
+    rows = [_row("stock_st", ts_code="a.SZ", name=f"n{i}", trade_date="20260601", type=f"t{i}", type_name="r")
+            for i in range(6)]
+    st = spark.createDataFrame(rows, LANDING["stock_st"])
+    kept = []
+    for i, batch in enumerate((st.repartition(5, "name"), st.repartition(2, "type"))):
+        loader = Loader(spark, f"{tmp_root}/{i}", updated_at=NOW)
+        loader.stock_st(batch, "2026-06-01", "2026-06-01")
+        kept.append(sorted(map(tuple, loader.raw.read_raw("tushare/reference_instrument_st", partitioned=True).collect())))
+    assert kept[0] == kept[1] and len(kept[0]) == 1
+
+
+def test_arrival_order_decides(spark, tmp_root):
+    from tidemark.sources import landing as L
+    path = f"{tmp_root}/landing/daily"
+    spark.createDataFrame([_daily("a.SZ", "20260601", 9.0), _daily("a.SZ", "20260601", 1.0)],
+                          LANDING["daily"]).coalesce(1).write.parquet(path)
+    store = Store(spark, tmp_root)
+    landed = L.read_landing(spark, path, "daily", arrival=True)
+    store.merge_raw("raw/a", landed, ["ts_code", "trade_date"], date_col="trade_date")
+    raw = store.read_raw("raw/a", partitioned=True)
+    assert [r["close"] for r in raw.collect()] == [1.0] and "_arrival" not in raw.columns
+
+
+def test_update_by_dataset_name(spark, tmp_root):
+    loader = Loader(spark, tmp_root, updated_at=NOW)
+    feed = spark.createDataFrame([_daily("HKTECH", "20260601", 1.0)], LANDING["index_global"])
+    r = loader.update("market_bars_index_daily", feed, start="2026-06-01", end="2026-06-01",
+                      index_api="index_global", params={"index_codes": ["HKTECH"]},
+                      fields="ts_code,trade_date,close,pct_chg")
+    assert (r.dataset, r.rows_written) == ("market_bars_index_daily", 1)
+    assert loader.table(S.MARKET_BARS_DAILY).collect()[0]["open"] is None  # a field not asked for
+    with pytest.raises(ValueError, match="no job"):
+        loader.update("nope", feed)
+
+
+def test_failed_load_keeps_the_whole_message(spark, tmp_root):
+    loader = Loader(spark, tmp_root, updated_at=NOW)
+    loader._audit("d", "tushare", "t", "all", NOW, 0, 0, status="failed", message="x" * 5000)
+    assert len(loader.db.read_appended(S.UPDATE_EVENTS).collect()[0]["message"]) == 5000

@@ -29,11 +29,10 @@ def test_stock_daily_over_driver_tables(spark, tmp_root):
     assert bars.count() == _in(landing, "1994-01-01", "1996-12-31").count()
     assert loader.stock_daily(landing, "1994-06-01", "1996-06-30").rows_written == 0
     # stored values are the mapped landing values (amount in thousands x 1000)
-    one = landing.where("amount IS NOT NULL").limit(1).collect()[0]
+    one = _in(landing, "1995-01-01", "1995-12-31").where("amount IS NOT NULL").limit(1).collect()[0]
     row = bars.where(F.col("instrument_id") == one["ts_code"]).where(
         F.col("trade_date") == lenient_date(F.lit(one["trade_date"]))).collect()
-    if row:
-        assert row[0]["amount"] == one["amount"] * 1000.0
+    assert [r["amount"] for r in row] == [one["amount"] * 1000.0]
 
 
 def test_etf_jobs_over_driver_tables(spark, tmp_root):

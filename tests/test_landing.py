@@ -100,3 +100,12 @@ def test_fraction_rule_applies_once(spark, tmp_root):
     scanned = L.daily_feed(spark, path, "index_daily")
     again = L.pct_to_fraction_at_scan(L.pct_to_fraction_at_scan(scanned, "index_daily"), "index_daily")
     assert again.collect()[0]["pct_chg"] == 0.05
+
+
+def test_window_keeps_every_date_shape(spark, tmp_root):
+    days = ["20260601", "2026-06-01", "2026/06/01", "2026/6/02", "20260602", "20260531", "2026-06-03", "2025-06-01", "bad"]
+    path = _land(spark, tmp_root, "stock_st", [("a.SZ", "n", d, "ST", "r") for d in days])
+    got = [r["trade_date"] for r in L.special_treatment(spark, path, "2026-06-01", "2026-06-02").collect()]
+    assert sorted(got) == sorted(days[:5])
+    one = L.where_window(L.read_landing(spark, path, "stock_st"), "trade_date", trade_date="20260601")
+    assert sorted(r["trade_date"] for r in one.collect()) == sorted(days[:3])

@@ -81,3 +81,36 @@ def test_joins_past_the_broadcast_threshold(spark):
         assert re.search(r"hashpartitioning\(instrument_id#\d+, trade_date#\d+", keyed)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _ran(df):
+    """The plan that a run of ``df`` ended with."""
+    execution = df._jdf.queryExecution()
+    df.collect()
+    return execution.executedPlan().toString()
+
+
+def test_previous_close_runs_its_input_once(spark):
+    from tidemark.plans import catalog
+    plan = _ran(catalog.yf_new_bars(spark, "/root/testdata/sf0.001"))
+    assert "ReusedExchange" in plan or plan.count("LeftAnti") == 1
+
+
+def test_building_a_query_starts_no_job(spark, monkeypatch):
+    from tidemark.plans import catalog
+    frame = type(spark.range(0))
+
+    def refused(self, *args, **kwargs):
+        raise AssertionError("an action while a query is built")
+
+    for action in ("collect", "first", "head", "take", "count", "isEmpty", "toPandas", "toArrow", "toLocalIterator", "checkpoint"):
+        monkeypatch.setattr(frame, action, refused)
+    for query in catalog.QUERIES.values():
+        query(spark, "/root/testdata/sf0.001")
+
+
+def test_ordered_queries_come_in_order(spark):
+    from tidemark.plans import catalog
+    for name in ("universe_etf", "universe_index", "universe_future", "universe_yahoo", "distinct_ids"):
+        ids = [r[0] for r in catalog.QUERIES[name](spark, "/root/testdata/sf0.001").collect()]
+        assert ids == sorted(ids) and ids, name

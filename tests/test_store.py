@@ -38,9 +38,9 @@ def test_upsert_drops_extra_columns(spark):
     assert ST.upsert(None, inc, KV).columns == ["k", "v"]
 
 
-def test_duplicate_key_rejected(spark):
-    with pytest.raises(ValueError, match="duplicate"):
-        C.assert_unique_key(kv(spark, [("b", 9), ("b", 8)]), KV)
+def test_duplicate_key_found(spark):
+    found = C.key_violations(kv(spark, [("b", 9), ("b", 8), ("c", 1)]), KV.primary_key).collect()
+    assert [(r["k"], r["n_rows"]) for r in found] == [("b", 2)]
 
 
 def test_required_null_rejected(spark):
@@ -158,3 +158,21 @@ def test_relaxed_union_flag_with_numbers(spark):
     assert sorted(r["x"] for r in out.collect()) == [0.0, 1.0, 2.5, 5.0]
     flags = ST.relaxed_union(a, spark.createDataFrame([(None,)], "x boolean"))
     assert dict(flags.dtypes) == {"x": "boolean"}  # flags alone stay flags
+
+
+def test_numbers_are_numbers(spark):
+    from tidemark.functions.numeric import to_double
+    texts = ["1.5", " 2 ", "-3.", ".5", "1e3", "1.5d", "3f", "0x1p3", "n/a", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = [r[0] for r in df.select(to_double("x")).collect()]
+    assert got == [1.5, 2.0, -3.0, 0.5, 1000.0, None, None, None, None, None, None]
+    spec = S.TableSpec("t", S.struct("x:f?"), ())
+    assert [r[0] for r in C.conform(df, spec).collect()] == got
+
+
+def test_keep_latest_does_not_hang_on_partitioning(spark):
+    rows = [("a", i % 7, f"v{i % 5}") for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, n int, v string")
+    one = ST.merge_keep_latest(None, df.repartition(7, "v"), ["k"]).collect()
+    two = ST.merge_keep_latest(None, df.repartition(3, "n"), ["k"]).collect()
+    assert one == two and tuple(one[0]) == ("a", 6, "v4")
