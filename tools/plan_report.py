@@ -40,7 +40,7 @@ def summarize(plan: str) -> dict:
 
 def main() -> None:
     from tidemark.session import local_session
-    import __spark_entry__ as entry
+    from tidemark.plans import catalog
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session()
@@ -50,7 +50,7 @@ def main() -> None:
           "`tools/plan_report.py`.\n")
     print("| query | exchanges | broadcasts | joins | aggregates | windows | pushed |")
     print("|---|---|---|---|---|---|---|")
-    for name, query in entry.queries().items():
+    for name, query in catalog.QUERIES.items():
         df = query(spark, sf_dir)
         execution = df._jdf.queryExecution()
         execution.toRdd().count()  # runs this very plan, adaptive steps included
