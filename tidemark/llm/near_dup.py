@@ -11,14 +11,16 @@
 3. In each band bucket, every class is paired with the bucket's first class in
    a random order of that band (a star, never all pairs). A pair is a
    candidate if its odd sketches allow the wanted similarity.
-4. Candidates are confirmed on the full sets, in rounds: each class offers its
-   most similar open candidate, confirmed links join components, candidates
-   inside one component are closed, and so on until none is open.
+4. Candidates are confirmed on the full sets, in two rounds: each class offers
+   its two most similar open candidates, then all; confirmed links join
+   components, and candidates inside one component are closed. So a large
+   group of near copies is joined by few comparisons.
 5. Buckets that still hold several components are compared whole, sketch
-   against sketch, in blocks of bounded size; only pairs that the sketches
-   allow leave a block, and they go through step 4. So a bucket of any size
-   is dealt with in full, and a large group of near copies is one component
-   before this step and costs nothing in it.
+   against sketch, in blocks of bounded size: the classes outside a bucket's
+   largest component with all of its classes. Again in two rounds: of the
+   pairs that the sketches allow, each class offers its best two of each
+   block, then all; links go through the check of step 4. So buckets of any
+   size are dealt with in full.
 """
 
 from __future__ import annotations
@@ -26,9 +28,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, mix, utf8, window_hashes, word_hashes
@@ -36,9 +39,12 @@ from .components import connected_components
 
 BANDS, ROWS = 32, 5  # two sets of similarity 0.8 share no bucket with probability 3e-6
 SKETCH_BITS = 512
-#: Sketch estimates are below the true similarity by more than this about once in 10**6 (five standard errors).
-SLACK = 0.17
+#: Sketch estimates are below the true similarity by more than this about once in 30,000 (four standard errors).
+SLACK = 0.13
 BLOCK = 512  # classes compared at once with as many others
+FILTER_BITS = 1 << 24
+#: Candidates that a class offers in the rounds of step 4 and of step 5; the last is all.
+STAR_ROUNDS, BLOCK_ROUNDS = (2, None), (2, None)
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -122,27 +128,54 @@ def differing(x: Column, y: Column) -> Column:
                start=F.lit(0)).cast("int")
 
 
-def _blocks(most: int):
-    """Pairs that the sketches allow, of one block against another (or itself)."""
+def _blocks(most: int, percent: int, offered: int):
+    """Pairs in different components that sketches and sizes allow, of the
+    members of one block with those of another: of each member the ``offered``
+    most similar. A pair that shares several buckets comes from the first of
+    them only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out_a, out_b, out_x = [], [], []
-            for left, right in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist(), strict=True):
-                x = np.array([r["sketch"] for r in left], np.int64).view(np.uint64)
-                y = np.array([r["sketch"] for r in right], np.int64).view(np.uint64)
-                part = np.array([r["component"] for r in right])
-                for i, one in enumerate(left):
-                    bits = np.bitwise_count(y ^ x[i]).sum(axis=1)
-                    for j in np.nonzero((bits <= most) & (part != one["component"]))[0]:
-                        out_a.append(one["class"]), out_b.append(right[j]["class"]), out_x.append(int(bits[j]))
+            pairs = []
+            for key, left, right in zip(*(batch.column(c).to_pylist() for c in ("key", "left", "right")), strict=True):
+                sketch, part, name, bands, size = (
+                    np.array([r[c] for r in right]) for c in ("sketch", "component", "class", "bands", "n_shingles"))
+                for one in left:
+                    bits = np.bitwise_count(sketch ^ np.array(one["sketch"])).sum(axis=1)
+                    shared = bands == np.array(one["bands"])
+                    first = shared.argmax(axis=1)
+                    n = one["n_shingles"]
+                    near = np.nonzero((bits <= most) & (part != one["component"]) & (bands[np.arange(len(bands)), first] == key)
+                                      & (np.minimum(size, n) * 100 >= np.maximum(size, n) * percent))[0]
+                    for j in near[np.lexsort((name[near], bits[near]))[:offered]].tolist():
+                        ends = sorted(((one["class"], one["component"]), (int(name[j]), int(part[j]))))
+                        pairs.append((ends[0][0], ends[1][0], ends[0][1], ends[1][1], int(bits[j])))
+            columns = list(zip(*pairs, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64()), pa.array(out_x, pa.int32())],
-                ["a", "b", "bits"])
+                [pa.array(c, pa.int64()) for c in columns], ["a", "b", "ca", "cb", "bits"])
 
     return run
 
 
+def only_likely(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """``rows`` whose ``column`` is among ``ids`` (one column), and some by
+    chance: a bitmap of the ids' hashes, of fixed size whatever their number,
+    is sent out, so that rows that no join will keep aren't shuffled."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)).cast("int")
+    found = (ids.select(place(F.col(ids.columns[0])).alias("p")).groupBy((F.col("p") / 64).cast("int").alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, p % 64))").alias("bits")).toArrow())
+    words = np.zeros(FILTER_BITS // 64, np.int64)
+    words[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    sent = rows.sparkSession.sparkContext.broadcast(words)
+
+    @F.pandas_udf("boolean")
+    def likely(p: pd.Series) -> pd.Series:
+        at = p.to_numpy()
+        return pd.Series((sent.value[at // 64] >> (at % 64)) & 1 == 1)
+
+    return rows.where(F.col(column).isNotNull()).where(likely(place(F.col(column))))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Group the documents whose shingle sets are similar.
 
@@ -184,30 +217,36 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
              .join(side("x", "x"), "x").join(side("y", "y"), "y")
              .withColumn("bits", differing(F.col("s_x"), F.col("s_y")))
              .where(sizes_allow & (F.col("bits") <= most))
-             .select(F.col("x").alias("a"), F.col("y").alias("b"), "bits"))
+             .select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("x").alias("ca"), F.col("y").alias("cb"), "bits"))
 
     labels = facts.select("class", F.col("class").alias("component"))
-    labels = _confirm(docs, materialize(stars), labels, width, percent)
+    labels, refuted = _confirm(docs, materialize(stars), labels, width, percent, STAR_ROUNDS)
 
     # buckets whose members are still in several components: those outside the
     # bucket's largest component against all of its members
-    now = materialize(shared.select("key", "class").join(labels, "class"))
-    parts = now.groupBy("key", "component").agg(F.count("*").alias("size"))
-    mixed = (parts.groupBy("key").agg(
-        F.max_by("component", F.struct("size", "component")).alias("major"), F.sum("size").alias("members"),
-        (F.sum("size") - F.max("size")).alias("others")).where("others > 0"))
-    dealt = materialize(now.join(mixed, "key").join(facts.select("class", "sketch"), "class"))
-    if dealt.limit(1).count():
+    for offered in BLOCK_ROUNDS:
+        now = shared.select("key", "class").join(labels, "class")
+        parts = now.groupBy("key", "component").agg(F.count("*").alias("size"))
+        mixed = (parts.groupBy("key").agg(
+            F.max_by("component", F.struct("size", "component")).alias("major"), F.sum("size").alias("members"),
+            (F.sum("size") - F.max("size")).alias("others")).where("others > 0"))
+        dealt = materialize(now.join(mixed, "key"))
+        if not dealt.limit(1).count():
+            break
+
         def blocks(rows: DataFrame, of: str, name: str) -> DataFrame:
             block = F.pmod(F.xxhash64("class"), F.ceil(F.col(of) / BLOCK))
-            return rows.groupBy("key", block.alias(f"{name}_block")).agg(
-                F.collect_list(F.struct("class", "component", "sketch")).alias(name))
+            return rows.join(classes, "class").groupBy("key", block.alias(f"{name}_block")).agg(
+                F.collect_list(F.struct("class", "component", "n_shingles", "sketch", "bands")).alias(name))
 
         rest = (blocks(dealt.where("component != major"), "others", "left").join(blocks(dealt, "members", "right"), "key")
-                .select("left", "right").mapInArrow(_blocks(most), "a long, b long, bits int")
-                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "bits").distinct()
-                .join(side("a", "x"), "a").join(side("b", "y"), "b").where(sizes_allow).select("a", "b", "bits"))
-        labels = _confirm(docs, materialize(rest), labels, width, percent)
+                .select("key", "left", "right")
+                .mapInArrow(_blocks(most, percent, offered or BLOCK * BLOCK), "a long, b long, ca long, cb long, bits long")
+                .dropDuplicates(["a", "b"]))
+        rest = rest if refuted is None else rest.join(refuted, ["a", "b"], "left_anti")
+        labels, more = _confirm(docs, materialize(rest), labels, width, percent, (None,))
+        if more is not None:
+            refuted = more if refuted is None else materialize(refuted.union(more))
 
     whole = shape_class.join(labels, "class").select("shape", F.col("component").alias("component_id"))
     out = signed.select("doc_id", "n_shingles", "shape").join(whole, "shape", "left")
@@ -216,34 +255,46 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _confirm(docs: DataFrame, open_pairs: DataFrame, labels: DataFrame, width: int, percent: int) -> DataFrame:
-    """Confirm candidates (``a``, ``b``, ``bits``) on full sets until each is
-    confirmed, refuted or inside one component. ``labels`` (``class``,
-    ``component``) comes back with the components that the new links join."""
+def _confirm(docs: DataFrame, open_pairs: DataFrame, labels: DataFrame, width: int, percent: int,
+             rounds: tuple[int | None, ...]) -> tuple[DataFrame, DataFrame | None]:
+    """Confirm candidates (``a``, ``b``, ``bits`` and the ends' components
+    ``ca``, ``cb``) on full sets until each is confirmed, refuted or inside one component; in each round a class offers so
+    many of its most similar ones, in the last all. Returns ``labels``
+    (``class``, ``component``) with the components that the new links join,
+    and the refuted pairs (``a`` < ``b``)."""
     def in_components(pairs: DataFrame) -> DataFrame:
         of = lambda end: labels.select(F.col("class").alias(end), F.col("component").alias(f"c{end}"))
         return materialize(pairs.join(of("a"), "a").join(of("b"), "b").where("ca != cb"))
 
-    open_pairs, sets = in_components(open_pairs), None
-    while open_pairs.limit(1).count():
+    sets = refuted = None
+    for offered in rounds:
+        if not open_pairs.limit(1).count():
+            break
         if sets is None:
             wanted = open_pairs.select(F.col("a").alias("doc_id")).union(open_pairs.select("b")).distinct()
+            texts = only_likely(docs.select("doc_id", utf8(F.col("text")).alias("text")), "doc_id", wanted)
             sets = materialize(
-                docs.select("doc_id", utf8(F.col("text")).alias("text")).join(wanted, "doc_id", "left_semi")
+                texts.join(wanted, "doc_id", "left_semi")
                 .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("class"), "text")
                 .mapInArrow(_full_sets(width), "class long, shingles array<long>"))
-        # each class offers its most similar open candidate
-        best = open_pairs.groupBy("a").agg(F.min(F.struct("bits", "b", "ca", "cb")).alias("best"))
+        best = open_pairs
+        if offered is not None:
+            nearest = Window.partitionBy("a").orderBy("bits", "b")
+            best = open_pairs.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= offered).drop("rank")
         x = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
         y = sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
         common = F.size(F.array_intersect("x", "y")).cast("long")
         tried = materialize(
-            best.select("a", "best.*").join(x, "a").join(y, "b")
+            best.join(x, "a").join(y, "b")
             .select("a", "b", "ca", "cb",
                     (common * 100 >= (F.size("x") + F.size("y") - common) * percent).alias("linked")))
         joined = connected_components(tried.where("linked").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         labels = materialize(
             labels.join(joined.select(F.col("node").alias("component"), F.col("component").alias("into")), "component", "left")
             .select("class", F.coalesce("into", "component").alias("component")))
+        failed = tried.where("not linked").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        refuted = failed if refuted is None else refuted.union(failed)
+        if offered is None:
+            break
         open_pairs = in_components(open_pairs.select("a", "b", "bits").join(tried.select("a", "b"), ["a", "b"], "left_anti"))
-    return labels
+    return labels, refuted
