@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 
 import numpy as np
 import xxhash
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,16 @@ from tidemark.session import ensure_checkpoint_dir
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+def send(spark: SparkSession, value) -> Broadcast:
+    """Broadcast an object of this package's own classes, pickled by value:
+    executors need no copy of the package to read it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent: Broadcast):
+    return pickle.loads(sent.value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

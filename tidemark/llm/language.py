@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_remainder, utf8
+from .common import crc_remainder, received, send, utf8
 
 TRAIN_BYTES = 500_000  # expected bytes of training text for each language
 SYMBOLS = 64  # the 63 commonest bytes, and one symbol for all others
@@ -155,10 +155,10 @@ def identify(docs: DataFrame, labelled: DataFrame, train_bytes: int = TRAIN_BYTE
     letter, and any text if there is nothing to learn from, is ``und`` with
     score 0. Among equal codes the first name wins."""
     known = labelled.where("text is not null and lang is not null and text != ''").select("text", "lang")
-    sent = docs.sparkSession.sparkContext.broadcast(ContextTrees(training_counts(known, train_bytes)))
+    sent = send(docs.sparkSession, ContextTrees(training_counts(known, train_bytes)))
     rows = docs.drop("lang_pred", "score").withColumn("text", F.col("text").cast("binary"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(lambda batches: _predict(sent.value)(batches), f"{schema}, lang_pred string, score double")
+    return rows.mapInArrow(lambda batches: _predict(received(sent))(batches), f"{schema}, lang_pred string, score double")
 
 
 def held_out(doc_id: Column) -> Column:
