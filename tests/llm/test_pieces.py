@@ -100,6 +100,8 @@ def test_frames(spark, docs_of, odd_rows, model):
         assert r["decoded"] == r["text"]
         assert (r["piece_ids"] is None) == (r["text"] is None)
     report = P.pieces_report(docs_of(odd_rows)).collect()
+    assert sorted(map(str, ((r["doc_id"], r["piece_ids"]) for r in report))) == sorted(
+        map(str, ((r["doc_id"], r["piece_ids"]) for r in back)))
     assert all(r["lossless"] for r in report) and len(report) == len(odd_rows)
     again = {(r["doc_id"], r["n_pieces"], tuple(r["piece_ids"] or ())) for r in P.pieces_report(docs_of(odd_rows).repartition(5)).collect()}
     assert again == {(r["doc_id"], r["n_pieces"], tuple(r["piece_ids"] or ())) for r in report}

@@ -20,21 +20,22 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix
+from .common import mix, received, send
 
 SPACE = "▁"
 SEGMENT = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 EXACT = 32  # segments up to this length share arrays with their like; longer ones with those up to a quarter longer
 PLACES_AT_ONCE = 50_000
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
-CHARS_AT_ONCE = 6_000_000
+CHARS_AT_ONCE = 1_500_000
 SLOTS = 1 << 19
 #: Stands for U+2581 where the text has it: a lone surrogate, which no text holds.
 LITERAL = "\ud800"
@@ -245,25 +246,49 @@ def row_keys(ids: list[int | None], seed: int) -> np.ndarray:
         return mix(mix(own) + np.uint64(seed) * FACTOR)
 
 
+def _sampled(vocabulary: Pieces, seed: int, batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list, np.ndarray, np.ndarray]]:
+    """The batch in parts of bounded size, each with its texts, all their piece
+    ids and where each text's begin."""
+    texts = batch.column("text")
+    keys = row_keys(batch.column("doc_id").to_pylist(), seed)
+    size = pc.fill_null(pc.utf8_length(texts), 0).to_numpy()
+    at = 0
+    while at < len(texts):
+        upto, chars = at + 1, size[at]
+        while upto < len(texts) and chars + size[upto] <= CHARS_AT_ONCE:
+            chars += size[upto]
+            upto += 1
+        part = batch.slice(at, upto - at)
+        own = part.column("text").to_pylist()
+        ids, begins = sample(vocabulary, [t or "" for t in own], keys[at:upto])
+        yield part, own, ids, begins
+        at = upto
+
+
+def _lists(texts: list[str | None], ids: np.ndarray, begins: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), pa.array(ids), mask=pa.array([t is None for t in texts]))
+
+
 def _encode(vocabulary: Pieces, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
-            texts = batch.column("text").to_pylist()
-            keys = row_keys(batch.column("doc_id").to_pylist(), seed)
-            at = 0
-            while at < len(texts):
-                upto, chars = at, 0
-                while upto < len(texts) and (upto == at or chars + len(texts[upto] or "") <= CHARS_AT_ONCE):
-                    chars += len(texts[upto] or "")
-                    upto += 1
-                ids, begins = sample(vocabulary, [t or "" for t in texts[at:upto]], keys[at:upto])
-                own = pa.ListArray.from_arrays(
-                    pa.array(begins.astype(np.int32)), pa.array(ids),
-                    mask=pa.array([t is None for t in texts[at:upto]]))
-                part = batch.slice(at, upto - at)
+            for part, texts, ids, begins in _sampled(vocabulary, seed, batch):
+                own = _lists(texts, ids, begins)
                 yield pa.RecordBatch.from_arrays([own if n == IDS else part.column(n) for n in names], names)
-                at = upto
+
+    return run
+
+
+def _report(vocabulary: Pieces, stands: list[bytes], seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts, ids, begins in _sampled(vocabulary, seed, batch):
+                back = [decode_ids(ids[a:b].tolist(), stands) for a, b in pairwise(begins.tolist())]
+                same = [(t or "") == b for t, b in zip(texts, back, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(np.diff(begins)), _lists(texts, ids, begins), pa.array(same)],
+                    ["doc_id", "n_pieces", "piece_ids", "lossless"])
 
     return run
 
@@ -294,9 +319,9 @@ def encode(docs: DataFrame, path: str = PATH, alpha: float = 0.0002, seed: int =
     Empty text gives no pieces, null text null; a null doc_id draws as 0;
     repeated rows get equal pieces. ``docs``' own ``piece_ids`` is replaced.
     The vocabulary is the broadcast: its size is the model's, not the data's."""
-    sent = docs.sparkSession.sparkContext.broadcast(load(path, alpha)[0])
+    sent = send(docs.sparkSession, load(path, alpha)[0])
     out = docs.drop("piece_ids").withColumn(IDS, F.lit(None).cast("array<int>"))
-    return (out.mapInArrow(lambda batches: _encode(sent.value, seed)(batches), out.schema)
+    return (out.mapInArrow(lambda batches: _encode(received(sent), seed)(batches), out.schema)
             .withColumnRenamed(IDS, "piece_ids"))
 
 
@@ -324,9 +349,11 @@ def _as_list(ids: pa.ListScalar) -> list[int] | None:
     return ids.values.to_numpy(zero_copy_only=False).tolist() if ids.is_valid else None
 
 
-def pieces_report(docs: DataFrame, path: str = PATH) -> DataFrame:
-    """One row per document: doc_id, n_pieces, piece_ids, and whether decoding
-    them gives back the text (``lossless``; true for null)."""
-    both = decode(encode(docs.select("doc_id", "text"), path), path)
-    return both.select("doc_id", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"), "piece_ids",
-                       F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+def pieces_report(docs: DataFrame, path: str = PATH, alpha: float = 0.0002, seed: int = 0) -> DataFrame:
+    """One row per document: doc_id, n_pieces, piece_ids (as :func:`encode`
+    draws them; null for null), and whether decoding them gives back the text
+    (``lossless``; true for null)."""
+    sent = send(docs.sparkSession, load(path, alpha))
+    return docs.select("doc_id", "text").mapInArrow(
+        lambda batches: _report(*received(sent), seed)(batches),
+        "doc_id long, n_pieces long, piece_ids array<int>, lossless boolean")
