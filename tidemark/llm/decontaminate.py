@@ -13,16 +13,21 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8, window_hashes, word_hashes
+from .common import mix, received, send, utf8
 
 WINDOW = 10
 BLOCK_WINDOWS = 500_000
+BYTES_AT_ONCE = 2_000_000
+#: Stands between two texts: a byte that no UTF-8 text has.
+BOUND = b"\xff"
 #: Working columns beside those of the documents.
 TEXT, COUNT, ITEMS, SPANS = "__text", "__n", "__items", "__spans"
 #: Words are runs of ASCII digits, ASCII letters (lower-cased) and all non-ASCII characters; the rest separates.
@@ -34,38 +39,49 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class WindowSet:
-    """A block of benchmark windows, looked up by hash, verified by word."""
+    """A block of benchmark windows: a hash set to look runs of words up in,
+    and the windows themselves to verify what it finds.
+
+    Only words that some window has can be inside one. Each word becomes its
+    number among those (0: none of them), so only runs of numbered words are
+    hashed at all."""
 
     def __init__(self, windows: dict[tuple[bytes, ...], set[int]]):
-        self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.windows = windows
-        hashes: dict[int, list[int]] = {}
-        self.at: dict[int, list[tuple[bytes, ...]]] = {}
-        for w in windows:
-            h = int(window_hashes(word_hashes(list(w)), len(w))[0])
-            hashes.setdefault(len(w), []).append(h)
-            self.at.setdefault(h, []).append(w)
-        for length, found in hashes.items():
-            keys = np.unique(np.array(found, np.uint64))
-            near = np.zeros(1 << 20, bool)  # a first look by the upper bits
-            near[(keys >> np.uint64(44)).astype(np.int64)] = True
-            self.by_length[length] = (keys, near)
-
-    def find(self, words: list[bytes], hashes: np.ndarray) -> tuple[set[int], list[tuple[int, int]]]:
-        """Items that occur, and the word ranges of all occurrences."""
-        items: set[int] = set()
-        spans: list[tuple[int, int]] = []
-        for length, (keys, near) in self.by_length.items():
-            runs = window_hashes(hashes, length)
-            maybe = np.nonzero(near[(runs >> np.uint64(44)).astype(np.int64)])[0]
-            if not len(maybe):
+        words = sorted({w for window in windows for w in window})
+        self.number = {w: i + 1 for i, w in enumerate(words)} | {BOUND: -1}
+        self.items = {tuple(self.number[w] for w in window): items for window, items in windows.items()}
+        self.hashes: dict[int, np.ndarray] = {}
+        for length in {len(w) for w in windows}:
+            runs = np.array([w for w in self.items if len(w) == length], np.int64)
+            self.hashes[length] = np.unique(self._hash(runs))
+
+    @staticmethod
+    def _hash(runs: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(runs), np.uint64)
+        with np.errstate(over="ignore"):
+            for column in runs.T:
+                out = out * np.uint64(0x9E3779B97F4A7C15) + column.astype(np.uint64)
+            return mix(out)
+
+    def find(self, texts: list[bytes]) -> tuple[np.ndarray, list[tuple[int, int, set[int]]]]:
+        """Words of each text; (start, end, items) of all occurrences, counted
+        through all texts' words with one place between two texts."""
+        words = (b" " + BOUND + b" ").join([t.translate(FOLD) for t in texts]).split()
+        number = np.fromiter(map(self.number.get, words, repeat(0)), np.int64, len(words))
+        bounds = np.concatenate([[-1], np.nonzero(number == -1)[0], [len(words)]])
+        known = np.concatenate([[0], np.cumsum(number > 0)])
+        found = []
+        for length, hashes in self.hashes.items():
+            if len(number) < length:
                 continue
-            for i in maybe[np.isin(runs[maybe], keys)].tolist():
-                run = tuple(words[i : i + length])
-                if run in self.at.get(int(runs[i]), ()):
-                    items |= self.windows[run]
-                    spans.append((i, i + length))
-        return items, spans
+            start = np.nonzero(known[length:] - known[:-length] == length)[0]
+            runs = number[start[:, None] + np.arange(length)]
+            maybe = np.isin(self._hash(runs), hashes)
+            for i, run in zip(start[maybe].tolist(), runs[maybe].tolist(), strict=True):
+                items = self.items.get(tuple(run))
+                if items is not None:
+                    found.append((i, i + length, items))
+        return bounds, found
 
 
 def item_windows(items: list[tuple[int | None, bytes]]) -> dict[tuple[bytes, ...], set]:
@@ -79,25 +95,28 @@ def item_windows(items: list[tuple[int | None, bytes]]) -> dict[tuple[bytes, ...
 
 
 def _mark(found: WindowSet):
-    """Adds a block's hits to ``items`` and ``spans`` (word ranges)."""
+    """Adds a block's hits to ITEMS and SPANS (word ranges)."""
+
+    def some(batch: pa.RecordBatch) -> pa.RecordBatch:
+        names = batch.schema.names
+        bounds, hits = found.find([t.as_py() for t in batch.column(TEXT)])
+        items, spans = batch.column(ITEMS).to_pylist(), batch.column(SPANS).to_pylist()
+        for (start, end, own), at in zip(hits, np.searchsorted(bounds, [h[0] for h in hits]) - 1, strict=True):
+            first = int(bounds[at]) + 1
+            spans[at] += [start - first, end - first]
+            items[at] = sorted({*items[at], *(i for i in own if i is not None)})
+        cols = {COUNT: pa.array(np.diff(bounds) - 1), ITEMS: pa.array(items, pa.list_(pa.int64())),
+                SPANS: pa.array(spans, pa.list_(pa.int32()))}
+        return pa.RecordBatch.from_arrays([cols.get(n, batch.column(n)) for n in names], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names
-            counts, items, spans = [], [], []
-            for text, old_items, old_spans in zip(
-                    batch.column(TEXT), batch.column(ITEMS), batch.column(SPANS), strict=True):
-                words = words_of(text.as_py())
-                new, ranges = found.find(words, word_hashes(words))
-                counts.append(len(words))
-                if not ranges and not len(old_spans):
-                    items.append([]), spans.append([])
-                    continue
-                items.append(sorted({*old_items.as_py(), *(i for i in new if i is not None)}))
-                spans.append([p for r in ranges for p in r] + old_spans.as_py())
-            cols = {COUNT: pa.array(counts, pa.int64()), ITEMS: pa.array(items, pa.list_(pa.int64())),
-                    SPANS: pa.array(spans, pa.list_(pa.int32()))}
-            yield pa.RecordBatch.from_arrays([cols.get(n, batch.column(n)) for n in names], names)
+            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(TEXT)), 0).to_numpy().astype(np.int64))
+            at = 0
+            while at < len(size):  # as many texts at once as have BYTES_AT_ONCE, one at least
+                upto = max(at + 1, int(np.searchsorted(size, BYTES_AT_ONCE + (size[at - 1] if at else 0), "right")))
+                yield some(batch.slice(at, upto - at))
+                at = upto
 
     return run
 
@@ -122,9 +141,9 @@ def _scan(docs: DataFrame, text: Column, benchmark: DataFrame) -> DataFrame:
     """``docs`` plus COUNT, ITEMS and SPANS of ``text``."""
     out = docs.select("*", utf8(text).alias(TEXT), F.lit(0).cast("long").alias(COUNT),
                       F.array().cast("array<long>").alias(ITEMS), F.array().cast("array<int>").alias(SPANS))
-    context, schema = docs.sparkSession.sparkContext, out.schema
-    for block in [context.broadcast(b) for b in _blocks(benchmark)] or [context.broadcast(WindowSet({}))]:
-        out = out.mapInArrow(lambda batches, block=block: _mark(block.value)(batches), schema)
+    spark, schema = docs.sparkSession, out.schema
+    for block in [send(spark, b) for b in _blocks(benchmark)] or [send(spark, WindowSet({}))]:
+        out = out.mapInArrow(lambda batches, block=block: _mark(received(block))(batches), schema)
     return out.drop(TEXT)
 
 
