@@ -2,6 +2,7 @@
 terms that give an entity away."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -66,6 +67,20 @@ def test_revealing_terms(spark, docs_of):
     assert X.revealing_terms(docs_of([(1, "nothing here")])).count() == 0
 
 
+def test_copies_leave_a_term_revealing(spark, docs_of):
+    """Three surroundings, each in many copies: of the whole text (zorbulon),
+    and of the passage in texts that differ elsewhere (quuxine)."""
+    whole = [f"one{i} two{i} Zorbulon zed@corp.example.com nine{i}" for i in range(3)]
+    passage = [f"a{i}aa b{i}bb c{i}cc d{i}dd Quuxine q@corp.example.com e{i}ee f{i}ff g{i}gg h{i}hh i{i}ii" for i in range(3)]
+    rows = [(i, whole[i % 3]) for i in range(150)]
+    rows += [(1000 + i, f"start{i} of it {passage[i % 3]} and end{i}") for i in range(30)]
+    rows += [(2000 + i, f"filler{i} alone") for i in range(400)] + [(3000 + i, "the same filler") for i in range(300)]
+    found = {r["term"]: (r["given"], r["bits"]) for r in X.revealing_terms(docs_of(rows), min_bits=2.0).collect()}
+    assert found["zorbulon"][0] == found["quuxine"][0] == 1.0
+    total = 3 + 30 + 400 + 1
+    assert abs(found["zorbulon"][1] - math.log2(total / 3)) < 1e-9 and abs(found["quuxine"][1] - math.log2(total / 30)) < 1e-9
+
+
 def test_report(spark, docs_of, monkeypatch):
     monkeypatch.setattr(X, "BLOCK_TERMS", 1)  # one pass for each term
     monkeypatch.setattr(X, "MIN_BITS", 2.0)

@@ -2,10 +2,12 @@
 
 Four patterns find e-mail addresses, IP addresses, card and phone numbers: the
 protected entities. Masking them is not enough where the words beside them
-name the same entity again and again. So the corpus is counted: how often a
-term stands beside an entity (in different surroundings, so that copies of a
-document count once), and in how many documents it occurs at all. A term
-reveals an entity by the information log2(p(entity | term) / p(entity)) bits.
+name the same entity again and again. So the corpus is counted: in how many
+different surroundings a term stands beside an entity (its support, so that one
+copied passage isn't evidence of its own), in how many different texts it does,
+and in how many different texts it occurs at all. Copies of a text count once
+on either side, and so in all probabilities. A term reveals an entity by the
+information log2(p(entity | term) / p(entity)) bits.
 Terms that reveal one with at least ``MIN_GIVEN`` certainty and ``MIN_BITS``
 bits on ``MIN_SUPPORT`` or more different surroundings are spans of their own
 wherever they occur.
@@ -15,9 +17,9 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -128,21 +130,38 @@ def surroundings(text: str) -> Iterator[tuple[str, str, int]]:
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [r for t in batch.column("text") if t.is_valid for r in surroundings(t.as_py())]
+        rows = [(*r, k) for t, k in zip(batch.column("text"), batch.column("key").to_pylist(), strict=True) for r in surroundings(t.as_py())]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()),
-             pa.array([r[2] for r in rows], pa.int64())], ["entity", "term", "place"])
+             pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int64())],
+            ["entity", "term", "place", "key"])
 
 
-def _documents_with(terms: frozenset[str]):
+def _terms_of(terms: list[str]):
+    """Places in ``terms`` of the words that each text has."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
+        index = {t: i for i, t in enumerate(terms)}
         for batch in batches:
-            for t in batch.column("text"):
-                if t.is_valid:
-                    seen.update(terms.intersection(w.lower() for w in WORD.findall(t.as_py())))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "docs"])
+            keys, found = [], []
+            for t, k in zip(batch.column("text"), batch.column("key").to_pylist(), strict=True):
+                own = {index[w] for w in {w.lower() for w in WORD.findall(t.as_py())} if w in index}
+                if own:
+                    keys.append(k), found.append(sorted(own))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.list_(pa.int32()))], ["key", "found"])
+
+    return run
+
+
+def _texts_with(terms: list[str]):
+    """How many of the texts have each of ``terms``; each text comes once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(terms), np.int64)
+        for batch in batches:
+            n += np.bincount(batch.column("found").flatten().to_numpy(), minlength=len(terms))
+        there = np.nonzero(n)[0]
+        yield pa.RecordBatch.from_arrays([pa.array([terms[i] for i in there], pa.string()), pa.array(n[there])], ["term", "docs"])
 
     return run
 
@@ -161,26 +180,27 @@ def _in_blocks(terms: DataFrame) -> Iterator[frozenset[str]]:
 def revealing_terms(docs: DataFrame, min_support: int = MIN_SUPPORT, min_given: float = MIN_GIVEN,
                     min_bits: float = MIN_BITS) -> DataFrame:
     """``term``, ``given`` (the highest p(entity | term)) and ``bits`` of the
-    terms over the thresholds, counted over all of ``docs``."""
+    terms over the thresholds, counted over all different texts of ``docs``."""
     context = docs.sparkSession.sparkContext
-    texts = docs.select("text")
-    pairs = (texts.mapInArrow(_surroundings, "entity string, term string, place long")
-             .groupBy("entity", "term", "place").count()
-             .groupBy("entity", "term").agg(F.count("*").alias("support")))
+    texts = docs.where("text is not null").select("text", F.xxhash64("text").alias("key"))  # copies have one key
+    pairs = (texts.mapInArrow(_surroundings, "entity string, term string, place long, key long")
+             .groupBy("entity", "term").agg(F.countDistinct("place").alias("support"), F.countDistinct("key").alias("texts")))
     pairs = materialize(pairs.where(F.col("support") >= min_support))
     counts = None
     for block in _in_blocks(pairs.select("term").distinct()):
-        sent = context.broadcast(block)
+        sent = context.broadcast(sorted(block))
         part = materialize(
-            texts.mapInArrow(lambda batches, sent=sent: _documents_with(sent.value)(batches), "term string, docs long")
+            texts.mapInArrow(lambda batches, sent=sent: _terms_of(sent.value)(batches), "key long, found array<int>")
+            .groupBy("key").agg(F.first("found").alias("found"))
+            .mapInArrow(lambda batches, sent=sent: _texts_with(sent.value)(batches), "term string, docs long")
             .groupBy("term").agg(F.sum("docs").alias("docs")))
         counts = part if counts is None else counts.union(part)
     if counts is None:
         return pairs.select("term", F.lit(0.0).alias("given"), F.lit(0.0).alias("bits")).limit(0)
     # the entity itself is at least as frequent as any of its terms beside it
-    total = docs.count()
-    known = pairs.groupBy("entity").agg(F.max("support").alias("entity_docs"))
-    given = F.least(F.lit(1.0), F.col("support") / F.col("docs"))
+    total = texts.select("key").distinct().count()
+    known = pairs.groupBy("entity").agg(F.max("texts").alias("entity_docs"))
+    given = F.least(F.lit(1.0), F.col("texts") / F.col("docs"))
     return materialize(
         pairs.join(known, "entity").join(counts, "term")
         .select("term", given.alias("given"), F.log2(given * total / F.col("entity_docs")).alias("bits"))
