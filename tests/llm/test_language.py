@@ -99,6 +99,26 @@ def test_labels_of_held_out_rows_are_never_used(spark, docs_of):
     assert {r["lang_pred"] for r in G.language_report(docs_of(rows)).collect()} == {"de"}
 
 
+def test_sample_fills_the_bound_and_leaves_no_language_out(spark, docs_of):
+    rnd = random.Random(5)
+    long = [(i, _text(rnd, "en", 20_000), "en") for i in range(4)]  # a few texts, each over the bound
+    copied = [(100 + i, t, "de") for i, t in enumerate([_text(rnd, "de", 30) for _ in range(60)] * 20)]
+    small = [(5000 + i, t, "fr") for i, t in enumerate(("que les eau", "été ment", "été ment"))]
+    rows, bound = [*long, *copied, *small], 20_000
+    known = docs_of(rows).select("text", "lang")
+    texts = {x: {(G.PAD + t.encode()) for _, t, lang in rows if lang == x} for x in STEMS}
+    got = {x: [] for x in STEMS}
+    for r in G.training_sample(known, bound).collect():
+        got[r["lang"]].append(bytes(r["text"]))
+    n = {x: sum(len(t) - len(G.PAD) for t in got[x]) for x in STEMS}
+    assert bound <= n["en"] < bound + G.PIECE_BYTES
+    assert n["de"] == min(n["de"], bound + 1_000) and n["de"] >= min(bound, sum(len(t) - 3 for t in texts["de"]))
+    assert sorted(got["fr"]) == sorted(texts["fr"])
+    for x in STEMS:
+        assert len(set(got[x])) == len(got[x]) and all(any(t in whole for whole in texts[x]) for t in got[x])
+    assert set(G.training_counts(known, bound)) == set(STEMS) and set(G.training_counts(known, 1)) == set(STEMS)
+
+
 def test_odd_rows(spark, docs_of, odd_rows):
     docs = docs_of([*((i, t, None) for i, t in odd_rows), *((100 + i, "some english text", "en") for i in range(20)),
                     (300, "123 -- 456 !", "en")])

@@ -10,9 +10,14 @@ After training the statistics are frozen: a text's code length in a language
 is the exact sum of -log2 of these predictions, and the language with the
 shortest code is predicted.
 
-The trees are trained on a bounded sample of labelled rows: about
-``TRAIN_BYTES`` of text for each language, drawn by a hash of the text (copies
-come once). Every text is scored whole.
+The trees are trained on a bounded sample of labelled rows. Copies are dropped
+first, texts are cut into pieces of at most ``PIECE_BYTES``, and each language
+takes its pieces in the order of a hash until it has ``TRAIN_BYTES`` or all of
+its text: every language with text has at least one piece, and none has more
+than a piece over the bound. Every text is scored whole.
+
+The trees tell 64 symbols apart: the 63 commonest bytes of the training text,
+and all other bytes together, each of these at the same cost.
 """
 
 from __future__ import annotations
@@ -22,12 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_remainder, received, send, utf8
+from .common import crc_remainder, materialize, received, send, utf8
 
-TRAIN_BYTES = 500_000  # expected bytes of training text for each language
+TRAIN_BYTES = 500_000  # bytes of training text for each language
+PIECE_BYTES = 8_192  # longer texts are drawn in pieces
 SYMBOLS = 64  # the 63 commonest bytes, and one symbol for all others
 AT_ONCE = 1 << 20  # bytes of one text scored in a go
 LETTER, ASCII_LETTER = re.compile(r"[^\W\d_]"), re.compile(rb"[A-Za-z]")
@@ -39,11 +45,12 @@ def has_letter(text: bytes) -> bool:
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of every three bytes with the byte after them, by language."""
+    """Counts of every three bytes with the byte after them, by language.
+    ``text`` has the three bytes before it in front."""
     for batch in batches:
         langs, grams, counts = [], [], []
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-            raw = np.frombuffer(PAD + text.as_py(), np.uint8).astype(np.int64)
+            raw = np.frombuffer(text.as_py(), np.uint8).astype(np.int64)
             codes, n = np.unique((raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:], return_counts=True)
             langs += [lang] * len(codes)
             grams.append(codes), counts.append(n)
@@ -52,14 +59,35 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(np.concatenate(counts or [np.zeros(0, np.int64)]))], ["lang", "gram", "n"])
 
 
+def training_sample(labelled: DataFrame, train_bytes: int = TRAIN_BYTES) -> DataFrame:
+    """``lang`` and ``text`` of the drawn pieces of ``labelled`` (``text``,
+    ``lang``; no nulls), each with the three bytes before it."""
+    size = F.octet_length("text")
+    keyed = labelled.select("lang", "text", F.xxhash64("text").alias("key"))  # copies have one key
+    texts = materialize(keyed.groupBy("lang", "key").agg(F.max(size).cast("long").alias("bytes")))
+    last = F.greatest(F.lit(0), F.ceil(F.col("bytes") / PIECE_BYTES) - 1).cast("int")
+    pieces = (texts.select("lang", "key", "bytes", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
+              .select("lang", "key", "piece", F.least(F.lit(PIECE_BYTES), F.col("bytes") - F.col("piece").cast("long") * PIECE_BYTES).alias("n"),
+                      F.shiftrightunsigned(F.xxhash64("key", "piece"), 1).alias("place")))
+    # places by their number of bits: up to the one that reaches the bound there are about twice as many bytes at most
+    pieces = pieces.withColumn("level", F.length(F.bin("place")))
+    upto = Window.partitionBy("lang").orderBy("level")  # at most 63 rows for each language
+    levels = (pieces.groupBy("lang", "level").agg(F.sum("n").alias("n")).withColumn("n", F.sum("n").over(upto))
+              .groupBy("lang").agg(F.coalesce(F.min(F.when(F.col("n") >= train_bytes, F.col("level"))), F.lit(64)).alias("cut")))
+    before = Window.partitionBy("lang").orderBy("place", "key", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    drawn = (pieces.join(F.broadcast(levels), "lang").where("level <= cut")
+             .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("before") < train_bytes)
+             .groupBy("lang", "key").agg(F.collect_list("piece").alias("pieces")))
+    whole = F.concat(F.lit(PAD), utf8(F.col("text")))
+    return (keyed.join(F.broadcast(drawn), ["lang", "key"]).select("lang", "key", "text", F.explode("pieces").alias("piece"))
+            .select("lang", "key", "piece", F.substring(whole, F.col("piece") * PIECE_BYTES + 1, F.lit(PIECE_BYTES + len(PAD))).alias("text"))
+            .dropDuplicates(["lang", "key", "piece"]).select("lang", "text"))
+
+
 def training_counts(labelled: DataFrame, train_bytes: int = TRAIN_BYTES) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """(grams, counts) of each language, from the bounded sample of
     ``labelled`` (``text``, ``lang``; no nulls)."""
-    sizes = labelled.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"))
-    share = F.least(F.lit(1.0), F.lit(float(train_bytes)) / F.greatest("bytes", F.lit(1)))
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = (labelled.join(F.broadcast(sizes), "lang").where(drawn < share)  # one row for each language
-              .select("lang", utf8(F.col("text")).alias("text")).dropDuplicates(["lang", "text"]))
+    sample = training_sample(labelled, train_bytes)
     rows = (sample.mapInArrow(_grams, "lang string, gram long, n long")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
     lang, gram, n = (np.array(rows.column(c).to_pylist()) for c in ("lang", "gram", "n"))
