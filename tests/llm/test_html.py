@@ -41,6 +41,28 @@ def test_header_inside_the_article_stays():
     assert H.main_text("<article><header><h1>Title</h1></header><p>" + WORDS + "</p></article>") == "Title\n\n" + WORDS.strip()
 
 
+def test_head_without_end_tag():
+    text = WORDS.strip()
+    for start in ("<body>", "<p>", "<div><p>", "<img src=x>", ""):
+        assert H.main_text(f"<html><head><meta charset=utf-8><title>T</title><script>var a;</script>\n{start}{WORDS}") == text
+    assert H.main_text(f"<head><noscript><img src=x>unseen</noscript><style>p</style><body><p>{WORDS}</p></body>") == text
+
+
+def test_article_cards_beside_the_text():
+    body = "".join(f"<p>{i} {WORDS * 2}</p>" for i in range(6))
+    want = "\n\n".join(f"{i} {(WORDS * 2).strip()}" for i in range(6))
+    cards = "".join(f"<article><h3>Card {i}</h3><p>Read this one too, it is of some length at least.</p></article>" for i in range(3))
+    for page in ("<body><div>{}</div><section>{}</section></body>", "<body><main><div>{}</div><section>{}</section></main></body>"):
+        got = H.main_text(page.format(body, cards))
+        assert got.startswith(want)
+
+
+def test_short_articles_with_chosen_lines_are_kept():
+    post = lambda n, k: f"<article><h2>Post {n}</h2><p>{WORDS * k}</p></article>"
+    got = H.main_text(f"<body>{post(1, 9)}{post(2, 4)}</body>")
+    assert got == "\n\n".join(x for n, k in ((1, 9), (2, 4)) for x in (f"Post {n}", (WORDS * k).strip()))
+
+
 def test_smoothing_and_threshold():
     import numpy as np
 

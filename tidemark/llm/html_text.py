@@ -5,8 +5,9 @@ lines, each with the text it holds, the tags it holds, how much of its text is
 link text, and its chain of open elements. A line's ratio is its text length
 over its tags. The ratios are smoothed with a Gaussian over neighbouring lines
 and split in two clusters by their threshold; the lines above it vote, by
-their text, for the elements that hold them. The content region is the
-deepest element that holds nearly all of those votes. All its lines are the text, except those in
+their text, for the elements that hold them. The content region is the page's
+article elements, or its main element, if they hold nearly all of those votes,
+else the deepest element that does. All its lines are the text, except those in
 elements that are boilerplate by what they are (navigation, forms, scripts,
 comments of readers and the like), which no vote counts for either.
 """
@@ -31,6 +32,7 @@ BLOCKS = frozenset(
     "thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("script style noscript template head title iframe object svg math canvas audio video".split())
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 ASIDE = frozenset("nav aside footer form button select textarea input menu dialog label".split())
 #: Words in class, id and role that name boilerplate.
 LABELS = re.compile(
@@ -74,9 +76,16 @@ class LineParser(HTMLParser):
             self.tags = 0
         self.text, self.linked = [], 0
 
+    def close_head(self) -> None:
+        """The end tag of head is optional: what can't be in it ends it."""
+        while self.open and self.open[-1][0] == "head":
+            self.open.pop()
+
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
             self.cut()
+        if tag not in IN_HEAD:
+            self.close_head()
         self.tags += 1
         if tag in VOID:
             if tag == "br":
@@ -112,6 +121,8 @@ class LineParser(HTMLParser):
         self.handle_starttag(tag, attrs)  # HTML ignores the slash
 
     def handle_data(self, data):
+        if data.strip("\t\n\f\r "):
+            self.close_head()
         if not (self.open and self.open[-1][3]):
             self.text.append(data)
             if self.links:
@@ -159,13 +170,13 @@ def content(lines: list[Line], names: dict[int, str]) -> list[str]:
         total += own
         for number in lines[i].path:
             votes[number] = votes.get(number, 0) + own
-    articles = [n for n in votes if names[n] in ("article", "main")]
     held = [n for n, v in votes.items() if v >= HOLDS * total and names[n] not in ("p", "b", "i", "em", "strong", "span", "a", "font", "u", "small")]
-    if articles:  # the page says where its article is: the elements with most of the votes
-        best = max(votes[n] for n in articles)
-        region = {n for n in articles if names[n] == "article" and 2 * votes[n] >= best} or {max(articles, key=lambda n: (votes[n], n))}
-    else:
-        region = {max(held)} if held else set()  # the deepest is numbered last along a chain
+    region = {max(held)} if held else set()  # the deepest is numbered last along a chain
+    for said in ("main", "article"):  # the page says where its article is
+        own = {n for n in votes if names[n] == said}
+        inside = sum(len(lines[i].text) - lines[i].linked for i in chosen if own.intersection(lines[i].path))
+        if own and inside >= HOLDS * total:
+            region = own
     return [lines[i].text for i in fair if not region or region.intersection(lines[i].path)]
 
 
