@@ -61,6 +61,29 @@ def test_blocks_reach_aliases_and_allow_goes_before(spark):
     assert got == {i: "block" if i in blocked else "allow" for i in [*range(1, 11), None]}
 
 
+def test_relative_targets(spark):
+    from html import unescape
+    from urllib.parse import urljoin
+
+    own = "http://h.com/d/e/page.html?q=1#f"
+    targets = ["x.html", "./x", "../x", "../../../x", "?p=2", "#top", "/abs/./y/..", "//o.net/z", "http://w.org/a", "a/../b?c=../d",
+               "x?u=http://else.net/", "a&amp;b", "x?a=1&#38;b=2", "&#x2e;./x", "caf&eacute;", "?a=1&copy=2", "&amp;lt;&lt;", "mailto:a@b.c"]
+    rows = [(i, u, f'<link rel="canonical" href="{t}">') for u in (own, "http://h.com") for i, t in enumerate(targets)]
+    want = sorted((u, urljoin(u, unescape(t.replace("&copy=", "&amp;copy=")))) for u in (own, "http://h.com") for t in targets)
+    nodes = U.declared_links(_pages(spark, rows)).select("url", U.node_of(U.F.col("target")).alias("n")).collect()
+    expected = spark.createDataFrame(want, "url string, target string").select("url", U.node_of(U.F.col("target")).alias("n")).collect()
+    key = lambda r: (r["url"], r["n"] or "")
+    assert sorted(map(key, nodes)) == sorted(map(key, expected))
+    based = _pages(spark, [(1, own, '<base href="/k/"><meta http-equiv=refresh content="0;url=m.html">')])
+    assert [r["target"] for r in U.declared_links(based).collect()] == ["http://h.com/k/m.html"]
+
+
+def test_blocks_reach_aliases_by_relative_targets(spark):
+    rows = [(1, "http://plain.com/a/b", '<link rel="canonical" href="c.html">'), (2, "http://plain.com/a/c.html", '<link rel="canonical" href="http://bad.net/a">'),
+            (3, "http://plain.com/a/d", '<meta http-equiv="refresh" content="0; url=../a/b">'), (4, "http://plain.com/c.html", "")]
+    assert _verdicts(U.judge_urls(_pages(spark, rows), URL_RULES)) == {1: "block", 2: "block", 3: "block", 4: "allow"}
+
+
 def test_given_links_and_a_chain(spark):
     pages = _pages(spark, [(i, f"http://h.com/{i}", None) for i in range(60)])
     links = spark.createDataFrame([(f"http://h.com/{i}", f"http://h.com/{i + 1}") for i in range(39)]

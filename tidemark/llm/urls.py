@@ -12,7 +12,9 @@ DataFrame functions only.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,19 +61,64 @@ def node_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
 
 
+#: In attributes a name without its semicolon counts only if no ``=``, letter or digit follows.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;|[A-Za-z][A-Za-z0-9]*(?![=A-Za-z0-9;]))"
+
+
+def unescaped(value: Column) -> Column:
+    """An attribute's value with its character references decoded, each once."""
+    names = F.from_json(F.lit(json.dumps({k.encode().hex().upper(): v for k, v in html5.items()})), "map<string,string>")
+
+    def decoded(ref: Column) -> Column:
+        digits = F.regexp_extract(ref, r"([0-9a-fA-F]+);?$", 1)
+        code = F.when(ref.rlike("^&#[xX]"), F.conv(F.substring(digits, -7, 7), 16, 10)).otherwise(digits).try_cast("long")
+        fits = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(fits, code).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
+        return F.when(ref.startswith("&#"), char).otherwise(F.coalesce(F.try_element_at(names, F.hex(F.substring(ref, 2, 64))), ref))
+
+    return F.when(F.instr(value, "&") == 0, value).otherwise(F.array_join(F.zip_with(
+        F.split(value, REFERENCE), F.regexp_extract_all(value, F.lit(REFERENCE), F.lit(0)),
+        lambda text, ref: F.concat(text, F.when(ref.isNull(), F.lit("")).otherwise(decoded(ref)))), ""))
+
+
+def without_dots(path: Column) -> Column:
+    """A path that starts with a slash, its ``.`` and ``..`` segments carried out."""
+    parts = F.aggregate(
+        F.split(F.substr(path, F.lit(2)), "/"), F.array().cast("array<string>"),
+        lambda kept, x: F.when(x == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0))))
+        .when(x == ".", kept).otherwise(F.concat(kept, F.array(x))))
+    last = F.when(path.rlike(r"/\.\.?$") & (F.size(parts) > 0), "/").otherwise("")
+    return F.concat(F.lit("/"), F.array_join(parts, "/"), last)
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """``target`` as a whole URL, seen from the page at ``url``."""
+    site = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    path = F.regexp_extract(target, r"(?s)^([^?#]*)", 1)
+    rest = F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    folder = F.regexp_replace(F.when(path_of(url) == "", "/").otherwise(path_of(url)), r"[^/]*$", "")
+    return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | (site == ""), target)
+            .when(target.startswith("//"), F.concat(F.lit("http:"), target))
+            .when(target.startswith("/"), F.concat(site, without_dots(path), rest))
+            .when(target.startswith("?"), F.concat(site, path_of(url), target))
+            .when(target.startswith("#"), F.concat(F.regexp_extract(url, r"(?s)^([^#]*)", 1), target))
+            .otherwise(F.concat(site, without_dots(F.concat(folder, path)), rest)))
+
+
 def declared_links(pages: DataFrame) -> DataFrame:
     """(``url``, ``target``) of every canonical link and refresh redirect in
-    ``html``; targets without a host are taken from the page's own."""
-    link = F.regexp_extract_all(F.col("html"), F.lit(r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"), F.lit(0))
-    meta = F.regexp_extract_all(F.col("html"), F.lit(r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"), F.lit(0))
+    ``html``; targets that aren't whole URLs are resolved against the page's
+    ``base`` element, if it has one, and its own URL."""
+    tags = lambda name, kind: F.regexp_extract_all(F.col("html"), F.lit(rf"(?i)<{name}\b[^>]*\b{kind}\b[^>]*>"), F.lit(0))
+    link, meta = tags("link", r"rel\s*=\s*[\"']?canonical"), tags("meta", r"http-equiv\s*=\s*[\"']?refresh")
     href = lambda tag: F.regexp_extract(tag, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
     goal = lambda tag: F.regexp_extract(tag, r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    target = F.replace(F.col("t"), F.lit("&amp;"), F.lit("&"))
-    whole = (F.when(target.startswith("//"), F.concat(F.lit("http:"), target))
-             .when(target.startswith("/"), F.concat(F.lit("http://"), host_of(F.col("url")), target)).otherwise(target))
-    return (pages.where("html is not null and url is not null")
-            .select("url", F.explode(F.concat(F.transform(link, href), F.transform(meta, goal))).alias("t"))
-            .where("t != ''").select("url", whole.alias("target")))
+    base = F.regexp_extract(F.col("html"), r"(?i)<base\b[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    # each step in a transform of its own: its result is named, not written out at every use
+    said = F.transform(F.filter(F.concat(F.transform(link, href), F.transform(meta, goal)), lambda t: t != ""), unescaped)
+    bases = F.transform(F.transform(F.array(base), unescaped), lambda b: F.when(b == "", F.col("url")).otherwise(resolved(b, F.col("url"))))
+    targets = F.flatten(F.transform(bases, lambda b: F.transform(said, lambda t: resolved(t, b))))
+    return pages.where("html is not null and url is not null").select("url", F.explode(targets).alias("target"))
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule], links: DataFrame | None = None) -> DataFrame:
