@@ -127,3 +127,24 @@ def test_components(spark):
             parent[max(root(a), root(b))] = min(root(a), root(b))
     assert got == {i: root(i) for i in parent}
     assert connected_components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def test_sketch_filter_misses_no_more_than_the_bands():
+    """Exactly: each sample that differs flips two of the bits."""
+    import math
+
+    k, n, most = N.BANDS * N.ROWS, N.SKETCH_BITS, N.differing_bits(0.8)
+    j = np.arange(n + 1)
+    odd = np.zeros(n + 1)  # probability of each number of odd bits
+    odd[0] = 1.0
+    over = []  # after each number of differing samples, more than ``most``
+    for _ in range(k + 1):
+        over.append(odd[most + 1 :].sum())
+        for _ in range(2):
+            new = np.zeros(n + 1)
+            new[1:] += odd[:-1] * (n - j[:-1]) / n
+            new[:-1] += odd[1:] * j[1:] / n
+            odd = new
+    for s in (0.8, 0.81, 0.82, 0.85, 0.9):
+        miss = sum(math.comb(k, m) * (1 - s) ** m * s ** (k - m) * p for m, p in enumerate(over))
+        assert miss <= (1 - s**N.ROWS) ** N.BANDS
