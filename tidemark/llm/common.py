@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import pickle
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +45,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of as many rows as have ``most`` bytes in ``column``, one row at least."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(size):
+        upto = max(at + 1, int(np.searchsorted(size, most + (size[at - 1] if at else 0), "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z, every other character as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -104,3 +104,39 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+COLLOCATIONS = rf"""
+WITH p AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+    regexp_split_to_array({_AZ.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]') AS p FROM documents
+), q AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(p) AS piece FROM p)
+), s AS (SELECT lang, unnest(w) AS x, unnest(w[2:]) AS y, unnest(w[3:]) AS z FROM q WHERE len(w) > 0),
+f AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM (
+    SELECT lang, 1 AS k, x AS phrase FROM s
+    UNION ALL SELECT lang, 2, x || ' ' || y FROM s WHERE y IS NOT NULL
+    UNION ALL SELECT lang, 3, x || ' ' || y || ' ' || z FROM s WHERE z IS NOT NULL)
+  GROUP BY ALL HAVING count(*) >= 10
+), n AS (SELECT lang, count(*)::BIGINT AS n FROM s GROUP BY lang),
+c AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (
+  SELECT lang, phrase, f, 1 AS cut, w[1] AS x, array_to_string(w[2:], ' ') AS y FROM c
+  UNION ALL SELECT lang, phrase, f, 2, w[1] || ' ' || w[2], w[3] FROM c WHERE k = 3
+), half AS MATERIALIZED (
+  SELECT a.lang, a.phrase, a.f AS a, cut, y, l.f AS l FROM cuts a JOIN f l ON l.lang = a.lang AND l.phrase = a.x
+), scored AS (
+  SELECT h.lang, h.phrase, a, cut, l, r.f AS r, (1000000::HUGEINT * a * a) // (l * r.f) AS score
+  FROM half h JOIN f r ON r.lang = h.lang AND r.phrase = h.y
+), lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, w[1] || ' ' || w[2] AS phrase, f FROM c WHERE k = 3
+    UNION ALL SELECT lang, w[2] || ' ' || w[3], f FROM c WHERE k = 3) GROUP BY ALL
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+  FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE inside.f IS NULL OR 100 * inside.f < 50 * a
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and SQL for those it can express."""
+"""The registered queries of the operators, and SQL for those it can express."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, language, lm, near_dup, oracle, pieces, pii, quality, shards, urls
+from . import decontaminate, html_text, language, lm, near_dup, oracle, phrases, pieces, pii, quality, shards, urls
 from .common import table
 
 #: Fixed values of the URL query: host, path, allow.
@@ -54,14 +54,20 @@ def op10_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
 
+def op13_double_array_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sampled_splitters, op2_sentence_pieces, op3_odd_sketches, op4_quality_cascade, op5_text_to_tag,
-        op6_redirect_classes, op7_benchmark_windows, op8_maximum_entropy, op9_partial_matching, op10_disclosure)}
+        op6_redirect_classes, op7_benchmark_windows, op8_maximum_entropy, op9_partial_matching, op10_disclosure,
+        op13_double_array_tries)}
 
 SQL: dict[str, str] = {
     "op3_odd_sketches": oracle.NEAR_DUPLICATES,
     "op4_quality_cascade": oracle.QUALITY,
     "op6_redirect_classes": oracle.URLS,
     "op7_benchmark_windows": oracle.CONTAMINATION,
+    "op13_double_array_tries": oracle.COLLOCATIONS,
 }
