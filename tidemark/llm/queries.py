@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, language, lm, near_dup, oracle, phrases, pieces, pii, quality, shards, simhash, urls
+from . import alignment, decontaminate, html_text, language, lm, near_dup, oracle, phrases, pieces, pii, quality, shards, simhash, urls
 from .common import table
 
 #: Fixed values of the URL query: host, path, allow.
@@ -54,6 +54,10 @@ def op10_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
 
+def op11_arrow_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(table(spark, sf_dir, "documents"))
+
+
 def op12_general_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -66,7 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sampled_splitters, op2_sentence_pieces, op3_odd_sketches, op4_quality_cascade, op5_text_to_tag,
         op6_redirect_classes, op7_benchmark_windows, op8_maximum_entropy, op9_partial_matching, op10_disclosure,
-        op12_general_pigeonhole, op13_double_array_tries)}
+        op11_arrow_alignment, op12_general_pigeonhole, op13_double_array_tries)}
 
 SQL: dict[str, str] = {
     "op3_odd_sketches": oracle.NEAR_DUPLICATES,
