@@ -5,6 +5,7 @@ nearly all occur once or twice. So candidates are narrowed level by level, by
 tests that can only keep too much (Apriori: a phrase is no more frequent than
 any of its parts):
 
+0. texts are cut into words once, and written as places in lists of words;
 1. words are counted exactly; frequent ones set a bit in a bitmap of hashes;
 2. pairs of words that have both bits are counted by a 64-bit hash of the pair;
    frequent hashes set bits in a second bitmap;
@@ -42,6 +43,7 @@ SLICE_BYTES = 4_000_000
 #: Bits of a bitmap for each hash that it holds, and its largest size (32 MB); a full one only keeps more candidates.
 BITS_EACH, MOST_BITS = 64, 1 << 28
 BLOCK_PHRASES = 400_000  # of a broadcast trie, on average
+ROOM, TRIES = 8, 40  # places of a trie's array for each state; rounds of tries for a state's children
 SALTS = 32  # groups of a language's phrases in which the first are looked for before the last sort
 
 BOUND = b"\xff"  # between pieces; no UTF-8 text has this byte
@@ -64,6 +66,7 @@ class Words:
         at = np.fromiter(map(index.__getitem__, flat), np.int64, len(flat))
         if BOUND in index:
             at[at == index[BOUND]] = -1
+            words[index[BOUND]] = b""
         return cls(words, at)
 
     def hashes(self, lang: str) -> np.ndarray:
@@ -78,15 +81,31 @@ def longer(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix(begins * MULTIPLY + ends)
 
 
-def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
-    """Whole texts, some MB at a time, one language after another."""
+TOKENS = "lang string, words array<string>, at array<int>"
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole texts, some MB at a time, a row for each language in them."""
     for batch in batches:
         for part in slices(batch, "text", SLICE_BYTES):
             texts: dict[str, list[bytes]] = defaultdict(list)
             for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist(), strict=True):
                 texts[lang].append(text)
             for lang, own in texts.items():
-                yield lang, Words.of(own)
+                words = Words.of(own)
+                if len(words.at):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang], pa.string()),
+                         pa.ListArray.from_arrays(pa.array([0, len(words.words)], pa.int32()), pa.array(words.words, pa.binary()).cast(pa.string())),
+                         pa.ListArray.from_arrays(pa.array([0, len(words.at)], pa.int32()), pa.array(words.at.astype(np.int32)))],
+                        ["lang", "words", "at"])
+
+
+def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
+    """The rows of :func:`_tokens`, one after another."""
+    for batch in batches:
+        for lang, words, at in zip(*(batch.column(c) for c in ("lang", "words", "at")), strict=True):
+            yield lang.as_py(), Words(words.values.cast(pa.binary()).to_pylist(), at.values.to_numpy().astype(np.int64))
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,42 +225,37 @@ class Trie:
 
 
 def place_children(children: list[np.ndarray], reserved: int, n_words: int) -> tuple[np.ndarray, int]:
-    """A base for each list of word numbers (ascending), such that no two
-    children share a place, and the size of the array. Lists with most
-    children are placed first, each at the first free place that suits it;
-    single children fill what is left."""
-    start = max(reserved, n_words)  # places below give a negative base
-    used = np.ones(start + n_words + 2 * sum(map(len, children)) + 4096, bool)
-    used[start:] = False
+    """A base for each list of word numbers, such that no two children share a
+    place, and the size of the array. Lists with most children go first, each
+    to the first of some random places that suits it, or else behind all others;
+    single children fill what is left. At most an eighth of the places is used
+    before that, so few tries are needed."""
+    start = max(reserved, n_words)  # places below would give a single child a negative base
+    used = np.zeros(start + n_words + ROOM * sum(map(len, children)) + 4096, bool)
+    used[:start] = True
     base = np.zeros(len(children), np.int64)
     order = sorted(range(len(children)), key=lambda i: (-len(children[i]), i))
-    low = start
+    draw = np.random.default_rng(0)
     for i in order:
         own = children[i]
         if len(own) < 2:
             break
-        while used[low]:
-            low += 1
-        at, wide = low, 128
-        while True:
-            if at + wide + n_words >= len(used):
-                used = np.concatenate([used, np.zeros(len(used), bool)])
-            free = at + np.nonzero(~used[at : at + wide])[0]
-            fits = free[~used[(free - own[0])[:, None] + own].any(axis=1)]
+        at_once = max(4, min(128, 100_000 // len(own)))
+        for _ in range(TRIES):
+            tried = draw.integers(start, len(used) - n_words, at_once)
+            fits = tried[~used[tried[:, None] + own].any(axis=1)]
             if len(fits):
-                base[i] = fits[0] - own[0]
-                used[base[i] + own] = True
+                base[i] = fits[0]
                 break
-            at += wide
-            wide = min(2 * wide, max(128, 1_000_000 // len(own)))
+        else:
+            base[i] = len(used)
+            used = np.concatenate([used, np.zeros(n_words + 1, bool)])
+        used[base[i] + own] = True
     single = [i for i in order if len(children[i]) == 1]
     if single:
-        free = start + np.nonzero(~used[start:])[0]
-        if len(free) < len(single):
-            free = np.concatenate([free, np.arange(len(used), len(used) + len(single))])
-        free = free[: len(single)]
+        free = start + np.nonzero(~used[start:])[0][: len(single)]
         base[single] = free - np.array([children[i][0] for i in single])
-    last = max((int(base[i] + c[-1]) for i, c in enumerate(children) if len(c)), default=0)
+    last = max((int(base[i] + c.max()) for i, c in enumerate(children) if len(c)), default=0)
     return base, max(last, start) + 1
 
 
@@ -267,7 +281,7 @@ def build_trie(langs: list[str], phrases: list[bytes]) -> tuple[Trie, np.ndarray
     for node, own in enumerate(nodes):
         for w, child in own.items():
             state[child] = base[node] + w
-    out = Trie(roots, words, np.zeros(size, np.int64), np.full(size + len(words) + 1, -1, np.int64))
+    out = Trie(roots, words, np.zeros(size, np.int32), np.full(size + len(words) + 1, -1, np.int32))
     for node, own in enumerate(nodes):
         if own:
             out.base[state[node]] = base[node]
@@ -287,7 +301,7 @@ def _tries(key: tuple, rows: pa.Table) -> pa.Table:
 
 def count_states(trie: Trie, batches: Iterator[tuple[str, Words]]) -> np.ndarray:
     """How often each state is reached at levels 2 and 3."""
-    n = np.zeros(len(trie.check), np.int64)
+    n = np.zeros(len(trie.base), np.int64)
     number = dict(zip(trie.words, range(len(trie.words)), strict=True))
     root = dict(zip(trie.langs, range(len(trie.langs)), strict=True))
     for lang, words in batches:
@@ -311,32 +325,37 @@ def _count_phrases(sent) -> Callable:
     return run
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """``lang``, ``phrase`` (one word) and ``f`` of all words of ``docs``
-    (``lang``, ``text`` as bytes, neither null)."""
-    return docs.mapInArrow(_count_words, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+def tokens_of(docs: DataFrame) -> DataFrame:
+    """The words of ``docs`` (``lang``, ``text`` as bytes, neither null),
+    written: a row for each language of each few MB of text."""
+    return materialize(docs.mapInArrow(_tokens, TOKENS))
+
+
+def count_words(tokens: DataFrame) -> DataFrame:
+    """``lang``, ``phrase`` (one word) and ``f`` of all words."""
+    return tokens.mapInArrow(_count_words, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
 
 
-def candidates(docs: DataFrame, words: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
+def candidates(tokens: DataFrame, words: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """``lang`` and ``phrase`` of two and three words: all that occur
     ``min_count`` times or more, and some others. ``words``: the frequent ones."""
     of_words = bitmap_of(words, word_rows)
 
     def frequent(of_pairs: np.ndarray | None) -> np.ndarray:
-        counted = (docs.mapInArrow(lambda batches: _count_hashes(of_words, of_pairs)(batches), "h long, n long")
+        counted = (tokens.mapInArrow(lambda batches: _count_hashes(of_words, of_pairs)(batches), "h long, n long")
                    .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("h"))
         return bitmap_of(materialize(counted), hash_rows)
 
     of_pairs = frequent(None)
     of_triples = frequent(of_pairs)
-    return docs.mapInArrow(lambda batches: _candidates(of_words, of_pairs, of_triples)(batches),
+    return tokens.mapInArrow(lambda batches: _candidates(of_words, of_pairs, of_triples)(batches),
                            "lang string, phrase string").distinct()
 
 
-def count_phrases(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``lang``, ``phrase`` and ``f``: all occurrences in ``docs`` of the
+def count_phrases(tokens: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``lang``, ``phrase`` and ``f``: all occurrences in ``tokens`` of the
     different rows of ``wanted`` that occur. One pass for each block of them."""
-    context = docs.sparkSession.sparkContext
+    context = tokens.sparkSession.sparkContext
     blocks = 1 + wanted.count() // BLOCK_PHRASES
     tries = materialize(
         wanted.withColumn("block", F.pmod(F.xxhash64("lang", "phrase"), F.lit(blocks)).cast("int"))
@@ -348,7 +367,7 @@ def count_phrases(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         if blob is None:
             continue
         sent = context.broadcast(bytes(blob[0]))
-        n = docs.mapInArrow(_count_phrases(sent), "state long, n long").groupBy("state").agg(F.sum("n").alias("f"))
+        n = tokens.mapInArrow(_count_phrases(sent), "state long, n long").groupBy("state").agg(F.sum("n").alias("f"))
         part = materialize(own.select(F.inline("accepts")).join(n, "state").select("lang", "phrase", "f"))
         sent.destroy()
         out = part if out is None else out.union(part)
@@ -366,7 +385,7 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) ->
     inside a longer one at least half as frequent are left out. Repeated rows
     count each time; an empty table gives no rows. Scores are exact (decimals
     of 38 digits, for counts up to 10^15)."""
-    own = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), utf8(F.col("text")).alias("text"))
+    own = tokens_of(docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), utf8(F.col("text")).alias("text")))
     words = materialize(count_words(own))
     total = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = words.where(F.col("f") >= min_count)
