@@ -104,4 +104,4 @@ def test_odd_rows(spark, docs_of, odd_rows):
     want = _brute([(i, t, None) for i, t in odd_rows], 10, 2000)
     assert _got(P.collocations(docs)) == want == [("und", 1, "word word word", 29998, 30000, 29999, want[0][6], want[0][7])]
     assert P.collocations(docs.limit(0)).count() == 0
-    assert np.array_equal(P.Words.of([b"", b"a"]).at, [-1, 0])
+    assert np.array_equal(P.Words.of([b"", b"a"]).at, [-1, 1])
