@@ -1,0 +1,158 @@
+"""The stores' log: all months at once or none, deltas in proportion to the
+batch, coverage by month, column history."""
+
+import datetime as dt
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import schema as S
+from tidemark.sources import tables
+from tidemark.sources.tables import CommitConflict, Store
+
+NOW = dt.datetime(2026, 6, 30, 12)
+RAW = "ts_code string, trade_date string, close double"
+KEYS = ["ts_code", "trade_date"]
+
+
+def bars(spark, rows):
+    """Bars from (instrument, day, source, close)."""
+    full = [(i, d, c, None, None, c, None, None, None, None, None, i, s, NOW) for i, d, s, c in rows]
+    return spark.createDataFrame(full, S.MARKET_BARS_DAILY.schema)
+
+
+def day(month, d):
+    return dt.date(2026, month, d)
+
+
+def stored(store):
+    return sorted((r["instrument_id"], r["trade_date"], r["source_id"], r["close"]) for r in store.read(S.MARKET_BARS_DAILY).collect())
+
+
+def size(path):
+    return sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+
+
+def merge(store, spark, rows, name="raw/t"):
+    return store.merge_raw(name, spark.createDataFrame(rows, RAW), KEYS, date_col="trade_date")
+
+
+def raw(store, name="raw/t"):
+    return {(r["ts_code"], r["trade_date"]): r["close"] for r in store.read_raw(name).collect()}
+
+
+@pytest.mark.parametrize("at", ["_write_coverage", "_commit"])
+def test_a_load_that_dies_between_months_changes_nothing(spark, tmp_root, monkeypatch, at):
+    store = Store(spark, tmp_root)
+    first = [("a", day(m, 1), "tushare", float(m)) for m in (3, 4, 5)]
+    store.upsert(S.MARKET_BARS_DAILY, bars(spark, first))
+    before, cover = stored(store), store.coverage(S.MARKET_BARS_DAILY).collect()
+
+    def dies(*args, **kwargs):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(Store, at, dies)  # the new months' files are all written by then
+        with pytest.raises(RuntimeError, match="killed"):
+            store.upsert(S.MARKET_BARS_DAILY, bars(spark, [("a", day(n, 1), "tushare", 9.0) for n in (3, 4, 5, 6)]))
+    assert stored(store) == before and store.coverage(S.MARKET_BARS_DAILY).collect() == cover
+    store.upsert(S.MARKET_BARS_DAILY, bars(spark, [("a", day(4, 1), "tushare", 8.0)]))  # and the next load works
+    assert [c for *_, c in stored(store)] == [3.0, 8.0, 5.0]
+
+
+def test_a_write_that_dies_half_way_changes_nothing(spark, tmp_root):
+    """A task fails while the second month is written."""
+    store = Store(spark, tmp_root)
+    merge(store, spark, [("a", "20260301", 1.0), ("a", "20260401", 1.0)])
+    bad = spark.createDataFrame([("a", "20260301", 2.0), ("b", "20260401", 2.0)], RAW).withColumn(
+        "close", F.when(F.col("ts_code") == "b", F.raise_error(F.lit("lost")).cast("double")).otherwise(F.col("close")))
+    with pytest.raises(Exception, match="lost"):
+        store.merge_raw("raw/t", bad, KEYS, date_col="trade_date")
+    assert raw(store) == {("a", "20260301"): 1.0, ("a", "20260401"): 1.0}
+
+
+def test_two_loads_from_one_state_cannot_both_commit(spark, tmp_root, monkeypatch):
+    one, two = Store(spark, tmp_root), Store(spark, tmp_root)
+    one.upsert(S.MARKET_BARS_DAILY, bars(spark, [("a", day(3, 1), "tushare", 1.0)]))
+    real = Store._write_months
+
+    def overtaken(self, *args):
+        out = real(self, *args)
+        monkeypatch.setattr(Store, "_write_months", real)
+        two.upsert(S.MARKET_BARS_DAILY, bars(spark, [("b", day(3, 1), "tushare", 2.0)]))
+        return out
+
+    monkeypatch.setattr(Store, "_write_months", overtaken)
+    with pytest.raises(CommitConflict):
+        one.upsert(S.MARKET_BARS_DAILY, bars(spark, [("c", day(3, 1), "tushare", 3.0)]))
+    assert [i for i, *_ in stored(one)] == ["a", "b"]
+
+
+def test_a_merge_writes_in_proportion_to_its_batch(spark, tmp_root):
+    store = Store(spark, tmp_root)
+    month = [(f"s{i}", f"202603{d:02d}", float(i)) for i in range(1500) for d in range(1, 11)]
+    assert merge(store, spark, month) == 15_000
+    whole = size(f"{tmp_root}/raw/t")
+    assert merge(store, spark, [("s7", "20260305", -1.0), ("new", "20260305", 5.0)]) == 15_001
+    assert size(f"{tmp_root}/raw/t") - whole < whole / 20
+    got = raw(store)
+    assert len(got) == 15_001 and got["s7", "20260305"] == -1.0 and got["s8", "20260305"] == 8.0
+
+
+def test_merges_against_a_dictionary(spark, tmp_root, monkeypatch):
+    """Any order of batches, with null keys, repeats and compactions."""
+    monkeypatch.setattr(tables, "MOST_DELTAS", 2)
+    rnd = random.Random(0)
+    store, want = Store(spark, tmp_root), {}
+    for _ in range(7):
+        keys = {(rnd.choice(["a", "b", None]), rnd.choice(["20260301", "2026-03-02", "2026/4/01", "none", None])) for _ in range(4)}
+        rows = [(*k, rnd.random()) for k in sorted(keys, key=repr)]
+        want |= {(i, d): c for i, d, c in rows}
+        assert merge(store, spark, rows) == len(want)
+        assert raw(store) == want
+        assert all(len(own) <= 3 for own in store._by_month(store._latest("raw/t")).values())
+    store.compact("raw/t", "trade_date", KEYS)
+    assert raw(store) == want and all(len(own) == 1 for own in store._by_month(store._latest("raw/t")).values())
+
+
+def test_coverage_follows_a_source_that_is_replaced(spark, tmp_root):
+    """Q16: a key that changes its source takes coverage away from the old
+    one; only the batch's months are read and written for it."""
+    store = Store(spark, tmp_root)
+    store.upsert(S.MARKET_BARS_DAILY, bars(spark, [("a", day(m, d), "tushare", 1.0) for m in (3, 4, 5) for d in (1, 2)]))
+    before = store._by_month(store._latest("market_bars_daily"))
+    store.upsert(S.MARKET_BARS_DAILY, bars(spark, [("a", day(5, d), "yfinance", 2.0) for d in (1, 2)]))
+    after = store._by_month(store._latest("market_bars_daily"))
+    assert [m for m in after if after[m] != before[m]] == [202605]
+    cover = {r["source_id"]: (r["first_date"], r["last_date"]) for r in store.coverage(S.MARKET_BARS_DAILY).collect()}
+    assert cover == {"tushare": (day(3, 1), day(4, 2)), "yfinance": (day(5, 1), day(5, 2))}
+    table = store.read(S.MARKET_BARS_DAILY).groupBy("source_id").agg(F.min("trade_date"), F.max("trade_date")).collect()
+    assert cover == {r[0]: (r[1], r[2]) for r in table}
+
+
+def test_a_column_added_is_told_from_one_lost(spark, tmp_root):
+    store = Store(spark, tmp_root)
+    batch = lambda names, d: spark.createDataFrame([tuple("a" if n == "ts_code" else d if n == "trade_date" else 1.0 for n in names)], names)
+    for names, d in ((["ts_code", "trade_date", "open", "close"], "20260301"), (["ts_code", "trade_date", "close", "vol"], "20260401"),
+                     (["ts_code", "trade_date", "close", "vol"], "20260501")):
+        store.merge_raw("raw/t", batch(names, d), KEYS, date_col="trade_date")
+    history = {r["name"]: (r["since"], r["until"], r["state"]) for r in store.column_history("raw/t").collect()}
+    assert history == {"ts_code": (1, 3, "kept"), "trade_date": (1, 3, "kept"), "close": (1, 3, "kept"),
+                       "open": (1, 1, "lost"), "vol": (2, 3, "added")}
+    got = {r["trade_date"]: (r["open"], r["vol"]) for r in store.read_raw("raw/t").collect()}  # mixed files read together
+    assert got == {"20260301": (1.0, None), "20260401": (None, 1.0), "20260501": (None, 1.0)}
+    assert store.column_history("raw/none").count() == 0
+
+
+def test_replaced_directories_expire(spark, tmp_root):
+    store = Store(spark, tmp_root)
+    store.upsert(S.MARKET_BARS_DAILY, bars(spark, [("a", day(2, 1), "tushare", 0.0)]))
+    for i in range(5):
+        store.upsert(S.MARKET_BARS_DAILY, bars(spark, [("a", day(3, 1), "tushare", float(i))]))
+    root = f"{tmp_root}/market_bars_daily"
+    march = [c for c in os.listdir(root) if os.path.isdir(f"{root}/{c}/trade_month=202603")]
+    assert len(march) == tables.KEPT_COMMITS
+    assert [c for *_, c in stored(store)] == [0.0, 4.0]  # the first commit's February is still there
+    assert store.coverage(S.MARKET_BARS_DAILY).collect()[0]["first_date"] == day(2, 1)

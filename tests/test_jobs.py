@@ -9,7 +9,7 @@ from tidemark import schema as S
 from tidemark.plans.jobs import Loader
 from tidemark.schema import LANDING
 from tidemark.functions.dates import month_key
-from tidemark.sources.tables import Months, Store
+from tidemark.sources.tables import Store, months_of
 
 NOW = dt.datetime(2026, 6, 1)
 KV = S.TableSpec("kv", S.struct("k:s, v:i?"), ("k",))
@@ -56,7 +56,7 @@ def test_stock_daily_incremental_and_partitioned(spark, tmp_root):
     assert loader.stock_daily(landing, "2026-06-01", "2026-07-01").rows_written == 0
     parts = spark.read.parquet(loader.db.path("market_bars_daily")).select("trade_month").distinct()
     assert sorted(r[0] for r in parts.collect()) == [202606, 202607]
-    raw = loader.raw.read_raw("tushare/stock_daily", partitioned=True)
+    raw = loader.raw.read_raw("tushare/stock_daily")
     assert raw.count() == 21
     audit = loader.db.read_appended(S.UPDATE_EVENTS)
     assert audit.count() == 3 and {r["status"] for r in audit.collect()} == {"success"}
@@ -115,7 +115,7 @@ def test_yahoo_jobs(spark, tmp_root):
     assert (r2.raw_rows, r2.rows_written) == (3, 2)
     rows = {x["trade_date"].day: x["pre_close"] for x in loader.table(S.MARKET_BARS_DAILY).collect()}
     assert rows == {1: None, 2: None, 3: 2.0}  # Q5: first new row has no pre_close
-    assert loader.raw.read_raw("yfinance/daily", partitioned=True).count() == 3
+    assert loader.raw.read_raw("yfinance/daily").count() == 3
 
 
 def test_future_list_two_tables(spark, tmp_root):
@@ -249,10 +249,8 @@ def test_upsert_reads_only_touched_months(spark, tmp_root):
         [("a", dt.date(2026, 7, 1), 2.0, None, None, 2.0, None, None, None, None, None, "a", "tushare", NOW)],
         S.MARKET_BARS_DAILY.schema)
     store.upsert(S.MARKET_BARS_DAILY, july)
-    got = store.read_months(S.MARKET_BARS_DAILY, Months.of(month_key("trade_date"), july))
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    part = plan.split("PartitionFilters")[1][:200]
-    assert "trade_month" in part and "202607" in part  # directories pruned, not rows filtered
+    got = store.read_months(S.MARKET_BARS_DAILY, months_of(month_key("trade_date"), july))
+    assert {f.rsplit("/", 2)[1] for f in got.inputFiles()} == {"trade_month=202607"}  # no other directory is opened
     assert got.count() == 1 and store.read(S.MARKET_BARS_DAILY).count() == 5
 
 
@@ -323,7 +321,7 @@ def test_raw_store_months_with_different_columns(spark, tmp_root):
                                  "ts_code string, trade_date string, close double, vol double")
     store.merge_raw("raw/d", may, ["ts_code", "trade_date"], date_col="trade_date")
     assert store.merge_raw("raw/d", june, ["ts_code", "trade_date"], date_col="trade_date") == 2
-    got = {r["trade_date"]: (r["close"], r["vol"]) for r in store.read_raw("raw/d", partitioned=True).collect()}
+    got = {r["trade_date"]: (r["close"], r["vol"]) for r in store.read_raw("raw/d").collect()}
     assert got == {"20260501": (1.0, None), "20260601": (2.0, 7.0)}
 
 
@@ -351,35 +349,12 @@ def test_raw_store_survives_a_type_change(spark, tmp_root):
     assert _merge(store, spark, [("a", "20260501", 1.0), ("b", "20260501", 2.0)], "double") == 2
     assert _merge(store, spark, [("a", "20260601", "n/a")], "string") == 3
     assert _merge(store, spark, [("a", "20260501", 4.0)], "double") == 3  # narrower again: read as text
-    raw = store.read_raw("raw/t", partitioned=True)
+    raw = store.read_raw("raw/t")
     assert dict(raw.dtypes)["close"] == "string"
     got = {(r["ts_code"], r["trade_date"]): r["close"] for r in raw.collect()}
     assert got == {("a", "20260501"): "4.0", ("b", "20260501"): "2.0", ("a", "20260601"): "n/a"}
 
 
-def test_raw_merge_opens_only_its_months(spark, tmp_root):
-    import os
-    import time
-    store = Store(spark, tmp_root)
-    _merge(store, spark, [("a", f"2026{m:02d}01", 1.0) for m in range(1, 7)], "double")
-    path = f"{tmp_root}/raw/t/version=1"
-    before = {d: {f: os.stat(f"{path}/{d}/{f}").st_mtime_ns for f in os.listdir(f"{path}/{d}")}
-              for d in os.listdir(path) if d.startswith("trade_month")}
-    entry = store._latest("raw/t")
-    stored, _ = store._raw_months("raw/t", entry)
-    june = spark.createDataFrame([("a", "20260601", 5.0)], RAW.format("double"))
-    from tidemark.functions.dates import lenient_date
-    part = Months.of(month_key(lenient_date("trade_date")), june).of_store(stored)
-    assert [f.rsplit("/", 2)[1] for f in part.inputFiles()] != [] and part.count() == 1
-    plan = part._jdf.queryExecution().executedPlan().toString()
-    assert "202606" in plan.split("PartitionFilters")[1][:300]
-    time.sleep(0.01)
-    assert _merge(store, spark, [("a", "20260601", 5.0)], "double") == 6
-    after = {d: {f: os.stat(f"{path}/{d}/{f}").st_mtime_ns for f in os.listdir(f"{path}/{d}")}
-             for d in os.listdir(path) if d.startswith("trade_month")}
-    assert [d for d in sorted(after) if after[d] != before[d]] == ["trade_month=202606"]
-
-
 def test_old_snapshots_expire(spark, tmp_root):
     import os
     store = Store(spark, tmp_root)
@@ -397,7 +372,7 @@ def test_stock_st_raw_rows_do_not_hang_on_order(spark, tmp_root):
     for i, batch in enumerate((st.repartition(5, "name"), st.repartition(2, "type"))):
         loader = Loader(spark, f"{tmp_root}/{i}", updated_at=NOW)
         loader.stock_st(batch, "2026-06-01", "2026-06-01")
-        kept.append(sorted(map(tuple, loader.raw.read_raw("tushare/reference_instrument_st", partitioned=True).collect())))
+        kept.append(sorted(map(tuple, loader.raw.read_raw("tushare/reference_instrument_st").collect())))
     assert kept[0] == kept[1] and len(kept[0]) == 1
 
 
@@ -409,7 +384,7 @@ def test_arrival_order_decides(spark, tmp_root):
     store = Store(spark, tmp_root)
     landed = L.read_landing(spark, path, "daily", arrival=True)
     store.merge_raw("raw/a", landed, ["ts_code", "trade_date"], date_col="trade_date")
-    raw = store.read_raw("raw/a", partitioned=True)
+    raw = store.read_raw("raw/a")
     assert [r["close"] for r in raw.collect()] == [1.0] and "_arrival" not in raw.columns
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.dates import lenient_date, lit_date, parse_param_date
+from tidemark.functions.dates import lenient_date, lit_date, month_key, parse_param_date
+from tidemark.operators.store import LAND_MONTH
 
 RANGE_SCHEMA = T.StructType([
     T.StructField("range_start", T.DateType()),
@@ -280,8 +281,13 @@ def select_in_ranges(
     as a semi join so a row never repeats. The plan has at most two rows per
     instrument; AQE broadcasts it when its real size is small, otherwise the
     join is a sort-merge on the instrument with AQE's skew split for a hot
-    instrument on the landing side.
+    instrument on the landing side. A landing laid out by month is pruned to
+    the months between the plan's first and last day, one scalar that Spark
+    computes when the query runs.
     """
+    if LAND_MONTH in landing.columns:
+        days = plan.agg(F.struct(F.min("range_start").alias("lo"), F.max("range_end").alias("hi"))).scalar()
+        landing = landing.where(F.col(LAND_MONTH).between(month_key(days["lo"]), month_key(days["hi"])))
     d = date_expr if date_expr is not None else _q(date_col)
     p = plan.select(
         F.col("instrument_id").alias("_plan_id"),

@@ -24,7 +24,8 @@ def incoming_keys(raw: DataFrame, id_col: str = "ticker", date_col: str = "date"
 def key_window(raw: DataFrame, date_col: str = "date") -> tuple[Column, Column]:
     """First and last day of a landed batch, as scalars inside the plan."""
     day = to_calendar_date(date_col)
-    return raw.agg(F.min(day)).scalar(), raw.agg(F.max(day)).scalar()
+    both = raw.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()  # one aggregate
+    return both["lo"], both["hi"]
 
 
 def existing_keys(

@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 
 from tidemark.schema import TableSpec
 
-# Arrival order of landed rows; never stored.
-ARRIVAL = "_arrival"
+# Arrival order of landed rows, and the month that a landing zone lays them out by; raw stores keep neither.
+ARRIVAL, LAND_MONTH = "_arrival", "land_month"
 
 
 def _q(name: str) -> Column:
@@ -136,13 +136,14 @@ def merge_keep_latest(
     if stored is None:
         return latest
     # ``latest`` has one row per key already (grouped on the keys): no distinct.
-    inc_keys = latest.select(*[_q(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-    cond = reduce(
-        lambda a, b: a & b,
-        [stored[k].eqNullSafe(inc_keys[f"_k{i}"]) for i, k in enumerate(keys)],
-    )
-    kept = stored.join(inc_keys, cond, "left_anti")
-    return relaxed_union(kept, latest)
+    return relaxed_union(same_keys(stored, latest, keys, "left_anti"), latest)
+
+
+def same_keys(rows: DataFrame, others: DataFrame, keys, how: str) -> DataFrame:
+    """``rows`` whose key is (``left_semi``) or isn't (``left_anti``) among those of ``others``; null keys equal each other."""
+    named = others.select(*[_q(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    cond = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(named[f"_k{i}"]) for i, k in enumerate(keys)])
+    return rows.join(named, cond, how)
 
 
 # ---------------------------------------------------------------- S10 ---------

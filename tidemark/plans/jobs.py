@@ -18,7 +18,7 @@ import datetime as _dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,9 +29,11 @@ from tidemark.operators import newkeys as J
 from tidemark.operators import tickers as O
 from tidemark.operators import transforms as P
 from tidemark.operators import universe as U
+from tidemark.operators.store import ARRIVAL, LAND_MONTH
 from tidemark.sources.landing import (
     INDEX_FEEDS, history_window, pct_to_fraction_at_scan, select_fields, text_window, where_window)
 from tidemark.sources.tables import Store, new_run_id
+from tidemark.sources.zone import in_months
 
 
 def _day_of(landing: DataFrame) -> Column:
@@ -39,7 +41,10 @@ def _day_of(landing: DataFrame) -> Column:
 
 
 def _scan_days(landing: DataFrame, lo: _dt.date | None, hi: _dt.date | None) -> DataFrame:
-    """Beside the exact selection: what the scan of landed text dates can use."""
+    """Beside the exact selection: what the scan of landed text dates can use,
+    and the months of a landing that is laid out by them."""
+    if lo is not None:
+        landing = in_months(landing, F.lit(lo), F.lit(hi))
     if lo is None or not isinstance(landing.schema["trade_date"].dataType, T.StringType):
         return landing
     return landing.where(text_window("trade_date", lo, hi))
@@ -109,8 +114,9 @@ class Loader:
         started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         raw_rows, current = 0, targets[0][0].name
         try:
-            batch = batch.checkpoint(eager=True)
-            raw_rows = batch.count()
+            seen = Observation()
+            batch = batch.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+            raw_rows = int(seen.get["rows"])  # counted on the way
             raw_path = self.raw.path(f"{source}/{raw_name}")
             if raw_rows == 0:
                 for spec, _ in targets:
@@ -303,6 +309,9 @@ class Loader:
             raise ValueError(f"no job for {dataset!r}; there are {sorted(JOBS)}")
         if index_api is not None:
             params["api"] = index_api
+        if fields:  # what a landing zone adds isn't a vendor field
+            fields = [f.strip() for f in fields.split(",")] if isinstance(fields, str) else list(fields)
+            fields += [c for c in (ARRIVAL, LAND_MONTH) if c in landing.columns]
         return JOBS[dataset](self, select_fields(landing, fields), **params)
 
 

@@ -29,6 +29,8 @@ FRACTION_FEEDS = {"fund_daily", "index_daily", "index_global"}
 # The index job's three feeds (``api`` parameter).
 INDEX_FEEDS = {"index_daily", "index_global", "fut_index_daily"}
 
+MOST_YEARS = 40  # of a text filter with a term for each year; longer windows have one range
+
 
 def read_landing(
     spark: SparkSession, path: str, dataset: str, fmt: str = "parquet", arrival: bool = False
@@ -96,6 +98,8 @@ def text_window(col: str, lo: _dt.date, hi: _dt.date) -> Column:
     lo..hi, and of other days only dashed or slashed ones of the same years.
     The exact filter on the parsed date goes with it."""
     c = F.col(col)
+    if hi.year - lo.year >= MOST_YEARS:  # all shapes of these years
+        return (c >= F.lit(f"{lo.year:04d}-")) & (c < F.lit(f"{hi.year:04d}A"))
     keep = c.between(F.lit(f"{lo:%Y%m%d}"), F.lit(f"{hi:%Y%m%d}"))
     for year in range(lo.year, hi.year + 1):  # '-' and '/' sort before '0'
         keep = keep | ((c >= F.lit(f"{year:04d}-")) & (c < F.lit(f"{year:04d}0")))

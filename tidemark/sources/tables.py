@@ -1,26 +1,35 @@
 """Canonical and raw stores on parquet (S7, S9, S10 on disk).
 
+Every table has a log: one entry for each commit, numbered, which names the
+directories that make up the table from then on. Data are written to
+directories of their own first and never changed; the entry, one small file,
+makes them visible all at once. A load that dies before it leaves the table as
+it was, over all months. Two loads that start from the same entry can't both
+commit: the second fails. Older entries expire, and with them the directories
+that only they name.
+
 Two layouts:
 
 * **Month-partitioned** (tables whose key holds a date: bars, FX, special
-  treatment, and raw stores keyed by date). A key fixes its partition
-  (``trade_month`` = yyyymm of the date). A write reads the months of its
-  batch only (a literal month range on the partition column, and a semi join
-  with the batch's months), merges, cuts lineage with a reliable
-  ``checkpoint()`` into the session's shared ``spark.checkpoint.dir`` and
-  overwrites exactly those partitions (dynamic partition overwrite). A lost
-  executor re-reads the checkpoint, never the files being replaced. Not atomic
-  across months.
-* **Snapshots** (tables keyed by instrument only). The merged table is
-  written to a fresh ``snapshot=<run_id>`` directory and then committed by an
-  entry in the table's manifest; readers take the newest committed snapshot,
-  so a half-written snapshot is never read. Older ones expire.
+  treatment, and raw stores keyed by date). A key fixes its month. A commit
+  writes ``commit=<n>/trade_month=<yyyymm>`` for the months of its batch.
+  Canonical tables replace those months whole, so that reads need no merge.
+  Raw stores append the batch as a *delta*: a read keeps each key's latest
+  commit, and months with more than ``MOST_DELTAS`` are compacted, so what a
+  merge writes is in proportion to its batch.
+* **Snapshots** (tables keyed by instrument only). A commit writes the merged
+  table as ``snapshot=<n>``.
+
+Canonical bar tables keep their coverage beside the data, by the same commits
+and months: (instrument, source, month) with first and last date. A month that
+is replaced has its coverage replaced, so rows that change their source (Q16)
+are retracted with no scan beyond the batch's months.
 
 A raw store's columns are those of the vendor, so its schema is registered in
-its manifest and every file is read with it: no file footers are merged. New
+the log and every file is read with it: no file footers are merged. New
 columns are added to it. A column whose type has to widen (number to text, for
-one) starts a new ``version`` of the store: all months are rewritten once in
-the wider types, then committed. Row counts are kept in the manifest too.
+one) has all months rewritten once, in one commit. The log also remembers in
+which commits each column came, so that one added later is told from one lost.
 
 Every write checks the batch first (required columns non-null, key unique),
 so a bad batch writes nothing.
@@ -31,68 +40,57 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import uuid
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.dates import lenient_date, month_key
-from tidemark.operators.coverage import coverage_summary
 from tidemark.operators.conform import guard_required
+from tidemark.operators.coverage import coverage_summary
 from tidemark.operators.store import (
-    ARRIVAL, align_to_spec, cast_to, check_upsert_columns, merge_keep_latest, relaxed_schema, upsert)
+    ARRIVAL, LAND_MONTH, align_to_spec, cast_to, check_upsert_columns, keep_latest, merge_keep_latest, relaxed_schema, same_keys, upsert)
 from tidemark.schema import TableSpec
 from tidemark.session import ensure_checkpoint_dir
 
-MONTH = "trade_month"
-SNAPSHOT = "snapshot"
-MANIFEST = "_manifest"
+MONTH, COMMIT, SNAPSHOT = "trade_month", "commit", "snapshot"
+MANIFEST, ENTRY = "_manifest", "entry"
 COVERAGE = "_coverage"
 COVERAGE_KEYS = ("instrument_id", "source_id")
-ENTRY, VERSION = "entry", "version"
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"  # Spark's directory of null
 MANIFEST_SCHEMA = T.StructType([
-    T.StructField("snapshot", T.StringType(), False),  # empty: invalidated
-    T.StructField("version", T.IntegerType(), True),  # of a month-partitioned raw store
-    T.StructField("schema", T.StringType(), True),  # its registered schema, as JSON
+    T.StructField("commit", T.StringType(), False),
+    T.StructField("keys", T.ArrayType(T.StringType()), True),  # of a raw store
+    T.StructField("schema", T.StringType(), True),  # registered columns, as JSON
     T.StructField("rows", T.LongType(), True),
+    T.StructField("months", T.ArrayType(T.StructType([  # directories of a month-partitioned table, oldest first
+        T.StructField("month", T.IntegerType(), True), T.StructField("commit", T.StringType(), False)])), True),
+    T.StructField("columns", T.ArrayType(T.StructType([  # first and last commit whose batch had each column
+        T.StructField("name", T.StringType(), False), T.StructField("since", T.IntegerType(), False),
+        T.StructField("until", T.IntegerType(), False)])), True),
     T.StructField("committed_at", T.TimestampNTZType(), False),
 ])
-KEPT_SNAPSHOTS = 3  # so that a reader of the one before can finish
+KEPT_COMMITS = 3  # so that a reader of the one before can finish
+MOST_DELTAS = 8  # directories of a month of a raw store before it is compacted
 # Default raw-store key when a dataset names none.
 DEFAULT_RAW_KEYS = ("trade_date", "instrument_id")
 
 
+class CommitConflict(RuntimeError):
+    """Another load has committed to the table since this one began."""
+
+
 def new_run_id() -> str:
     """Sortable run id: UTC time to the millisecond plus a random suffix."""
     now = _dt.datetime.now(_dt.timezone.utc)
     return now.strftime("%Y%m%dT%H%M%S%f")[:-3] + "-" + uuid.uuid4().hex[:8]
 
 
-@dataclass(frozen=True)
-class Months:
-    """The months that a batch touches: their range on the driver, the months
-    themselves as a frame."""
-
-    frame: DataFrame
-    first: int | None
-    last: int | None
-    has_null: bool
-
-    @classmethod
-    def of(cls, month, df: DataFrame) -> Months:
-        frame = df.select(month.alias(MONTH)).distinct()
-        row = frame.agg(F.min(MONTH), F.max(MONTH), F.coalesce(F.max(F.col(MONTH).isNull()), F.lit(False))).first()
-        return cls(frame, *row)
-
-    def of_store(self, stored: DataFrame) -> DataFrame:
-        """The stored rows of these months. The range is a literal filter on
-        the partition column, so other directories aren't listed; the semi
-        join leaves out the months between that the batch doesn't touch."""
-        m = F.col(MONTH)
-        rows = stored.where(m.between(F.lit(self.first), F.lit(self.last))).join(self.frame, MONTH, "left_semi")
-        return rows.unionByName(stored.where(m.isNull())) if self.has_null else rows
+def months_of(month, df: DataFrame) -> set[int | None]:
+    """The months of a batch: as many numbers as it has months."""
+    return {r[0] for r in df.select(month.alias(MONTH)).distinct().collect()}
 
 
 def batch_key_stats(df: DataFrame, keys) -> tuple[int, int]:
@@ -103,6 +101,14 @@ def batch_key_stats(df: DataFrame, keys) -> tuple[int, int]:
     return int(row["rows"] or 0), int(row["max_n"] or 0)
 
 
+def counted(df: DataFrame, write) -> int:
+    """Run ``write`` on ``df``; the number of rows it took, observed on the
+    way (after any range partitioning, which reads its input twice)."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return int(seen.get["rows"])
+
+
 class Store:
     """A store rooted at one shared directory (one sub-directory per table)."""
 
@@ -130,97 +136,149 @@ class Store:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
-    # ------------------------------------------------------------ manifest ---
-    def _manifest(self, name: str) -> DataFrame | None:
-        """The table's own manifest: one entry for each commit still kept."""
-        return self._read_parquet(f"{self.path(MANIFEST)}/{name}", schema=MANIFEST_SCHEMA)
+    # ------------------------------------------------------------ log --------
+    def _entries(self, name: str) -> list:
+        """The table's log, newest first: the few entries still kept."""
+        log = self._read_parquet(f"{self.path(MANIFEST)}/{name}",
+                                 T.StructType(MANIFEST_SCHEMA.fields + [T.StructField(ENTRY, T.IntegerType())]))
+        return [] if log is None else log.orderBy(F.desc(ENTRY)).collect()
 
     def _latest(self, name: str):
-        """Newest manifest entry of a table, or None."""
-        m = self._manifest(name)
-        if m is None:
-            return None
-        newest = F.max_by(F.struct(*MANIFEST_SCHEMA.fieldNames()), F.struct("committed_at", "snapshot"))
-        return m.agg(newest.alias("e")).first()["e"]
-
-    def latest_snapshot(self, name: str) -> str | None:
-        entry = self._latest(name)
-        return (entry["snapshot"] or None) if entry else None
+        """Newest entry of a table's log, or None."""
+        return next(iter(self._entries(name)), None)
 
-    def _commit(self, name: str, snapshot: str, rows: int | None, version: int | None = None,
-                schema: T.StructType | None = None) -> None:
+    @staticmethod
+    def _next(entry) -> tuple[int, str]:
+        """Number and directory name of the commit after ``entry``. Names sort by number."""
+        n = 1 if entry is None else entry[ENTRY] + 1
+        return n, f"{n:08d}-{uuid.uuid4().hex[:8]}"
+
+    def _commit(self, name: str, before, commit: str, rows: int | None, schema: T.StructType | None = None,
+                months: dict | None = None, keys=None, came=None) -> None:
+        """Make ``commit`` the table's state. ``before`` is the entry that the
+        load began with; ``months`` has each month's directories; ``came`` the
+        columns of the batch."""
+        n = 1 if before is None else before[ENTRY] + 1
+        latest = self._latest(name)
+        if (latest and latest[ENTRY]) != (before and before[ENTRY]):
+            raise CommitConflict(f"{name}: commit {n} is already there")
+        columns = {c["name"]: (c["since"], c["until"]) for c in (before["columns"] or [] if before else [])}
+        columns |= {c: (columns.get(c, (n, n))[0], n) for c in came or ()}
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        row = (snapshot, version, None if schema is None else schema.json(), rows, now)
-        entry = f"{self.path(MANIFEST)}/{name}/{ENTRY}={new_run_id()}"
-        self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.parquet(entry)
+        dirs = None if months is None else [(m, c) for m, own in months.items() for c in own]
+        row = (commit, None if keys is None else list(keys), None if schema is None else schema.json(), rows, dirs,
+               [(c, *at) for c, at in columns.items()], now)
+        try:
+            (self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1)
+             .write.mode("errorifexists").parquet(f"{self.path(MANIFEST)}/{name}/{ENTRY}={n}"))
+        except AnalysisException as exc:
+            if "PATH_ALREADY_EXISTS" in str(exc):
+                raise CommitConflict(f"{name}: commit {n} is already there") from exc
+            raise
         self._expire(name)
 
     def _expire(self, name: str) -> None:
         """Remove what the newest commits have replaced: entries, and the
-        snapshots or versions that only removed entries name."""
-        entries = (self.spark.read.schema(T.StructType(MANIFEST_SCHEMA.fields + [T.StructField(ENTRY, T.StringType())]))
-                   .parquet(f"{self.path(MANIFEST)}/{name}").orderBy(F.desc("committed_at"), F.desc(ENTRY)).collect())
-        kept, old = entries[:KEPT_SNAPSHOTS], entries[KEPT_SNAPSHOTS:]
-        of = lambda e: f"{VERSION}={e['version']}" if e["version"] is not None else f"{SNAPSHOT}={e['snapshot']}"
+        directories that only removed entries name."""
+        entries = self._entries(name)
+        kept, old = entries[:KEPT_COMMITS], entries[KEPT_COMMITS:]
+        live = {d for e in kept for d in self._dirs(e)}
+        for d in sorted({d for e in old for d in self._dirs(e)} - live):
+            self._delete(f"{self.path(name)}/{d}")
+            self._delete(f"{self.path(COVERAGE)}/{name}/{d}")
         for e in old:
-            if e["snapshot"] and of(e) not in {of(k) for k in kept}:
-                self._delete(f"{self.path(name)}/{of(e)}")
             self._delete(f"{self.path(MANIFEST)}/{name}/{ENTRY}={e[ENTRY]}")
 
-    # ------------------------------------------------------------ reads ------
     @staticmethod
-    def storage_schema(spec: TableSpec) -> T.StructType:
-        """Registered columns plus the month partition column, if any."""
-        if not spec.partition_by:
-            return spec.schema
-        return T.StructType(spec.schema.fields + [T.StructField(MONTH, T.IntegerType())])
-
-    def _raw_months(self, name: str, entry) -> tuple[DataFrame, T.StructType]:
-        """A month-partitioned raw store (with its month column) and its registered schema."""
-        schema = T.StructType.fromJson(json.loads(entry["schema"]))
-        stored = T.StructType(schema.fields + [T.StructField(MONTH, T.IntegerType())])
-        return self._read_parquet(f"{self.path(name)}/{VERSION}={entry['version']}", schema=stored), schema
+    def _dirs(entry, months=None) -> list[str]:
+        """The directories of an entry; of some ``months`` only, if given."""
+        if entry["months"] is None:
+            return [f"{SNAPSHOT}={entry['commit']}"]
+        return [f"{COMMIT}={d['commit']}/{MONTH}={NO_MONTH if d['month'] is None else d['month']}"
+                for d in entry["months"] if months is None or d["month"] in months]
+
+    @staticmethod
+    def _by_month(entry) -> dict[int | None, list[str]]:
+        out: dict[int | None, list[str]] = {}
+        for d in (entry["months"] if entry else None) or ():
+            out.setdefault(d["month"], []).append(d["commit"])
+        return out
+
+    def column_history(self, name: str) -> DataFrame:
+        """``name``, ``since`` and ``until`` (first and last commit whose
+        batch had the column) and ``state``: ``added`` if some batches came
+        before it, ``lost`` if the newest batch lacks it, else ``kept``."""
+        entry = self._latest(name)
+        rows = [(c["name"], c["since"], c["until"]) for c in (entry["columns"] if entry else ())]
+        first, last = min((r[1] for r in rows), default=0), max((r[2] for r in rows), default=0)
+        state = F.when(F.col("until") < last, "lost").when(F.col("since") > first, "added").otherwise("kept")
+        return self.spark.createDataFrame(rows, "name string, since int, until int").withColumn("state", state)
 
-    def read_raw(self, name: str, partitioned: bool = False) -> DataFrame | None:
-        """Stored frame of a raw store with its registered schema (partition
-        column dropped)."""
+    # ------------------------------------------------------------ reads ------
+    def _read_dirs(self, path: str, dirs: list[str], schema: T.StructType) -> DataFrame | None:
+        """Directories below ``path`` with the registered columns (files that
+        lack one give nulls), and their commit and month."""
+        if not dirs:
+            return None
+        stored = T.StructType(schema.fields + [T.StructField(COMMIT, T.StringType()), T.StructField(MONTH, T.IntegerType())])
+        return self.spark.read.schema(stored).option("basePath", path).parquet(*[f"{path}/{d}" for d in dirs])
+
+    def _read_table(self, spec: TableSpec, entry, months=None) -> DataFrame | None:
+        df = self._read_dirs(self.path(spec.name), self._dirs(entry, months), spec.schema)
+        return None if df is None else align_to_spec(df.drop(COMMIT, MONTH), spec)
+
+    def _read_raw_months(self, name: str, entry, months=None) -> DataFrame | None:
+        """A raw store's rows, each key's latest. Months without deltas are
+        read as they are; in others the newest commit of a key wins."""
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        by_month = self._by_month(entry)
+        wanted = set(by_month) if months is None else set(by_month) & set(months)
+        plain = {m for m in wanted if len(by_month[m]) == 1}
+        one = self._read_dirs(self.path(name), self._dirs(entry, plain), schema)
+        several = self._read_dirs(self.path(name), self._dirs(entry, wanted - plain), schema)
+        parts = [] if one is None else [one.drop(COMMIT, MONTH)]
+        if several is not None:
+            parts.append(keep_latest(several.drop(MONTH), entry["keys"], COMMIT).drop(COMMIT))
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
+    def read_raw(self, name: str) -> DataFrame | None:
+        """Stored frame of a raw store with its registered schema; None if there is none."""
         entry = self._latest(name)
-        if entry is None or not entry["snapshot"]:
+        if entry is None:
             return None
-        if partitioned:
-            return self._raw_months(name, entry)[0].drop(MONTH)
-        return self._read_parquet(f"{self.path(name)}/{SNAPSHOT}={entry['snapshot']}")
+        if entry["months"] is not None:
+            return self._read_raw_months(name, entry)
+        return self._read_parquet(f"{self.path(name)}/{self._dirs(entry)[0]}")
 
-    def read_months(self, spec: TableSpec, months: Months) -> DataFrame | None:
-        """Rows of a month-partitioned canonical table in a batch's months."""
-        df = self._read_parquet(self.path(spec.name), schema=self.storage_schema(spec))
-        return None if df is None else align_to_spec(months.of_store(df).drop(MONTH), spec)
+    def read_months(self, spec: TableSpec, months) -> DataFrame | None:
+        """Rows of a month-partitioned canonical table in some months: only their directories are opened."""
+        entry = self._latest(spec.name)
+        return None if entry is None else self._read_table(spec, entry, set(months))
 
     def read_window(self, spec: TableSpec, lo: _dt.date, hi: _dt.date,
                     date_col: str = "trade_date") -> DataFrame | None:
-        """A month-partitioned table between two dates: a partition filter on
-        the month range (directory pruning) plus the exact date filter (row
-        groups); aligned to the registered columns."""
-        df = self._read_parquet(self.path(spec.name), schema=self.storage_schema(spec))
-        if df is None:
+        """A month-partitioned table between two dates: only the months'
+        directories are opened, plus the exact date filter (row groups)."""
+        entry = self._latest(spec.name)
+        if entry is None:
             return None
-        lo_m, hi_m = lo.year * 100 + lo.month, hi.year * 100 + hi.month
-        df = df.where(F.col(MONTH).between(lo_m, hi_m)).drop(MONTH)
-        df = df.where(F.col(date_col).between(F.lit(lo), F.lit(hi)))
-        return align_to_spec(df, spec)
+        first, last = lo.year * 100 + lo.month, hi.year * 100 + hi.month
+        df = self._read_table(spec, entry, {m for m in self._by_month(entry) if m is not None and first <= m <= last})
+        if df is None:
+            return self.spark.createDataFrame([], spec.schema)
+        return df.where(F.col(date_col).between(F.lit(lo), F.lit(hi)))
 
     def read(self, spec: TableSpec) -> DataFrame | None:
         """A canonical table read with its registered columns: a column
         the stored files lack (added later) comes back as typed nulls, and
         files written before and after the addition read together. None when
         the table does not exist."""
+        entry = self._latest(spec.name)
+        if entry is None:
+            return None
         if spec.partition_by:
-            df = self._read_parquet(self.path(spec.name), schema=self.storage_schema(spec))
-            df = None if df is None else df.drop(MONTH)
-        else:
-            snap = self.latest_snapshot(spec.name)
-            df = None if snap is None else self._read_parquet(
-                f"{self.path(spec.name)}/{SNAPSHOT}={snap}", schema=spec.schema)
+            return self._read_table(spec, entry)
+        df = self._read_parquet(f"{self.path(spec.name)}/{self._dirs(entry)[0]}", schema=spec.schema)
         return None if df is None else align_to_spec(df, spec)
 
     # ------------------------------------------------------------ coverage ---
@@ -232,53 +290,22 @@ class Store:
 
     def coverage(self, spec: TableSpec) -> DataFrame | None:
         """Coverage summary ``(instrument_id, source_id, first_date,
-        last_date)`` of a table: one row per instrument and source, so gap
-        planning reads this instead of aggregating the whole table. None when
-        absent or invalidated (callers then aggregate the table)."""
-        if not self.keeps_coverage(spec):
-            return None
-        snap = self.latest_snapshot(f"{COVERAGE}/{spec.name}")
-        if snap is None:
+        last_date)`` of a table: one row per instrument and source, merged
+        from its months, so gap planning reads this instead of the table.
+        None when the table keeps none or is not there."""
+        entry = self._latest(spec.name)
+        if entry is None or not self.keeps_coverage(spec):
             return None
-        return self._read_parquet(f"{self.path(COVERAGE)}/{spec.name}/{SNAPSHOT}={snap}")
-
-    def _coverage_of(self, df: DataFrame) -> DataFrame:
-        return coverage_summary(df, "trade_date", COVERAGE_KEYS)
-
-    def _rebuild_coverage(self, spec: TableSpec) -> None:
-        table = self.read(spec)
-        if table is not None:
-            self._write_snapshot(f"{COVERAGE}/{spec.name}", self._coverage_of(table))
-
-    def _extend_coverage(self, spec: TableSpec, old: DataFrame, incoming: DataFrame) -> None:
-        merged = old.select(*COVERAGE_KEYS, "first_date", "last_date").unionByName(
-            self._coverage_of(incoming)).groupBy(*COVERAGE_KEYS).agg(
-            F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
-        self._write_snapshot(f"{COVERAGE}/{spec.name}", merged)
-
-    @staticmethod
-    def _may_displace(cov: DataFrame, incoming: DataFrame) -> bool:
-        """Cheap pre-check on the summary (one row per instrument and source):
-        a key can only change source for an instrument that already has
-        coverage under another source."""
-        pairs = incoming.select("instrument_id", F.col("source_id").alias("_new_source")).distinct()
-        other = cov.select(*COVERAGE_KEYS).join(pairs, "instrument_id").where(
-            ~F.col("source_id").eqNullSafe(F.col("_new_source")))
-        return not other.isEmpty()
-
-    def _displaces_source(self, stored: DataFrame, incoming: DataFrame, spec: TableSpec) -> bool:
-        """True when an incoming row replaces a stored row of another source
-        (the key holds no source, Q16): coverage of the old source may shrink."""
-        keys = list(spec.primary_key)
-        new_src = incoming.select(*keys, F.col("source_id").alias("_new_source"))
-        clash = stored.select(*keys, "source_id").join(new_src, keys).where(
-            ~F.col("source_id").eqNullSafe(F.col("_new_source")))
-        return not clash.isEmpty()
+        kept = T.StructType([spec.field(c) for c in COVERAGE_KEYS]
+                            + [T.StructField(c, T.DateType()) for c in ("first_date", "last_date")])
+        by_month = self._read_dirs(f"{self.path(COVERAGE)}/{spec.name}", self._dirs(entry), kept)
+        if by_month is None:
+            return self.spark.createDataFrame([], kept)
+        return by_month.groupBy(*COVERAGE_KEYS).agg(F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
 
     # ------------------------------------------------------------ writes -----
-    def _write_months(self, path: str, merged: DataFrame, month, keys) -> DataFrame:
-        """Overwrite the months present in ``merged`` (dynamic partitions);
-        returns the rows written, cut from their lineage.
+    def _write_months(self, path: str, rows: DataFrame, month, keys) -> int:
+        """Write ``rows`` below ``path`` by month; their number.
 
         Range-partitioned on (month, key): a month larger than one task's
         share is split across several tasks by key (a key holds at most one
@@ -286,23 +313,22 @@ class Store:
         contiguous run of months, so few files are written per month. Rows
         come out sorted by key inside each file (O1 layout).
         """
-        out = merged.withColumn(MONTH, month).checkpoint(eager=True)
         order = [MONTH, *keys]
-        (out.repartitionByRange(*order).sortWithinPartitions(*order)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(MONTH).parquet(path))
-        return out
+        dealt = rows.withColumn(MONTH, month).repartitionByRange(*order).sortWithinPartitions(*order)
+        return counted(dealt, lambda df: df.write.mode("errorifexists").partitionBy(MONTH).parquet(path))
 
-    def _write_snapshot(self, name: str, merged: DataFrame, rows: int | None = None) -> str:
-        snap = new_run_id()
-        merged.write.mode("errorifexists").parquet(f"{self.path(name)}/{SNAPSHOT}={snap}")
-        self._commit(name, snap, rows)
-        return snap
+    def _write_coverage(self, spec: TableSpec, commit: str, months) -> None:
+        """Coverage by month of a commit's months, from what it has written."""
+        dirs = [f"{COMMIT}={commit}/{MONTH}={NO_MONTH if m is None else m}" for m in months]
+        written = self._read_dirs(self.path(spec.name), dirs, spec.schema)
+        if written is not None:
+            (coverage_summary(written, "trade_date", (*COVERAGE_KEYS, MONTH)).repartition(MONTH)
+             .write.mode("errorifexists").partitionBy(MONTH).parquet(f"{self.path(COVERAGE)}/{spec.name}/{COMMIT}={commit}"))
 
     def upsert(self, spec: TableSpec, incoming: DataFrame) -> int:
         """S10 on disk: replace stored rows whose key is in ``incoming``, add
-        the rest; returns the number of incoming rows (0 for an empty batch).
+        the rest, in one commit over all months; returns the number of
+        incoming rows (0 for an empty batch).
 
         Checked before any write: all registered columns present (else
         ValueError with sorted names), required columns non-null, key unique.
@@ -310,10 +336,8 @@ class Store:
         if set(spec.columns) - set(incoming.columns) and incoming.isEmpty():
             return 0  # an empty batch writes nothing, whatever its columns
         incoming = guard_required(check_upsert_columns(incoming, spec), spec)
-        # Materialize the batch once, before anything is written: it may read
-        # the very table it updates (e.g. a new-key filter), and a lazy
-        # re-evaluation after the overwrite would see other files. A null in a
-        # required column fails here, so nothing is written.
+        # Materialize the batch once: it is checked before it is written. A
+        # null in a required column fails here, so nothing is written.
         incoming = incoming.checkpoint(eager=True)
         date_keys = [k for k in spec.primary_key if isinstance(spec.field(k).dataType, T.DateType)]
         date_col = date_keys[0] if spec.partition_by and date_keys else None
@@ -322,24 +346,23 @@ class Store:
             return 0
         if max_n > 1:
             raise ValueError(f"{spec.name}: duplicate primary key in incoming rows")
-        if date_col is not None:
-            stored = self.read_months(spec, Months.of(month_key(date_col), incoming))
-            cov = self.coverage(spec)
-            stale = cov is None
-            if (cov is not None and stored is not None and self._may_displace(cov, incoming)
-                    and self._displaces_source(stored, incoming, spec)):
-                self._commit(f"{COVERAGE}/{spec.name}", "", None)  # invalidate before writing
-                stale = True
-            self._write_months(self.path(spec.name), upsert(stored, incoming, spec), month_key(date_col),
-                               list(spec.primary_key))
-            if self.keeps_coverage(spec):
-                if stale:
-                    self._rebuild_coverage(spec)
-                else:
-                    self._extend_coverage(spec, cov, incoming)
-        else:
+        entry = self._latest(spec.name)
+        commit = self._next(entry)[1]
+        if date_col is None:
             merged = upsert(self.read(spec), incoming, spec)
-            self._write_snapshot(spec.name, merged)
+            n = counted(merged, lambda df: df.write.mode("errorifexists").parquet(f"{self.path(spec.name)}/{SNAPSHOT}={commit}"))
+            self._commit(spec.name, entry, commit, n, spec.schema, came=spec.columns)
+            return rows
+        months = months_of(month_key(date_col), incoming)
+        stored = None if entry is None else self._read_table(spec, entry, months)
+        before = 0 if stored is None else stored.count()
+        n = self._write_months(f"{self.path(spec.name)}/{COMMIT}={commit}", upsert(stored, incoming, spec), month_key(date_col),
+                               list(spec.primary_key))
+        if self.keeps_coverage(spec):
+            self._write_coverage(spec, commit, months)
+        total = (entry["rows"] if entry else 0) - before + n
+        self._commit(spec.name, entry, commit, total, spec.schema, self._by_month(entry) | {m: [commit] for m in months},
+                     came=spec.columns)
         return rows
 
     def merge_raw(
@@ -356,51 +379,66 @@ class Store:
         alone and returns its count. ``keys`` defaults to (trade_date,
         instrument_id); ``sort_by`` (file layout only) defaults to the keys.
         Among incoming rows of a key the greatest ``ordinal`` wins; without
-        one, the greatest row (:func:`merge_keep_latest`).
+        one, the last that landed if the rows know it (landing scans), else
+        the greatest row (:func:`merge_keep_latest`).
 
-        With ``date_col`` (a DATE or text key) the store is month-partitioned:
-        only the batch's months are read and rewritten, and the count comes
-        from the manifest. Otherwise a new snapshot is written. Rows of the
-        store are sorted by key within each file (layout only, O1).
+        With ``date_col`` (a DATE or text key) the store is month-partitioned
+        and only the batch is written. Otherwise a new snapshot is written.
+        Rows are sorted by key within each file (layout only, O1).
         """
         keys = list(keys or DEFAULT_RAW_KEYS)
         order = list(sort_by or keys)
         entry = self._latest(name)
+        incoming = incoming.drop(LAND_MONTH)
         if incoming.isEmpty():
             return 0 if entry is None else entry["rows"]
+        came = incoming.drop(ARRIVAL).columns
+        commit = self._next(entry)[1]
         if date_col is not None:
-            return self._merge_raw_months(name, entry, incoming, keys, ordinal, date_col, order)
+            return self._merge_raw_months(name, entry, commit, incoming, keys, ordinal, date_col, order, came)
         merged = merge_keep_latest(self.read_raw(name), incoming, keys, ordinal)
-        merged = merged.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint(eager=True)
-        n = merged.count()
-        self._write_snapshot(name, merged, n)
+        n = counted(merged.repartitionByRange(*order).sortWithinPartitions(*order),
+                    lambda df: df.write.mode("errorifexists").parquet(f"{self.path(name)}/{SNAPSHOT}={commit}"))
+        self._commit(name, entry, commit, n, merged.schema, keys=keys, came=came)
         return n
 
-    def _merge_raw_months(self, name: str, entry, incoming: DataFrame, keys, ordinal, date_col, order) -> int:
+    def _merge_raw_months(self, name: str, entry, commit: str, incoming: DataFrame, keys, ordinal, date_col, order, came) -> int:
         landed = incoming.drop(ARRIVAL).schema
-        if entry is None:
-            version, stored, schema, rows = 1, None, landed, 0
-        else:
-            version, rows = entry["version"], entry["rows"]
-            stored, old = self._raw_months(name, entry)
-            schema = relaxed_schema(self.spark, old, landed)
-            if any(schema[f.name].dataType != f.dataType for f in old.fields):
-                # a type widens: all months once more in the wider types, as a new version
-                version += 1
-                wide = cast_to(stored.drop(MONTH), schema)
-                self._write_months(f"{self.path(name)}/{VERSION}={version}", wide, month_key(_as_date(wide, date_col)), order)
-                self._commit(name, new_run_id(), rows, version, schema)
-                stored = self._raw_months(name, self._latest(name))[0]
-        path = f"{self.path(name)}/{VERSION}={version}"
-        incoming = cast_to(incoming, schema, keep=(ARRIVAL,))
-        before = None
-        if stored is not None:
-            before = cast_to(Months.of(month_key(_as_date(incoming, date_col)), incoming).of_store(stored).drop(MONTH), schema)
-            rows -= before.count()  # of the batch's months only
-        merged = merge_keep_latest(before, incoming, keys, ordinal)
-        rows += self._write_months(path, merged, month_key(_as_date(merged, date_col)), order).count()
-        self._commit(name, new_run_id(), rows, version, schema)
-        return rows
+        schema, total = landed, 0
+        if entry is not None:
+            old = T.StructType.fromJson(json.loads(entry["schema"]))
+            schema, total = relaxed_schema(self.spark, old, landed), entry["rows"]
+            if any(schema[f.name].dataType != f.dataType for f in old.fields):  # a type widens: all months once more
+                self._rewrite(name, entry, set(self._by_month(entry)), schema, date_col, order)
+                entry = self._latest(name)
+                commit = self._next(entry)[1]
+        latest = merge_keep_latest(None, cast_to(incoming, schema, keep=(ARRIVAL,)), keys, ordinal).checkpoint(eager=True)
+        month = month_key(_as_date(latest, date_col))
+        months = months_of(month, latest)
+        stored = None if entry is None else self._read_raw_months(name, entry, months)
+        known = 0 if stored is None else same_keys(latest, stored.select(*keys), keys, "left_semi").count()
+        total += self._write_months(f"{self.path(name)}/{COMMIT}={commit}", latest, month, order) - known
+        by_month = self._by_month(entry)
+        by_month |= {m: [*by_month.get(m, []), commit] for m in months}
+        self._commit(name, entry, commit, total, schema, by_month, keys, came)
+        self.compact(name, date_col, order, MOST_DELTAS)
+        return total
+
+    def compact(self, name: str, date_col: str, sort_by, most: int = 1) -> int:
+        """Fold the deltas of a raw store's months that have more than ``most``
+        directories into one; the number of such months. Rows stay the same."""
+        entry = self._latest(name)
+        months = {m for m, own in self._by_month(entry).items() if len(own) > most}
+        if months:
+            self._rewrite(name, entry, months, T.StructType.fromJson(json.loads(entry["schema"])), date_col, list(sort_by))
+        return len(months)
+
+    def _rewrite(self, name: str, entry, months: set, schema: T.StructType, date_col: str, order) -> None:
+        """Some months of a raw store written once more, merged, in ``schema``'s types."""
+        commit = self._next(entry)[1]
+        rows = cast_to(self._read_raw_months(name, entry, months), schema)
+        self._write_months(f"{self.path(name)}/{COMMIT}={commit}", rows, month_key(_as_date(rows, date_col)), order)
+        self._commit(name, entry, commit, entry["rows"], schema, self._by_month(entry) | {m: [commit] for m in months}, entry["keys"])
 
     def append(self, spec: TableSpec, rows: DataFrame) -> None:
         """Append-only metadata rows (audit events)."""
