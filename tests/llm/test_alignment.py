@@ -17,10 +17,20 @@ def encoders():
         return A.Encoders(a.read(), b.read())
 
 
-def _tokens(encoders, text):
+@pytest.fixture(scope="module")
+def byte_bpe():
+    """A's own library, on the same file."""
+    import tokenizers
+
+    own = tokenizers.Tokenizer.from_file(A.PATH_A)
+    own.encode_special_tokens = True
+    return own
+
+
+def _tokens(encoders, byte_bpe, text):
     """(id, begin, end) of A and of B over the whole text, not cut."""
     out = []
-    a = encoders.a.encode(" " + text, add_special_tokens=False).ids
+    a = byte_bpe.encode(" " + text, add_special_tokens=False).ids
     b = encoders.b.encode(text)
     for ids, stands in ((a, encoders.bytes_a), (b, encoders.bytes_b)):
         at, own = 0, []
@@ -34,10 +44,10 @@ def _tokens(encoders, text):
     return out
 
 
-def _brute(encoders, rows):
+def _brute(encoders, byte_bpe, rows):
     links, shapes = [], []
     for _, text in rows:
-        a, b = _tokens(encoders, text) if text else ([], [])
+        a, b = _tokens(encoders, byte_bpe, text) if text else ([], [])
         links.append([(x, y) for x, s, e in a for y, t, u in b if s < u and t < e])
         cuts = sorted({e for _, _, e in a} & {e for _, _, e in b})
         groups, at = [], 0
@@ -73,31 +83,31 @@ def _got(df):
     return sorted((tuple(r[c] for c in ("doc_id", *SIZES)) for r in df.collect()), key=repr)
 
 
-def test_against_every_pair(spark, docs_of, encoders):
+def test_against_every_pair(spark, docs_of, encoders, byte_bpe):
     rows = _rows(1)
-    assert _got(A.alignment_report(docs_of(rows))) == sorted(_brute(encoders, rows), key=repr)
+    assert _got(A.alignment_report(docs_of(rows))) == sorted(_brute(encoders, byte_bpe, rows), key=repr)
 
 
-def test_small_slices_chunks_and_memory(spark, docs_of, encoders, monkeypatch):
+def test_small_slices_chunks_and_memory(spark, docs_of, encoders, byte_bpe, monkeypatch):
     monkeypatch.setattr(A, "SLICE_BYTES", 500)
     monkeypatch.setattr(A, "CHUNK_PAIRS", 100)
     monkeypatch.setattr(A, "KNOWN_SEGMENTS", 30)
     rows = _rows(2)
-    assert _got(A.alignment_report(docs_of(rows))) == sorted(_brute(encoders, rows), key=repr)
+    assert _got(A.alignment_report(docs_of(rows))) == sorted(_brute(encoders, byte_bpe, rows), key=repr)
 
 
-def test_driver_texts_are_kept_when_cut(spark, encoders):
+def test_driver_texts_are_kept_when_cut(spark, encoders, byte_bpe):
     """Ids of the segments, one after another, are the whole text's."""
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").limit(80).collect()
     for text in [r["text"] for r in rows] + TEXTS:
         a, b = encoders.encode(A.segments_of(text))
-        assert sum(a.to_pylist(), []) == encoders.a.encode(" " + text, add_special_tokens=False).ids
+        assert sum(a.to_pylist(), []) == byte_bpe.encode(" " + text, add_special_tokens=False).ids
         assert sum(b.to_pylist(), []) == encoders.b.encode(text)
 
 
-def test_odd_rows(spark, docs_of, odd_rows, encoders):
+def test_odd_rows(spark, docs_of, odd_rows, encoders, byte_bpe):
     docs = docs_of(odd_rows).selectExpr("*", "'x' AS chunk", "1 AS codes", "2 AS n_a", "3 AS code", "4 AS best")
     short = [(i, t if t is None or len(t) < 1000 else t[:1000]) for i, t in odd_rows]
     assert len(A.alignment_report(docs).collect()) == len(odd_rows)
-    assert _got(A.alignment_report(docs_of(short))) == sorted(_brute(encoders, short), key=repr)
+    assert _got(A.alignment_report(docs_of(short))) == sorted(_brute(encoders, byte_bpe, short), key=repr)
     assert A.alignment_report(docs.limit(0)).count() == 0

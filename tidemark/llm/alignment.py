@@ -46,9 +46,11 @@ from .common import materialize, slices
 
 PATH_A, PATH_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 SLICE_BYTES = 4_000_000
-KNOWN_SEGMENTS = 300_000  # kept by a task for its next slices; beyond that all are forgotten
+KNOWN_SEGMENTS = 200_000  # kept by a task for its next slices; beyond that all are forgotten
 CHUNK_PAIRS = 2_000_000  # different pairs of all documents of a chunk, one document at least
-BORDER = re.compile(r"\S ")
+BORDER, BLANKS = re.compile(r"\S "), re.compile(r"\s ")
+#: Fixed value: the pattern that byte-level tokenizers cut texts with before they merge.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def byte_letters() -> dict[str, int]:
@@ -60,20 +62,26 @@ def byte_letters() -> dict[str, int]:
 
 
 class Encoders:
-    """Both tokenizers, and the bytes that each id stands for."""
+    """Both tokenizers, and the bytes and names that each id stands for."""
 
     def __init__(self, file_a: bytes, file_b: bytes):
         import sentencepiece
-        import tokenizers
+        import tiktoken
 
-        self.a = tokenizers.Tokenizer.from_buffer(file_a)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation(), self.a.no_padding()
+        content = json.loads(file_a)
+        shape, model = content["pre_tokenizer"], content["model"]
+        if shape["type"] != "ByteLevel" or not shape.get("use_regex", True) or shape["add_prefix_space"] or content["normalizer"]:
+            raise ValueError("A has to be a byte-level tokenizer that cuts before spaces")
         letters = byte_letters()
-        vocabulary = self.a.get_vocab(with_added_tokens=False)
-        stands = [b""] * (max(vocabulary.values(), default=-1) + 1)
-        for token, i in vocabulary.items():
-            stands[i] = bytes(letters[c] for c in token)
+        merges = [m.replace(" ", "") if isinstance(m, str) else "".join(m) for m in model["merges"]]
+        order = [model["vocab"][m] for m in [*sorted(letters, key=model["vocab"].__getitem__), *merges]]
+        if any(x >= y for x, y in itertools.pairwise(order)):
+            raise ValueError("A's ids have to follow the order of its merges")
+        ranks = {bytes(letters[c] for c in t): model["vocab"][t] for t in [*letters, *merges]}
+        self.a = tiktoken.Encoding("a", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+        stands = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            stands[i] = token
         self.bytes_a = pa.array(stands, pa.binary())
 
         self.b = sentencepiece.SentencePieceProcessor(model_proto=file_b)
@@ -82,16 +90,14 @@ class Encoders:
                                  for i, p in enumerate(pieces)], pa.binary())
         self.blank = self.b.piece_to_id("▁")
         # no merge crosses the border between a character that is not white space and a space, so texts can be cut there
-        shape = json.loads(file_a)["pre_tokenizer"]
-        if shape["type"] != "ByteLevel" or not shape.get("use_regex", True) or shape["add_prefix_space"]:
-            raise ValueError("A has to be a byte-level tokenizer that cuts before spaces")
         if any(BORDER.search(p.replace("▁", " ")) for p in pieces):
             raise ValueError("B has pieces with a character before a space")
+        self.names = pa.array([f"{i}{end}" for n, ends in ((len(stands), ",|"), (len(pieces), ",;")) for i in range(n) for end in ends], pa.binary())
 
     def encode(self, segments: list[str]) -> tuple[pa.Array, pa.Array]:
         """Lists of A's and of B's ids; every segment begins with a space,
         which B adds by itself (but to an empty text)."""
-        a = pa.array([x.ids for x in self.a.encode_batch_fast(segments, add_special_tokens=False)], pa.list_(pa.int32()))
+        a = pa.array(map(self.a.encode_ordinary, segments), pa.list_(pa.int32()))
         b = self.b.encode([s[1:] for s in segments], num_threads=1)
         return a, pa.array([x or [self.blank] for x in b], pa.list_(pa.int32()))
 
@@ -106,7 +112,7 @@ def segments_of(text: str) -> list[str]:
     """A space and the text, cut before each space that follows a character
     that is not white space (nor taken for it by any tokenizer)."""
     words = text.split(" ")
-    if not any(w == "" or w[-1].isspace() for w in words[:-1]):
+    if text[0] != " " and not BLANKS.search(text):
         return [" " + w for w in words]
     out = [" " + words[0]]
     for w in words[1:]:
@@ -117,10 +123,15 @@ def segments_of(text: str) -> list[str]:
     return out
 
 
+def in_a_row(values: pa.BinaryArray) -> tuple[bytes, np.ndarray]:
+    """The values one after another, and where each begins and the last ends."""
+    at = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1] if len(values) else np.zeros(1, np.int32)
+    return (values.buffers()[2].to_pybytes()[at[0] : at[-1]] if at[-1] > at[0] else b""), at - at[0]
+
+
 def joined(ids: pa.ListArray, stands: pa.Array) -> bytes:
-    """The bytes of all tokens, one after another: ``take`` writes them so."""
-    got = pc.list_flatten(ids)
-    return b"".join(stands.take(got).to_pylist()) if len(got) else b""
+    """The bytes of all tokens."""
+    return in_a_row(stands.take(pc.list_flatten(ids)))[0]
 
 
 def ends_of(ids: pa.ListArray, stands: pa.Array) -> pa.Table:
@@ -137,7 +148,7 @@ def links_of(a: pa.ListArray, b: pa.ListArray, stands_a: pa.Array, stands_b: pa.
     ``a`` and ``b`` (places of the tokens) and ``both`` (both end here). Both
     lists stand for the same bytes in each segment."""
     found = (ends_of(a, stands_a).rename_columns(["segment", "end", "a"])
-             .join(ends_of(b, stands_b).rename_columns(["segment", "end", "b"]), ["segment", "end"], join_type="full outer")
+             .join(ends_of(b, stands_b).rename_columns(["segment", "end", "b"]), ["segment", "end"], join_type="full outer", use_threads=False)
              .combine_chunks().sort_by([("segment", "ascending"), ("end", "ascending")]))
     both = pc.and_(pc.is_valid(found["a"]), pc.is_valid(found["b"]))
     return pa.table({"segment": found["segment"], "a": pc.fill_null_backward(found["a"]),
@@ -175,19 +186,20 @@ def counted(parent: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(parent, minlength=n).astype(np.int64)
 
 
-def shapes(links: pa.Table, ids_a: np.ndarray, ids_b: np.ndarray, n: int) -> list[bytes]:
-    """``a1,a2|b1;a3|b2,b3`` of each segment."""
-    segment = links["segment"].to_numpy()
-    a, b = links["a"].to_numpy(), links["b"].to_numpy()
+def shapes(links: pa.Table, ids_a: np.ndarray, ids_b: np.ndarray, n: int, names: pa.BinaryArray, size_a: int) -> list[bytes]:
+    """``a1,a2|b1;a3|b2,b3`` of each segment. Each token's place among the
+    names of all is its own number and that of the other side's tokens before it."""
     ends = np.nonzero(links["both"].to_numpy(zero_copy_only=False))[0]
-    group = []
-    name_a, name_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-    i = j = 0
-    for x, y in zip((a[ends] + 1).tolist(), (b[ends] + 1).tolist(), strict=True):
-        group.append(f"{','.join(name_a[i:x])}|{','.join(name_b[j:y])}")
-        i, j = x, y
-    cuts = np.searchsorted(segment[ends], np.arange(n + 1)).tolist()
-    return [";".join(group[s:e]).encode() for s, e in itertools.pairwise(cuts)]
+    upto_a, upto_b = links["a"].to_numpy()[ends] + 1, links["b"].to_numpy()[ends] + 1  # of each group
+    group_a, group_b = (np.repeat(np.arange(len(ends)), np.diff(x, prepend=0)) for x in (upto_a, upto_b))
+    every_a, every_b = np.arange(len(ids_a)), np.arange(len(ids_b))
+    which = np.zeros(len(ids_a) + len(ids_b), np.int64)
+    which[every_a + np.concatenate([[0], upto_b])[group_a]] = 2 * ids_a + (every_a + 1 == upto_a[group_a])
+    which[every_b + upto_a[group_b]] = 2 * (size_a + ids_b) + (every_b + 1 == upto_b[group_b])
+    text, at = in_a_row(names.take(pa.array(which)))
+    last = np.searchsorted(links["segment"].to_numpy()[ends], np.arange(1, n + 1))  # groups of all segments up to each
+    cuts = at[np.concatenate([[0], (upto_a + upto_b)])[np.concatenate([[0], last])]].tolist()
+    return [text[s : max(s, e - 1)] for s, e in itertools.pairwise(cuts)]
 
 
 def analyse(encoders: Encoders, texts: list[str]) -> Segments:
@@ -211,7 +223,7 @@ def analyse(encoders: Encoders, texts: list[str]) -> Segments:
     sizes = np.stack([pc.list_value_length(a).to_numpy(), pc.list_value_length(b).to_numpy(),
                       counted(segment[links["both"].to_numpy(zero_copy_only=False)], n), counted(segment, n)], axis=1).astype(np.int64)
     begins = np.concatenate([[0], np.cumsum(counted(pairs["segment"].to_numpy(), n))])
-    return Segments(valid, sizes, shapes(links, ids_a, ids_b, n), begins, pairs["code"].to_numpy(), pairs["count_all"].to_numpy())
+    return Segments(valid, sizes, shapes(links, ids_a, ids_b, n, encoders.names, len(encoders.bytes_a)), begins, pairs["code"].to_numpy(), pairs["count_all"].to_numpy())
 
 
 def ragged(begins: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -271,9 +283,6 @@ def lists(values: np.ndarray, begins: np.ndarray) -> pa.ListArray:
 
 def _align(files: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         aligner = Aligner(Encoders(*files.value))
         chunk, held = uuid.uuid4().hex, 0
         for batch in batches:
@@ -325,7 +334,7 @@ def _score(docs: pa.Table, counts: pa.Table) -> pa.Table:
     n = len(docs)
     codes, weights = (docs.column(c).combine_chunks() for c in ("codes", "weights"))
     links = pa.table({"doc": pc.list_parent_indices(codes), "code": pc.list_flatten(codes), "weight": pc.list_flatten(weights)})
-    found = links.join(counts.select(["code", "n", "best"]).combine_chunks(), "code", join_type="inner")
+    found = links.join(counts.select(["code", "n", "best"]).combine_chunks(), "code", join_type="inner", use_threads=False)
     doc, weight = found["doc"].to_numpy(), found["weight"].to_numpy()
     total = np.zeros((2, n), np.int64)
     np.add.at(total[0], doc, weight * found["best"].to_numpy())
