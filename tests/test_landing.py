@@ -109,3 +109,12 @@ def test_window_keeps_every_date_shape(spark, tmp_root):
     assert sorted(got) == sorted(days[:5])
     one = L.where_window(L.read_landing(spark, path, "stock_st"), "trade_date", trade_date="20260601")
     assert sorted(r["trade_date"] for r in one.collect()) == sorted(days[:3])
+
+
+def test_long_windows_keep_every_shape(spark):
+    """A window of thousands of years is one range on the text, not a term for each."""
+    days = ["00010101", "1999-1-2", "2026/01/05", "20260106", "9999-12-31", "x", None]
+    df = spark.createDataFrame([(d,) for d in days], "trade_date string")
+    whole = L.text_window("trade_date", dt.date(1, 1, 1), dt.date(9999, 12, 31))
+    assert [r[0] for r in df.where(whole).collect()] == days[:5]
+    assert str(whole).count("AND") == 1

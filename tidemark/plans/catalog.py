@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,8 +124,7 @@ _BARS = S.MARKET_BARS_DAILY.columns
 
 
 def _incoming_bars(spark, d):
-    key = F.col("k") + F.dayofyear("trade_date")
-    b = fx.bars_keyed(spark, d).where(F.pmod(key, F.lit(4)) != 0)  # replaces half of the state, adds the rest
+    b = fx.bars_keyed(spark, d)  # replaces the state's rows of half of the months, adds the rest
     null = F.lit(None).cast("double")
     return b.select(
         "instrument_id", "trade_date", "open", "high", "low", "close", null.alias("pre_close"),
@@ -139,13 +139,26 @@ def _incoming_bars(spark, d):
                      CAST(NULL AS DOUBLE) AS pre_close, CAST(NULL AS DOUBLE) AS change,
                      CAST(NULL AS DOUBLE) AS pct_chg, volume, amount, instrument_id AS source_code,
                      'tushare' AS source_id, {LOADED_AT} AS updated_at
-              FROM bars_keyed WHERE (k + dayofyear(trade_date)) % 4 <> 0)
-    SELECT {_c(_BARS)} FROM stored_half s WHERE NOT EXISTS (
+              FROM bars_keyed)
+    SELECT {_c(_BARS)} FROM stored_renamed s WHERE NOT EXISTS (
         SELECT 1 FROM inc i WHERE i.instrument_id = s.instrument_id AND i.trade_date = s.trade_date)
-    UNION ALL SELECT {_c(_BARS)} FROM inc""", "bars_keyed", "stored_half"))
+    UNION ALL SELECT {_c(_BARS)} FROM inc""", "bars_keyed", "stored_renamed"))
 def upsert_bars(spark, d):
     """Stored rows not in incoming plus all incoming rows."""
-    return ST.upsert(fx.stored_half(spark, d), _incoming_bars(spark, d), S.MARKET_BARS_DAILY)
+    return ST.upsert(fx.stored_renamed(spark, d), _incoming_bars(spark, d), S.MARKET_BARS_DAILY)
+
+
+_LATER = ("amount", "volume")  # columns that the files of odd months were written before
+
+
+@register("aligned_read", with_views(f"""
+    SELECT {', '.join(f"CASE WHEN month(trade_date) % 2 = 0 THEN {c} END AS {c}" if c in _LATER else c for c in _BARS)}
+    FROM stored_bars""", "stored_bars"))
+def aligned_read(spark, d):
+    """Files written before and after columns were added, read together."""
+    stored, odd = fx.stored_bars(spark, d), F.pmod(F.month("trade_date"), F.lit(2)) == 1
+    files = [stored.where(odd).drop(*_LATER), stored.where(~odd)]
+    return reduce(DataFrame.unionByName, [ST.align_to_spec(f, S.MARKET_BARS_DAILY) for f in files])
 
 
 @register("relaxed_union", """
@@ -173,6 +186,15 @@ def gaps_whole(spark, d):
                             filters={"source_id": "tushare"})
 
 
+@register("gaps_raw", with_views(f"""
+    , b AS (SELECT min({parse_date_sql('trade_date')}) AS first_date, max({parse_date_sql('trade_date')}) AS last_date
+            FROM daily_landing)
+    {head_tail_sql('b', '', GAP_START, GAP_END)}""", "daily_landing"))
+def gaps_raw(spark, d):
+    """G1 over a raw store: its dates are text, in every accepted shape."""
+    return G.missing_ranges(spark, fx.daily_landing(spark, d), GAP_START, GAP_END)
+
+
 @register("gaps_whole_clipped", with_views(f"""
     , b AS (SELECT min(trade_date) AS first_date, max(trade_date) AS last_date FROM stored_bars)
     , w AS (SELECT greatest(DATE '{GAP_START}', DATE '{CLIP_LIST}') AS ask_start,
@@ -617,17 +639,16 @@ def filtered_scan(spark, d):
 
 
 @register("existing_keys", with_views("""
-    , landed AS (SELECT * FROM history WHERE right(ticker, 3) <> '.SH')
-    SELECT instrument_id, trade_date FROM stored_bars
-    WHERE source_id = 'yfinance' AND instrument_id IN (SELECT ticker FROM landed)
-      AND trade_date BETWEEN (SELECT min(CAST(date AS DATE)) FROM landed)
-                         AND (SELECT max(CAST(date AS DATE)) FROM landed)""",
-    "stored_bars", "history"))
+    SELECT instrument_id, trade_date FROM stored_renamed
+    WHERE source_id = 'yfinance' AND instrument_id IN (SELECT ticker FROM history)
+      AND trade_date BETWEEN (SELECT min(CAST(date AS DATE)) FROM history)
+                         AND (SELECT max(CAST(date AS DATE)) FROM history)""",
+    "stored_renamed", "history"))
 def existing_keys(spark, d):
     """Stored keys of the source for the incoming instruments and window."""
-    landed = fx.history(spark, d).where(~F.col("ticker").endswith(".SH"))
-    ids = J.incoming_keys(landed).select("instrument_id")
-    return J.existing_keys(fx.stored_bars(spark, d), J.key_window(landed), "yfinance", ids)
+    landed = fx.history(spark, d)
+    ids = landed.select(F.col("ticker").alias("instrument_id")).dropna().distinct()
+    return J.existing_keys(fx.stored_renamed(spark, d), J.key_window(landed), "yfinance", ids)
 
 
 # ============================================================ coverage ======
@@ -777,14 +798,16 @@ def _job_future_list_contract(spark, d):
 
 
 @_job("job_stock_st", S.REFERENCE_INSTRUMENT_ST, with_views(f"""
+    , latest AS (SELECT * FROM special_landed
+                 QUALIFY row_number() OVER (PARTITION BY ts_code, trade_date ORDER BY _arrival DESC) = 1)
     SELECT ts_code AS instrument_id, name, {parse_date_sql('trade_date')} AS trade_date, type,
            type_name, ts_code AS source_code, 'tushare' AS source_id
-    FROM special_days
-    WHERE {parse_date_sql('trade_date')} BETWEEN DATE '1990-01-01' AND DATE '2030-12-31'""", "special_days"))
+    FROM latest
+    WHERE {parse_date_sql('trade_date')} BETWEEN DATE '1990-01-01' AND DATE '2030-12-31'""", "special_landed"))
 def _job_stock_st(spark, d):
     """stock_st: the whole window -> S7's one row per key -> P2 -> C1 -> S10."""
-    landed = L.where_window(fx.special_days(spark, d), "trade_date", "1990-01-01", "2030-12-31")
-    return P.stock_st(landed), None
+    landed = L.where_window(fx.special_landed(spark, d), "trade_date", "1990-01-01", "2030-12-31")
+    return P.stock_st(ST.merge_keep_latest(None, landed, ["ts_code", "trade_date"])), None
 
 
 @_job("job_stock_daily", S.MARKET_BARS_DAILY, with_views(f"""

@@ -51,6 +51,9 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "stored_bars": (_stored("trade_date") + " FROM bars_keyed", ("bars_keyed",)),
     "stored_half": (_stored("trade_date") + " FROM bars_keyed WHERE (k + dayofyear(trade_date)) % 2 = 0",
                     ("bars_keyed",)),
+    "stored_renamed": ("""
+        SELECT * REPLACE (CASE WHEN month(trade_date) % 2 = 1 THEN instrument_id || '~' ELSE instrument_id END AS instrument_id)
+        FROM stored_bars""", ("stored_bars",)),
     "stored_middle": (
         _stored("DATE '1996-01-01' + CAST((trade_date - DATE '1995-01-01') // 2 AS INTEGER)")
         + " FROM bars_keyed WHERE (trade_date - DATE '1995-01-01') % 2 = 0", ("bars_keyed",)),
@@ -139,7 +142,11 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                strftime(CAST(ts AS DATE), '%Y%m%d') AS trade_date, event_type AS type,
                upper(event_type) AS type_name
         FROM events""", ()),
-    "special_days": ("SELECT DISTINCT * FROM stock_st_landing", ("stock_st_landing",)),
+    "special_landed": (f"""
+        SELECT {id6('user_id')} AS ts_code, 'ST ' || CAST(user_id AS VARCHAR) AS name,
+               strftime(CAST(ts AS DATE), '%Y%m%d') AS trade_date, event_type AS type,
+               upper(event_type) AS type_name, event_id AS _arrival
+        FROM events""", ()),
     "fx_landing": ("""
         SELECT ts_code, trade_date,
                min(p) AS bid_open, max(p) AS bid_close, max(p) AS bid_high, min(p) AS bid_low,

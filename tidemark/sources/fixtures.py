@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.dates import date_to_text, lit_date, lit_timestamp_ntz
+from tidemark.operators.store import ARRIVAL
 
 # Fixed values shared with the SQL twins.
 SUFFIXES = [".SH", ".SZ", ".CSI", ".NH"]
@@ -87,6 +88,14 @@ def stored_half(spark, sf_dir) -> DataFrame:
     return _stored(bars_keyed(spark, sf_dir).where(F.pmod(F.col("k") + day, F.lit(2)) == 0))
 
 
+def stored_renamed(spark, sf_dir) -> DataFrame:
+    """A state with every bar, those of odd months under ids that no batch
+    brings: a load of all bars replaces the others and leaves these."""
+    odd = F.pmod(F.month("trade_date"), F.lit(2)) == 1
+    return stored_bars(spark, sf_dir).withColumn(
+        "instrument_id", F.when(odd, F.concat("instrument_id", F.lit("~"))).otherwise(F.col("instrument_id")))
+
+
 def stored_middle(spark, sf_dir) -> DataFrame:
     """A state with earlier and later days missing: every second day of the
     bars, moved together to half the span from 1996 on."""
@@ -282,12 +291,12 @@ def updates(spark, sf_dir) -> DataFrame:
                     "event_id", "ts", "event_type", "value", "props")
 
 
-def stock_st_landing(spark, sf_dir) -> DataFrame:
+def stock_st_landing(spark, sf_dir, *also) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(
         id6(F.col("user_id")).alias("ts_code"), F.concat(F.lit("ST "), F.col("user_id").cast("string")).alias("name"),
         date_to_text(F.col("ts").cast(T.DateType())).alias("trade_date"),
-        F.col("event_type").alias("type"), F.upper("event_type").alias("type_name"),
+        F.col("event_type").alias("type"), F.upper("event_type").alias("type_name"), *also,
     )
 
 
@@ -412,9 +421,9 @@ def stored_state(mapped: DataFrame) -> DataFrame:
     return mapped.withColumns({"instrument_id": iid, "source_code": F.lit("stored")})
 
 
-def special_days(spark, sf_dir) -> DataFrame:
-    """``stock_st`` landing with one row for each key of its table."""
-    return stock_st_landing(spark, sf_dir).distinct()
+def special_landed(spark, sf_dir) -> DataFrame:
+    """``stock_st`` landing with several rows for a key, and the order in which they landed."""
+    return stock_st_landing(spark, sf_dir, F.col("event_id").alias(ARRIVAL))
 
 
 # ---------------------------------------------------------------- wide --------
