@@ -91,3 +91,61 @@ def test_driver_pages(spark):
         blocks = re.split(r"</?(?:p|h1)\b[^>]*>", article)
         blocks = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", " ", b))).strip() for b in blocks]
         assert H.main_text(r["html"]) == "\n\n".join(b for b in blocks if b)
+
+
+def _prose(rnd, n):
+    return " ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(2, 9))) for _ in range(n)) + "."
+
+
+def _page(rnd, outer):
+    """A page without article or main, and its text: paragraphs in a plain
+    element among link lists, teasers, notices and comments."""
+    text = [_prose(rnd, 3), *(_prose(rnd, rnd.randrange(25, 60)) for _ in range(rnd.randrange(3, 9)))]
+    links = "".join(f"<li><a href='/{i}'>{_prose(rnd, 2)}</a></li>" for i in range(8))
+    links += "".join(f"<li><i>{_prose(rnd, 3)}</i></li>" for _ in range(30))  # as much text as some paragraphs, thinly
+    teasers = "".join(f"<div><a href='/t{i}'><b>{_prose(rnd, 3)}</b></a><span>{_prose(rnd, 2)}</span></div>" for i in range(5))
+    comments = "".join(f"<div><b>{_prose(rnd, 1)}</b><p>{_prose(rnd, rnd.randrange(5, 20))}</p></div>" for _ in range(4))
+    body = f"<h2>{text[0]}</h2>" + "".join(f"<p>{t}</p>" for t in text[1:])
+    html = (f"<html><head><title>x</title></head><body><ul>{links}</ul><div class='{outer}'>{body}"
+            f"<div class='comments'>{comments}</div></div><div>{teasers}</div><div><ul>{links}</ul></div></body></html>")
+    return html, "\n\n".join(text)
+
+
+PLAIN, NAMED = ["", "x1", "post"], ["content-related", "main-search", "promo"]
+
+
+def test_regions_are_chosen_by_the_ratios():
+    """Pages without article or main: the text and nothing else."""
+    import random
+
+    rnd = random.Random(0)
+    for i in range(60):
+        html, text = _page(rnd, PLAIN[i % len(PLAIN)])
+        assert H.main_text(html) == text
+
+
+def test_no_name_around_the_text_loses_it():
+    import random
+
+    rnd = random.Random(1)
+    for i in range(60):
+        html, text = _page(rnd, NAMED[i % len(NAMED)])
+        assert text in H.main_text(html)
+
+
+def test_without_the_threshold_other_regions_come_out(monkeypatch):
+    """The method decides: if every line votes, results change."""
+    import random
+
+    rnd = random.Random(0)
+    pages = [_page(rnd, PLAIN[i % len(PLAIN)]) for i in range(60)]
+    monkeypatch.setattr(H, "threshold", lambda values: 0.0)
+    assert sum(H.main_text(html) != text for html, text in pages) > 20
+
+
+def test_names_do_not_lose_whole_texts():
+    long = "A long paragraph of text. " * 20
+    for html in (f"<body><div id='main-search'><p>{long}</p></div></body>",
+                 f"<body><div class='content-related'><p>{long}</p></div><div><a href='x'>teaser</a> words</div></body>",
+                 f"<main><div class='widget'><p>{long}</p><p>{long}</p></div></main>"):
+        assert long.strip() in H.main_text(html)

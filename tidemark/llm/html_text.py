@@ -4,12 +4,17 @@ The standard library's parser streams events; block tags cut the page into
 lines, each with the text it holds, the tags it holds, how much of its text is
 link text, and its chain of open elements. A line's ratio is its text length
 over its tags. The ratios are smoothed with a Gaussian over neighbouring lines
-and split in two clusters by their threshold; the lines above it vote, by
-their text, for the elements that hold them. The content region is the page's
+and split in two clusters by their threshold; the lines above it vote, by their
+text, for the elements that hold them. A word in a class, id or role that names
+boilerplate lowers a line's vote and ratio, no more. The content region is the page's
 article elements, or its main element, if they hold nearly all of those votes,
-else the deepest element that does. All its lines are the text, except those in
-elements that are boilerplate by what they are (navigation, forms, scripts,
-comments of readers and the like), which no vote counts for either.
+else the deepest element that does. Names of the region and of what is around
+it don't count any more: the votes chose it. All its lines are the text, except
+
+* elements that are boilerplate by what they are (navigation, forms, scripts
+  and the like), which no vote counts for either, and
+* elements inside the region that are named as boilerplate (readers' comments,
+  notices), unless even their lowered ratio reaches that of the region's text.
 """
 
 from __future__ import annotations
@@ -45,6 +50,7 @@ CLOSES = {"p": frozenset({"p"}), "li": frozenset({"li"}), "dt": frozenset({"dt",
           "option": frozenset({"option"})}
 SPACE = re.compile(r"\s+")
 SMOOTH = 2.0  # standard deviation of the Gaussian, in lines
+LOWERED = 0.15  # factor for the votes and ratios of lines in elements named as boilerplate
 HOLDS = 0.9  # share of the votes that the content region holds
 
 
@@ -54,7 +60,21 @@ class Line:
     tags: int
     linked: int  # characters of the text inside links
     path: tuple[int, ...]  # numbers of the open elements, outermost first
-    boilerplate: bool
+    boilerplate: bool  # by an element that it is in
+    named: tuple[int, ...] = ()  # those of ``path`` that are named as boilerplate
+
+    @property
+    def own(self) -> int:
+        """Characters that no link has."""
+        return len(self.text) - self.linked
+
+    @property
+    def vote(self) -> float:
+        return self.own * (LOWERED if self.named else 1)
+
+    @property
+    def lowered(self) -> float:
+        return self.vote / max(1, self.tags)
 
 
 class LineParser(HTMLParser):
@@ -65,14 +85,16 @@ class LineParser(HTMLParser):
         self.lines: list[Line] = []
         self.open: list[tuple[str, int, bool, bool]] = []  # name, number, boilerplate, unseen
         self.names: dict[int, str] = {}
+        self.named: set[int] = set()
         self.text: list[str] = []
         self.tags = self.linked = self.links = 0
 
     def cut(self) -> None:
         text = SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            self.lines.append(Line(text, self.tags, self.linked, tuple(x[1] for x in self.open),
-                                   bool(self.open) and self.open[-1][2]))
+            path = tuple(x[1] for x in self.open)
+            self.lines.append(Line(text, self.tags, self.linked, path, bool(self.open) and self.open[-1][2],
+                                   tuple(n for n in path if n in self.named)))
             self.tags = 0
         self.text, self.linked = [], 0
 
@@ -101,9 +123,11 @@ class LineParser(HTMLParser):
         outer = self.open[-1] if self.open else ("", 0, False, False)
         said = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
         page_header = tag == "header" and not any(x[0] in ("article", "main") for x in self.open)
-        bad = outer[2] or tag in ASIDE or page_header or tag not in ("html", "body", "article", "main") and bool(said and LABELS.search(said))
+        bad = outer[2] or tag in ASIDE or page_header
         number = len(self.names) + 1
         self.names[number] = tag
+        if tag not in ("html", "body", "article", "main") and said and LABELS.search(said):
+            self.named.add(number)
         self.open.append((tag, number, bad, outer[3] or tag in UNSEEN))
         self.links += tag == "a"
 
@@ -158,15 +182,16 @@ def content(lines: list[Line], names: dict[int, str]) -> list[str]:
     fair = [i for i, x in enumerate(lines) if not x.boilerplate]
     if not fair:
         return []
-    ratio = np.array([(len(x.text) - x.linked) / max(1, x.tags) for x in lines], float)
-    ratio[[i for i, x in enumerate(lines) if x.boilerplate]] = 0.0
+    ratio = np.array([0.0 if x.boilerplate else x.own / max(1, x.tags) for x in lines])
     smooth = smoothed(ratio)
     border = threshold(smooth)
     chosen = [i for i in fair if smooth[i] >= border] or fair
-    votes: dict[int, int] = {}
-    total = 0
+    # a line that only its neighbours lift over the border counts by its own ratio
+    vote = {i: lines[i].vote * (min(1.0, ratio[i] / border) if border > 0 else 1.0) for i in chosen}
+    votes: dict[int, float] = {}
+    total = 0.0
     for i in chosen:
-        own = len(lines[i].text) - lines[i].linked
+        own = vote[i]
         total += own
         for number in lines[i].path:
             votes[number] = votes.get(number, 0) + own
@@ -174,10 +199,37 @@ def content(lines: list[Line], names: dict[int, str]) -> list[str]:
     region = {max(held)} if held else set()  # the deepest is numbered last along a chain
     for said in ("main", "article"):  # the page says where its article is
         own = {n for n in votes if names[n] == said}
-        inside = sum(len(lines[i].text) - lines[i].linked for i in chosen if own.intersection(lines[i].path))
+        inside = sum(vote[i] for i in chosen if own.intersection(lines[i].path))
         if own and inside >= HOLDS * total:
             region = own
-    return [lines[i].text for i in fair if not region or region.intersection(lines[i].path)]
+    inside = [lines[i] for i in fair if not region or region.intersection(lines[i].path)]
+    return [x.text for x in without_named(inside, region)]
+
+
+def without_named(lines: list[Line], region: set[int]) -> list[Line]:
+    """The region's lines but those of named elements inside it, unless an
+    element's ratio, lowered, reaches the usual one of the other lines (the
+    median, by text)."""
+    def outermost(line: Line) -> int | None:
+        begin = max((line.path.index(n) for n in region.intersection(line.path)), default=-1)
+        return next((n for n in line.named if line.path.index(n) > begin), None)
+
+    own = [outermost(x) for x in lines]
+    rest = sorted((x.lowered, len(x.text)) for x, n in zip(lines, own, strict=True) if n is None)
+    if not rest:
+        return lines
+    half, usual = sum(size for _, size in rest) / 2, 0.0
+    for usual, size in rest:  # noqa: B007
+        half -= size
+        if half <= 0:
+            break
+    sums: dict[int, list[float]] = {}
+    for x, n in zip(lines, own, strict=True):
+        if n is not None:
+            of = sums.setdefault(n, [0.0, 0.0])
+            of[0] += x.lowered * len(x.text)
+            of[1] += len(x.text)
+    return [x for x, n in zip(lines, own, strict=True) if n is None or sums[n][0] >= usual * sums[n][1]]
 
 
 def main_text(html: str) -> str:
