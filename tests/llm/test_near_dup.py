@@ -76,6 +76,7 @@ def test_buckets_of_many_components_are_compared_whole(spark, docs_of, monkeypat
     monkeypatch.setattr(N, "ROWS", 1)  # buckets shared by nearly all
     monkeypatch.setattr(N, "BANDS", 160)
     monkeypatch.setattr(N, "BLOCK", 7)
+    monkeypatch.setattr(N, "BLOCK_SHINGLES", 900)
     rows = _corpus(3, 120)
     assert _got(N.near_duplicates(docs_of(rows), 4)) == _brute(rows, 4, 80)
 
@@ -148,3 +149,45 @@ def test_sketch_filter_misses_no_more_than_the_bands():
     for s in (0.8, 0.81, 0.82, 0.85, 0.9):
         miss = sum(math.comb(k, m) * (1 - s) ** m * s ** (k - m) * p for m, p in enumerate(over))
         assert miss <= (1 - s**N.ROWS) ** N.BANDS
+
+
+def _template(n, changed, seed=5):
+    """Copies of one text with some words changed in each."""
+    rnd = random.Random(seed)
+    base = [f"t{i}" for i in range(200)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for j in rnd.sample(range(200), changed):
+            words[j] = f"x{i}_{j}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_similar_texts_without_links_give_rows_in_proportion(spark, docs_of, monkeypatch):
+    """Nearly all pairs pass the sketches and nearly none is a link: what
+    leaves the tasks are classes and forests, not pairs."""
+    made = {}
+    real = N.materialize
+
+    def counted(df):
+        out = real(df)
+        made["rows"] = max(made.get("rows", 0), out.count())
+        return out
+
+    monkeypatch.setattr(N, "materialize", counted)
+    most = []
+    for n in (100, 200, 400):
+        made.clear()
+        rows = _template(n, 5)
+        assert _got(N.near_duplicates(docs_of(rows), 4)) == _brute(rows, 4, 80)
+        most.append(made["rows"])
+    assert most[2] < 2.6 * most[1] < 2.6 * 2.6 * most[0]
+
+
+def test_one_id_with_two_texts(spark, docs_of):
+    """Documents near either text of an id are linked with it, whichever row comes first."""
+    a, b = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join([*a[:-1], "x"])), (3, " ".join([*b[:-1], "x"])), (0, "alone with nobody else here")]
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in N.near_duplicates(docs_of(rows), 4).collect())
+    assert got == [(0, 0, True), (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False)]

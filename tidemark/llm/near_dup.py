@@ -15,12 +15,13 @@
    its two most similar open candidates, then all; confirmed links join
    components, and candidates inside one component are closed. So a large
    group of near copies is joined by few comparisons.
-5. Buckets that still hold several components are compared whole, sketch
-   against sketch, in blocks of bounded size: the classes outside a bucket's
-   largest component with all of its classes. Again in two rounds: of the
-   pairs that the sketches allow, each class offers its best two of each
-   block, then all; links go through the check of step 4. So buckets of any
-   size are dealt with in full.
+5. Buckets that still hold several components are compared whole, in blocks
+   of bounded size: the classes outside a bucket's largest component with all
+   of its classes. First sketch against sketch; the classes that have a
+   candidate in a pair of blocks meet there once more, with their full sets.
+   Candidates are confirmed in that task, and only a spanning forest of the
+   links leaves it: never more rows than classes. So buckets of any size are
+   dealt with in full.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,10 +44,9 @@ SKETCH_BITS = 512
 #: For both the samples' error and the sketch's collisions: at similarity 0.80 (0.81, 0.82) a pair has too many differing
 #: bits with probability 1.5e-6 (3e-7, 6e-8), which is less than the bands' miss there.
 SLACK = 0.19
-BLOCK = 512  # classes compared at once with as many others
+BLOCK, BLOCK_SHINGLES = 512, 500_000  # classes, and shingles of all of them, compared at once with as many others
 FILTER_BITS = 1 << 24
-#: Candidates that a class offers in the rounds of step 4 and of step 5; the last is all.
-STAR_ROUNDS, BLOCK_ROUNDS = (2, None), (2, None)
+STAR_ROUNDS = (2, None)  # candidates that a class offers in the rounds of step 4; the last is all
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -85,6 +86,11 @@ def differing_bits(similarity: float) -> int:
     return int(np.ceil(n / 2 * (1 - np.exp(-4 * k * (1 - low) / n))))
 
 
+def shape_of(shingle_set: np.ndarray) -> int:
+    """What names a class: a 64-bit hash of its set."""
+    return xxhash.xxh3_64_intdigest(np.sort(shingle_set).tobytes()) - 2**63
+
+
 def _sets(width: int):
     seeds = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 
@@ -102,13 +108,13 @@ def _sets(width: int):
                     key = np.arange(1, BANDS + 1, dtype=np.uint64)
                     for j in range(ROWS):
                         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + samples[j::ROWS])
-                sets.append(xxhash.xxh3_128_digest(own.tobytes()))
+                sets.append(shape_of(own))
                 bands.append(key.view(np.int64))
                 sketches.append(odd_sketch(samples))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sets, pa.binary()),
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sets, pa.int64()),
                  pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "shape", "bands", "sketch"])
+                ["doc_id", "n_shingles", "class", "bands", "sketch"])
 
     return run
 
@@ -116,9 +122,10 @@ def _sets(width: int):
 def _full_sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [shingles(t.as_py(), width).view(np.int64) for t in batch.column("text")]
+            own = [shingles(t.as_py(), width) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("class"), pa.array(own, pa.list_(pa.int64()))], ["class", "shingles"])
+                [pa.array(map(shape_of, own), pa.int64()), pa.array([np.sort(x.view(np.int64)) for x in own], pa.list_(pa.int64()))],
+                ["class", "shingles"])
 
     return run
 
@@ -129,31 +136,84 @@ def differing(x: Column, y: Column) -> Column:
                start=F.lit(0)).cast("int")
 
 
-def _blocks(most: int, percent: int, offered: int):
-    """Pairs in different components that sketches and sizes allow, of the
-    members of one block with those of another: of each member the ``offered``
-    most similar. A pair that shares several buckets comes from the first of
-    them only."""
+def _members(rows: pa.Scalar) -> list[np.ndarray]:
+    """Columns of a list of classes: names, components, sizes, and matrices of sketches and bands."""
+    own = rows.values
+    fixed = [own.field(c).to_numpy() for c in ("class", "component", "n_shingles")]
+    sketch, bands = (pc.list_flatten(own.field(c)).to_numpy().reshape(len(own), -1) for c in ("sketch", "bands"))
+    return [*fixed, sketch.view(np.uint64), bands]  # bitwise_count takes the absolute value of signed numbers
+
+
+def _candidates(key: int, left: list[np.ndarray], right: list[np.ndarray], most: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each place in ``left`` those in ``right`` of another component that
+    sketches and sizes allow. A pair that shares several buckets is a candidate in the first of them only."""
+    name, part, size, sketch, bands = right
+    every = np.arange(len(name))
+    for i in range(len(left[0])):
+        n = left[2][i]
+        near = np.nonzero((part != left[1][i]) & (np.minimum(size, n) * 100 >= np.maximum(size, n) * percent)
+                          & (np.bitwise_count(sketch ^ left[3][i]).sum(axis=1) <= most))[0]
+        shared = bands[near] == left[4][i]
+        yield i, near[bands[near, shared.argmax(axis=1)] == key] if len(near) else every[:0]
+
+
+def _involved(most: int, percent: int):
+    """The classes that have a candidate in a pair of blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = []
-            for key, left, right in zip(*(batch.column(c).to_pylist() for c in ("key", "left", "right")), strict=True):
-                sketch, part, name, bands, size = (
-                    np.array([r[c] for r in right]) for c in ("sketch", "component", "class", "bands", "n_shingles"))
-                for one in left:
-                    bits = np.bitwise_count(sketch ^ np.array(one["sketch"])).sum(axis=1)
-                    shared = bands == np.array(one["bands"])
-                    first = shared.argmax(axis=1)
-                    n = one["n_shingles"]
-                    near = np.nonzero((bits <= most) & (part != one["component"]) & (bands[np.arange(len(bands)), first] == key)
-                                      & (np.minimum(size, n) * 100 >= np.maximum(size, n) * percent))[0]
-                    for j in near[np.lexsort((name[near], bits[near]))[:offered]].tolist():
-                        ends = sorted(((one["class"], one["component"]), (int(name[j]), int(part[j]))))
-                        pairs.append((ends[0][0], ends[1][0], ends[0][1], ends[1][1], int(bits[j])))
-            columns = list(zip(*pairs, strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], ["a", "b", "ca", "cb", "bits"])
+            for r in range(len(batch)):
+                key, one, other = (batch.column(c)[r].as_py() for c in ("key", "left_block", "right_block"))
+                left, right = _members(batch.column("left")[r]), _members(batch.column("right")[r])
+                has, met = [], np.zeros(len(right[0]), bool)
+                for i, near in _candidates(key, left, right, most, percent):
+                    if len(near):
+                        has.append(i)
+                        met[near] = True
+                names = np.concatenate([left[0][has], right[0][met]])
+                n = len(names)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, key)), pa.array(np.full(n, one)), pa.array(np.full(n, other)), pa.array(names),
+                     pa.array(np.arange(n) < len(has))], ["key", "left_block", "right_block", "class", "on_left"])
+
+    return run
+
+
+def _confirmed(most: int, percent: int):
+    """A spanning forest of the links between components in each pair of blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            edges = []
+            for r in range(len(batch)):
+                left, right = _members(batch.column("left")[r]), _members(batch.column("right")[r])
+                own, others = (batch.column(c)[r].values.field("shingles") for c in ("left", "right"))
+                begin, flat = others.offsets.to_numpy().astype(np.int64), others.values.to_numpy()
+                into: dict[int, int] = {}
+
+                def root(x: int, into=into) -> int:
+                    while x in into:
+                        x = into[x]
+                    return x
+
+                for i, near in _candidates(batch.column("key")[r].as_py(), left, right, most, percent):
+                    if not len(near):
+                        continue
+                    mine, n = own[i].values.to_numpy(), int(left[2][i])
+                    a = root(int(left[1][i]))
+                    open_ = [(int(j), c) for j, c in zip(near.tolist(), right[1][near].tolist(), strict=True) if root(c) != a]
+                    for j, c in open_:
+                        b = root(c)
+                        if a == b:
+                            continue
+                        other = flat[begin[j] : begin[j + 1]]
+                        at = np.minimum(np.searchsorted(mine, other), n - 1)
+                        common = int((mine[at] == other).sum())
+                        if common * 100 >= (n + len(other) - common) * percent:
+                            edges.append((a, b))
+                            into[max(a, b)] = a = min(a, b)
+            columns = list(zip(*edges, strict=True)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
     return run
 
@@ -188,19 +248,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     itself included) and ``kept`` (``doc_id = component_id``). A document
     without words has an empty set and is linked with nothing. A row without a
     doc_id can't be named: it comes back with its ``n_shingles``, no
-    component, and kept, and links nothing. Repeated rows get equal results."""
+    component, and kept, and links nothing. Repeated rows get equal results. A
+    doc_id with several texts is reached over each of them; its rows may have
+    different components. Sets are told apart by 64-bit hashes."""
     spark = docs.sparkSession
     signed = materialize(
         docs.select("doc_id", utf8(F.col("text")).alias("text"))
-        .mapInArrow(_sets(width), "doc_id long, n_shingles long, shape binary, bands array<long>, sketch array<long>"))
-
-    # classes of equal sets, named by their smallest doc_id
-    named = signed.where("shape is not null and doc_id is not null")
-    shape_class = named.groupBy("shape").agg(F.min("doc_id").alias("class"))
-    classes = materialize(
-        named.join(shape_class.select("shape", F.col("class").alias("doc_id")), ["shape", "doc_id"])
-        .select(F.col("doc_id").alias("class"), "n_shingles", "bands", "sketch")
-        .dropDuplicates(["class"]))
+        .mapInArrow(_sets(width), "doc_id long, n_shingles long, class long, bands array<long>, sketch array<long>"))
+
+    # classes of equal sets, and their smallest doc_id; rows of a class with one doc_id are alike
+    named = signed.where("class is not null and doc_id is not null")
+    first_id = materialize(named.groupBy("class").agg(F.min("doc_id").alias("doc_id")))
+    classes = materialize(named.join(first_id, ["class", "doc_id"]).dropDuplicates(["class"]))
     most = differing_bits(percent / 100)
 
     # band buckets with more than one class
@@ -221,63 +280,91 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
              .select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("x").alias("ca"), F.col("y").alias("cb"), "bits"))
 
     labels = facts.select("class", F.col("class").alias("component"))
-    labels, refuted = _confirm(docs, materialize(stars), labels, width, percent, STAR_ROUNDS)
-
-    # buckets whose members are still in several components: those outside the
-    # bucket's largest component against all of its members
-    for offered in BLOCK_ROUNDS:
-        now = shared.select("key", "class").join(labels, "class")
-        parts = now.groupBy("key", "component").agg(F.count("*").alias("size"))
-        mixed = (parts.groupBy("key").agg(
-            F.max_by("component", F.struct("size", "component")).alias("major"), F.sum("size").alias("members"),
-            (F.sum("size") - F.max("size")).alias("others")).where("others > 0"))
-        dealt = materialize(now.join(mixed, "key"))
-        if not dealt.limit(1).count():
-            break
+    labels = _confirm(docs, materialize(stars), first_id, labels, width, percent, STAR_ROUNDS)
+    labels = _whole_buckets(docs, shared, classes, first_id, labels, width, percent)
 
-        def blocks(rows: DataFrame, of: str, name: str) -> DataFrame:
-            block = F.pmod(F.xxhash64("class"), F.ceil(F.col(of) / BLOCK))
-            return rows.join(classes, "class").groupBy("key", block.alias(f"{name}_block")).agg(
-                F.collect_list(F.struct("class", "component", "n_shingles", "sketch", "bands")).alias(name))
-
-        rest = (blocks(dealt.where("component != major"), "others", "left").join(blocks(dealt, "members", "right"), "key")
-                .select("key", "left", "right")
-                .mapInArrow(_blocks(most, percent, offered or BLOCK * BLOCK), "a long, b long, ca long, cb long, bits long")
-                .dropDuplicates(["a", "b"]))
-        rest = rest if refuted is None else rest.join(refuted, ["a", "b"], "left_anti")
-        labels, more = _confirm(docs, materialize(rest), labels, width, percent, (None,))
-        if more is not None:
-            refuted = more if refuted is None else materialize(refuted.union(more))
-
-    whole = shape_class.join(labels, "class").select("shape", F.col("component").alias("component_id"))
-    out = signed.select("doc_id", "n_shingles", "shape").join(whole, "shape", "left")
+    whole = labels.join(first_id, "class")
+    whole = whole.join(whole.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component")
+    out = signed.select("doc_id", "n_shingles", "class").join(whole.select("class", "component_id"), "class", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _confirm(docs: DataFrame, open_pairs: DataFrame, labels: DataFrame, width: int, percent: int,
-             rounds: tuple[int | None, ...]) -> tuple[DataFrame, DataFrame | None]:
+def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """``class`` and ``shingles`` (sorted) of the classes in ``wanted``
+    (``class``, ``doc_id``), from the texts of those documents. A document
+    with several texts gives the sets of all; what isn't wanted is left out."""
+    ids = materialize(wanted.select("class", "doc_id"))
+    texts = only_likely(docs.select("doc_id", utf8(F.col("text")).alias("text")), "doc_id", ids.select("doc_id"))
+    return materialize(
+        texts.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").select("text")
+        .mapInArrow(_full_sets(width), "class long, shingles array<long>")
+        .join(ids.select("class"), "class", "left_semi").dropDuplicates(["class"]))
+
+
+def join_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` after joining the components that ``edges`` (``a``, ``b``) link."""
+    joined = connected_components(edges)
+    return materialize(
+        labels.join(joined.select(F.col("node").alias("component"), F.col("component").alias("into")), "component", "left")
+        .select("class", F.coalesce("into", "component").alias("component")))
+
+
+def _whole_buckets(docs: DataFrame, shared: DataFrame, classes: DataFrame, first_id: DataFrame, labels: DataFrame,
+                   width: int, percent: int) -> DataFrame:
+    """Step 5: buckets (``shared``: ``key``, ``class``) whose members are still
+    in several components, those outside the largest one against all."""
+    most = differing_bits(percent / 100)
+    now = shared.select("key", "class").join(labels, "class").join(classes.select("class", "n_shingles"), "class")
+    parts = now.groupBy("key", "component").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("words"))
+    blocks_of = lambda n, words: F.ceil(F.greatest(n / BLOCK, words / BLOCK_SHINGLES))
+    mixed = (parts.groupBy("key").agg(
+        F.max_by("component", F.struct("size", "component")).alias("major"),
+        blocks_of(F.sum("size"), F.sum("words")).alias("members"),
+        blocks_of(F.sum("size") - F.max("size"), F.sum("words")).alias("others"),
+        F.count("*").alias("parts")).where("parts > 1"))
+    dealt = materialize(now.drop("n_shingles").join(mixed, "key"))
+    if not dealt.limit(1).count():
+        return labels
+    member = F.struct("class", "component", "n_shingles", "sketch", "bands")
+
+    def blocks(rows: DataFrame, of: str, name: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("class"), F.col(of)).cast("long")
+        return rows.join(classes, "class").groupBy("key", block.alias(f"{name}_block")).agg(F.collect_list(member).alias(name))
+
+    pairs = blocks(dealt.where("component != major"), "others", "left").join(blocks(dealt, "members", "right"), "key")
+    some = materialize(
+        pairs.select("key", "left_block", "right_block", "left", "right")
+        .mapInArrow(_involved(most, percent), "key long, left_block long, right_block long, class long, on_left boolean"))
+    if not some.limit(1).count():
+        return labels
+    sets = full_sets(docs, some.select("class").distinct().join(first_id, "class"), width)
+    whole = F.struct("class", "component", "n_shingles", "sketch", "bands", "shingles")
+    again = (some.join(classes.join(labels, "class").join(sets, "class"), "class")
+             .groupBy("key", "left_block", "right_block")
+             .agg(F.collect_list(F.when(F.col("on_left"), whole)).alias("left"), F.collect_list(F.when(~F.col("on_left"), whole)).alias("right")))
+    return join_labels(labels, again.select("key", "left", "right").mapInArrow(_confirmed(most, percent), "a long, b long"))
+
+
+def _confirm(docs: DataFrame, open_pairs: DataFrame, first_id: DataFrame, labels: DataFrame, width: int, percent: int,
+             rounds: tuple[int | None, ...]) -> DataFrame:
     """Confirm candidates (``a``, ``b``, ``bits`` and the ends' components
-    ``ca``, ``cb``) on full sets until each is confirmed, refuted or inside one component; in each round a class offers so
-    many of its most similar ones, in the last all. Returns ``labels``
-    (``class``, ``component``) with the components that the new links join,
-    and the refuted pairs (``a`` < ``b``)."""
+    ``ca``, ``cb``) on full sets until each is confirmed, refuted or inside one
+    component; in each round a class offers so many of its most similar ones,
+    in the last all. Returns ``labels`` (``class``, ``component``) with the
+    components that the links join."""
     def in_components(pairs: DataFrame) -> DataFrame:
         of = lambda end: labels.select(F.col("class").alias(end), F.col("component").alias(f"c{end}"))
         return materialize(pairs.join(of("a"), "a").join(of("b"), "b").where("ca != cb"))
 
-    sets = refuted = None
+    sets = None
     for offered in rounds:
         if not open_pairs.limit(1).count():
             break
         if sets is None:
-            wanted = open_pairs.select(F.col("a").alias("doc_id")).union(open_pairs.select("b")).distinct()
-            texts = only_likely(docs.select("doc_id", utf8(F.col("text")).alias("text")), "doc_id", wanted)
-            sets = materialize(
-                texts.join(wanted, "doc_id", "left_semi")
-                .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("class"), "text")
-                .mapInArrow(_full_sets(width), "class long, shingles array<long>"))
+            ends = open_pairs.select(F.col("a").alias("class")).union(open_pairs.select("b")).distinct()
+            sets = full_sets(docs, ends.join(first_id, "class"), width)
         best = open_pairs
         if offered is not None:
             nearest = Window.partitionBy("a").orderBy("bits", "b")
@@ -289,13 +376,8 @@ def _confirm(docs: DataFrame, open_pairs: DataFrame, labels: DataFrame, width: i
             best.join(x, "a").join(y, "b")
             .select("a", "b", "ca", "cb",
                     (common * 100 >= (F.size("x") + F.size("y") - common) * percent).alias("linked")))
-        joined = connected_components(tried.where("linked").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-        labels = materialize(
-            labels.join(joined.select(F.col("node").alias("component"), F.col("component").alias("into")), "component", "left")
-            .select("class", F.coalesce("into", "component").alias("component")))
-        failed = tried.where("not linked").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        refuted = failed if refuted is None else refuted.union(failed)
+        labels = join_labels(labels, tried.where("linked").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         if offered is None:
             break
         open_pairs = in_components(open_pairs.select("a", "b", "bits").join(tried.select("a", "b"), ["a", "b"], "left_anti"))
-    return labels, refuted
+    return labels
