@@ -82,3 +82,23 @@ def test_empty_tables_and_odd_rows(spark, docs_of, odd_rows):
     marked = D.mark_contamination(docs_of(odd_rows), _items(spark, [(1, "same text here"), (1, "same text here")]))
     assert sorted(r["doc_id"] for r in marked.where("n_hit = 3").collect()) == [6, 6, 7]
     assert marked.where("n_hit > 0").collect()[0]["items"] == [1]
+
+
+def test_columns_with_the_names_of_working_columns_stay(spark, docs_of):
+    docs = docs_of([(1, "some words of the benchmark item here"), (2, "clean")]).selectExpr("*", "7 AS __text", "8 AS __n", "9 AS __spans")
+    items = _items(spark, [(1, "words of the benchmark")])
+    marked = {r["doc_id"]: r for r in D.mark_contamination(docs, items).collect()}
+    assert (marked[1]["n_hit"], marked[1]["__text"], marked[1]["__n"], marked[1]["__spans"]) == (4, 7, 8, 9)
+    cut = D.remove_contamination(docs, items, 0.9)
+    assert cut.columns == docs.columns
+    assert {r["doc_id"]: (r["text"], r["__text"], r["__spans"]) for r in cut.collect()} == {1: ("some  item here", 7, 9), 2: ("clean", 7, 9)}
+
+
+def test_blocks_take_a_pass_each(spark, docs_of, monkeypatch):
+    """One Python step in the plan however many blocks there are."""
+    monkeypatch.setattr(D, "BLOCK_WINDOWS", 4)
+    items = [(i, f"a{i} b{i} c{i}") for i in range(20)]
+    docs = docs_of([(i, f"x a{i} b{i} c{i} y") for i in range(20)])
+    marked = D.mark_contamination(docs, _items(spark, items))
+    assert marked._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert all((r["n_hit"], r["items"]) == (3, [r["doc_id"]]) for r in marked.collect())

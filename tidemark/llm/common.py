@@ -34,17 +34,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, rows_a_file: int = 0) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it
     back. Cuts the lineage: a lost executor costs only the tasks it ran, and
     later steps neither recompute nor renumber the rows. The folder is the
-    cluster's scratch space; the files stay until the cluster clears it."""
+    cluster's scratch space; the files stay until the cluster clears it. Large
+    rows can be written a few to a file, so that no task reads many at once."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows_a_file).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or it with underscores after it: one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """The batch in parts of as many rows as have ``most`` bytes in ``column``, one row at least."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))

@@ -3,10 +3,11 @@
 Every benchmark item gives its windows of ``WINDOW`` consecutive words (an item
 with fewer words is one window). The windows' hashes are broadcast; each task
 runs over the token windows of its documents, looks the hashes up, verifies
-every hit word by word, and marks the words inside it. No shuffle and no state
-besides the broadcast set. That set is broadcast in blocks of at most
-``BLOCK_WINDOWS`` windows: a benchmark of any size is covered by as many passes
-as it needs, and no broadcast grows with it.
+every hit word by word, and marks the words inside it. The windows are built in
+tasks and dealt by hash into blocks of no more than about ``BLOCK_WINDOWS``. One block is
+broadcast at a time; a benchmark of several blocks takes a pass for each, which
+is written before the next, when the block's broadcast is destroyed. Documents
+are never shuffled.
 """
 
 from __future__ import annotations
@@ -17,15 +18,15 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, received, send, utf8
+from .common import materialize, mix, received, send, slices, unused, utf8
 
 WINDOW = 10
 BLOCK_WINDOWS = 500_000
-BYTES_AT_ONCE = 2_000_000
+BYTES_AT_ONCE, WINDOWS_AT_ONCE = 2_000_000, 20_000
 #: Stands between two texts: a byte that no UTF-8 text has.
 BOUND = b"\xff"
 #: Working columns beside those of the documents.
@@ -84,14 +85,16 @@ class WindowSet:
         return bounds, found
 
 
-def item_windows(items: list[tuple[int | None, bytes]]) -> dict[tuple[bytes, ...], set]:
-    out: dict[tuple[bytes, ...], set] = {}
-    for item, text in items:
-        words = words_of(text)
-        length = min(WINDOW, len(words))
-        for i in range(len(words) - length + 1 if words else 0):
-            out.setdefault(tuple(words[i : i + length]), set()).add(item)
-    return out
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``window`` (words and spaces) and ``item`` for every window of every item."""
+    for batch in batches:
+        for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text"), strict=True):
+            words = words_of(text.as_py())
+            length = min(WINDOW, len(words))
+            for at in range(0, len(words) - length + 1 if words else 0, WINDOWS_AT_ONCE):
+                upto = min(at + WINDOWS_AT_ONCE, len(words) - length + 1)
+                own = [b" ".join(words[i : i + length]).decode() for i in range(at, upto)]
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array([item] * len(own), pa.int64())], ["window", "item"])
 
 
 def _mark(found: WindowSet):
@@ -111,42 +114,46 @@ def _mark(found: WindowSet):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(TEXT)), 0).to_numpy().astype(np.int64))
-            at = 0
-            while at < len(size):  # as many texts at once as have BYTES_AT_ONCE, one at least
-                upto = max(at + 1, int(np.searchsorted(size, BYTES_AT_ONCE + (size[at - 1] if at else 0), "right")))
-                yield some(batch.slice(at, upto - at))
-                at = upto
+            for part in slices(batch, TEXT, BYTES_AT_ONCE):
+                yield some(part)
 
     return run
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[WindowSet]:
-    """The benchmark's windows in blocks of bounded size, one after another."""
-    held: list[tuple[int | None, bytes]] = []
-    size = 0
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), utf8(F.col("text")).alias("text"))
-    for item, text in rows.toLocalIterator():
-        text = bytes(text)
-        held.append((item, text))
-        size += len(text) // 2 + 1  # no fewer than the windows it holds
-        if size >= BLOCK_WINDOWS:
-            yield WindowSet(item_windows(held))
-            held, size = [], 0
-    if held:
-        yield WindowSet(item_windows(held))
+def _blocks(benchmark: DataFrame) -> Iterator[tuple[Broadcast, bool]]:
+    """The benchmark's different windows in blocks of bounded size: one at a
+    time is fetched and sent out, and the flag tells the last. There is always one."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), utf8(F.col("text")).alias("text"))
+    most = items.agg(F.coalesce(F.sum(F.expr("octet_length(text) div 2 + 1")), F.lit(0))).first()[0]  # no fewer than the windows
+    windows = materialize(
+        items.mapInArrow(_windows, "window string, item long").groupBy("window").agg(F.collect_set("item").alias("items")))
+    blocks = 1 + most // BLOCK_WINDOWS
+    for i in range(blocks):
+        own = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == i).collect()
+        found = {tuple(r["window"].encode().split(b" ")): set(r["items"]) for r in own}
+        yield send(benchmark.sparkSession, WindowSet(found)), i == blocks - 1
 
 
 def _scan(docs: DataFrame, text: Column, benchmark: DataFrame) -> DataFrame:
     """``docs`` plus COUNT, ITEMS and SPANS of ``text``."""
     out = docs.select("*", utf8(text).alias(TEXT), F.lit(0).cast("long").alias(COUNT),
                       F.array().cast("array<long>").alias(ITEMS), F.array().cast("array<int>").alias(SPANS))
-    spark, schema = docs.sparkSession, out.schema
-    for block in [send(spark, b) for b in _blocks(benchmark)] or [send(spark, WindowSet({}))]:
+    schema = out.schema
+    for block, last in _blocks(benchmark):
         out = out.mapInArrow(lambda batches, block=block: _mark(received(block))(batches), schema)
+        if not last:
+            out = materialize(out)
+            block.destroy()
     return out.drop(TEXT)
 
 
+def _aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with other names for columns that have those of the working
+    columns, and the names to give back."""
+    back = {unused(docs, c): c for c in docs.columns if c.lower() in (TEXT, COUNT, ITEMS, SPANS)}
+    return docs.withColumnsRenamed({c: free for free, c in back.items()}), back
+
+
 def mark_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` (any columns, with ``text``) plus ``n_words``, ``n_hit`` (words
     inside any occurrence of a window), ``n_items``, ``items`` (item_ids with
@@ -155,8 +162,9 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     isn't listed; repeated items count once; an empty benchmark marks nothing.
     Columns of ``docs`` with these five names are replaced."""
     names = {COUNT: "n_words", ITEMS: "items", SPANS: "spans"}
-    return (_scan(docs.drop("n_words", "n_hit", "n_items", "items", "spans"), F.col("text"), benchmark)
-            .withColumns({"n_items": F.size(ITEMS).cast("long"), "n_hit": _covered()}).withColumnsRenamed(names))
+    docs, back = _aside(docs.drop("n_words", "n_hit", "n_items", "items", "spans"))
+    return (_scan(docs, F.col("text"), benchmark)
+            .withColumns({"n_items": F.size(ITEMS).cast("long"), "n_hit": _covered()}).withColumnsRenamed(names | back))
 
 
 def _covered() -> Column:
@@ -208,6 +216,7 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, drop_share: floa
     """``docs`` without benchmark passages: a document whose words lie in
     occurrences by more than ``drop_share`` goes; from others the occurrences
     are cut out of the text (nothing else changes). Columns stay as they are."""
+    docs, back = _aside(docs)
     marked = _scan(docs, F.col("text"), benchmark)
     kept = marked.where(_covered() <= F.col(COUNT) * drop_share).select(*docs.columns, SPANS)
-    return kept.mapInArrow(_cut, kept.schema).select(*docs.columns)
+    return kept.mapInArrow(_cut, kept.schema).select(*docs.columns).withColumnsRenamed(back)
