@@ -25,7 +25,7 @@ def duck():
 
 def test_registered_names():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
     assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "near_duplicates", "decontamination", "personal_data", "sentence_pieces"]

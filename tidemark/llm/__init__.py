@@ -1,4 +1,4 @@
-"""Operations for preparing training text: ten operators and their queries.
+"""Operations for preparing training text: thirteen operators and their queries.
 
 Nothing else in the library imports this package; ``__spark_entry__`` adds its
 queries when it is present. The functions that run inside Python workers are
