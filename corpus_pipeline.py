@@ -8,6 +8,7 @@ stages but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, near_dup, pieces, pii, quality
 from tidemark.llm.common import materialize, table
@@ -20,11 +21,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five words, 0.8): the one
-    with the smallest doc_id. Repeated rows of a doc_id become one; rows
-    without a doc_id, which can't be named, stay."""
+    with the smallest doc_id. Repeated rows of a doc_id become one, the
+    smallest by all columns in their order, so that a task that runs again
+    keeps the same; rows without a doc_id, which can't be named, stay."""
     kept = near_dup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.union(docs.where("doc_id is null"))
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
+    named = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
+    return named.select("doc_id", "row.*").select(*docs.columns).union(docs.where("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
