@@ -45,8 +45,8 @@ from pyspark.sql import functions as F
 from .common import materialize, slices
 
 PATH_A, PATH_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
-SLICE_BYTES = 4_000_000
-KNOWN_SEGMENTS = 200_000  # kept by a task for its next slices; beyond that all are forgotten
+SLICE_BYTES = 2_000_000
+KNOWN_SEGMENTS = 120_000  # kept by a task for its next slices; beyond that all are forgotten
 CHUNK_PAIRS = 2_000_000  # different pairs of all documents of a chunk, one document at least
 BORDER, BLANKS = re.compile(r"\S "), re.compile(r"\s ")
 #: Fixed value: the pattern that byte-level tokenizers cut texts with before they merge.
