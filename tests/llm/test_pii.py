@@ -92,7 +92,7 @@ def test_report(spark, docs_of, monkeypatch):
     assert len(spanned) == len(rows)
     for r in spanned:
         text = texts[r["doc_id"]] or ""
-        spans = [(x["kind"], x["start"], x["end"]) for x in r["__spans"]]
+        spans = [(x["kind"], x["start"], x["end"]) for x in r["spans"]]
         base = _brute(text)
         want = [("term", *m.span()) for m in re.finditer(r"(?i)\b(zorbulon|writes|from)\b", text)]
         assert spans == base + want

@@ -22,16 +22,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, slices, unused
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 BESIDE = 5  # words on either side of an entity
 MIN_SUPPORT, MIN_GIVEN, MIN_BITS = 3, 0.5, 6.0
-BLOCK_TERMS = 200_000  # terms sent to the executors at once
+BLOCK_TERMS = 200_000  # terms sent to the executors at once, on average
+SLICE_BYTES = 4_000_000
 
 AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -128,8 +130,13 @@ def surroundings(text: str) -> Iterator[tuple[str, str, int]]:
             yield entity(kind, text[s:e]), w, place
 
 
-def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        yield from slices(batch, "text", SLICE_BYTES)
+
+
+def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _parts(batches):
         rows = [(*r, k) for t, k in zip(batch.column("text"), batch.column("key").to_pylist(), strict=True) for r in surroundings(t.as_py())]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()),
@@ -142,7 +149,7 @@ def _terms_of(terms: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = {t: i for i, t in enumerate(terms)}
-        for batch in batches:
+        for batch in _parts(batches):
             keys, found = [], []
             for t, k in zip(batch.column("text"), batch.column("key").to_pylist(), strict=True):
                 own = {index[w] for w in {w.lower() for w in WORD.findall(t.as_py())} if w in index}
@@ -166,37 +173,35 @@ def _texts_with(terms: list[str]):
     return run
 
 
-def _in_blocks(terms: DataFrame) -> Iterator[frozenset[str]]:
-    held = []
-    for (term,) in terms.toLocalIterator():
-        held.append(term)
-        if len(held) >= BLOCK_TERMS:
-            yield frozenset(held)
-            held = []
-    if held:
-        yield frozenset(held)
+def _in_blocks(terms: DataFrame) -> Iterator[tuple[Broadcast, bool]]:
+    """Different terms in blocks of bounded size: one at a time is fetched and
+    sent out, and the flag tells the last. There is always one."""
+    blocks = 1 + terms.count() // BLOCK_TERMS
+    dealt = terms.select("term", F.pmod(F.xxhash64("term"), F.lit(blocks)).alias("block"))
+    for i in range(blocks):
+        own = sorted(r["term"] for r in dealt.where(F.col("block") == i).select("term").collect())
+        yield terms.sparkSession.sparkContext.broadcast(own), i == blocks - 1
 
 
 def revealing_terms(docs: DataFrame, min_support: int = MIN_SUPPORT, min_given: float = MIN_GIVEN,
                     min_bits: float = MIN_BITS) -> DataFrame:
     """``term``, ``given`` (the highest p(entity | term)) and ``bits`` of the
     terms over the thresholds, counted over all different texts of ``docs``."""
-    context = docs.sparkSession.sparkContext
     texts = docs.where("text is not null").select("text", F.xxhash64("text").alias("key"))  # copies have one key
     pairs = (texts.mapInArrow(_surroundings, "entity string, term string, place long, key long")
              .groupBy("entity", "term").agg(F.countDistinct("place").alias("support"), F.countDistinct("key").alias("texts")))
     pairs = materialize(pairs.where(F.col("support") >= min_support))
+    if not pairs.limit(1).count():
+        return pairs.select("term", F.lit(0.0).alias("given"), F.lit(0.0).alias("bits"))
     counts = None
-    for block in _in_blocks(pairs.select("term").distinct()):
-        sent = context.broadcast(sorted(block))
+    for sent, _ in _in_blocks(pairs.select("term").distinct()):  # a pass each
         part = materialize(
             texts.mapInArrow(lambda batches, sent=sent: _terms_of(sent.value)(batches), "key long, found array<int>")
             .groupBy("key").agg(F.first("found").alias("found"))
             .mapInArrow(lambda batches, sent=sent: _texts_with(sent.value)(batches), "term string, docs long")
             .groupBy("term").agg(F.sum("docs").alias("docs")))
+        sent.destroy()
         counts = part if counts is None else counts.union(part)
-    if counts is None:
-        return pairs.select("term", F.lit(0.0).alias("given"), F.lit(0.0).alias("bits")).limit(0)
     # the entity itself is at least as frequent as any of its terms beside it
     total = texts.select("key").distinct().count()
     known = pairs.groupBy("entity").agg(F.max("texts").alias("entity_docs"))
@@ -208,47 +213,63 @@ def revealing_terms(docs: DataFrame, min_support: int = MIN_SUPPORT, min_given:
         .groupBy("term").agg(F.max("given").alias("given"), F.max("bits").alias("bits")))
 
 
-SPANS = "__spans"
 SPAN_TYPE = "array<struct<kind:string,start:int,end:int>>"
 ARROW_SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
-def _with_spans(batch: pa.RecordBatch, spans: list) -> pa.RecordBatch:
-    names = batch.schema.names
-    own = pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in spans], ARROW_SPAN)
-    return pa.RecordBatch.from_arrays([own if n == SPANS else batch.column(n) for n in names], names)
+def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
+    """``text`` with a mark of its kind in place of each span; spans that overlap the one before are covered by its mark."""
+    out, at = [], 0
+    for s, e, kind in sorted((s, e, k) for k, s, e in spans):
+        if s >= at:
+            out += [text[at:s], f"[{kind.upper()}]"]
+        at = max(at, e)
+    return "".join([*out, text[at:]])
 
 
-def _base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield _with_spans(batch, [base_spans(t.as_py() or "") for t in batch.column("text")])
+def _spans(terms: list[str], column: str, first: bool, mask: bool):
+    """Adds the spans of ``terms`` to ``column``; before the ``first`` the base
+    spans. With ``mask`` the text is masked too."""
 
-
-def _add_terms(terms: frozenset[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = []
-            for t, old in zip(batch.column("text"), batch.column(SPANS), strict=True):
-                had = [(x["kind"], x["start"], x["end"]) for x in old.as_py()]
+        wanted = frozenset(terms)
+        for part in _parts(batches):
+            spans, texts = [], []
+            for scalar, old in zip(part.column("text"), part.column(column), strict=True):
+                text = scalar.as_py()
+                if text is None:
+                    spans.append([]), texts.append(None)
+                    continue
+                had = base_spans(text) if first else [(x["kind"], x["start"], x["end"]) for x in old.as_py()]
                 base = [x for x in had if x[0] != TERM]
-                new = [x for x in had if x[0] == TERM]
-                new += [(TERM, s, e) for w, s, e in terms_in(t.as_py() or "", base) if w in terms]
-                spans.append(base + sorted(new))
-            yield _with_spans(batch, spans)
+                found = [x for x in had if x[0] == TERM]
+                if wanted:
+                    found += [(TERM, s, e) for w, s, e in terms_in(text, base) if w in wanted]
+                spans.append(base + sorted(found))
+                texts.append(masked(text, spans[-1]) if mask and spans[-1] else text)
+            new = {column: pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in spans], ARROW_SPAN)}
+            if mask:
+                new["text"] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays([new.get(n, part.column(n)) for n in part.schema.names], part.schema.names)
 
     return run
 
 
-def find_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """``docs`` plus ``__spans``: the base spans by kind, then the spans of
-    ``terms``, each by start. Null text has none."""
-    context = docs.sparkSession.sparkContext
-    out = docs.withColumn(SPANS, F.array().cast(SPAN_TYPE))
-    schema = out.schema
-    out = out.mapInArrow(_base, schema)
-    for block in _in_blocks(terms.select("term")):
-        sent = context.broadcast(block)
-        out = out.mapInArrow(lambda batches, sent=sent: _add_terms(sent.value)(batches), schema)
+def find_spans(docs: DataFrame, terms: DataFrame, column: str = "spans", mask: bool = False) -> DataFrame:
+    """``docs`` plus ``column`` (which they must not have): the base spans by
+    kind, then the spans of ``terms``, each by start. Null text has none. With
+    ``mask`` the text has its spans masked. One pass and one Python worker a
+    task; each further block of terms is a pass of its own, written before the
+    next, and its broadcast destroyed."""
+    out = docs.withColumn(column, F.array().cast(SPAN_TYPE))
+    schema, first = out.schema, True
+    for sent, last in _in_blocks(terms.select("term").distinct()):
+        out = out.mapInArrow(
+            lambda batches, sent=sent, first=first, last=last: _spans(sent.value, column, first, mask and last)(batches), schema)
+        if not last:
+            out = materialize(out)
+            sent.destroy()
+        first = False
     return out
 
 
@@ -262,33 +283,15 @@ def pii_report(docs: DataFrame) -> DataFrame:
     empty; very long texts are read whole; repeated rows get equal results."""
     own = docs.select("doc_id", "text")
     spanned = find_spans(own, revealing_terms(own))
-    spans = F.col(SPANS)
+    spans = F.col("spans")
     of = lambda kind: F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter(spans, lambda x: x["kind"] != TERM)
     return spanned.select("doc_id", *map(of, KINDS), F.sha2(_digest(base), 256).alias("base_sha256"), _digest(spans).alias("spans"))
 
 
-def _mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = []
-        for t, spans in zip(batch.column("text"), batch.column(SPANS), strict=True):
-            text = t.as_py()
-            if text is not None and len(spans):
-                out, at = [], 0
-                for s, e, kind in sorted((x["start"], x["end"], x["kind"]) for x in spans.as_py()):
-                    if s >= at:
-                        out += [text[at:s], f"[{kind.upper()}]"]
-                    elif e > at:  # overlaps the span before it: covered by one mark
-                        pass
-                    at = max(at, e)
-                text = "".join([*out, text[at:]])
-            texts.append(text)
-        names = batch.schema.names
-        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names], names)
-
-
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` generalised to its kind, such as
-    ``[EMAIL]`` or ``[TERM]``; all else, and all other columns, as they are."""
-    spanned = find_spans(docs, revealing_terms(docs))
-    return spanned.mapInArrow(_mask, spanned.schema).drop(SPANS)
+    ``[EMAIL]`` or ``[TERM]``; all else, and all other columns, as they are,
+    whatever their names."""
+    column = unused(docs, "spans")
+    return find_spans(docs, revealing_terms(docs), column, mask=True).drop(column)
