@@ -28,10 +28,11 @@ import pickle
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,11 +40,12 @@ from pyspark.sql import functions as F
 from .common import materialize, mix, slices, utf8, word_hashes
 
 MIN_COUNT, LONGEST, TOP = 10, 3, 2000
-SLICE_BYTES = 4_000_000
+SLICE_BYTES, ROWS_A_FILE = 1_500_000, 8  # text in a row of word places, and rows that a task reads at once
+HELD = 1_000_000  # candidates, or states reached, that a task holds before it gives their texts, or counts them
 #: Bits of a bitmap for each hash that it holds, and its largest size (32 MB); a full one only keeps more candidates.
-BITS_EACH, MOST_BITS = 64, 1 << 28
+BITS_EACH, MOST_BITS = 128, 1 << 28
 BLOCK_PHRASES = 400_000  # of a broadcast trie, on average
-ROOM, TRIES = 8, 40  # places of a trie's array for each state; rounds of tries for a state's children
+ROOM, TRIES = 2, 40  # places of a trie's array for each state; rounds of tries for a state's children
 SALTS = 32  # groups of a language's phrases in which the first are looked for before the last sort
 
 BOUND = b"\xff"  # between pieces; no UTF-8 text has this byte
@@ -53,25 +55,25 @@ MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass
 class Words:
-    """The words of some texts in a row: places in ``words``, -1 between pieces."""
+    """The words of some texts in a row: places among the different ``words``
+    (or among their ``hashes``), -1 between pieces."""
 
-    words: list[bytes]
     at: np.ndarray
+    words: pa.StringArray | None = None
+    hashes: np.ndarray | None = None
 
     @classmethod
     def of(cls, texts: list[bytes]) -> Words:
         flat = BOUND.join(t.translate(FOLD) for t in texts).replace(BOUND, b" \xff ").split()
-        words = list(dict.fromkeys(flat))
+        words = dict.fromkeys(flat)
+        words.pop(BOUND, None)
         index = dict(zip(words, range(len(words)), strict=True))
-        at = np.fromiter(map(index.__getitem__, flat), np.int64, len(flat))
-        if BOUND in index:
-            at[at == index[BOUND]] = -1
-            words[index[BOUND]] = b""
-        return cls(words, at)
+        at = np.fromiter(map(index.get, flat, repeat(-1)), np.int64, len(flat))
+        return cls(at, pa.array(list(words), pa.binary()).cast(pa.string()), word_hashes(list(words)))
 
-    def hashes(self, lang: str) -> np.ndarray:
+    def in_place(self, lang: str) -> np.ndarray:
         """A hash of (language, word) at each place; 0 between pieces."""
-        own = mix(word_hashes(self.words) ^ np.uint64(xxhash.xxh3_64_intdigest(lang.encode(), 1)))
+        own = mix(self.hashes ^ np.uint64(xxhash.xxh3_64_intdigest(lang.encode(), 1)))
         return np.where(self.at >= 0, own[self.at], 0) if len(own) else np.zeros(0, np.uint64)
 
 
@@ -81,7 +83,11 @@ def longer(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix(begins * MULTIPLY + ends)
 
 
-TOKENS = "lang string, words array<string>, at array<int>"
+TOKENS = "lang string, words array<string>, hashes array<long>, n array<int>, at array<int>"
+
+
+def one_list(values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,28 +99,22 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 texts[lang].append(text)
             for lang, own in texts.items():
                 words = Words.of(own)
-                if len(words.at):
+                if len(words.words):
+                    n = np.bincount(words.at[words.at >= 0], minlength=len(words.words)).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang], pa.string()),
-                         pa.ListArray.from_arrays(pa.array([0, len(words.words)], pa.int32()), pa.array(words.words, pa.binary()).cast(pa.string())),
-                         pa.ListArray.from_arrays(pa.array([0, len(words.at)], pa.int32()), pa.array(words.at.astype(np.int32)))],
-                        ["lang", "words", "at"])
+                        [pa.array([lang], pa.string()), one_list(words.words), one_list(pa.array(words.hashes.view(np.int64))),
+                         one_list(pa.array(n)), one_list(pa.array(words.at.astype(np.int32)))], ["lang", "words", "hashes", "n", "at"])
 
 
 def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
-    """The rows of :func:`_tokens`, one after another."""
+    """The rows of :func:`_tokens`, one after another, with the columns that were read."""
     for batch in batches:
-        for lang, words, at in zip(*(batch.column(c) for c in ("lang", "words", "at")), strict=True):
-            yield lang.as_py(), Words(words.values.cast(pa.binary()).to_pylist(), at.values.to_numpy().astype(np.int64))
-
-
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for lang, words in by_language(batches):
-        n = np.bincount(words.at[words.at >= 0], minlength=len(words.words))
-        there = np.nonzero(n)[0]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(there), pa.string()), pa.array([words.words[i] for i in there], pa.binary()).cast(pa.string()),
-             pa.array(n[there])], ["lang", "phrase", "n"])
+        for i in range(len(batch)):
+            row = {name: batch.column(name)[i] for name in batch.schema.names}
+            yield row["lang"].as_py(), Words(
+                row["at"].values.to_numpy().astype(np.int64), row["words"].values if "words" in row else None,
+                row["hashes"].values.to_numpy().view(np.uint64) if "hashes" in row else None)
+        pa.default_memory_pool().release_unused()
 
 
 def has_bit(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -124,7 +124,7 @@ def has_bit(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def pairs(words: Words, lang: str, bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the pairs at each place, and where both words may be frequent."""
-    own = words.hashes(lang)
+    own = words.in_place(lang)
     likely = (words.at >= 0) & has_bit(bitmap, own)
     return longer(own[:-1], own[1:]), likely[:-1] & likely[1:]
 
@@ -133,7 +133,7 @@ def triples(words: Words, lang: str, bitmap: np.ndarray, of_pairs: np.ndarray) -
     """Hashes of pairs and triples, and where they can be frequent."""
     two, may = pairs(words, lang, bitmap)
     may &= has_bit(of_pairs, two)
-    return two, may, longer(two[:-1], words.hashes(lang)[2:]), may[:-1] & may[1:]
+    return two, may, longer(two[:-1], words.in_place(lang)[2:]), may[:-1] & may[1:]
 
 
 def _count_hashes(bitmap: np.ndarray, of_pairs: np.ndarray | None):
@@ -149,22 +149,36 @@ def _count_hashes(bitmap: np.ndarray, of_pairs: np.ndarray | None):
 
 
 def _candidates(bitmap: np.ndarray, of_pairs: np.ndarray, of_triples: np.ndarray):
-    """The texts of the phrases that may be frequent, each once a slice."""
+    """The texts of the phrases that may be frequent, each once for some rows together."""
+
+    def texts(held: list[tuple[str, Words, int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        """Each different hash's text, from the first place that has it."""
+        begins = np.cumsum([0, *(len(x[4]) for x in held)])
+        first = np.sort(np.unique(np.concatenate([x[4] for x in held]), return_index=True)[1])
+        for (lang, words, length, place, _), begin, end in zip(held, begins[:-1], begins[1:], strict=True):
+            own = place[first[np.searchsorted(first, begin) : np.searchsorted(first, end)] - begin]
+            parts = [words.words.take(pa.array(words.at[own + i])) for i in range(length)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(own), np.int64))),
+                 pc.binary_join_element_wise(*parts, " ")], ["lang", "phrase"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for lang, words in by_language(batches):
             if len(words.at) < 2:
                 continue
+            words.hashes = word_hashes(words.words.cast(pa.binary()).to_pylist())
             two, may, three, may3 = triples(words, lang, bitmap, of_pairs)
             may3 = may3 & has_bit(of_triples, three)
-            found = []
             for length, hashes, there in ((2, two, may), (3, three, may3)):
-                place = np.nonzero(there)[0]
-                place = place[np.unique(hashes[place], return_index=True)[1]]
-                runs = words.at[place[:, None] + np.arange(length)].tolist()
-                found += [b" ".join([words.words[i] for i in run]) for run in runs]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(found), pa.string()), pa.array(found, pa.binary()).cast(pa.string())], ["lang", "phrase"])
+                own, first = np.unique(hashes[there], return_index=True)
+                held.append((lang, words, length, np.nonzero(there)[0][first], own))
+                size += len(own)
+            if size > HELD:
+                yield from texts(held)
+                held, size = [], 0
+        if held:
+            yield from texts(held)
 
     return run
 
@@ -184,7 +198,7 @@ def _places(hashes: Callable[[pa.RecordBatch], np.ndarray], bits: int):
 
 
 def word_rows(batch: pa.RecordBatch) -> np.ndarray:
-    """The hashes of (language, word) rows, as :meth:`Words.hashes` has them."""
+    """The hashes of (language, word) rows, as :meth:`Words.in_place` has them."""
     langs = batch.column("lang").to_pylist()
     of = {x: xxhash.xxh3_64_intdigest(x.encode(), 1) for x in set(langs)}
     own = word_hashes([w.encode() for w in batch.column("phrase").to_pylist()])
@@ -213,7 +227,7 @@ class Trie:
     root of language i."""
 
     langs: list[str]
-    words: list[bytes]
+    words: pa.StringArray
     base: np.ndarray
     check: np.ndarray
 
@@ -224,22 +238,22 @@ class Trie:
         return np.where(alive & (self.check[to] == state), to, -1)
 
 
-def place_children(children: list[np.ndarray], reserved: int, n_words: int) -> tuple[np.ndarray, int]:
-    """A base for each list of word numbers, such that no two children share a
-    place, and the size of the array. Lists with most children go first, each
-    to the first of some random places that suits it, or else behind all others;
-    single children fill what is left. At most an eighth of the places is used
-    before that, so few tries are needed."""
+def place_children(begins: np.ndarray, words: np.ndarray, reserved: int, n_words: int) -> tuple[np.ndarray, int]:
+    """A base for each list of word numbers (``words`` from ``begins[i]`` to
+    ``begins[i + 1]``), such that no two children share a place, and the size
+    of the array. Lists with most children go first, each to the first of some
+    random places that suits it, or else behind all others; single children
+    fill what is left. At most half of the places is used before that, so
+    few tries are needed."""
     start = max(reserved, n_words)  # places below would give a single child a negative base
-    used = np.zeros(start + n_words + ROOM * sum(map(len, children)) + 4096, bool)
+    used = np.zeros(start + n_words + ROOM * len(words) + 4096, bool)
     used[:start] = True
-    base = np.zeros(len(children), np.int64)
-    order = sorted(range(len(children)), key=lambda i: (-len(children[i]), i))
+    size = np.diff(begins)
+    base = np.zeros(len(size), np.int64)
     draw = np.random.default_rng(0)
-    for i in order:
-        own = children[i]
-        if len(own) < 2:
-            break
+    last = start
+    for i in np.argsort(-size, kind="stable")[: int((size > 1).sum())].tolist():
+        own = words[begins[i] : begins[i + 1]]
         at_once = max(4, min(128, 100_000 // len(own)))
         for _ in range(TRIES):
             tried = draw.integers(start, len(used) - n_words, at_once)
@@ -251,74 +265,79 @@ def place_children(children: list[np.ndarray], reserved: int, n_words: int) -> t
             base[i] = len(used)
             used = np.concatenate([used, np.zeros(n_words + 1, bool)])
         used[base[i] + own] = True
-    single = [i for i in order if len(children[i]) == 1]
-    if single:
+        last = max(last, int(base[i] + own.max()))
+    single = np.nonzero(size == 1)[0]
+    if len(single):
         free = start + np.nonzero(~used[start:])[0][: len(single)]
-        base[single] = free - np.array([children[i][0] for i in single])
-    last = max((int(base[i] + c.max()) for i, c in enumerate(children) if len(c)), default=0)
-    return base, max(last, start) + 1
+        base[single] = free - words[begins[single]]
+        last = max(last, int(free[-1]))
+    return base, last + 1
 
 
-def build_trie(langs: list[str], phrases: list[bytes]) -> tuple[Trie, np.ndarray]:
+def build_trie(langs: list[str], phrases: pa.StringArray) -> tuple[Trie, np.ndarray]:
     """The trie of different (language, phrase) pairs, and the state that accepts each."""
     roots = sorted(set(langs))
-    words = sorted(set(chain.from_iterable(p.split(b" ") for p in phrases)))
-    number = dict(zip(words, range(len(words)), strict=True))
-    nodes: list[dict[int, int]] = [{} for _ in roots]  # children of each node, by word
     of_lang = dict(zip(roots, range(len(roots)), strict=True))
-    ends = []
-    for lang, phrase in zip(langs, phrases, strict=True):
-        node = of_lang[lang]
-        for w in phrase.split(b" "):
-            to = nodes[node].setdefault(number[w], len(nodes))
-            if to == len(nodes):
-                nodes.append({})
-            node = to
-        ends.append(node)
-    children = [np.array(sorted(x), np.int64) for x in nodes]
-    base, size = place_children(children, len(roots), len(words))
-    state = np.arange(len(nodes))  # of each node; a parent comes before its children
-    for node, own in enumerate(nodes):
-        for w, child in own.items():
-            state[child] = base[node] + w
-    out = Trie(roots, words, np.zeros(size, np.int32), np.full(size + len(words) + 1, -1, np.int32))
-    for node, own in enumerate(nodes):
-        if own:
-            out.base[state[node]] = base[node]
-            out.check[[state[c] for c in own.values()]] = state[node]
-    return out, state[ends] if ends else np.zeros(0, np.int64)
+    node, nodes = np.array([of_lang[x] for x in langs], np.int64), len(roots)  # of each phrase, as far as it has been read
+    parts = pc.split_pattern(phrases, " ")
+    length = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
+    every = pc.list_flatten(parts).dictionary_encode()
+    number, n_words = every.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(every.dictionary)
+    begin = np.cumsum(length) - length
+    parents, words = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for level in range(int(length.max(initial=0))):
+        there = np.nonzero(length > level)[0]
+        edge, place = np.unique(node[there] * n_words + number[begin[there] + level], return_inverse=True)
+        parents.append(edge // n_words), words.append(edge % n_words)
+        node[there] = nodes + place
+        nodes += len(edge)
+    # a level's nodes are numbered by parent, so the children of a node stand together
+    parents, words = np.concatenate(parents), np.concatenate(words)
+    begins = np.concatenate([[0], np.cumsum(np.bincount(parents, minlength=nodes))])
+    base, size = place_children(begins, words, len(roots), n_words)
+    state = np.arange(nodes)
+    children = np.arange(len(roots), nodes)
+    state[children] = base[parents] + words
+    out = Trie(roots, every.dictionary, np.zeros(size, np.int32), np.full(size + n_words + 1, -1, np.int32))
+    inner = np.nonzero(np.diff(begins))[0]
+    out.base[state[inner]] = base[inner]
+    out.check[state[children]] = state[parents]
+    return out, state[node]
 
 
 def _tries(key: tuple, rows: pa.Table) -> pa.Table:
-    langs, phrases = rows.column("lang").to_pylist(), rows.column("phrase").to_pylist()
-    trie, states = build_trie(langs, [p.encode() for p in phrases])
-    return pa.table({
-        "block": pa.array([key[0].as_py()], pa.int32()),
-        "trie": pa.array([pickle.dumps((trie.langs, trie.words, trie.base, trie.check))], pa.binary()),
-        "accepts": pa.array([[{"state": s, "lang": x, "phrase": p} for s, x, p in zip(states.tolist(), langs, phrases, strict=True)]],
-                            pa.list_(pa.struct([("state", pa.int64()), ("lang", pa.string()), ("phrase", pa.string())])))})
+    rows = rows.combine_chunks()
+    lang, phrase = (rows.column(c).combine_chunks() for c in ("lang", "phrase"))
+    trie, states = build_trie(lang.to_pylist(), phrase)
+    accepts = pa.StructArray.from_arrays([pa.array(states.astype(np.int64)), lang, phrase], ["state", "lang", "phrase"])
+    blob = pickle.dumps((trie.langs, trie.words.to_pylist(), trie.base, trie.check))
+    return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "trie": pa.array([blob], pa.binary()), "accepts": one_list(accepts)})
 
 
 def count_states(trie: Trie, batches: Iterator[tuple[str, Words]]) -> np.ndarray:
     """How often each state is reached at levels 2 and 3."""
     n = np.zeros(len(trie.base), np.int64)
-    number = dict(zip(trie.words, range(len(trie.words)), strict=True))
+    reached: list[np.ndarray] = []
     root = dict(zip(trie.langs, range(len(trie.langs)), strict=True))
     for lang, words in batches:
         if lang not in root or not len(words.at):
             continue
-        own = np.fromiter(map(number.get, words.words, repeat(-1)), np.int64, len(words.words))
+        own = pc.fill_null(pc.index_in(words.words, value_set=trie.words), -1).to_numpy().astype(np.int64)
         word = np.where(words.at >= 0, own[words.at], -1)
         state = trie.step(np.full(len(word), root[lang]), word)
         for level in range(1, LONGEST):
             state = trie.step(state[:-1], word[level:])
-            n += np.bincount(state[state >= 0], minlength=len(n))
-    return n
+            reached.append(state[state >= 0])
+        if sum(map(len, reached)) > HELD:
+            n += np.bincount(np.concatenate(reached), minlength=len(n))
+            reached = []
+    return n + np.bincount(np.concatenate([*reached, np.zeros(0, np.int64)]), minlength=len(n))
 
 
 def _count_phrases(sent) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = count_states(Trie(*pickle.loads(sent.value)), by_language(batches))
+        langs, words, base, check = pickle.loads(sent.value)
+        n = count_states(Trie(langs, pa.array(words, pa.string()), base, check), by_language(batches))
         there = np.nonzero(n)[0]
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(n[there])], ["state", "n"])
 
@@ -328,12 +347,13 @@ def _count_phrases(sent) -> Callable:
 def tokens_of(docs: DataFrame) -> DataFrame:
     """The words of ``docs`` (``lang``, ``text`` as bytes, neither null),
     written: a row for each language of each few MB of text."""
-    return materialize(docs.mapInArrow(_tokens, TOKENS))
+    return materialize(docs.mapInArrow(_tokens, TOKENS), ROWS_A_FILE)
 
 
 def count_words(tokens: DataFrame) -> DataFrame:
     """``lang``, ``phrase`` (one word) and ``f`` of all words."""
-    return tokens.mapInArrow(_count_words, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+    return (tokens.select("lang", F.inline(F.arrays_zip(F.col("words").alias("phrase"), F.col("n").alias("n"))))
+            .groupBy("lang", "phrase").agg(F.sum("n").alias("f")))
 
 
 def candidates(tokens: DataFrame, words: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
@@ -342,13 +362,13 @@ def candidates(tokens: DataFrame, words: DataFrame, min_count: int = MIN_COUNT)
     of_words = bitmap_of(words, word_rows)
 
     def frequent(of_pairs: np.ndarray | None) -> np.ndarray:
-        counted = (tokens.mapInArrow(lambda batches: _count_hashes(of_words, of_pairs)(batches), "h long, n long")
+        counted = (tokens.select("lang", "hashes", "at").mapInArrow(lambda batches: _count_hashes(of_words, of_pairs)(batches), "h long, n long")
                    .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("h"))
         return bitmap_of(materialize(counted), hash_rows)
 
     of_pairs = frequent(None)
     of_triples = frequent(of_pairs)
-    return tokens.mapInArrow(lambda batches: _candidates(of_words, of_pairs, of_triples)(batches),
+    return tokens.select("lang", "words", "at").mapInArrow(lambda batches: _candidates(of_words, of_pairs, of_triples)(batches),
                            "lang string, phrase string").distinct()
 
 
@@ -367,7 +387,7 @@ def count_phrases(tokens: DataFrame, wanted: DataFrame) -> DataFrame:
         if blob is None:
             continue
         sent = context.broadcast(bytes(blob[0]))
-        n = tokens.mapInArrow(_count_phrases(sent), "state long, n long").groupBy("state").agg(F.sum("n").alias("f"))
+        n = tokens.select("lang", "words", "at").mapInArrow(_count_phrases(sent), "state long, n long").groupBy("state").agg(F.sum("n").alias("f"))
         part = materialize(own.select(F.inline("accepts")).join(n, "state").select("lang", "phrase", "f"))
         sent.destroy()
         out = part if out is None else out.union(part)
