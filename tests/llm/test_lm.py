@@ -126,3 +126,41 @@ def test_empty_and_untrained(spark, docs_of):
     rows = L.lm_report(docs_of([(i, "a b") for i in only]), 1).collect()
     assert [(r["n_known"], r["train_tokens"]) for r in rows] == [(0, 0)] * 5
     assert all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in rows)
+
+
+def test_rare_words_are_features(spark, docs_of):
+    """After one rare word comes always the same other one, whose ending many have."""
+    rnd = random.Random(3)
+    follows = [(f"x{i}aa", f"y{rnd.randrange(10**6)}bb") for i in range(300)]
+    common = " ".join(f"c{i}" for i in range(L.COMMON))
+    assert not _held_out(0) and not _held_out(2)
+    rows = [(i, " ".join([common] * 200)) for i in (0, 2)]
+    rows += [(i, " ".join(w for _ in range(40) for w in rnd.choice(follows))) for i in range(3, 300)]
+    held = [r for r in L.lm_report(docs_of(rows)).collect() if r["held_out"]]
+    mean = sum(r["score"] for r in held) / sum(r["n_tokens"] for r in held)
+    assert -1.2 > mean > -1.7  # one of 300 for each pair of words; without the feature one of 300 for each word
+
+
+def test_word_features_sum_to_one():
+    """Over all classes after a context, and over all words of a class."""
+    rnd = np.random.default_rng(5)
+    C = L.CLASSES
+    log_p = np.log(rnd.dirichlet(np.ones(C), C * C)).astype(np.float32)
+    key, skip, last = rnd.integers(0, 9, 4000).astype(np.uint32), rnd.integers(0, 3, 4000).astype(np.uint8), np.full(4000, 100, np.uint8)
+    other, own = rnd.integers(0, 4, 4000).astype(np.uint16), rnd.integers(0, 20, 4000).astype(np.uint8)
+    every = np.arange(C).astype(np.uint8)
+    same = [np.append(x, np.full(C, x[0])) for x in (key, skip, last, other)]
+    got = L.class_factor(log_p, *same, np.append(own, every), np.append(np.ones(4000, bool), np.zeros(C, bool)))
+    assert np.exp(got[4000:]).sum() == pytest.approx(1, abs=1e-5)
+    assert np.exp(got[4000:]).argmax() < 20  # the classes that training has
+
+    n = rnd.integers(1, 30, 50)
+    mass, types = np.zeros(C), np.zeros(C)
+    mass[C - 1], types[C - 1] = n.sum(), 50
+    model = L.Model(None, np.zeros(0, np.uint64), mass, types, int(n.sum()), 0, 50)
+    seen = rnd.integers(0, 10, 400)
+    word = np.concatenate([seen + 1, np.arange(51)]).astype(np.uint32)  # 0: a word never seen
+    count = np.append(0, n)[word]
+    got = L.word_factor(model, np.zeros(451, np.uint32), np.full(451, C - 1, np.uint8), word, count, np.arange(451) < 400)
+    p = np.exp(got[400:])
+    assert p.sum() == pytest.approx(1, abs=1e-9) and p[1:11].min() > p[11:].max()

@@ -34,15 +34,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, rows_a_file: int = 0) -> DataFrame:
+#: Files of a query's shuffles are removed when it ends.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, rows_a_file: int = 0, tidy: bool = False) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it
     back. Cuts the lineage: a lost executor costs only the tasks it ran, and
     later steps neither recompute nor renumber the rows. The folder is the
     cluster's scratch space; the files stay until the cluster clears it. Large
-    rows can be written a few to a file, so that no task reads many at once."""
+    rows can be written a few to a file, so that no task reads many at once.
+    ``tidy`` removes the files of the shuffles before as soon as all is written."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/step-{uuid.uuid4().hex}"
-    df.write.option("maxRecordsPerFile", rows_a_file).parquet(path)
+    before = spark.conf.get(TIDY, None)
+    if tidy:
+        spark.conf.set(TIDY, "true")
+    try:
+        df.write.option("maxRecordsPerFile", rows_a_file).parquet(path)
+    finally:
+        if tidy:
+            spark.conf.unset(TIDY) if before is None else spark.conf.set(TIDY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

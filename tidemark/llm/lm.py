@@ -1,34 +1,45 @@
 """Language-model scores from a hashed maximum-entropy model.
 
-p(token | the two before it) = p(class | context) * p(token | class). A class
-is one of the commonest words, the end of a text, or a bucket of all other
-words by a hash of their last two bytes. The class factor is a log-linear
-(maximum-entropy) model over the classes of the last token, of the one before
-it (skip feature), and of both together, hashed into ``HASHED`` rows. The word
-factor has the words' own features only, so its maximum-entropy solution is
-their relative frequency, discounted by ``DISCOUNT`` for words never seen.
-
-Training: the corpus is counted into (context, class) cells, dealt over
-shards. Each step computes every shard's expected counts under the current
-weights with numpy, sums them in Spark, and moves the weights along the
-gradient, scaled by each feature's count. Scoring goes in chunks of documents:
-a chunk brings along the counts of just the words that it has, so nothing that
-grows with the vocabulary is sent to every task.
+p(token | the two before it) = p(class | context) * p(token | class, context).
+A class is one of the commonest words, the end of a text, or a bucket of all
+other words (the rare ones) by a hash of their last two bytes. Both factors are
+log-linear (maximum-entropy) models, trained by steps along the gradient.
+
+The class factor has two layers of features. The first holds classes: the last
+token's, that of the one before it (skip feature), and both together, hashed
+into ``HASHED`` rows. The second holds words, as many as the corpus has: a rare
+last word alone (bigram) and with the word before it (trigram); after a common
+last word a rare word before it alone (skip) and with the last one (trigram).
+Where both are common the first layer has the words themselves. The word factor
+has the words' own features, whose solution is their relative frequency, less
+``DISCOUNT`` for words never seen, and the pair of the last word and the word.
+
+Training: texts are cut into words once, a chunk of them in a task. A chunk
+brings along the counts of just the words that it has. First the corpus is
+counted into (context, class) cells, dealt over shards; each step computes every
+shard's expected counts under the current weights, sums them in Spark, and moves
+the weights along the gradient, scaled by each feature's count. Then every token
+goes to the block of its key, a hash of the word (or words) whose features it
+has. No other block has these features, so a block is trained and scored in one
+task; blocks have bounded sizes and their number grows with the corpus. Words
+with very many tokens are split by the other word of the context. Nothing that
+grows with the vocabulary is sent to every task or to the driver.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_remainder, materialize, mix, received, send, slices, utf8, word_hashes
+from .common import crc_remainder, materialize, mix, received, send, utf8, word_hashes
 
 COMMON, SUFFIXES = 95, 32  # common words and suffix buckets; with the end of text 128 classes
 CLASSES = 1 + COMMON + SUFFIXES
@@ -37,7 +48,13 @@ STEPS, SHARDS = 12, 8
 ACTIVE = 4  # features of each context: always, last, skip, pair
 DISCOUNT = 0.5
 CHUNK_BYTES = 8_000_000
-SLICE_BYTES = 2_000_000  # of texts counted into cells at once
+BLOCK_TOKENS = 400_000  # trained and scored in one task, on average
+HOT = 16_384  # tokens of a word, on average, before its features are split by the other word
+WORD_STEPS, PRIOR = 4, 1.0  # of the words' features: steps, and how strongly they are drawn to zero
+SLICE_TOKENS = 100_000  # dealt to blocks at once
+SLICE_CONTEXTS = 4096  # trained at once
+PASSES = 3  # over the corpus, each with the events of every third block, for less on the disk at once
+PART = 64  # features whose sums stand together
 END = 0
 
 
@@ -91,30 +108,50 @@ def classes_of(hashes: np.ndarray, buckets: np.ndarray, common: np.ndarray) -> n
 
 
 def _words(key: tuple, rows: pa.Table) -> pa.Table:
-    """A chunk's distinct words, and how often training texts have them."""
+    """A chunk's distinct words, sorted by hash, and how often training texts
+    have them; beside them, in one row, its tokens as places among these."""
     chunk = key[0].as_py()
-    texts = [t.as_py() for t in rows.column("text")]
-    train = ~rows.column("held_out").to_numpy(zero_copy_only=False)
-    tokens = Tokens.of(texts)
-    of_text = np.repeat(train, np.diff(tokens.begins))
+    held = rows.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+    tokens = Tokens.of([t.as_py() for t in rows.column("text")])
+    of_text = np.repeat(~held, np.diff(tokens.begins))
     n = np.bincount(tokens.at[of_text & (tokens.at >= 0)], minlength=len(tokens.words))
-    return pa.table({"chunk": pa.array(np.full(len(n), chunk, np.int32)), "h": pa.array(word_hashes(tokens.words).view(np.int64)),
-                     "n": pa.array(n, pa.int64()), "bucket": pa.array(suffix_bucket(tokens.words).astype(np.int32))})
-
-
-def _cells(common: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = CLASSES**3
-        total = np.zeros(size, np.int64)
-        for part in chain.from_iterable(slices(batch, "text", SLICE_BYTES) for batch in batches):
-            tokens = Tokens.of([t.as_py() for t in part.column("text")])
-            own = classes_of(word_hashes(tokens.words), suffix_bucket(tokens.words), common)
-            context, c = tokens.contexts(own)
-            total += np.bincount(context * CLASSES + c, minlength=size)
-        cell = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(total[cell])], ["cell", "n"])
-
-    return run
+    h = word_hashes(tokens.words)
+    order = np.argsort(h, kind="stable")
+    place = np.empty(len(h) + 1, np.int32)
+    place[order], place[-1] = np.arange(len(h)), -1
+    blob = pickle.dumps((rows.column("doc_id").combine_chunks(), held, tokens.begins, place[tokens.at]))
+    more = len(h) + 1
+    nothing = pa.nulls(1, pa.int64())
+    return pa.table({
+        "chunk": pa.array(np.full(more, chunk, np.int32)),
+        "h": pa.chunked_array([pa.array(h[order].view(np.int64)), nothing]),
+        "n": pa.chunked_array([pa.array(n[order], pa.int64()), nothing]),
+        "bucket": pa.chunked_array([pa.array(suffix_bucket(tokens.words)[order].astype(np.int32)), nothing.cast(pa.int32())]),
+        "tokens": pa.chunked_array([pa.nulls(len(h), pa.binary()), pa.array([blob], pa.binary())])})
+
+
+def _totals(rows: pa.Table) -> pa.Table:
+    """All rows of some words: each with its word's total; ``lead`` marks one row of each word."""
+    h, chunk, n = (rows.column(c).to_numpy() for c in ("h", "chunk", "n"))
+    order = np.lexsort((chunk, h))
+    rows, h, n = rows.take(pa.array(order)), h[order], n[order]
+    begin = begins_of(h)
+    lead = np.zeros(len(h), bool)
+    lead[begin] = True
+    count = np.repeat(np.add.reduceat(n, begin), np.diff(np.append(begin, len(h))))
+    return pa.table({"chunk": rows.column("chunk"), "h": rows.column("h"), "bucket": rows.column("bucket"),
+                     "count": pa.array(count), "lead": pa.array(lead)})
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The chunks' cells, summed."""
+    total = np.zeros(CLASSES**3, np.int64)
+    for batch in batches:
+        for blob in batch.column("cells"):
+            cell, n = pickle.loads(blob.as_py())
+            total[cell] += n
+    cell = np.nonzero(total)[0]
+    yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(total[cell])], ["cell", "n"])
 
 
 def pair_row(context: np.ndarray) -> np.ndarray:
@@ -159,15 +196,19 @@ def _expected(weights: Weights):
                 np.add.at(want, rows, p)
             some = True
         if some:
-            feature = np.nonzero(want.sum(axis=1))[0]
-            k = (feature[:, None] * CLASSES + np.arange(CLASSES)).ravel()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k.astype(np.int32)), pa.array(seen[feature].ravel()), pa.array(want[feature].ravel())],
-                ["k", "seen", "want"])
+            for part in np.unique(np.nonzero(want.any(axis=1))[0] // PART).tolist():
+                own = slice(part * PART, part * PART + PART)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part], pa.int32()), pa.array([np.stack([seen[own], want[own]]).tobytes()])], ["part", "sums"])
 
     return run
 
 
+def _summed(key: tuple, rows: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x.as_py()) for x in rows.column("sums"))
+    return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([total.tobytes()])})
+
+
 def train(cells: DataFrame, steps: int = STEPS) -> Weights:
     """``cells``: ``cell`` (context and class), ``n``; at most CLASSES**3 rows."""
     by_class = cells.groupBy((F.col("cell") % CLASSES).alias("c")).agg(F.sum("n").alias("n")).collect()
@@ -177,12 +218,11 @@ def train(cells: DataFrame, steps: int = STEPS) -> Weights:
     weights = Weights(np.log((n + 1) / (n.sum() + CLASSES)))
     for _ in range(steps):
         sent = send(cells.sparkSession, weights)
-        sums = (cells.mapInArrow(lambda batches, sent=sent: _expected(received(sent))(batches), "k int, seen double, want double")
-                .groupBy("k").agg(F.sum("seen").alias("seen"), F.sum("want").alias("want")).toArrow())
-        shape = (2 * CLASSES + HASHED, CLASSES)
-        seen, want = np.zeros(shape), np.zeros(shape)
-        k = sums.column("k").to_numpy()
-        seen.ravel()[k], want.ravel()[k] = sums.column("seen").to_numpy(), sums.column("want").to_numpy()
+        sums = (cells.mapInArrow(lambda batches, sent=sent: _expected(received(sent))(batches), "part int, sums binary")
+                .groupBy("part").applyInArrow(_summed, "part int, sums binary").toArrow())
+        seen, want = (np.zeros((2 * CLASSES + HASHED, CLASSES)) for _ in range(2))
+        for part, blob in zip(sums.column("part").to_pylist(), sums.column("sums").to_pylist(), strict=True):
+            seen[part * PART : part * PART + PART], want[part * PART : part * PART + PART] = np.frombuffer(blob).reshape(2, PART, CLASSES)
         weights.step(seen, want)
     return weights
 
@@ -197,34 +237,261 @@ class Model:
     ends: int
     distinct: int
 
+    def base(self, tokens: Tokens, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of each text: tokens, known tokens, base score. ``n``: counts of the words."""
+        count = np.append(n, self.ends)
+        base = np.log10((count + 1) / (self.tokens + self.distinct + 1))
+        begin = tokens.begins[:-1]
+        add = lambda x: np.add.reduceat(x, begin) if len(begin) else x[:0]
+        return np.diff(tokens.begins), add((count[tokens.at] > 0).astype(np.int64)), add(base[tokens.at])
+
+    def in_class(self, own: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Relative frequency within its class of a word that training texts have ``n`` times."""
+        mass, new = self.mass[own], DISCOUNT * self.types[own]
+        rare = np.where(mass > 0, np.where(n > 0, n - DISCOUNT, new) / np.maximum(mass, 1), 1.0)
+        return np.where(own > COMMON, rare, 1.0)
+
     def score(self, texts: list[bytes], hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of each text: tokens, known tokens, base score, model score.
-        ``hashes`` (sorted) and ``counts``: of the words that the texts have."""
+        """Of each text: tokens, known tokens, base score, and the score from
+        classes and words' own features alone. ``hashes`` (sorted) and
+        ``counts``: of the words that the texts have."""
         tokens = Tokens.of(texts)
         h = word_hashes(tokens.words)
         n = counts[np.searchsorted(hashes, h)] if len(h) else np.zeros(0, np.int64)
         own = classes_of(h, suffix_bucket(tokens.words), self.common)
-        mass, new = self.mass[own], DISCOUNT * self.types[own]
-        rare = np.where(mass > 0, np.where(n > 0, n - DISCOUNT, new) / np.maximum(mass, 1), 1.0)
-        word = np.append(np.log(np.where(own > COMMON, rare, 1.0)), 0.0)  # the last, at -1: the end
-        count = np.append(n, self.ends)
-        base = np.log10((count + 1) / (self.tokens + self.distinct + 1))
+        word = np.append(np.log(self.in_class(own, n)), 0.0)  # the last, at -1: the end
         context, c = tokens.contexts(own)
         there, at = np.unique(context, return_inverse=True)
         full = (self.weights.log_p(there)[at, c] + word[tokens.at]) / np.log(10)
         begin = tokens.begins[:-1]
-        add = lambda x: np.add.reduceat(x, begin) if len(begin) else x[:0]
-        return np.diff(tokens.begins), add((count[tokens.at] > 0).astype(np.int64)), add(base[tokens.at]), add(full)
+        return *self.base(tokens, n), np.add.reduceat(full, begin) if len(begin) else full[:0]
+
+
+def smallest(x: np.ndarray) -> np.ndarray:
+    """Counts in the narrowest type that holds them."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
 
 
-def _score(model: Model, docs: pa.Table, words: pa.Table) -> pa.Table:
+def _key(of: np.ndarray, n: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Hashes of keys, those with many tokens (``n``) split by the other word."""
+    part = other % (1 + n // HOT).astype(np.uint64)
+    return mix(of ^ mix(part + np.uint64(1)))
+
+
+def _counted(model: Model, docs: pa.Table, words: pa.Table) -> pa.Table:
+    """A chunk's tokens with its words' counts and classes, its (context, class)
+    cells in training texts, and what is known of its texts before training."""
     order = np.argsort(words.column("h").to_numpy().view(np.uint64), kind="stable")
-    hashes, counts = words.column("h").to_numpy().view(np.uint64)[order], words.column("count").to_numpy()[order]
-    n, known, base, full = model.score([t.as_py() for t in docs.column("text")], hashes, counts)
+    h, n = words.column("h").to_numpy().view(np.uint64)[order], words.column("count").to_numpy()[order]
+    own = classes_of(h, words.column("bucket").to_numpy()[order].astype(np.int64), model.common)
+    doc_id, held, begins, at = pickle.loads(docs.column("tokens")[0].as_py())
+    tokens = Tokens([], at, begins)
+    base = model.base(tokens, n)
+    context, c = tokens.contexts(own)
+    text = np.repeat(np.arange(len(held), dtype=np.int32), np.diff(begins))
+    plain = (context % CLASSES <= COMMON) & (context // CLASSES <= COMMON)
+    cell = (context * CLASSES + c).astype(np.int32)
+    del context, c
+    seen, times = np.unique(cell[~held[text]], return_counts=True)
+    known = pickle.dumps((doc_id, held, *base, smallest(text[plain]), cell[plain]))
+    blob = pickle.dumps((held, begins, at, h, n, own.astype(np.uint8)))
+    return pa.table({"chunk": docs.column("chunk"), "tokens": pa.array([blob], pa.binary()),
+                     "cells": pa.array([pickle.dumps((seen, times))], pa.binary()), "known": pa.array([known], pa.binary())})
+
+
+#: What an event of a block has: 32 bits of its key; the class before the last and the last; 16 bits of the word
+#: before the last; its own class; in training; the distance to the last event's text. Behind them stand, for events
+#: with a word factor, 32 bits of the word, and the bytes of its count.
+FIELDS = ("key", "skip", "last", "other", "own", "train", "text", "word", "n")
+
+
+def _events(model: Model, wanted: range, blocks: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The chunks' events for the ``wanted`` of all blocks: those of the class factor, and those
+    of words after a common last word, which have a word factor only."""
+    for batch in batches:
+        for i in range(len(batch)):
+            chunk = batch.column("chunk")[i].as_py()
+            yield from _events_of(model, wanted, blocks, chunk, *pickle.loads(batch.column("tokens")[i].as_py()))
+
+
+def _events_of(model: Model, wanted: range, blocks: int, chunk: int, held, begins, at, h, n, own) -> Iterator[pa.RecordBatch]:
+    context, c = Tokens([], at, begins).contexts(own.astype(np.int32))
+    skip, last, c = (context // CLASSES).astype(np.uint8), (context % CLASSES).astype(np.uint8), c.astype(np.uint8)
+    del context
+    text = np.repeat(np.arange(len(held), dtype=np.int32), np.diff(begins))
+    h, n = np.append(h, np.uint64(0)), np.append(n, model.ends)  # the last, at -1: the end
+    before = [np.concatenate([np.full(min(back, len(c)), -1, np.int32), at[: max(0, len(c) - back)]]) for back in (1, 2)]
+    before[0][begins[:-1]] = before[1][begins[:-1]] = -1
+    second = begins[:-1] + 1
+    before[1][second[second < len(c)]] = -1
+    w1, w2 = before
+    rare = last > COMMON
+
+    def keys_of(place: np.ndarray) -> np.ndarray:
+        """Keys of the class factor's events."""
+        after_rare = rare[place]
+        by, other = np.where(after_rare, w1[place], w2[place]), np.where(after_rare, w2[place], w1[place])
+        return _key(h[by] ^ after_rare.astype(np.uint64), n[by], h[other])
+
+    def pair_keys_of(place: np.ndarray) -> np.ndarray:
+        """Keys of words after a common one: that and their class."""
+        pair = last[place].astype(np.uint64) * np.uint64(CLASSES) + c[place]
+        expected = n[w1[place]] * (model.mass[c[place]] / max(model.tokens, 1))
+        return _key(pair + np.uint64(2), expected.astype(np.int64), h[w2[place]])
+
+    ends = []
+    for has, of in ((rare | (skip > COMMON), keys_of), (~rare & (c > COMMON), pair_keys_of)):
+        found = []
+        for begin in range(0, len(c), SLICE_TOKENS):
+            place = (begin + np.nonzero(has[begin : begin + SLICE_TOKENS])[0]).astype(np.int32)
+            key = of(place)
+            block = (key % np.uint64(blocks)).astype(np.int32)
+            now = block % wanted.step == wanted.start
+            found.append((place[now], (key[now] >> np.uint64(32)).astype(np.uint32), block[now]))
+        place, key, block = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(block, kind="stable")
+        ends.append((np.searchsorted(block[order], np.arange(blocks + 1)), place[order], key[order]))
+    for b in wanted:
+        blob = []
+        for part, (end, place, keys) in enumerate(ends):
+            there, key = place[end[b] : end[b + 1]], keys[end[b] : end[b + 1]]
+            # nothing but the word factor is read of an event without the other one
+            only = np.zeros_like if part else np.asarray
+            target = at[there[(c[there] > COMMON) & (rare[there] | bool(part))]]
+            blob.append((key, only(skip[there]), only(last[there]),
+                         np.where(rare[there], h[w2[there]] & np.uint64(0xFFFF), 0).astype(np.uint16), c[there],
+                         np.packbits(~held[text[there]]), smallest(np.diff(text[there], prepend=0)),
+                         np.where(n[target] > 0, h[target] >> np.uint64(32), 0).astype(np.uint32),
+                         np.ascontiguousarray(n[target].astype("<i8").view(np.uint8).reshape(-1, 8).T)))
+        if len(blob[0][0]) + len(blob[1][0]):
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([b], pa.int32()), pa.array([pickle.dumps(blob)], pa.binary())],
+                                             ["chunk", "block", "events"])
+
+
+def _move(seen: np.ndarray, want: np.ndarray, weight: np.ndarray, active: int) -> np.ndarray:
+    """One step of word features: along the gradient, less the prior's pull."""
+    return 2 * (seen - want - PRIOR * weight) / (active * np.maximum(seen, want) + 2 * PRIOR)
+
+
+def begins_of(sorted_values: np.ndarray) -> np.ndarray:
+    return np.nonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]]))[0] if len(sorted_values) else np.zeros(0, np.int64)
+
+
+def class_factor(log_p: np.ndarray, key, skip, last, other, own, train) -> np.ndarray:
+    """Log probability of each event's class: the first layer's ``log_p`` of
+    each context (rows), with the features of keys and of keys with the other
+    word, trained on the events in training texts."""
+    out = np.zeros(len(key))
+    # a key's contexts stand together: by the class of the other word, and its hash
+    code = (key.astype(np.uint64) << np.uint64(30)) | (skip.astype(np.uint64) << np.uint64(23)) | (last.astype(np.uint64) << np.uint64(16)) | other
+    order = np.argsort(code)
+    code = code[order]
+    begin = begins_of(code)
+    of = np.zeros(len(code), np.int64)
+    of[begin[1:]] = 1
+    of = np.cumsum(of)
+    c, learn = own[order].astype(np.int64), train[order]
+    cell, times = np.unique(of[learn] * CLASSES + c[learn], return_counts=True)
+    context = skip[order[begin]].astype(np.int64) * CLASSES + last[order[begin]]
+    keys = code[begin] >> np.uint64(30)
+    starts = begins_of(keys)
+    at, all_ends = 0, np.append(starts[1:], len(begin))
+    event_ends = np.append(begin, len(code))
+    while at < len(starts):
+        lo = starts[at]
+        upto = max(at + 1, int(np.searchsorted(all_ends, lo + SLICE_CONTEXTS, "right")))
+        hi = all_ends[upto - 1]
+        first = starts[at:upto] - lo
+        of_key = np.repeat(np.arange(upto - at), np.diff(np.append(first, hi - lo)))
+        mine = slice(*np.searchsorted(cell, (lo * CLASSES, hi * CLASSES)))
+        row, column = cell[mine] // CLASSES - lo, cell[mine] % CLASSES
+        seen = times[mine].astype(np.float32)
+        total = np.bincount(row, seen, hi - lo).astype(np.float32)[:, None]
+        plain = log_p[context[lo:hi]]
+        seen_of_key = np.bincount(of_key[row] * CLASSES + column, seen, (upto - at) * CLASSES).astype(np.float32).reshape(-1, CLASSES)
+        of_keys, of_both = np.zeros_like(seen_of_key), np.zeros_like(seen)
+        for step in range(WORD_STEPS + 1):
+            x = plain + of_keys[of_key]
+            x[row, column] += of_both
+            np.exp(x, out=x)  # the first layer's probabilities, times bounded factors
+            sums = x.sum(axis=1, keepdims=True)
+            if step < WORD_STEPS:
+                x *= total / sums
+                of_both += _move(seen, x[row, column], of_both, 2)
+                of_keys += _move(seen_of_key, np.add.reduceat(x, first, axis=0), of_keys, 2)
+        events = slice(event_ends[lo], event_ends[hi])
+        here = of[events] - lo
+        out[order[events]] = np.log(x[here, c[events]] / sums[here, 0])
+        at = upto
+    return out
+
+
+def word_factor(model: Model, key, own, word, n, train) -> np.ndarray:
+    """Log probability of each event's word within its class, after its key:
+    the words' frequencies, with a feature of each pair of key and word that
+    training texts have. All words never seen are one event."""
+    _, place = np.unique(key, return_inverse=True)
+    group = place.astype(np.uint64) * np.uint64(CLASSES) + own
+    code = (group << np.uint64(32)) | word
+    order = np.argsort(code)
+    code, learn = code[order], train[order]
+    begin = begins_of(code)
+    if not len(begin):
+        return np.zeros(0)
+    first = order[begin]
+    plain = model.in_class(own[first].astype(np.int64), n[first].astype(np.int64))
+    seen = np.add.reduceat(learn.astype(np.float64), begin)
+    starts = begins_of(code[begin] >> np.uint64(32))
+    of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(begin))))
+    total = np.add.reduceat(seen, starts)[of]
+    weight = np.zeros(len(begin))
+    for step in range(WORD_STEPS + 1):
+        factor = np.exp(weight)
+        sums = 1 + np.add.reduceat(plain * (factor - 1), starts)
+        p = plain * factor / sums[of]
+        if step < WORD_STEPS:
+            weight += np.where(seen > 0, _move(seen, total * p, weight, 1), 0)
+    out = np.zeros(len(code))
+    out[order] = np.repeat(np.log(p), np.diff(np.append(begin, len(code))))
+    return out
+
+
+def _block(model: Model, log_p: np.ndarray, rows: pa.Table) -> pa.Table:
+    """Trains a block's features and adds up its events' log probabilities for each text."""
+    blobs = [pickle.loads(x.as_py()) for x in rows.column("events")]
+    sizes = np.array([[len(part[0]) for part in blob] for blob in blobs])
+    texts = [[np.cumsum(part[6], dtype=np.int64) for part in blob] for blob in blobs]
+    values = []
+    for i in range(2):
+        of = {name: np.concatenate([blob[i][j] for blob in blobs]) for j, name in enumerate(FIELDS[:5])}
+        train = np.concatenate([np.unpackbits(blob[i][5], count=len(blob[i][0])).astype(bool) for blob in blobs])
+        word = np.concatenate([blob[i][7] for blob in blobs])
+        n = np.concatenate([np.ascontiguousarray(blob[i][8].T).view("<i8").ravel() for blob in blobs])
+        if i:
+            values.append(word_factor(model, of["key"], of["own"], word, n, train))
+        else:
+            values.append(class_factor(log_p, *(of[x] for x in FIELDS[:5]), train))
+            both = np.nonzero((of["last"] > COMMON) & (of["own"] > COMMON))[0]
+            values[0][both] += word_factor(model, of["key"][both], of["own"][both], word, n, train[both])
+    ends = np.cumsum(sizes, axis=0)
+    out = []
+    for j in range(len(sizes)):
+        value = np.concatenate([values[i][ends[j, i] - sizes[j, i] : ends[j, i]] for i in range(2)])
+        there, at = np.unique(np.concatenate(texts[j]), return_inverse=True)
+        out.append(pickle.dumps((smallest(np.diff(there, prepend=0)), np.bincount(at, value).astype(np.float32))))
+    return pa.table({"chunk": rows.column("chunk"), "sums": pa.array(out, pa.binary())})
+
+
+def _score(model: Model, log_p: np.ndarray, known: pa.Table, sums: pa.Table) -> pa.Table:
+    doc_id, held, n, met, base, text, cell = pickle.loads(known.column("known")[0].as_py())
+    full = np.bincount(text, log_p[cell // CLASSES, cell % CLASSES], len(held))
+    for blob in sums.column("sums"):
+        there, value = pickle.loads(blob.as_py())
+        full[np.cumsum(there, dtype=np.int64)] += value
     return pa.table({
-        "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(n, pa.int64()),
-        "n_known": pa.array(known, pa.int64()), "train_tokens": pa.array(np.full(len(n), model.tokens, np.int64)),
-        "base_score": pa.array(base, pa.float64()), "score": pa.array(full, pa.float64())})
+        "doc_id": doc_id, "held_out": pa.array(held), "n_tokens": pa.array(n, pa.int64()),
+        "n_known": pa.array(met, pa.int64()), "train_tokens": pa.array(np.full(len(n), model.tokens, np.int64)),
+        "base_score": pa.array(base, pa.float64()), "score": pa.array(full / np.log(10), pa.float64())})
 
 
 def held_out(doc_id: Column) -> Column:
@@ -244,12 +511,11 @@ def lm_report(docs: DataFrame, steps: int = STEPS) -> DataFrame:
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), text.alias("text"),
                        F.pmod(F.xxhash64("doc_id", F.length(text), F.crc32(text)), F.lit(chunks)).cast("int").alias("chunk"))
 
-    # each chunk's words with their counts over all training texts; ``lead`` marks one row of each word
-    same = Window.partitionBy("h")
+    # each chunk's words with their counts over all training texts
+    cut = materialize(rows.groupBy("chunk").applyInArrow(_words, "chunk int, h long, n long, bucket int, tokens binary"), tidy=True)
     words = materialize(
-        rows.select("chunk", "held_out", "text").groupBy("chunk").applyInArrow(_words, "chunk int, h long, n long, bucket int")
-        .select("chunk", "h", "bucket", F.sum("n").over(same).alias("count"),
-                (F.row_number().over(same.orderBy("chunk")) == 1).alias("lead")))
+        cut.where("h is not null").select("chunk", "h", "n", "bucket", F.pmod("h", F.lit(chunks)).alias("part")).groupBy("part")
+        .applyInArrow(_totals, "chunk int, h long, bucket int, count long, lead boolean"), tidy=True)
     known = words.where("lead and count > 0")
     total, distinct = known.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
     ends = docs.where(~held_out(F.col("doc_id"))).count()
@@ -260,15 +526,28 @@ def lm_report(docs: DataFrame, steps: int = STEPS) -> DataFrame:
     for r in rest.groupBy("bucket").agg(F.sum("count").alias("m"), F.count("*").alias("t")).collect():
         mass[1 + COMMON + r["bucket"]], types[1 + COMMON + r["bucket"]] = r["m"], r["t"]
 
-    cells = (docs.where(~held_out(F.col("doc_id"))).select(text.alias("text"))
-             .mapInArrow(lambda batches: _cells(common)(batches), "cell int, n long")
-             .groupBy("cell").agg(F.sum("n").alias("n")))
+    model = Model(Weights(np.zeros(CLASSES)), common, mass, types, int(total) + ends, ends, int(distinct) + (ends > 0))
+    blocks = 1 + model.tokens // BLOCK_TOKENS
+    sent = send(spark, replace(model, weights=None))
+    counted = materialize(
+        cut.where("tokens is not null").select("chunk", "tokens").groupBy("chunk")
+        .cogroup(words.select("chunk", "h", "count", "bucket").groupBy("chunk"))
+        .applyInArrow(lambda left, right: _counted(received(sent), left, right),
+                      "chunk int, tokens binary, cells binary, known binary"), tidy=True)
+    cells = counted.select("cells").mapInArrow(_cells, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     shard = F.pmod(F.xxhash64((F.col("cell") / CLASSES).cast("int")), F.lit(SHARDS))
-    cells = materialize(cells.repartition(SHARDS, shard))
-    model = Model(train(cells, steps), common, mass, types, int(total) + ends, ends, int(distinct) + (ends > 0))
-
-    sent = send(spark, model)
-    return (rows.groupBy("chunk").cogroup(words.select("chunk", "h", "count").groupBy("chunk"))
-            .applyInArrow(lambda left, right: _score(received(sent), left, right),
+    weights = train(materialize(cells.repartition(SHARDS, shard), tidy=True), steps)
+
+    log_p = weights.log_p(np.arange(CLASSES**2)).astype(np.float32)
+    trained = send(spark, (replace(model, weights=None), log_p))
+    sums = None
+    passes = min(PASSES, blocks)
+    for turn in range(passes):
+        events = counted.select("chunk", "tokens").mapInArrow(
+            lambda batches, turn=turn: _events(received(sent), range(turn, blocks, passes), blocks, batches), "chunk int, block int, events binary")
+        part = materialize(events.groupBy("block").applyInArrow(lambda table: _block(*received(trained), table), "chunk int, sums binary"), tidy=True)
+        sums = part if sums is None else sums.union(part)
+    return (counted.select("chunk", "known").groupBy("chunk").cogroup(sums.groupBy("chunk"))
+            .applyInArrow(lambda left, right: _score(*received(trained), left, right),
                           "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                           "base_score double, score double"))
