@@ -29,9 +29,10 @@ grows with the vocabulary is sent to every task or to the driver.
 from __future__ import annotations
 
 import pickle
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -73,17 +74,19 @@ class Tokens:
 
     @classmethod
     def of(cls, texts: list[bytes]) -> Tokens:
-        split = [t.lower().split() for t in texts]
-        flat = list(chain.from_iterable(split))
-        words = list(dict.fromkeys(flat))
-        index = dict(zip(words, range(len(words)), strict=True))
-        plain = np.fromiter(map(index.__getitem__, flat), np.int64, len(flat))
-        n = np.fromiter(map(len, split), np.int64, len(split))
+        index: defaultdict[bytes, int] = defaultdict()
+        index.default_factory = index.__len__  # a new word's place
+        flat, n = array("i"), np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            before = len(flat)
+            flat.extend(map(index.__getitem__, text.lower().split()))
+            n[i] = len(flat) - before
+        words = list(index)
         begins = np.concatenate([[0], np.cumsum(n + 1)])
-        at = np.full(int(begins[-1]), -1, np.int64)
+        at = np.full(int(begins[-1]), -1, np.int32)
         inside = np.ones(len(at), bool)
         inside[begins[1:] - 1] = False
-        at[inside] = plain
+        at[inside] = np.array(flat, np.int32)
         return cls(words, at, begins)
 
     def contexts(self, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
