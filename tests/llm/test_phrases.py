@@ -106,3 +106,18 @@ def test_odd_rows(spark, docs_of, odd_rows):
     assert _got(P.collocations(docs)) == want == [("und", 1, "word word word", 29998, 30000, 29999, want[0][6], want[0][7])]
     assert P.collocations(docs.limit(0)).count() == 0
     assert np.array_equal(P.Words.of([b"", b"a"]).at, [-1, 0])
+
+
+def test_bitmaps_are_sent_once(spark, docs_of, monkeypatch):
+    """Each of the three bitmaps leaves the driver once, not with every step that reads it."""
+    from pyspark import SparkContext
+
+    monkeypatch.setattr(P, "BITS_EACH", 1 << 24)
+    monkeypatch.setattr(P, "MOST_BITS", 1 << 24)
+    sizes, real = [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: sizes.append(len(value)) or real(self, value))
+    docs = docs_of([(i, "a b c d") for i in range(40)]).selectExpr("lang", "cast(text as binary) AS text")
+    tokens = P.tokens_of(docs)
+    found = P.candidates(tokens, P.count_words(tokens).where("f >= 10"))
+    assert {r["phrase"] for r in found.collect()} == {"a b", "b c", "c d", "a b c", "b c d"}
+    assert [n for n in sizes if n > 1_000_000] == [1 << 21] * 3

@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -136,8 +137,11 @@ def triples(words: Words, lang: str, bitmap: np.ndarray, of_pairs: np.ndarray) -
     return two, may, longer(two[:-1], words.in_place(lang)[2:]), may[:-1] & may[1:]
 
 
-def _count_hashes(bitmap: np.ndarray, of_pairs: np.ndarray | None):
+def _count_hashes(sent: list[Broadcast]):
+    """Hashes of pairs, or of triples if a bitmap of pairs is sent too."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap, of_pairs = sent[0].value, sent[1].value if len(sent) > 1 else None
         for lang, words in by_language(batches):
             if len(words.at) < 2:
                 continue
@@ -148,7 +152,7 @@ def _count_hashes(bitmap: np.ndarray, of_pairs: np.ndarray | None):
     return run
 
 
-def _candidates(bitmap: np.ndarray, of_pairs: np.ndarray, of_triples: np.ndarray):
+def _candidates(sent: list[Broadcast]):
     """The texts of the phrases that may be frequent, each once for some rows together."""
 
     def texts(held: list[tuple[str, Words, int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -163,6 +167,7 @@ def _candidates(bitmap: np.ndarray, of_pairs: np.ndarray, of_triples: np.ndarray
                  pc.binary_join_element_wise(*parts, " ")], ["lang", "phrase"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap, of_pairs, of_triples = (x.value for x in sent)
         held, size = [], 0
         for lang, words in by_language(batches):
             if len(words.at) < 2:
@@ -359,17 +364,20 @@ def count_words(tokens: DataFrame) -> DataFrame:
 def candidates(tokens: DataFrame, words: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """``lang`` and ``phrase`` of two and three words: all that occur
     ``min_count`` times or more, and some others. ``words``: the frequent ones."""
-    of_words = bitmap_of(words, word_rows)
+    spark = tokens.sparkSession
+    sent = [spark.sparkContext.broadcast(bitmap_of(words, word_rows))]  # of words, pairs and triples, each sent once
 
-    def frequent(of_pairs: np.ndarray | None) -> np.ndarray:
-        counted = (tokens.select("lang", "hashes", "at").mapInArrow(lambda batches: _count_hashes(of_words, of_pairs)(batches), "h long, n long")
+    def frequent() -> np.ndarray:
+        counted = (tokens.select("lang", "hashes", "at").mapInArrow(_count_hashes(list(sent)), "h long, n long")
                    .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("h"))
-        return bitmap_of(materialize(counted), hash_rows)
+        return bitmap_of(materialize(counted, tidy=True), hash_rows)
 
-    of_pairs = frequent(None)
-    of_triples = frequent(of_pairs)
-    return tokens.select("lang", "words", "at").mapInArrow(lambda batches: _candidates(of_words, of_pairs, of_triples)(batches),
-                           "lang string, phrase string").distinct()
+    for _ in range(2):
+        sent.append(spark.sparkContext.broadcast(frequent()))
+    found = materialize(tokens.select("lang", "words", "at").mapInArrow(_candidates(sent), "lang string, phrase string").distinct(), tidy=True)
+    for bitmap in sent:
+        bitmap.destroy()  # the driver holds no copy while phrases are counted
+    return found
 
 
 def count_phrases(tokens: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -383,12 +391,13 @@ def count_phrases(tokens: DataFrame, wanted: DataFrame) -> DataFrame:
     out = None
     for block in range(blocks):
         own = tries.where(F.col("block") == block)
-        blob = own.select("trie").first()
-        if blob is None:
+        blob = own.select("trie").toArrow().column("trie")
+        if not len(blob):
             continue
-        sent = context.broadcast(bytes(blob[0]))
+        sent = context.broadcast(blob[0].as_py())
+        del blob
         n = tokens.select("lang", "words", "at").mapInArrow(_count_phrases(sent), "state long, n long").groupBy("state").agg(F.sum("n").alias("f"))
-        part = materialize(own.select(F.inline("accepts")).join(n, "state").select("lang", "phrase", "f"))
+        part = materialize(own.select(F.inline("accepts")).join(n, "state").select("lang", "phrase", "f"), tidy=True)
         sent.destroy()
         out = part if out is None else out.union(part)
     return wanted.select("lang", "phrase", F.lit(0).cast("long").alias("f")).limit(0) if out is None else out
@@ -409,7 +418,7 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) ->
     words = materialize(count_words(own))
     total = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = words.where(F.col("f") >= min_count)
-    wanted = materialize(candidates(own, frequent, min_count))
+    wanted = candidates(own, frequent, min_count)
     counted = count_phrases(own, wanted).where(F.col("f") >= min_count)
     found = materialize(counted.withColumn("words", F.split("phrase", " ")))
 
