@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import coverage as G
@@ -170,3 +171,19 @@ def test_by_instrument_property(spark, spans, ask_lo, ask_span):
         mine = sorted((r["range_start"], r["range_end"]) for r in got if r["instrument_id"] == f"i{i}")
         own = table.where(f"instrument_id = 'i{i}'")
         assert mine == ranges(G.missing_ranges(spark, own, a_lo, a_hi))
+
+
+def test_ranges_evaluate_the_day_once_each(spark):
+    """Twice as many parses of a text, and a text made at each of its uses, made job_stock_daily slow."""
+    from tidemark.functions.dates import lenient_date, once
+
+    ranges = spark.createDataFrame([(dt.date(2020, 1, 3), dt.date(2020, 1, 4)), (dt.date(2020, 1, 8), dt.date(9999, 12, 31))],
+                                   "range_start date, range_end date")
+    texts = ["0001-01-01", "2020-01-02", "2020/01/3", "20200104", "2020-01-5", "20200107", "2020-01-08", "9999-12-31", "bad", None]
+    days = spark.createDataFrame([(t,) for t in texts], "t string")
+    day = once(F.col("t"), lenient_date)
+    got = [r["t"] for r in days.where(G.in_range_rows(day, ranges)).collect()]
+    assert got == ["2020/01/3", "20200104", "2020-01-08", "9999-12-31"]
+    assert days.where(G.in_range_rows(day, ranges.limit(0))).count() == 0
+    plan = days.where(G.in_range_rows(F.to_date("t", "yyyyMMdd"), ranges))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("to_date(t") == 2

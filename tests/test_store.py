@@ -27,6 +27,24 @@ def test_upsert_replaces_and_adds(spark):
     assert as_dict(out) == {"a": 1, "b": 9, "c": 3}
 
 
+def test_upsert_once_is_upsert_with_the_batch_computed_once(spark):
+    spec = S.TableSpec("t", S.struct("k:s?, l:i?, v:i?"), ("k", "l"))
+    frame = lambda rows: spark.createDataFrame(rows, spec.schema)
+    stored = frame([("a", 1, 0), ("a", 1, 1), ("a", 2, 2), (None, 1, 3), (None, 1, 3), ("a", None, 4), (None, None, 5)])
+    batch = frame([("a", 1, 6), ("a", 1, 6), ("c", 3, 7), (None, 1, 8), ("a", None, 9), (None, None, 5)])
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(ST.upsert_once(stored, batch, spec)) == rows(ST.upsert(stored, batch, spec))
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            calls.add(len(batch))
+            yield batch
+
+    ST.upsert_once(stored, batch.mapInArrow(counted, spec.schema), spec).collect()
+    assert calls.value == 6
+
+
 def test_upsert_missing_columns_sorted(spark):
     spec = S.TableSpec("t", S.struct("k:s, z:i?, y:i?"), ("k",))
     with pytest.raises(ValueError, match=r"\['y', 'z'\]"):

@@ -42,6 +42,12 @@ def parse_date_text(text: Column) -> Column:
     )
 
 
+def once(value: Column, of) -> Column:
+    """``of(value)`` with ``value`` evaluated once a row, wherever Spark moves it:
+    a filter below a projection has the projection's expression at every use."""
+    return F.get(F.transform(F.array(value), of), 0)
+
+
 def lenient_date(col: Column | str, source_type: T.DataType | None = None) -> Column:
     """A calendar date from a date, an instant, an integer or text.
 

@@ -194,9 +194,15 @@ def in_ranges(day: Column, ranges: list) -> Column:
 
 def in_range_rows(day: Column, ranges: DataFrame) -> Column:
     """The same over :func:`missing_ranges` rows inside the plan: Spark gathers
-    them (two at most) as one scalar when the query runs."""
+    them (two at most) as one scalar when the query runs. Days are compared by
+    their distance from the first, earlier ones by one beyond any range, so
+    that a range evaluates ``day`` once: Spark may put a parsed text in its place."""
     rows = ranges.agg(F.collect_list(F.struct("range_start", "range_end"))).scalar()
-    one = lambda i: day.between(F.get(rows, i)["range_start"], F.get(rows, i)["range_end"])
+
+    def one(i: int) -> Column:
+        first, last = F.get(rows, i)["range_start"], F.get(rows, i)["range_end"]
+        return F.pmod(F.datediff(day, first).cast("bigint"), F.lit(1 << 32)) <= F.datediff(last, first)
+
     return F.coalesce(one(0), F.lit(False)) | F.coalesce(one(1), F.lit(False))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,6 +172,21 @@ def upsert(stored: DataFrame | None, incoming: DataFrame, spec: TableSpec) -> Da
     return kept.unionByName(incoming)
 
 
+def upsert_once(stored: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
+    """:func:`upsert` for a batch that is still to be computed: an anti join
+    needs it as keys and as rows, so Spark would compute it twice. Here both
+    sides meet in one shuffle on the key. Stored rows with a null in their key
+    stay, so these rows are dealt by all their columns."""
+    new, replaced = "_is_incoming", "_is_replaced"
+    cols, keys = [_q(c) for c in spec.columns], [_q(k) for k in spec.primary_key]
+    both = (stored.select(*cols).withColumn(new, F.lit(False))
+            .unionByName(check_upsert_columns(incoming, spec).withColumn(new, F.lit(True))))
+    nameless = reduce(lambda a, b: a | b, [k.isNull() for k in keys])
+    same_key = Window.partitionBy(*keys, F.when(nameless, F.xxhash64(*cols)))
+    return (both.withColumn(replaced, F.max(new).over(same_key))
+            .where(F.col(new) | ~F.col(replaced) | nameless).select(*cols))
+
+
 # ---------------------------------------------------------------- S9 ----------
 
 def align_to_spec(df: DataFrame, spec: TableSpec, keep_extra: bool = False) -> DataFrame:

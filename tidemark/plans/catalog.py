@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schema as S
-from tidemark.functions.dates import date_to_int, date_to_text, lenient_date
+from tidemark.functions.dates import date_to_int, date_to_text, lenient_date, once
 from tidemark.operators import conform as C
 from tidemark.operators import coverage as G
 from tidemark.operators import newkeys as J
@@ -761,7 +761,7 @@ def _job(name: str, spec: S.TableSpec, mapped_sql: str, stored_sql: str | None =
     def deco(fn):
         def run(spark, d):
             mapped, stored = fn(spark, d)
-            return ST.upsert(fx.stored_state(mapped) if stored is None else stored, mapped, spec)
+            return ST.upsert_once(fx.stored_state(mapped) if stored is None else stored, mapped, spec)
         run.__doc__ = fn.__doc__
         return register(name, upsert_sql(stored_sql, mapped_sql, spec.columns, spec.primary_key))(run)
     return deco
@@ -820,7 +820,8 @@ def _job_stock_daily(spark, d):
     """stock_daily: G1 on the whole table -> landed rows inside the gaps -> P3 -> C1 -> S10."""
     stored, landing = fx.stored_middle(spark, d), fx.daily_landing(spark, d)
     gaps = G.missing_ranges(spark, stored, GAP_START, GAP_END)
-    landed = landing.where(G.in_range_rows(jobs._day_of(landing), gaps))
+    day = once(F.col("trade_date"), lambda text: lenient_date(text, landing.schema["trade_date"].dataType))
+    landed = landing.where(G.in_range_rows(day, gaps))
     return P.daily_bars(landed, updated_at=fx.loaded_at()), stored
 
 

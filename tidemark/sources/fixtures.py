@@ -33,7 +33,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def id6(k: Column) -> Column:
     suffix = F.element_at(F.array(*[F.lit(s) for s in SUFFIXES]), (F.pmod(k, F.lit(4)) + 1).cast("int"))
-    return F.concat(F.format_string("%06d", k), suffix)
+    digits = k.cast("string")
+    six = F.when(k >= 0, F.concat(F.repeat(F.lit("0"), 6 - F.length(digits)), digits)).otherwise(F.format_string("%06d", k))
+    return F.concat(six, suffix)
 
 
 def stored_at() -> Column:
