@@ -121,3 +121,22 @@ def test_bitmaps_are_sent_once(spark, docs_of, monkeypatch):
     found = P.candidates(tokens, P.count_words(tokens).where("f >= 10"))
     assert {r["phrase"] for r in found.collect()} == {"a b", "b c", "c d", "a b c", "b c d"}
     assert [n for n in sizes if n > 1_000_000] == [1 << 21] * 3
+
+
+def test_rows_of_a_task_count_together():
+    """What several rows of a task have leaves it once, and only states that accept a phrase."""
+    from types import SimpleNamespace
+
+    rows = [P.Words.of([b"a b c d"]), P.Words.of([b"c d. a b c"])]
+    batches = [pa.RecordBatch.from_arrays(
+        [pa.array(["x"]), P.one_list(w.words), P.one_list(pa.array(w.hashes.view(np.int64))), P.one_list(pa.array(w.at.astype(np.int32)))],
+        ["lang", "words", "hashes", "at"]) for w in rows]
+    full = SimpleNamespace(value=np.full(8, 255, np.uint8))
+    got = [r for out in P._count_hashes([full])(iter(batches)) for r in out.to_pylist()]
+    assert len({r["h"] for r in got}) == len(got) == 3 and sorted(r["n"] for r in got) == [2, 2, 2]
+
+    wanted = pa.table({"lang": ["x", "x", "x"], "phrase": ["a b c", "c d", "d e"]})
+    made = P._tries((pa.scalar(0),), wanted).to_pylist()[0]
+    got = [r for out in P._count_phrases(SimpleNamespace(value=made["trie"]))(iter(batches)) for r in out.to_pylist()]
+    of = {a["state"]: a["phrase"] for a in made["accepts"]}
+    assert sorted((of[r["state"]], r["n"]) for r in got) == [("a b c", 2), ("c d", 2)]

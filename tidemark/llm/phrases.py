@@ -41,8 +41,9 @@ from pyspark.sql import functions as F
 from .common import materialize, mix, slices, utf8, word_hashes
 
 MIN_COUNT, LONGEST, TOP = 10, 3, 2000
-SLICE_BYTES, ROWS_A_FILE = 1_500_000, 8  # text in a row of word places, and rows that a task reads at once
-HELD = 1_000_000  # candidates, or states reached, that a task holds before it gives their texts, or counts them
+SLICE_BYTES, ROWS_A_FILE = 4_000_000, 4  # text in a row of word places, and rows that a task reads at once
+HELD = 1_000_000  # hashes, candidates, words or states reached that a task holds before it goes on with them together
+FILES_A_TASK = 4  # times as much as Spark would give a task: what several rows share leaves it once
 #: Bits of a bitmap for each hash that it holds, and its largest size (32 MB); a full one only keeps more candidates.
 BITS_EACH, MOST_BITS = 128, 1 << 28
 BLOCK_PHRASES = 400_000  # of a broadcast trie, on average
@@ -137,17 +138,33 @@ def triples(words: Words, lang: str, bitmap: np.ndarray, of_pairs: np.ndarray) -
     return two, may, longer(two[:-1], words.in_place(lang)[2:]), may[:-1] & may[1:]
 
 
+def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Different hashes and their counts, from those of several rows."""
+    hashes, n = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(hashes)
+    hashes, n = hashes[order], n[order]
+    begin = np.nonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)])[0]
+    total = np.add.reduceat(n, begin) if len(begin) else n
+    return pa.RecordBatch.from_arrays([pa.array(hashes[begin].view(np.int64)), pa.array(total)], ["h", "n"])
+
+
 def _count_hashes(sent: list[Broadcast]):
     """Hashes of pairs, or of triples if a bitmap of pairs is sent too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, of_pairs = sent[0].value, sent[1].value if len(sent) > 1 else None
+        held, size = [], 0
         for lang, words in by_language(batches):
             if len(words.at) < 2:
                 continue
             hashes, may = pairs(words, lang, bitmap) if of_pairs is None else triples(words, lang, bitmap, of_pairs)[2:]
-            own, n = np.unique(hashes[may], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], ["h", "n"])
+            held.append(np.unique(hashes[may], return_counts=True))
+            size += len(held[-1][0])
+            if size > HELD:
+                yield summed(held)
+                held, size = [], 0
+        if held:
+            yield summed(held)
 
     return run
 
@@ -315,35 +332,52 @@ def _tries(key: tuple, rows: pa.Table) -> pa.Table:
     lang, phrase = (rows.column(c).combine_chunks() for c in ("lang", "phrase"))
     trie, states = build_trie(lang.to_pylist(), phrase)
     accepts = pa.StructArray.from_arrays([pa.array(states.astype(np.int64)), lang, phrase], ["state", "lang", "phrase"])
-    blob = pickle.dumps((trie.langs, trie.words.to_pylist(), trie.base, trie.check))
+    blob = pickle.dumps((trie.langs, trie.words.to_pylist(), trie.base, trie.check, np.sort(states).astype(np.int32)))
     return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "trie": pa.array([blob], pa.binary()), "accepts": one_list(accepts)})
 
 
+def together(rows: Iterator[tuple[str, Words]]) -> Iterator[list[tuple[str, Words]]]:
+    """Rows in lists of about ``HELD`` words."""
+    held, size = [], 0
+    for lang, words in rows:
+        held.append((lang, words))
+        size += len(words.words)
+        if size > HELD:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def count_states(trie: Trie, batches: Iterator[tuple[str, Words]]) -> np.ndarray:
     """How often each state is reached at levels 2 and 3."""
     n = np.zeros(len(trie.base), np.int64)
-    reached: list[np.ndarray] = []
     root = dict(zip(trie.langs, range(len(trie.langs)), strict=True))
-    for lang, words in batches:
-        if lang not in root or not len(words.at):
-            continue
-        own = pc.fill_null(pc.index_in(words.words, value_set=trie.words), -1).to_numpy().astype(np.int64)
-        word = np.where(words.at >= 0, own[words.at], -1)
-        state = trie.step(np.full(len(word), root[lang]), word)
-        for level in range(1, LONGEST):
-            state = trie.step(state[:-1], word[level:])
-            reached.append(state[state >= 0])
-        if sum(map(len, reached)) > HELD:
-            n += np.bincount(np.concatenate(reached), minlength=len(n))
-            reached = []
-    return n + np.bincount(np.concatenate([*reached, np.zeros(0, np.int64)]), minlength=len(n))
+    for rows in together((lang, words) for lang, words in batches if lang in root and len(words.at)):
+        # the trie's words are indexed once for all these rows
+        every = pa.concat_arrays([words.words for _, words in rows])
+        number = pc.fill_null(pc.index_in(every, value_set=trie.words), -1).to_numpy().astype(np.int64)
+        begin, reached = 0, [np.zeros(0, np.int64)]
+        for lang, words in rows:
+            own = np.append(number[begin : begin + len(words.words)], -1)  # the last, at -1: between pieces
+            begin += len(words.words)
+            word = own[words.at]
+            state = trie.step(np.full(len(word), root[lang]), word)
+            for level in range(1, LONGEST):
+                state = trie.step(state[:-1], word[level:])
+                reached.append(state[state >= 0])
+            if sum(map(len, reached)) > HELD:
+                n += np.bincount(np.concatenate(reached), minlength=len(n))
+                reached = [np.zeros(0, np.int64)]
+        n += np.bincount(np.concatenate(reached), minlength=len(n))
+    return n
 
 
 def _count_phrases(sent) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, words, base, check = pickle.loads(sent.value)
+        langs, words, base, check, accepting = pickle.loads(sent.value)
         n = count_states(Trie(langs, pa.array(words, pa.string()), base, check), by_language(batches))
-        there = np.nonzero(n)[0]
+        there = accepting[n[accepting] > 0].astype(np.int64)  # others are only on the way to a phrase
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(n[there])], ["state", "n"])
 
     return run
@@ -355,6 +389,12 @@ def tokens_of(docs: DataFrame) -> DataFrame:
     return materialize(docs.mapInArrow(_tokens, TOKENS), ROWS_A_FILE)
 
 
+def in_fewer_tasks(tokens: DataFrame, *columns: str) -> DataFrame:
+    """Some columns of the rows, several of Spark's partitions read by a task, but no core left without one."""
+    parts = tokens.rdd.getNumPartitions()
+    return tokens.select(*columns).coalesce(max(2 * tokens.sparkSession.sparkContext.defaultParallelism, parts // FILES_A_TASK))
+
+
 def count_words(tokens: DataFrame) -> DataFrame:
     """``lang``, ``phrase`` (one word) and ``f`` of all words."""
     return (tokens.select("lang", F.inline(F.arrays_zip(F.col("words").alias("phrase"), F.col("n").alias("n"))))
@@ -368,13 +408,13 @@ def candidates(tokens: DataFrame, words: DataFrame, min_count: int = MIN_COUNT)
     sent = [spark.sparkContext.broadcast(bitmap_of(words, word_rows))]  # of words, pairs and triples, each sent once
 
     def frequent() -> np.ndarray:
-        counted = (tokens.select("lang", "hashes", "at").mapInArrow(_count_hashes(list(sent)), "h long, n long")
+        counted = (in_fewer_tasks(tokens, "lang", "hashes", "at").mapInArrow(_count_hashes(list(sent)), "h long, n long")
                    .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("h"))
         return bitmap_of(materialize(counted, tidy=True), hash_rows)
 
     for _ in range(2):
         sent.append(spark.sparkContext.broadcast(frequent()))
-    found = materialize(tokens.select("lang", "words", "at").mapInArrow(_candidates(sent), "lang string, phrase string").distinct(), tidy=True)
+    found = materialize(in_fewer_tasks(tokens, "lang", "words", "at").mapInArrow(_candidates(sent), "lang string, phrase string").distinct(), tidy=True)
     for bitmap in sent:
         bitmap.destroy()  # the driver holds no copy while phrases are counted
     return found
@@ -388,7 +428,7 @@ def count_phrases(tokens: DataFrame, wanted: DataFrame) -> DataFrame:
     tries = materialize(
         wanted.withColumn("block", F.pmod(F.xxhash64("lang", "phrase"), F.lit(blocks)).cast("int"))
         .groupBy("block").applyInArrow(_tries, "block int, trie binary, accepts array<struct<state:long,lang:string,phrase:string>>"))
-    out = None
+    out, read = None, in_fewer_tasks(tokens, "lang", "words", "at")
     for block in range(blocks):
         own = tries.where(F.col("block") == block)
         blob = own.select("trie").toArrow().column("trie")
@@ -396,7 +436,7 @@ def count_phrases(tokens: DataFrame, wanted: DataFrame) -> DataFrame:
             continue
         sent = context.broadcast(blob[0].as_py())
         del blob
-        n = tokens.select("lang", "words", "at").mapInArrow(_count_phrases(sent), "state long, n long").groupBy("state").agg(F.sum("n").alias("f"))
+        n = read.mapInArrow(_count_phrases(sent), "state long, n long").groupBy("state").agg(F.sum("n").alias("f"))
         part = materialize(own.select(F.inline("accepts")).join(n, "state").select("lang", "phrase", "f"), tidy=True)
         sent.destroy()
         out = part if out is None else out.union(part)
