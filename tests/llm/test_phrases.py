@@ -140,3 +140,25 @@ def test_rows_of_a_task_count_together():
     got = [r for out in P._count_phrases(SimpleNamespace(value=made["trie"]))(iter(batches)) for r in out.to_pylist()]
     of = {a["state"]: a["phrase"] for a in made["accepts"]}
     assert sorted((of[r["state"]], r["n"]) for r in got) == [("a b c", 2), ("c d", 2)]
+
+
+def test_each_candidate_leaves_one_row_only(spark, docs_of, monkeypatch):
+    """However many rows of words have a frequent phrase, one of them gives its text."""
+    monkeypatch.setattr(P, "SLICE_BYTES", 1)  # a row for each text
+    monkeypatch.setattr(P, "HELD", 0)  # and none counted together
+    given, real = spark.sparkContext.accumulator(0), P._candidates
+
+    def counted(sent):
+        def run(batches):
+            for out in real(sent)(batches):
+                given.add(len(out))
+                yield out
+        return run
+
+    monkeypatch.setattr(P, "_candidates", counted)
+    docs = docs_of([(i, "a b c d") for i in range(40)] + [(i, f"a b{i} c d") for i in range(40, 60)]).selectExpr("lang", "cast(text as binary) AS text")
+    tokens = P.tokens_of(docs)
+    assert tokens.count() == 60
+    found = P.candidates(tokens, P.count_words(tokens).where("f >= 10"))
+    assert {r["phrase"] for r in found.collect()} == {"a b", "b c", "c d", "a b c", "b c d"}
+    assert given.value == 5

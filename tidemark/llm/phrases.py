@@ -7,11 +7,11 @@ any of its parts):
 
 0. texts are cut into words once, and written as places in lists of words;
 1. words are counted exactly; frequent ones set a bit in a bitmap of hashes;
-2. pairs of words that have both bits are counted by a 64-bit hash of the pair;
-   frequent hashes set bits in a second bitmap;
+2. pairs of words that have both bits are counted by a 64-bit hash of the pair,
+   and one row that has it is noted; frequent hashes set bits in a second bitmap;
 3. triples whose two pairs have bits there are counted by hash likewise;
-4. the texts of the pairs and triples that have bits are gathered, each once:
-   the candidates, among them all frequent phrases and a few by chance.
+4. each row gives the texts of the frequent hashes that were noted with it, so
+   each leaves one task only: the candidates, among them all frequent phrases.
 
 The candidates are dealt by hash into blocks of bounded size. A task builds
 each block's trie as a double array: the child of state s for word w is place
@@ -58,11 +58,14 @@ MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 @dataclass
 class Words:
     """The words of some texts in a row: places among the different ``words``
-    (or among their ``hashes``), -1 between pieces."""
+    (or among their ``hashes``), -1 between pieces. ``row`` is the row's number,
+    ``own`` the hashes of the phrases whose texts it gives."""
 
     at: np.ndarray
     words: pa.StringArray | None = None
     hashes: np.ndarray | None = None
+    row: int = 0
+    own: np.ndarray | None = None
 
     @classmethod
     def of(cls, texts: list[bytes]) -> Words:
@@ -115,7 +118,9 @@ def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]
             row = {name: batch.column(name)[i] for name in batch.schema.names}
             yield row["lang"].as_py(), Words(
                 row["at"].values.to_numpy().astype(np.int64), row["words"].values if "words" in row else None,
-                row["hashes"].values.to_numpy().view(np.uint64) if "hashes" in row else None)
+                row["hashes"].values.to_numpy().view(np.uint64) if "hashes" in row else None,
+                row["row"].as_py() if "row" in row else 0,
+                row["own"].values.to_numpy().view(np.uint64) if "own" in row else None)
         pa.default_memory_pool().release_unused()
 
 
@@ -138,14 +143,15 @@ def triples(words: Words, lang: str, bitmap: np.ndarray, of_pairs: np.ndarray) -
     return two, may, longer(two[:-1], words.in_place(lang)[2:]), may[:-1] & may[1:]
 
 
-def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    """Different hashes and their counts, from those of several rows."""
-    hashes, n = (np.concatenate(x) for x in zip(*held, strict=True))
+def summed(held: list[tuple[np.ndarray, np.ndarray, int]]) -> pa.RecordBatch:
+    """Different hashes, their counts, and one row that has each, from those of several rows."""
+    hashes, n = (np.concatenate([x[i] for x in held]) for i in range(2))
+    row = np.repeat([x[2] for x in held], [len(x[0]) for x in held])
     order = np.argsort(hashes)
-    hashes, n = hashes[order], n[order]
+    hashes, n, row = hashes[order], n[order], row[order]
     begin = np.nonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)])[0]
     total = np.add.reduceat(n, begin) if len(begin) else n
-    return pa.RecordBatch.from_arrays([pa.array(hashes[begin].view(np.int64)), pa.array(total)], ["h", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(hashes[begin].view(np.int64)), pa.array(total), pa.array(row[begin], pa.int64())], ["h", "n", "row"])
 
 
 def _count_hashes(sent: list[Broadcast]):
@@ -158,7 +164,7 @@ def _count_hashes(sent: list[Broadcast]):
             if len(words.at) < 2:
                 continue
             hashes, may = pairs(words, lang, bitmap) if of_pairs is None else triples(words, lang, bitmap, of_pairs)[2:]
-            held.append(np.unique(hashes[may], return_counts=True))
+            held.append((*np.unique(hashes[may], return_counts=True), words.row))
             size += len(held[-1][0])
             if size > HELD:
                 yield summed(held)
@@ -170,37 +176,24 @@ def _count_hashes(sent: list[Broadcast]):
 
 
 def _candidates(sent: list[Broadcast]):
-    """The texts of the phrases that may be frequent, each once for some rows together."""
-
-    def texts(held: list[tuple[str, Words, int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        """Each different hash's text, from the first place that has it."""
-        begins = np.cumsum([0, *(len(x[4]) for x in held)])
-        first = np.sort(np.unique(np.concatenate([x[4] for x in held]), return_index=True)[1])
-        for (lang, words, length, place, _), begin, end in zip(held, begins[:-1], begins[1:], strict=True):
-            own = place[first[np.searchsorted(first, begin) : np.searchsorted(first, end)] - begin]
-            parts = [words.words.take(pa.array(words.at[own + i])) for i in range(length)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(own), np.int64))),
-                 pc.binary_join_element_wise(*parts, " ")], ["lang", "phrase"])
+    """The texts of each row's own hashes, from the first place that has them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, of_pairs, of_triples = (x.value for x in sent)
-        held, size = [], 0
         for lang, words in by_language(batches):
-            if len(words.at) < 2:
-                continue
+            own = np.sort(words.own)
             words.hashes = word_hashes(words.words.cast(pa.binary()).to_pylist())
             two, may, three, may3 = triples(words, lang, bitmap, of_pairs)
             may3 = may3 & has_bit(of_triples, three)
             for length, hashes, there in ((2, two, may), (3, three, may3)):
-                own, first = np.unique(hashes[there], return_index=True)
-                held.append((lang, words, length, np.nonzero(there)[0][first], own))
-                size += len(own)
-            if size > HELD:
-                yield from texts(held)
-                held, size = [], 0
-        if held:
-            yield from texts(held)
+                place = np.nonzero(there)[0]
+                found = hashes[place]
+                mine = own[np.minimum(np.searchsorted(own, found), len(own) - 1)] == found
+                place = place[mine][np.unique(found[mine], return_index=True)[1]]
+                parts = [words.words.take(pa.array(words.at[place + i])) for i in range(length)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(place), np.int64))),
+                     pc.binary_join_element_wise(*parts, " ")], ["lang", "phrase"])
 
     return run
 
@@ -385,8 +378,8 @@ def _count_phrases(sent) -> Callable:
 
 def tokens_of(docs: DataFrame) -> DataFrame:
     """The words of ``docs`` (``lang``, ``text`` as bytes, neither null),
-    written: a row for each language of each few MB of text."""
-    return materialize(docs.mapInArrow(_tokens, TOKENS), ROWS_A_FILE)
+    written: a numbered row for each language of each few MB of text."""
+    return materialize(docs.mapInArrow(_tokens, TOKENS).withColumn("row", F.monotonically_increasing_id()), ROWS_A_FILE)
 
 
 def in_fewer_tasks(tokens: DataFrame, *columns: str) -> DataFrame:
@@ -403,18 +396,21 @@ def count_words(tokens: DataFrame) -> DataFrame:
 
 def candidates(tokens: DataFrame, words: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """``lang`` and ``phrase`` of two and three words: all that occur
-    ``min_count`` times or more, and some others. ``words``: the frequent ones."""
+    ``min_count`` times or more, and at most as many others as 64-bit hashes
+    mistake for them. ``words``: the frequent ones."""
     spark = tokens.sparkSession
     sent = [spark.sparkContext.broadcast(bitmap_of(words, word_rows))]  # of words, pairs and triples, each sent once
-
-    def frequent() -> np.ndarray:
-        counted = (in_fewer_tasks(tokens, "lang", "hashes", "at").mapInArrow(_count_hashes(list(sent)), "h long, n long")
-                   .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("h"))
-        return bitmap_of(materialize(counted, tidy=True), hash_rows)
-
+    frequent = []
     for _ in range(2):
-        sent.append(spark.sparkContext.broadcast(frequent()))
-    found = materialize(in_fewer_tasks(tokens, "lang", "words", "at").mapInArrow(_candidates(sent), "lang string, phrase string").distinct(), tidy=True)
+        counted = (in_fewer_tasks(tokens, "row", "lang", "hashes", "at").mapInArrow(_count_hashes(list(sent)), "h long, n long, row long")
+                   .groupBy("h").agg(F.sum("n").alias("n"), F.min("row").alias("row")).where(F.col("n") >= min_count).select("h", "row"))
+        frequent.append(materialize(counted, tidy=True))
+        sent.append(spark.sparkContext.broadcast(bitmap_of(frequent[-1].select("h"), hash_rows)))
+    # a row has a bounded number of hashes; the rows of words are large, so they are not sorted for the join
+    own = frequent[0].union(frequent[1]).groupBy("row").agg(F.collect_list("h").alias("own"))
+    found = materialize(
+        tokens.select("row", "lang", "words", "at").join(own.hint("shuffle_hash"), "row").select("lang", "words", "at", "own")
+        .mapInArrow(_candidates(sent), "lang string, phrase string").distinct(), tidy=True)
     for bitmap in sent:
         bitmap.destroy()  # the driver holds no copy while phrases are counted
     return found
