@@ -164,3 +164,61 @@ def test_word_features_sum_to_one():
     got = L.word_factor(model, np.zeros(451, np.uint32), np.full(451, C - 1, np.uint8), word, count, np.arange(451) < 400)
     p = np.exp(got[400:])
     assert p.sum() == pytest.approx(1, abs=1e-9) and p[1:11].min() > p[11:].max()
+
+
+def test_a_step_is_the_same_however_cells_are_cut_into_batches(monkeypatch):
+    """Each context is worked out once, not with every batch that has one of its cells."""
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(7)
+    cell = rnd.permutation(np.unique(rnd.integers(0, 300, 4000) * L.CLASSES * 5 + rnd.integers(0, L.CLASSES, 4000)))
+    n = rnd.integers(1, 9, len(cell))
+    weights = L.Weights(np.log(rnd.dirichlet(np.ones(L.CLASSES))))
+    weights.last += rnd.normal(size=weights.last.shape)
+    done, real = [], L.Weights.log_p
+    monkeypatch.setattr(L.Weights, "log_p", lambda self, context: done.extend(context.tolist()) or real(self, context))
+    monkeypatch.setattr(L, "SLICE_CONTEXTS", 70)
+    every = pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(n)], ["cell", "n"])
+
+    def sums(batches):
+        return {part: np.frombuffer(blob) for out in L._expected(weights)(iter(batches))
+                for part, blob in zip(out.column("part").to_pylist(), out.column("sums").to_pylist(), strict=True)}
+
+    got = sums([every.slice(i, 100) for i in range(0, len(every), 100)])
+    assert sorted(done) == np.unique(cell // L.CLASSES).tolist()
+    want = sums([every])
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k], rtol=1e-12) for k in want)
+    both = sum(x.reshape(2, L.PART, L.CLASSES).sum(axis=(1, 2)) for x in got.values())
+    assert both == pytest.approx([3 * n.sum()] * 2)  # three features of each context; as many expected as seen
+    assert sums([]) == {}
+
+
+def test_rows_of_groups_add_up():
+    rnd = np.random.default_rng(8)
+    size = np.concatenate([rnd.integers(1, 5, 50), [L.FEW_ROWS, L.FEW_ROWS + 1, 100, 1]])
+    first = np.cumsum(size) - size
+    x = rnd.random((int(size.sum()), 7)).astype(np.float32)
+    assert np.array_equal(L.sums_of_rows(first, size)(x), np.add.reduceat(x, first, axis=0))
+    assert np.array_equal(L.sums_of_rows(first[:1], size[:1])(x[: size[0]]), np.add.reduceat(x[: size[0]], [0], axis=0))
+
+
+def test_steps_leave_the_disk_once_they_are_read(spark, docs_of, monkeypatch):
+    """What was written until the chunks are counted is gone when blocks are trained, and so are all shuffles of the training."""
+    from pathlib import Path
+
+    from tidemark.llm import common
+
+    folders, real = [], common.step_folder
+    monkeypatch.setattr(common, "step_folder", lambda s: folders.append(real(s)) or folders[-1])
+    monkeypatch.setattr(L, "step_folder", common.step_folder)
+    seen, train = [], L.train
+
+    def watched(cells, steps):
+        seen.append([Path(x.removeprefix("file:")).exists() for x in folders])
+        assert spark.conf.get(common.TIDY, "false") == "false"
+        return train(cells, steps)
+
+    monkeypatch.setattr(L, "train", watched)
+    report = L.lm_report(docs_of([(i, f"a b c{i} d") for i in range(60)]), 1)
+    assert seen == [[False, False, False, True, True]]  # left: the counted chunks, and the cells
+    assert report.count() == 60

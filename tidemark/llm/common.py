@@ -5,6 +5,7 @@ from __future__ import annotations
 import pickle
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -38,26 +39,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, rows_a_file: int = 0, tidy: bool = False) -> DataFrame:
-    """Write ``df`` as Parquet below the shared checkpoint folder and read it
-    back. Cuts the lineage: a lost executor costs only the tasks it ran, and
-    later steps neither recompute nor renumber the rows. The folder is the
-    cluster's scratch space; the files stay until the cluster clears it. Large
-    rows can be written a few to a file, so that no task reads many at once.
-    ``tidy`` removes the files of the shuffles before as soon as all is written."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/step-{uuid.uuid4().hex}"
+@contextmanager
+def tidied(spark: SparkSession, tidy: bool = True) -> Iterator[None]:
+    """Within it, the files of a query's shuffles are removed as soon as it ends."""
     before = spark.conf.get(TIDY, None)
     if tidy:
         spark.conf.set(TIDY, "true")
     try:
-        df.write.option("maxRecordsPerFile", rows_a_file).parquet(path)
+        yield
     finally:
         if tidy:
             spark.conf.unset(TIDY) if before is None else spark.conf.set(TIDY, before)
+
+
+def step_folder(spark: SparkSession) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/step-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, rows_a_file: int = 0, tidy: bool = False, folder: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet below the shared checkpoint folder and read it
+    back. Cuts the lineage: a lost executor costs only the tasks it ran, and
+    later steps neither recompute nor renumber the rows. The folder is the
+    cluster's scratch space; the files stay until the cluster clears it, or
+    :func:`remove` does, if ``folder`` names them. Large rows can be written a
+    few to a file, so that no task reads many at once. ``tidy`` removes the
+    files of the shuffles before as soon as all is written."""
+    spark = df.sparkSession
+    path = folder or step_folder(spark)
+    with tidied(spark, tidy):
+        df.write.option("maxRecordsPerFile", rows_a_file).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a step's files, once all that reads them is written itself."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, or it with underscores after it: one that no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}

@@ -31,7 +31,7 @@ from __future__ import annotations
 import pickle
 from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_remainder, materialize, mix, received, send, utf8, word_hashes
+from .common import crc_remainder, materialize, mix, received, remove, send, step_folder, tidied, utf8, word_hashes
 
 COMMON, SUFFIXES = 95, 32  # common words and suffix buckets; with the end of text 128 classes
 CLASSES = 1 + COMMON + SUFFIXES
@@ -54,6 +54,8 @@ HOT = 16_384  # tokens of a word, on average, before its features are split by t
 WORD_STEPS, PRIOR = 4, 1.0  # of the words' features: steps, and how strongly they are drawn to zero
 SLICE_TOKENS = 100_000  # dealt to blocks at once
 SLICE_CONTEXTS = 4096  # trained at once
+ROWS_A_FILE = 4  # of chunks' tokens
+FEW_ROWS = 8  # of a group, added to those of all others at once; numpy adds more of them in pairs
 PASSES = 3  # over the corpus, each with the events of every third block, for less on the disk at once
 PART = 64  # features whose sums stand together
 END = 0
@@ -113,6 +115,7 @@ def classes_of(hashes: np.ndarray, buckets: np.ndarray, common: np.ndarray) -> n
 def _words(key: tuple, rows: pa.Table) -> pa.Table:
     """A chunk's distinct words, sorted by hash, and how often training texts
     have them; beside them, in one row, its tokens as places among these."""
+    pa.default_memory_pool().release_unused()  # what the last chunk left
     chunk = key[0].as_py()
     held = rows.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
     tokens = Tokens.of([t.as_py() for t in rows.column("text")])
@@ -135,6 +138,7 @@ def _words(key: tuple, rows: pa.Table) -> pa.Table:
 
 def _totals(rows: pa.Table) -> pa.Table:
     """All rows of some words: each with its word's total; ``lead`` marks one row of each word."""
+    pa.default_memory_pool().release_unused()
     h, chunk, n = (rows.column(c).to_numpy() for c in ("h", "chunk", "n"))
     order = np.lexsort((chunk, h))
     rows, h, n = rows.take(pa.array(order)), h[order], n[order]
@@ -186,19 +190,20 @@ def _expected(weights: Weights):
     """Seen and expected counts of every feature that a shard's cells have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, want = (np.zeros((2 * CLASSES + HASHED, CLASSES)) for _ in range(2))
-        some = False
-        for batch in batches:
-            cell, n = batch.column("cell").to_numpy(), batch.column("n").to_numpy().astype(float)
+        rows = list(batches)  # at most CLASSES**3 cells; each context is worked out once, not with every batch that has it
+        if rows:
+            cell, n = (np.concatenate([batch.column(c).to_numpy() for batch in rows]) for c in ("cell", "n"))
+            seen, want = (np.zeros((2 * CLASSES + HASHED, CLASSES)) for _ in range(2))
             context, at = np.unique(cell // CLASSES, return_inverse=True)
-            p = np.exp(weights.log_p(context)) * np.bincount(at, n)[:, None]
-            here = np.zeros_like(p)
-            here[at, cell % CLASSES] = n  # a cell comes once
-            for rows in (context % CLASSES, CLASSES + context // CLASSES, 2 * CLASSES + pair_row(context)):
-                np.add.at(seen, rows, here)
-                np.add.at(want, rows, p)
-            some = True
-        if some:
+            for begin in range(0, len(context), SLICE_CONTEXTS):
+                own = context[begin : begin + SLICE_CONTEXTS]
+                mine = (at >= begin) & (at < begin + SLICE_CONTEXTS)
+                here = np.zeros((len(own), CLASSES))
+                here[at[mine] - begin, cell[mine] % CLASSES] = n[mine]  # a cell comes once
+                p = np.exp(weights.log_p(own)) * here.sum(axis=1, keepdims=True)
+                for to in (own % CLASSES, CLASSES + own // CLASSES, 2 * CLASSES + pair_row(own)):
+                    np.add.at(seen, to, here)
+                    np.add.at(want, to, p)
             for part in np.unique(np.nonzero(want.any(axis=1))[0] // PART).tolist():
                 own = slice(part * PART, part * PART + PART)
                 yield pa.RecordBatch.from_arrays(
@@ -221,8 +226,10 @@ def train(cells: DataFrame, steps: int = STEPS) -> Weights:
     weights = Weights(np.log((n + 1) / (n.sum() + CLASSES)))
     for _ in range(steps):
         sent = send(cells.sparkSession, weights)
-        sums = (cells.mapInArrow(lambda batches, sent=sent: _expected(received(sent))(batches), "part int, sums binary")
-                .groupBy("part").applyInArrow(_summed, "part int, sums binary").toArrow())
+        with tidied(cells.sparkSession):
+            sums = (cells.mapInArrow(lambda batches, sent=sent: _expected(received(sent))(batches), "part int, sums binary")
+                    .groupBy("part").applyInArrow(_summed, "part int, sums binary").toArrow())
+        sent.destroy()
         seen, want = (np.zeros((2 * CLASSES + HASHED, CLASSES)) for _ in range(2))
         for part, blob in zip(sums.column("part").to_pylist(), sums.column("sums").to_pylist(), strict=True):
             seen[part * PART : part * PART + PART], want[part * PART : part * PART + PART] = np.frombuffer(blob).reshape(2, PART, CLASSES)
@@ -284,13 +291,14 @@ def _key(of: np.ndarray, n: np.ndarray, other: np.ndarray) -> np.ndarray:
 def _counted(model: Model, docs: pa.Table, words: pa.Table) -> pa.Table:
     """A chunk's tokens with its words' counts and classes, its (context, class)
     cells in training texts, and what is known of its texts before training."""
+    pa.default_memory_pool().release_unused()
     order = np.argsort(words.column("h").to_numpy().view(np.uint64), kind="stable")
     h, n = words.column("h").to_numpy().view(np.uint64)[order], words.column("count").to_numpy()[order]
     own = classes_of(h, words.column("bucket").to_numpy()[order].astype(np.int64), model.common)
     doc_id, held, begins, at = pickle.loads(docs.column("tokens")[0].as_py())
     tokens = Tokens([], at, begins)
     base = model.base(tokens, n)
-    context, c = tokens.contexts(own)
+    context, c = tokens.contexts(own.astype(np.int32))
     text = np.repeat(np.arange(len(held), dtype=np.int32), np.diff(begins))
     plain = (context % CLASSES <= COMMON) & (context // CLASSES <= COMMON)
     cell = (context * CLASSES + c).astype(np.int32)
@@ -380,6 +388,31 @@ def begins_of(sorted_values: np.ndarray) -> np.ndarray:
     return np.nonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]]))[0] if len(sorted_values) else np.zeros(0, np.int64)
 
 
+def sums_of_rows(first: np.ndarray, size: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """Adds up the rows of each group (``size`` rows from ``first`` on), to the last bit like
+    ``np.add.reduceat``, which takes several times as long over short groups: to the first row
+    the sum of the rest, one after another; in large groups it adds the rest in pairs."""
+    short = np.nonzero((size > 1) & (size <= FEW_ROWS))[0]
+    rounds = []
+    for i in range(2, FEW_ROWS):
+        there = np.nonzero(size[short] > i)[0]
+        rounds.append((there, first[short[there]] + i))
+    large = np.nonzero(size > FEW_ROWS)[0]
+    begins = np.cumsum(size[large]) - size[large]
+    of_large = np.repeat(first[large] - begins, size[large]) + np.arange(size[large].sum())
+
+    def run(x: np.ndarray) -> np.ndarray:
+        out, rest = x[first], x[first[short] + 1]
+        for there, rows in rounds:
+            rest[there] += x[rows]
+        out[short] += rest
+        if len(large):
+            out[large] = np.add.reduceat(np.ascontiguousarray(x[of_large].T), begins, axis=1).T
+        return out
+
+    return run
+
+
 def class_factor(log_p: np.ndarray, key, skip, last, other, own, train) -> np.ndarray:
     """Log probability of each event's class: the first layer's ``log_p`` of
     each context (rows), with the features of keys and of keys with the other
@@ -405,7 +438,8 @@ def class_factor(log_p: np.ndarray, key, skip, last, other, own, train) -> np.nd
         upto = max(at + 1, int(np.searchsorted(all_ends, lo + SLICE_CONTEXTS, "right")))
         hi = all_ends[upto - 1]
         first = starts[at:upto] - lo
-        of_key = np.repeat(np.arange(upto - at), np.diff(np.append(first, hi - lo)))
+        size = np.diff(np.append(first, hi - lo))
+        of_key, sums_of_keys = np.repeat(np.arange(upto - at), size), sums_of_rows(first, size)
         mine = slice(*np.searchsorted(cell, (lo * CLASSES, hi * CLASSES)))
         row, column = cell[mine] // CLASSES - lo, cell[mine] % CLASSES
         seen = times[mine].astype(np.float32)
@@ -421,7 +455,7 @@ def class_factor(log_p: np.ndarray, key, skip, last, other, own, train) -> np.nd
             if step < WORD_STEPS:
                 x *= total / sums
                 of_both += _move(seen, x[row, column], of_both, 2)
-                of_keys += _move(seen_of_key, np.add.reduceat(x, first, axis=0), of_keys, 2)
+                of_keys += _move(seen_of_key, sums_of_keys(x), of_keys, 2)
         events = slice(event_ends[lo], event_ends[hi])
         here = of[events] - lo
         out[order[events]] = np.log(x[here, c[events]] / sums[here, 0])
@@ -515,10 +549,14 @@ def lm_report(docs: DataFrame, steps: int = STEPS) -> DataFrame:
                        F.pmod(F.xxhash64("doc_id", F.length(text), F.crc32(text)), F.lit(chunks)).cast("int").alias("chunk"))
 
     # each chunk's words with their counts over all training texts
-    cut = materialize(rows.groupBy("chunk").applyInArrow(_words, "chunk int, h long, n long, bucket int, tokens binary"), tidy=True)
+    of_cut, of_words, of_tokens = (step_folder(spark) for _ in range(3))  # read until the chunks are counted
+    cut = materialize(rows.groupBy("chunk").applyInArrow(_words, "chunk int, h long, n long, bucket int, tokens binary"), tidy=True, folder=of_cut)
     words = materialize(
         cut.where("h is not null").select("chunk", "h", "n", "bucket", F.pmod("h", F.lit(chunks)).alias("part")).groupBy("part")
-        .applyInArrow(_totals, "chunk int, h long, bucket int, count long, lead boolean"), tidy=True)
+        .applyInArrow(_totals, "chunk int, h long, bucket int, count long, lead boolean"), tidy=True, folder=of_words)
+    # the words' rows are two thirds of the files that were cut, and not needed again
+    tokens = materialize(cut.where("tokens is not null").select("chunk", "tokens"), ROWS_A_FILE, folder=of_tokens)
+    remove(spark, of_cut)
     known = words.where("lead and count > 0")
     total, distinct = known.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
     ends = docs.where(~held_out(F.col("doc_id"))).count()
@@ -533,10 +571,12 @@ def lm_report(docs: DataFrame, steps: int = STEPS) -> DataFrame:
     blocks = 1 + model.tokens // BLOCK_TOKENS
     sent = send(spark, replace(model, weights=None))
     counted = materialize(
-        cut.where("tokens is not null").select("chunk", "tokens").groupBy("chunk")
+        tokens.groupBy("chunk")
         .cogroup(words.select("chunk", "h", "count", "bucket").groupBy("chunk"))
         .applyInArrow(lambda left, right: _counted(received(sent), left, right),
                       "chunk int, tokens binary, cells binary, known binary"), tidy=True)
+    for folder in (of_words, of_tokens):
+        remove(spark, folder)
     cells = counted.select("cells").mapInArrow(_cells, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     shard = F.pmod(F.xxhash64((F.col("cell") / CLASSES).cast("int")), F.lit(SHARDS))
     weights = train(materialize(cells.repartition(SHARDS, shard), tidy=True), steps)
