@@ -552,7 +552,8 @@ def lm_report(docs: DataFrame, steps: int = STEPS) -> DataFrame:
     of_cut, of_words, of_tokens = (step_folder(spark) for _ in range(3))  # read until the chunks are counted
     cut = materialize(rows.groupBy("chunk").applyInArrow(_words, "chunk int, h long, n long, bucket int, tokens binary"), tidy=True, folder=of_cut)
     words = materialize(
-        cut.where("h is not null").select("chunk", "h", "n", "bucket", F.pmod("h", F.lit(chunks)).alias("part")).groupBy("part")
+        cut.where("h is not null").select("chunk", "h", "n", "bucket", F.pmod("h", F.lit(chunks)).alias("part"))
+        .repartition(chunks, "part").groupBy("part")  # few chunks a task: they are sorted there
         .applyInArrow(_totals, "chunk int, h long, bucket int, count long, lead boolean"), tidy=True, folder=of_words)
     # the words' rows are two thirds of the files that were cut, and not needed again
     tokens = materialize(cut.where("tokens is not null").select("chunk", "tokens"), ROWS_A_FILE, folder=of_tokens)
@@ -571,8 +572,8 @@ def lm_report(docs: DataFrame, steps: int = STEPS) -> DataFrame:
     blocks = 1 + model.tokens // BLOCK_TOKENS
     sent = send(spark, replace(model, weights=None))
     counted = materialize(
-        tokens.groupBy("chunk")
-        .cogroup(words.select("chunk", "h", "count", "bucket").groupBy("chunk"))
+        tokens.repartition(chunks, "chunk").groupBy("chunk")
+        .cogroup(words.select("chunk", "h", "count", "bucket").repartition(chunks, "chunk").groupBy("chunk"))
         .applyInArrow(lambda left, right: _counted(received(sent), left, right),
                       "chunk int, tokens binary, cells binary, known binary"), tidy=True)
     for folder in (of_words, of_tokens):
