@@ -102,3 +102,14 @@ def test_blocks_take_a_pass_each(spark, docs_of, monkeypatch):
     marked = D.mark_contamination(docs, _items(spark, items))
     assert marked._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
     assert all((r["n_hit"], r["items"]) == (3, [r["doc_id"]]) for r in marked.collect())
+
+
+def test_removal_is_one_python_step(spark, docs_of, monkeypatch):
+    """A worker for marking and another for cutting would both be alive in every task."""
+    item = "a b c d e f g h i j k"
+    docs = docs_of([(1, f"{item} {item}"), (2, f"{item} " + "w " * 30), (3, f"x {item} " + "y " * 10), (4, None), (5, "")])
+    for block in (D.BLOCK_WINDOWS, 1):
+        monkeypatch.setattr(D, "BLOCK_WINDOWS", block)
+        out = D.remove_contamination(docs, _items(spark, [(1, item), (2, "w w w")]))
+        assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        assert {r["doc_id"]: r["text"] for r in out.collect()} == {3: "x  " + "y " * 10, 4: None, 5: ""}

@@ -191,3 +191,16 @@ def test_one_id_with_two_texts(spark, docs_of):
     rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join([*a[:-1], "x"])), (3, " ".join([*b[:-1], "x"])), (0, "alone with nobody else here")]
     got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in N.near_duplicates(docs_of(rows), 4).collect())
     assert got == [(0, 0, True), (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False)]
+
+
+def test_rows_are_sifted_without_python(spark):
+    """A worker for the filter would stand beside that of the step after it."""
+    ids = spark.createDataFrame([(i,) for i in [*range(0, 2000, 7), -(2**63), None]], "doc_id long")
+    rows = spark.createDataFrame([(i, "bits") for i in [*range(3000), -(2**63), None]], "doc_id long, bits string")
+    out = N.only_likely(rows, "doc_id", ids.where("doc_id is not null"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert out.columns == rows.columns and "Python" not in plan and "Arrow" not in plan
+    got = [r["doc_id"] for r in out.collect()]
+    assert {*range(0, 2000, 7), -(2**63)} <= set(got) and None not in got
+    assert len(got) == len(set(got)) < 310  # few others, by chance
+    assert N.only_likely(rows, "doc_id", ids.limit(0)).count() == 0

@@ -13,6 +13,7 @@ are never shuffled.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -97,8 +98,10 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array([item] * len(own), pa.int64())], ["window", "item"])
 
 
-def _mark(found: WindowSet):
-    """Adds a block's hits to ITEMS and SPANS (word ranges)."""
+def _mark(found: WindowSet, drop_share: float | None = None):
+    """Adds a block's hits to ITEMS and SPANS (word ranges). With ``drop_share``
+    (after the last block) rows with a larger share of their words in ranges
+    go, and from the others' texts the ranges are cut out."""
 
     def some(batch: pa.RecordBatch) -> pa.RecordBatch:
         names = batch.schema.names
@@ -115,7 +118,7 @@ def _mark(found: WindowSet):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, TEXT, BYTES_AT_ONCE):
-                yield some(part)
+                yield some(part) if drop_share is None else _without(some(part), drop_share)
 
     return run
 
@@ -134,13 +137,15 @@ def _blocks(benchmark: DataFrame) -> Iterator[tuple[Broadcast, bool]]:
         yield send(benchmark.sparkSession, WindowSet(found)), i == blocks - 1
 
 
-def _scan(docs: DataFrame, text: Column, benchmark: DataFrame) -> DataFrame:
-    """``docs`` plus COUNT, ITEMS and SPANS of ``text``."""
+def _scan(docs: DataFrame, text: Column, benchmark: DataFrame, drop_share: float | None = None) -> DataFrame:
+    """``docs`` plus COUNT, ITEMS and SPANS of ``text``; with ``drop_share``
+    without what is contaminated, in the same Python worker."""
     out = docs.select("*", utf8(text).alias(TEXT), F.lit(0).cast("long").alias(COUNT),
                       F.array().cast("array<long>").alias(ITEMS), F.array().cast("array<int>").alias(SPANS))
     schema = out.schema
     for block, last in _blocks(benchmark):
-        out = out.mapInArrow(lambda batches, block=block: _mark(received(block))(batches), schema)
+        share = drop_share if last else None
+        out = out.mapInArrow(lambda batches, block=block, share=share: _mark(received(block), share)(batches), schema)
         if not last:
             out = materialize(out)
             block.destroy()
@@ -189,27 +194,37 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                          ).withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import re
-
-    word = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
-    for batch in batches:
-        texts = []
-        for text, spans in zip(batch.column("text"), batch.column(SPANS), strict=True):
-            ranges, body = spans.as_py(), text.as_py()
-            if ranges and body is not None:
-                raw = body.encode()
-                places = [m.span() for m in word.finditer(raw)]
-                out, at = [], 0
-                for s, e in sorted(zip(ranges[::2], ranges[1::2], strict=True)):
-                    begin, end = places[s][0], places[e - 1][1]
-                    if begin > at:
-                        out.append(raw[at:begin])
-                    at = max(at, end)
-                body = b"".join([*out, raw[at:]]).decode()
-            texts.append(body)
-        cols = {"text": pa.array(texts, pa.string())}
-        yield pa.RecordBatch.from_arrays([cols.get(n, batch.column(n)) for n in batch.schema.names], batch.schema.names)
+WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+
+
+def _without(batch: pa.RecordBatch, drop_share: float) -> pa.RecordBatch:
+    """The rows with no more than ``drop_share`` of their words in SPANS, without these in the text."""
+    kept, texts = [], []
+    for raw, body, n, spans in zip(batch.column(TEXT), batch.column("text"), batch.column(COUNT), batch.column(SPANS), strict=True):
+        flat = spans.as_py()
+        ranges = sorted(zip(flat[::2], flat[1::2], strict=True))
+        covered = at = 0
+        for s, e in ranges:
+            covered += max(0, e - max(at, s))
+            at = max(at, e)
+        kept.append(covered <= n.as_py() * drop_share)
+        if not kept[-1]:
+            continue
+        if not ranges or not body.is_valid:
+            texts.append(body.as_py())
+            continue
+        raw = raw.as_py()
+        places = [m.span() for m in WORD.finditer(raw)]
+        out, at = [], 0
+        for s, e in ranges:
+            begin, end = places[s][0], places[e - 1][1]
+            if begin > at:
+                out.append(raw[at:begin])
+            at = max(at, end)
+        texts.append(b"".join([*out, raw[at:]]).decode())
+    rows = batch.filter(pa.array(kept, pa.bool_()))
+    cols = {"text": pa.array(texts, pa.string())}
+    return pa.RecordBatch.from_arrays([cols.get(n, rows.column(n)) for n in rows.schema.names], rows.schema.names)
 
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, drop_share: float = 0.5) -> DataFrame:
@@ -217,6 +232,4 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, drop_share: floa
     occurrences by more than ``drop_share`` goes; from others the occurrences
     are cut out of the text (nothing else changes). Columns stay as they are."""
     docs, back = _aside(docs)
-    marked = _scan(docs, F.col("text"), benchmark)
-    kept = marked.where(_covered() <= F.col(COUNT) * drop_share).select(*docs.columns, SPANS)
-    return kept.mapInArrow(_cut, kept.schema).select(*docs.columns).withColumnsRenamed(back)
+    return _scan(docs, F.col("text"), benchmark, drop_share).select(*docs.columns).withColumnsRenamed(back)

@@ -29,7 +29,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -220,21 +219,15 @@ def _confirmed(most: int, percent: int):
 
 def only_likely(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """``rows`` whose ``column`` is among ``ids`` (one column), and some by
-    chance: a bitmap of the ids' hashes, of fixed size whatever their number,
-    is sent out, so that rows that no join will keep aren't shuffled."""
+    chance: a bitmap of the ids' hashes, of bounded size whatever their number,
+    is sent out, so that rows that no join will keep aren't shuffled. The plan
+    has no Python step: a worker for it would stand beside the next one's."""
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)).cast("int")
     found = (ids.select(place(F.col(ids.columns[0])).alias("p")).groupBy((F.col("p") / 64).cast("int").alias("word"))
-             .agg(F.expr("bit_or(shiftleft(1L, p % 64))").alias("bits")).toArrow())
-    words = np.zeros(FILTER_BITS // 64, np.int64)
-    words[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-    sent = rows.sparkSession.sparkContext.broadcast(words)
-
-    @F.pandas_udf("boolean")
-    def likely(p: pd.Series) -> pd.Series:
-        at = p.to_numpy()
-        return pd.Series((sent.value[at // 64] >> (at % 64)) & 1 == 1)
-
-    return rows.where(F.col(column).isNotNull()).where(likely(place(F.col(column))))
+             .agg(F.expr("bit_or(shiftleft(1L, p % 64))").alias("bits")))
+    at = place(rows[column])
+    here = (found["word"] == (at / 64).cast("int")) & (found["bits"].bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), at % 64)) != 0)
+    return rows.where(F.col(column).isNotNull()).join(F.broadcast(found), here, "left_semi")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
