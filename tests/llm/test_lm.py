@@ -222,3 +222,55 @@ def test_steps_leave_the_disk_once_they_are_read(spark, docs_of, monkeypatch):
     report = L.lm_report(docs_of([(i, f"a b c{i} d") for i in range(60)]), 1)
     assert seen == [[False, False, False, True, True]]  # left: the counted chunks, and the cells
     assert report.count() == 60
+
+
+def test_words_are_few_rows(spark, docs_of):
+    """A chunk's words leave a task as one row for each part of all hashes, whatever their
+    number; their totals, the commonest ones and the sums of the rest are exact."""
+    import pyarrow as pa
+
+    rnd = random.Random(9)
+    texts = [[" ".join(f"w{int(rnd.paretovariate(0.5)) % 5000}{c}" for _ in range(900)) for c in "ab\u00e9"] for _ in range(5)] + [["", None]]
+    held = [[rnd.random() < 0.3 for _ in x] for x in texts]
+    tables = [pa.table({"doc_id": list(range(len(x))), "held_out": y, "text": [(t or "").encode() for t in x]}) for x, y in zip(texts, held)]
+    out = [L._words((pa.scalar(i, pa.int32()),), t, 3) for i, t in enumerate(tables)]
+    assert [len(t) for t in out] == [4] * 5 + [1]
+    whole = pa.concat_tables(out).to_pandas()
+    found = [L._totals((pa.scalar(p, pa.int32()),), pa.Table.from_pandas(x.drop(columns="tokens"), schema=out[0].drop_columns("tokens").schema, preserve_index=False))
+             for p, x in whole[whole.h.notna()].groupby("part")]
+    want = Counter(w for x, y in zip(texts, held) for t, no in zip(x, y) if not no for w in (t or "").encode().split())
+    every = {w for x in texts for t in x for w in (t or "").encode().split()}
+    n_of = dict(zip(L.word_hashes(sorted(every)).tolist(), (want[w] for w in sorted(every))))
+    got, mass, types, top = {}, Counter(), Counter(), []
+    for t in found:
+        for r in t.to_pylist():
+            if r["chunk"] is None:
+                top += [(-x["n"], x["h"]) for x in r["top"]]
+                mass.update({x["bucket"]: x["n"] for x in r["mass"]})
+                types.update({x["bucket"]: x["types"] for x in r["mass"]})
+            else:
+                h = np.frombuffer(r["h"], np.uint64)
+                assert (np.diff(h) > 0).all() and len(r["bucket"]) == len(h)
+                got |= dict(zip(h.tolist(), L._counts(r["n"], len(h)).tolist()))
+    assert got == n_of and sum(mass.values()) == sum(want.values()) and sum(types.values()) == len(want)
+    by_count = sorted((-n, int(np.uint64(h).view(np.int64))) for h, n in n_of.items() if n)
+    assert sorted(top)[: L.COMMON] == by_count[: L.COMMON]
+    ends = sorted(every) + [b"x", b"\xff", b"\x00"]
+    import xxhash
+    assert L.suffix_bucket(ends).tolist() == [xxhash.xxh32_intdigest(w[-2:]) % L.SUFFIXES for w in ends]
+
+
+def test_places_and_keys():
+    """Places in as few bytes as they need; keys split by the other word only if they have many tokens."""
+    rnd = np.random.default_rng(4)
+    for most, digits in ((0, 1), (254, 1), (255, 2), (70_000, 3)):
+        at = np.append(rnd.integers(-1, most + 1, 500), most).astype(np.int32)
+        packed = L._packed(at)
+        assert packed.shape == (digits, 501) and np.array_equal(L._unpacked(packed), at)
+    assert L._unpacked(L._packed(np.full(3, -1, np.int32))).tolist() == [-1] * 3
+    of, other = (rnd.integers(0, 2**63, 400).astype(np.uint64) for _ in range(2))
+    n = rnd.choice([0, 1, L.HOT - 1, L.HOT, 5 * L.HOT], 400)
+    part = other % (1 + n // L.HOT).astype(np.uint64)
+    asked = []
+    got = L._key(of, n, lambda i: asked.extend(i.tolist()) or other[i])
+    assert np.array_equal(got, L.mix(of ^ L.mix(part + np.uint64(1)))) and (n[asked] >= L.HOT).all()

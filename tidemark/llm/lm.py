@@ -56,13 +56,27 @@ SLICE_TOKENS = 100_000  # dealt to blocks at once
 SLICE_CONTEXTS = 4096  # trained at once
 ROWS_A_FILE = 4  # of chunks' tokens
 FEW_ROWS = 8  # of a group, added to those of all others at once; numpy adds more of them in pairs
+ROWS_TURNED = 128  # at once, while they are in the processor's cache
 PASSES = 3  # over the corpus, each with the events of every third block, for less on the disk at once
 PART = 64  # features whose sums stand together
 END = 0
+WHOLE = mix(np.ones(1, np.uint64))  # in the key of a word that isn't split
 
 
 def suffix_bucket(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh32_intdigest(w[-2:]) % SUFFIXES for w in words), np.int64, len(words))
+    """A hash of the last two bytes of each word, worked out once for all words that end alike."""
+    if not words:
+        return np.zeros(0, np.int64)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    flat, last = np.frombuffer(b"".join(words), np.uint8), np.cumsum(size) - 1
+    ending = flat[last].astype(np.int64)
+    two = size > 1
+    ending[two] += 256 + 256 * flat[last[two] - 1].astype(np.int64)
+    bucket = np.zeros(257 * 256, np.int64)
+    for x in np.nonzero(np.bincount(ending))[0].tolist():
+        own = bytes([x // 256 - 1, x % 256]) if x >= 256 else bytes([x])
+        bucket[x] = xxhash.xxh32_intdigest(own) % SUFFIXES
+    return bucket[ending]
 
 
 @dataclass
@@ -112,9 +126,33 @@ def classes_of(hashes: np.ndarray, buckets: np.ndarray, common: np.ndarray) -> n
     return np.where(common[at] == hashes, 1 + at, 1 + COMMON + buckets)
 
 
-def _words(key: tuple, rows: pa.Table) -> pa.Table:
+def smallest(x: np.ndarray) -> np.ndarray:
+    """Counts in the narrowest type that holds them."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
+def _counts(blob: bytes, size: int) -> np.ndarray:
+    """``size`` counts that :func:`smallest` made narrow."""
+    return np.frombuffer(blob, f"<u{len(blob) // size}").astype(np.int64)
+
+
+def _packed(at: np.ndarray) -> np.ndarray:
+    """Places from -1 on, a row of bytes for each digit that the largest needs."""
+    digits = max(1, -(-int(at.max(initial=0) + 1).bit_length() // 8))
+    return np.ascontiguousarray((at + 1).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :digits].T)
+
+
+def _unpacked(digits: np.ndarray) -> np.ndarray:
+    out = np.full(digits.shape[1], -1, np.int32)
+    for i, x in enumerate(digits):
+        out += x.astype(np.int32) << (8 * i)
+    return out
+
+
+def _words(key: tuple, rows: pa.Table, parts: int) -> pa.Table:
     """A chunk's distinct words, sorted by hash, and how often training texts
-    have them; beside them, in one row, its tokens as places among these."""
+    have them: a row for each of the ``parts`` of all hashes. Beside them, in
+    one row, its tokens as places among these words."""
     pa.default_memory_pool().release_unused()  # what the last chunk left
     chunk = key[0].as_py()
     held = rows.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
@@ -125,29 +163,56 @@ def _words(key: tuple, rows: pa.Table) -> pa.Table:
     order = np.argsort(h, kind="stable")
     place = np.empty(len(h) + 1, np.int32)
     place[order], place[-1] = np.arange(len(h)), -1
-    blob = pickle.dumps((rows.column("doc_id").combine_chunks(), held, tokens.begins, place[tokens.at]))
-    more = len(h) + 1
-    nothing = pa.nulls(1, pa.int64())
+    blob = pickle.dumps((rows.column("doc_id").combine_chunks(), held, tokens.begins, _packed(place[tokens.at])))
+    h, n, bucket = h[order], n[order], suffix_bucket(tokens.words)[order].astype(np.uint8)
+    part = ((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)  # each a range of hashes
+    begin = begins_of(part)
+    own = [slice(*x) for x in zip(begin.tolist(), [*begin[1:].tolist(), len(h)], strict=True)] if len(h) else []
     return pa.table({
-        "chunk": pa.array(np.full(more, chunk, np.int32)),
-        "h": pa.chunked_array([pa.array(h[order].view(np.int64)), nothing]),
-        "n": pa.chunked_array([pa.array(n[order], pa.int64()), nothing]),
-        "bucket": pa.chunked_array([pa.array(suffix_bucket(tokens.words)[order].astype(np.int32)), nothing.cast(pa.int32())]),
-        "tokens": pa.chunked_array([pa.nulls(len(h), pa.binary()), pa.array([blob], pa.binary())])})
+        "chunk": pa.array([chunk] * (len(own) + 1), pa.int32()),
+        "part": pa.array([*part[begin].tolist(), None], pa.int32()),
+        "h": pa.array([*(h[x].tobytes() for x in own), None], pa.binary()),
+        "n": pa.array([*(smallest(n[x]).tobytes() for x in own), None], pa.binary()),
+        "bucket": pa.array([*(bucket[x].tobytes() for x in own), None], pa.binary()),
+        "tokens": pa.array([*[None] * len(own), blob], pa.binary())})
+
+
+WORDS = "chunk int, part int, h binary, n binary, bucket binary"
+#: Of a part's words in training texts: the commonest, and each suffix bucket's sum of counts and number of words.
+FACTS = "top array<struct<h:long,n:long,bucket:int>>, mass array<struct<bucket:int,n:long,types:long>>"
 
 
-def _totals(rows: pa.Table) -> pa.Table:
-    """All rows of some words: each with its word's total; ``lead`` marks one row of each word."""
+def _totals(key: tuple, rows: pa.Table) -> pa.Table:
+    """A part's words in each chunk with their totals over all chunks; beside them, in one row, the part's facts."""
     pa.default_memory_pool().release_unused()
-    h, chunk, n = (rows.column(c).to_numpy() for c in ("h", "chunk", "n"))
-    order = np.lexsort((chunk, h))
-    rows, h, n = rows.take(pa.array(order)), h[order], n[order]
-    begin = begins_of(h)
-    lead = np.zeros(len(h), bool)
-    lead[begin] = True
-    count = np.repeat(np.add.reduceat(n, begin), np.diff(np.append(begin, len(h))))
-    return pa.table({"chunk": rows.column("chunk"), "h": rows.column("h"), "bucket": rows.column("bucket"),
-                     "count": pa.array(count), "lead": pa.array(lead)})
+    own = [np.frombuffer(x.as_py(), np.uint64) for x in rows.column("h")]
+    ends = np.cumsum([len(x) for x in own])
+    h = np.concatenate(own)
+    n = np.concatenate([_counts(x.as_py(), len(y)) for x, y in zip(rows.column("n"), own, strict=True)])
+    bucket = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in rows.column("bucket")])
+    order = np.argsort(h, kind="stable")
+    begin = begins_of(h[order])
+    count = np.add.reduceat(n[order], begin)
+    total = np.empty(len(h), np.int64)
+    total[order] = np.repeat(count, np.diff(np.append(begin, len(h))))
+    blobs = [smallest(x).tobytes() for x in np.split(total, ends[:-1])]
+
+    known = np.nonzero(count)[0]
+    first, count = order[begin[known]], count[known]
+    name = h[first].view(np.int64)
+    top = np.nonzero(count >= (np.partition(count, -COMMON)[-COMMON] if len(count) > COMMON else 0))[0]
+    top = top[np.lexsort((name[top], -count[top]))[:COMMON]]
+    mass, types = np.zeros(SUFFIXES, np.int64), np.bincount(bucket[first], minlength=SUFFIXES)
+    np.add.at(mass, bucket[first], count)
+    facts = ([{"h": int(name[i]), "n": int(count[i]), "bucket": int(bucket[first[i]])} for i in top],
+             [{"bucket": i, "n": int(mass[i]), "types": int(types[i])} for i in np.nonzero(types)[0].tolist()])
+    types = [pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64()), ("bucket", pa.int32())])),
+             pa.list_(pa.struct([("bucket", pa.int32()), ("n", pa.int64()), ("types", pa.int64())]))]
+    with_none = lambda c: pa.array([*(x.as_py() for x in rows.column(c)), None], rows.schema.field(c).type)
+    return pa.table({
+        "chunk": with_none("chunk"), "part": pa.array([key[0].as_py()] * (len(own) + 1), pa.int32()), "h": with_none("h"),
+        "n": pa.array([*blobs, None], pa.binary()), "bucket": with_none("bucket"),
+        **{c: pa.array([*[None] * len(own), x], t) for c, x, t in zip(("top", "mass"), facts, types, strict=True)}})
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,25 +342,28 @@ class Model:
         return *self.base(tokens, n), np.add.reduceat(full, begin) if len(begin) else full[:0]
 
 
-def smallest(x: np.ndarray) -> np.ndarray:
-    """Counts in the narrowest type that holds them."""
-    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
-
-
-def _key(of: np.ndarray, n: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Hashes of keys, those with many tokens (``n``) split by the other word."""
-    part = other % (1 + n // HOT).astype(np.uint64)
-    return mix(of ^ mix(part + np.uint64(1)))
+def _key(of: np.ndarray, n: np.ndarray, other: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Hashes of keys, those with many tokens (``n``) split by the other word (``other`` gives its hash at some rows)."""
+    key = mix(of ^ WHOLE)
+    hot = np.nonzero(n >= HOT)[0]
+    if len(hot):
+        part = other(hot) % (1 + n[hot] // HOT).astype(np.uint64)
+        key[hot] = mix(of[hot] ^ mix(part + np.uint64(1)))
+    return key
 
 
 def _counted(model: Model, docs: pa.Table, words: pa.Table) -> pa.Table:
     """A chunk's tokens with its words' counts and classes, its (context, class)
     cells in training texts, and what is known of its texts before training."""
     pa.default_memory_pool().release_unused()
-    order = np.argsort(words.column("h").to_numpy().view(np.uint64), kind="stable")
-    h, n = words.column("h").to_numpy().view(np.uint64)[order], words.column("count").to_numpy()[order]
-    own = classes_of(h, words.column("bucket").to_numpy()[order].astype(np.int64), model.common)
-    doc_id, held, begins, at = pickle.loads(docs.column("tokens")[0].as_py())
+    words = words.sort_by("part")  # and so by hash
+    parts = [np.frombuffer(x.as_py(), np.uint64) for x in words.column("h")]
+    counts = [_counts(x.as_py(), len(y)) for x, y in zip(words.column("n"), parts, strict=True)]
+    buckets = [np.frombuffer(x.as_py(), np.uint8).astype(np.int64) for x in words.column("bucket")]
+    h, n, bucket = (np.concatenate([np.zeros(0, t), *x]) for x, t in ((parts, np.uint64), (counts, np.int64), (buckets, np.int64)))
+    own = classes_of(h, bucket, model.common)
+    doc_id, held, begins, digits = pickle.loads(docs.column("tokens")[0].as_py())
+    at = _unpacked(digits)
     tokens = Tokens([], at, begins)
     base = model.base(tokens, n)
     context, c = tokens.contexts(own.astype(np.int32))
@@ -305,7 +373,7 @@ def _counted(model: Model, docs: pa.Table, words: pa.Table) -> pa.Table:
     del context, c
     seen, times = np.unique(cell[~held[text]], return_counts=True)
     known = pickle.dumps((doc_id, held, *base, smallest(text[plain]), cell[plain]))
-    blob = pickle.dumps((held, begins, at, h, n, own.astype(np.uint8)))
+    blob = pickle.dumps((held, begins, digits, h, smallest(n), own.astype(np.uint8)))
     return pa.table({"chunk": docs.column("chunk"), "tokens": pa.array([blob], pa.binary()),
                      "cells": pa.array([pickle.dumps((seen, times))], pa.binary()), "known": pa.array([known], pa.binary())})
 
@@ -325,7 +393,8 @@ def _events(model: Model, wanted: range, blocks: int, batches: Iterator[pa.Recor
             yield from _events_of(model, wanted, blocks, chunk, *pickle.loads(batch.column("tokens")[i].as_py()))
 
 
-def _events_of(model: Model, wanted: range, blocks: int, chunk: int, held, begins, at, h, n, own) -> Iterator[pa.RecordBatch]:
+def _events_of(model: Model, wanted: range, blocks: int, chunk: int, held, begins, digits, h, n, own) -> Iterator[pa.RecordBatch]:
+    at, n = _unpacked(digits), n.astype(np.int64)
     context, c = Tokens([], at, begins).contexts(own.astype(np.int32))
     skip, last, c = (context // CLASSES).astype(np.uint8), (context % CLASSES).astype(np.uint8), c.astype(np.uint8)
     del context
@@ -337,18 +406,21 @@ def _events_of(model: Model, wanted: range, blocks: int, chunk: int, held, begin
     before[1][second[second < len(c)]] = -1
     w1, w2 = before
     rare = last > COMMON
+    low, high = (h & np.uint64(0xFFFF)).astype(np.uint16), np.where(n > 0, h >> np.uint64(32), 0).astype(np.uint32)
+    bytes_of_n = np.ascontiguousarray(n.astype("<i8").view(np.uint8).reshape(-1, 8).T)
+    most = int(n.max()).bit_length()
 
     def keys_of(place: np.ndarray) -> np.ndarray:
         """Keys of the class factor's events."""
         after_rare = rare[place]
-        by, other = np.where(after_rare, w1[place], w2[place]), np.where(after_rare, w2[place], w1[place])
-        return _key(h[by] ^ after_rare.astype(np.uint64), n[by], h[other])
+        by = np.where(after_rare, w1[place], w2[place])
+        return _key(h[by] ^ after_rare.astype(np.uint64), n[by], lambda i: h[np.where(after_rare[i], w2[place[i]], w1[place[i]])])
 
     def pair_keys_of(place: np.ndarray) -> np.ndarray:
         """Keys of words after a common one: that and their class."""
         pair = last[place].astype(np.uint64) * np.uint64(CLASSES) + c[place]
         expected = n[w1[place]] * (model.mass[c[place]] / max(model.tokens, 1))
-        return _key(pair + np.uint64(2), expected.astype(np.int64), h[w2[place]])
+        return _key(pair + np.uint64(2), expected.astype(np.int64), lambda i: h[w2[place[i]]])
 
     ends = []
     for has, of in ((rare | (skip > COMMON), keys_of), (~rare & (c > COMMON), pair_keys_of)):
@@ -360,7 +432,7 @@ def _events_of(model: Model, wanted: range, blocks: int, chunk: int, held, begin
             now = block % wanted.step == wanted.start
             found.append((place[now], (key[now] >> np.uint64(32)).astype(np.uint32), block[now]))
         place, key, block = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(block, kind="stable")
+        order = np.argsort(smallest(block), kind="stable")  # two bytes are sorted by their digits
         ends.append((np.searchsorted(block[order], np.arange(blocks + 1)), place[order], key[order]))
     for b in wanted:
         blob = []
@@ -369,11 +441,13 @@ def _events_of(model: Model, wanted: range, blocks: int, chunk: int, held, begin
             # nothing but the word factor is read of an event without the other one
             only = np.zeros_like if part else np.asarray
             target = at[there[(c[there] > COMMON) & (rare[there] | bool(part))]]
+            counts = np.zeros((8, len(target)), np.uint8)
+            for i in range(-(-most // 8)):
+                counts[i] = bytes_of_n[i][target]
             blob.append((key, only(skip[there]), only(last[there]),
-                         np.where(rare[there], h[w2[there]] & np.uint64(0xFFFF), 0).astype(np.uint16), c[there],
+                         np.where(rare[there], low[w2[there]], np.uint16(0)), c[there],
                          np.packbits(~held[text[there]]), smallest(np.diff(text[there], prepend=0)),
-                         np.where(n[target] > 0, h[target] >> np.uint64(32), 0).astype(np.uint32),
-                         np.ascontiguousarray(n[target].astype("<i8").view(np.uint8).reshape(-1, 8).T)))
+                         high[target], counts))
         if len(blob[0][0]) + len(blob[1][0]):
             yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([b], pa.int32()), pa.array([pickle.dumps(blob)], pa.binary())],
                                              ["chunk", "block", "events"])
@@ -407,7 +481,10 @@ def sums_of_rows(first: np.ndarray, size: np.ndarray) -> Callable[[np.ndarray],
             rest[there] += x[rows]
         out[short] += rest
         if len(large):
-            out[large] = np.add.reduceat(np.ascontiguousarray(x[of_large].T), begins, axis=1).T
+            turned = np.empty((x.shape[1], len(of_large)), x.dtype)
+            for at in range(0, len(of_large), ROWS_TURNED):
+                turned[:, at : at + ROWS_TURNED] = x[of_large[at : at + ROWS_TURNED]].T
+            out[large] = np.add.reduceat(turned, begins, axis=1).T
         return out
 
     return run
@@ -442,19 +519,23 @@ def class_factor(log_p: np.ndarray, key, skip, last, other, own, train) -> np.nd
         of_key, sums_of_keys = np.repeat(np.arange(upto - at), size), sums_of_rows(first, size)
         mine = slice(*np.searchsorted(cell, (lo * CLASSES, hi * CLASSES)))
         row, column = cell[mine] // CLASSES - lo, cell[mine] % CLASSES
+        cells = row * CLASSES + column
         seen = times[mine].astype(np.float32)
         total = np.bincount(row, seen, hi - lo).astype(np.float32)[:, None]
         plain = log_p[context[lo:hi]]
         seen_of_key = np.bincount(of_key[row] * CLASSES + column, seen, (upto - at) * CLASSES).astype(np.float32).reshape(-1, CLASSES)
         of_keys, of_both = np.zeros_like(seen_of_key), np.zeros_like(seen)
         for step in range(WORD_STEPS + 1):
-            x = plain + of_keys[of_key]
-            x[row, column] += of_both
-            np.exp(x, out=x)  # the first layer's probabilities, times bounded factors
+            if step:
+                np.add(plain, np.take(of_keys, of_key, axis=0, out=x, mode="clip"), out=x)
+                x.ravel()[cells] += of_both
+                np.exp(x, out=x)  # the first layer's probabilities, times bounded factors
+            else:  # the features are zero
+                x = np.exp(plain)
             sums = x.sum(axis=1, keepdims=True)
             if step < WORD_STEPS:
                 x *= total / sums
-                of_both += _move(seen, x[row, column], of_both, 2)
+                of_both += _move(seen, x.ravel()[cells], of_both, 2)
                 of_keys += _move(seen_of_key, sums_of_keys(x), of_keys, 2)
         events = slice(event_ends[lo], event_ends[hi])
         here = of[events] - lo
@@ -548,32 +629,32 @@ def lm_report(docs: DataFrame, steps: int = STEPS) -> DataFrame:
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), text.alias("text"),
                        F.pmod(F.xxhash64("doc_id", F.length(text), F.crc32(text)), F.lit(chunks)).cast("int").alias("chunk"))
 
-    # each chunk's words with their counts over all training texts
+    # each chunk's words with their counts over all training texts: few rows, each with many words
     of_cut, of_words, of_tokens = (step_folder(spark) for _ in range(3))  # read until the chunks are counted
-    cut = materialize(rows.groupBy("chunk").applyInArrow(_words, "chunk int, h long, n long, bucket int, tokens binary"), tidy=True, folder=of_cut)
+    cut = materialize(rows.groupBy("chunk").applyInArrow(lambda key, own: _words(key, own, chunks), f"{WORDS}, tokens binary"), tidy=True, folder=of_cut)
     words = materialize(
-        cut.where("h is not null").select("chunk", "h", "n", "bucket", F.pmod("h", F.lit(chunks)).alias("part"))
-        .repartition(chunks, "part").groupBy("part")  # few chunks a task: they are sorted there
-        .applyInArrow(_totals, "chunk int, h long, bucket int, count long, lead boolean"), tidy=True, folder=of_words)
-    # the words' rows are two thirds of the files that were cut, and not needed again
+        cut.where("h is not null").drop("tokens").repartition(chunks, "part").groupBy("part")  # few chunks' words a task: they are sorted there
+        .applyInArrow(_totals, f"{WORDS}, {FACTS}"), tidy=True, folder=of_words)
+    # the words' rows stand in the files that were cut too, and aren't needed again
     tokens = materialize(cut.where("tokens is not null").select("chunk", "tokens"), ROWS_A_FILE, folder=of_tokens)
     remove(spark, of_cut)
-    known = words.where("lead and count > 0")
-    total, distinct = known.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
+    facts = words.where("chunk is null")
+    top = facts.select(F.inline("top")).orderBy(F.desc("n"), "h").limit(COMMON).collect()
     ends = docs.where(~held_out(F.col("doc_id"))).count()
-    common = np.sort(np.array([r["h"] for r in known.orderBy(F.desc("count"), "h").limit(COMMON).select("h").collect()],
-                              np.int64).view(np.uint64))
+    common = np.sort(np.array([r["h"] for r in top], np.int64).view(np.uint64))
+    total = distinct = 0
     mass, types = np.zeros(CLASSES), np.zeros(CLASSES)
-    rest = known.where(~F.col("h").isin([int(x) for x in common.view(np.int64)]))
-    for r in rest.groupBy("bucket").agg(F.sum("count").alias("m"), F.count("*").alias("t")).collect():
-        mass[1 + COMMON + r["bucket"]], types[1 + COMMON + r["bucket"]] = r["m"], r["t"]
+    for r in facts.select(F.inline("mass")).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("types").alias("types")).collect():
+        total, distinct = total + r["n"], distinct + r["types"]
+        of_common = [x["n"] for x in top if x["bucket"] == r["bucket"]]
+        mass[1 + COMMON + r["bucket"]], types[1 + COMMON + r["bucket"]] = r["n"] - sum(of_common), r["types"] - len(of_common)
 
     model = Model(Weights(np.zeros(CLASSES)), common, mass, types, int(total) + ends, ends, int(distinct) + (ends > 0))
     blocks = 1 + model.tokens // BLOCK_TOKENS
     sent = send(spark, replace(model, weights=None))
     counted = materialize(
         tokens.repartition(chunks, "chunk").groupBy("chunk")
-        .cogroup(words.select("chunk", "h", "count", "bucket").repartition(chunks, "chunk").groupBy("chunk"))
+        .cogroup(words.where("chunk is not null").drop("top", "mass").repartition(chunks, "chunk").groupBy("chunk"))
         .applyInArrow(lambda left, right: _counted(received(sent), left, right),
                       "chunk int, tokens binary, cells binary, known binary"), tidy=True)
     for folder in (of_words, of_tokens):
