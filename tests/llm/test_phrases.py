@@ -162,3 +162,40 @@ def test_each_candidate_leaves_one_row_only(spark, docs_of, monkeypatch):
     found = P.candidates(tokens, P.count_words(tokens).where("f >= 10"))
     assert {r["phrase"] for r in found.collect()} == {"a b", "b c", "c d", "a b c", "b c d"}
     assert given.value == 5
+
+
+def test_one_pass_whatever_the_number_of_blocks(spark, docs_of, monkeypatch):
+    """Each block of candidates was a pass of its own over all words, so the work grew with the square of the corpus."""
+    from pyspark import SparkContext
+
+    rows = _rows(4, 120)
+    docs = docs_of(rows).selectExpr("coalesce(lang, 'und') AS lang", "cast(coalesce(text, '') as binary) AS text")
+    monkeypatch.setattr(P, "SLICE_BYTES", 300)
+    tokens = P.tokens_of(docs)
+    wanted = P.candidates(tokens, P.count_words(tokens).where("f >= 3"), 3).localCheckpoint()
+    passes, sent, real, broadcast = [], [], P.in_fewer_tasks, SparkContext.broadcast
+    monkeypatch.setattr(P, "in_fewer_tasks", lambda *a: passes.append(a) or real(*a))
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: sent.append(value) or broadcast(self, value))
+    monkeypatch.setattr(P, "BLOCK_PHRASES", 20)
+    monkeypatch.setattr(P, "ROWS_A_PART", 1, raising=False)  # and each block in several parts
+    assert wanted.count() > 200
+    got = {(r["lang"], r["phrase"]): r["f"] for r in P.count_phrases(tokens, wanted).collect()}
+    assert len(passes) == len(sent) == 1
+    f = Counter()
+    for _, text, lang in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", re.sub("[A-Z]", lambda m: m.group().lower(), text or "")):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            f.update((lang or "und", " ".join(words[i : i + k])) for k in (2, 3) for i in range(len(words) - k + 1))
+    assert got == {(r["lang"], r["phrase"]): f[r["lang"], r["phrase"]] for r in wanted.collect()}
+
+
+def test_different_phrases_by_their_words_alone():
+    """Places of phrases are told apart without hashes, also where the numbers of words don't fit 64 bits together."""
+    rnd = random.Random(5)
+    at = np.array([rnd.randrange(4) for _ in range(300)])
+    want = Counter(tuple(at[i : i + 3].tolist()) for i in range(298))
+    for n_words in (4, 1 << 40):
+        place, times = P.different(at, np.arange(298), 3, n_words)
+        assert {tuple(at[p : p + 3].tolist()): n for p, n in zip(place.tolist(), times.tolist(), strict=True)} == want
+    empty = P.different(at, np.zeros(0, np.int64), 2, 4)
+    assert [len(x) for x in empty] == [0, 0]

@@ -13,13 +13,14 @@ any of its parts):
 4. each row gives the texts of the frequent hashes that were noted with it, so
    each leaves one task only: the candidates, among them all frequent phrases.
 
-The candidates are dealt by hash into blocks of bounded size. A task builds
-each block's trie as a double array: the child of state s for word w is place
-base[s] + w, and it is one if check[base[s] + w] is s. One block at a time is
-broadcast; in every task numpy moves the states of all text positions from
-level to level at once and counts the accepting states with bincount. Spark
-sums the tasks' counts, writes them, and the broadcast is destroyed before the
-next block's turn. These counts are exact; hashes only chose what to count.
+The candidates are dealt by hash into blocks of bounded size. A task builds a
+block's trie as a double array: the child of state s for word w is place
+base[s] + w, and it is one if check[base[s] + w] is s. The texts are read once
+more, however many blocks there are: each task deals the different phrases that
+may be wanted, with how often it has them, to the blocks of their hashes, in one
+row of words for each block. There numpy moves the states of all of them from
+level to level at once and counts the accepting states with bincount. These
+counts are exact; hashes only chose what to count, and where.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +48,9 @@ HELD = 1_000_000  # hashes, candidates, words or states reached that a task hold
 FILES_A_TASK = 4  # times as much as Spark would give a task: what several rows share leaves it once
 #: Bits of a bitmap for each hash that it holds, and its largest size (32 MB); a full one only keeps more candidates.
 BITS_EACH, MOST_BITS = 128, 1 << 28
-BLOCK_PHRASES = 400_000  # of a broadcast trie, on average
+BLOCK_PHRASES = 100_000  # of a trie, on average
+ROWS_A_PART = 192  # rows of words whose phrases a task counts with one trie, if they were all of its block
+SEGMENT = 4096  # bytes of a bitmap that leave for the driver in one row
 ROOM, TRIES = 2, 40  # places of a trie's array for each state; rounds of tries for a state's children
 SALTS = 32  # groups of a language's phrases in which the first are looked for before the last sort
 
@@ -59,13 +63,16 @@ MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 class Words:
     """The words of some texts in a row: places among the different ``words``
     (or among their ``hashes``), -1 between pieces. ``row`` is the row's number,
-    ``own`` the hashes of the phrases whose texts it gives."""
+    ``own`` the hashes of the phrases whose texts it gives. With ``times``,
+    ``at`` is phrases of ``LONGEST`` places, -1 after shorter ones, that stand
+    so often in the texts."""
 
     at: np.ndarray
     words: pa.StringArray | None = None
     hashes: np.ndarray | None = None
     row: int = 0
     own: np.ndarray | None = None
+    times: np.ndarray | None = None
 
     @classmethod
     def of(cls, texts: list[bytes]) -> Words:
@@ -120,7 +127,8 @@ def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]
                 row["at"].values.to_numpy().astype(np.int64), row["words"].values if "words" in row else None,
                 row["hashes"].values.to_numpy().view(np.uint64) if "hashes" in row else None,
                 row["row"].as_py() if "row" in row else 0,
-                row["own"].values.to_numpy().view(np.uint64) if "own" in row else None)
+                row["own"].values.to_numpy().view(np.uint64) if "own" in row else None,
+                row["times"].values.to_numpy() if "times" in row else None)
         pa.default_memory_pool().release_unused()
 
 
@@ -199,7 +207,7 @@ def _candidates(sent: list[Broadcast]):
 
 
 def _places(hashes: Callable[[pa.RecordBatch], np.ndarray], bits: int):
-    """Which bytes of the bitmap some hashes set, and to what."""
+    """Which bytes of the bitmap's segments some hashes set, and to what."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,11 +215,18 @@ def _places(hashes: Callable[[pa.RecordBatch], np.ndarray], bits: int):
             byte, first = np.unique(place >> np.uint64(3), return_index=True)
             bit = np.uint64(1) << (place & np.uint64(7))
             value = np.bitwise_or.reduceat(bit, first) if len(first) else bit
-            yield pa.RecordBatch.from_arrays([pa.array(byte.astype(np.int64)), pa.array(value.astype(np.int32))], ["byte", "value"])
+            segment, byte = np.divmod(byte.astype(np.int64), SEGMENT)
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)) for x in (segment, byte, value)], ["segment", "byte", "value"])
 
     return run
 
 
+def _segments(key: tuple, rows: pa.Table) -> pa.Table:
+    out = np.zeros(SEGMENT, np.uint8)
+    np.bitwise_or.at(out, rows.column("byte").to_numpy(), rows.column("value").to_numpy().astype(np.uint8))
+    return pa.table({"segment": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([out.tobytes()], pa.binary())})
+
+
 def word_rows(batch: pa.RecordBatch) -> np.ndarray:
     """The hashes of (language, word) rows, as :meth:`Words.in_place` has them."""
     langs = batch.column("lang").to_pylist()
@@ -220,6 +235,22 @@ def word_rows(batch: pa.RecordBatch) -> np.ndarray:
     return mix(own ^ np.fromiter(map(of.__getitem__, langs), np.uint64, len(langs)))
 
 
+def phrase_rows(batch: pa.RecordBatch) -> np.ndarray:
+    """The hashes of (language, phrase) rows, as :func:`longer` makes them of their words'."""
+    parts = pc.split_pattern(batch.column("phrase"), " ")
+    length = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
+    words, langs = pc.list_flatten(parts).dictionary_encode(), batch.column("lang").dictionary_encode()
+    of = np.array([xxhash.xxh3_64_intdigest(x.encode(), 1) for x in langs.dictionary.to_pylist()], np.uint64)[langs.indices.to_numpy()]
+    own = word_hashes([w.encode() for w in words.dictionary.to_pylist()])[words.indices.to_numpy()]
+    own = mix(own ^ np.repeat(of, length))
+    begin = np.cumsum(length) - length
+    out = own[begin]
+    for level in range(1, int(length.max(initial=0))):
+        there = np.nonzero(length > level)[0]
+        out[there] = longer(out[there], own[begin[there] + level])
+    return out
+
+
 def hash_rows(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("h").to_numpy().view(np.uint64)
 
@@ -229,11 +260,12 @@ def bitmap_of(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray]) -
     bits = 1 << 16
     while bits < min(MOST_BITS, BITS_EACH * rows.count()):
         bits *= 2
-    set_bytes = (rows.mapInArrow(lambda batches: _places(hashes, bits)(batches), "byte long, value int")
-                 .groupBy("byte").agg(F.bit_or("value").alias("value")).toArrow())
-    out = np.zeros(bits // 8, np.uint8)
-    out[set_bytes.column("byte").to_numpy()] = set_bytes.column("value").to_numpy().astype(np.uint8)
-    return out
+    made = (rows.mapInArrow(lambda batches: _places(hashes, bits)(batches), "segment int, byte int, value int")
+            .groupBy("segment").applyInArrow(_segments, "segment int, bits binary").toArrow())
+    out = np.zeros((bits // 8 // SEGMENT, SEGMENT), np.uint8)
+    for segment, own in zip(made.column("segment").to_pylist(), made.column("bits"), strict=True):
+        out[segment] = np.frombuffer(own.as_buffer(), np.uint8)
+    return out.reshape(-1)
 
 
 @dataclass
@@ -342,6 +374,17 @@ def together(rows: Iterator[tuple[str, Words]]) -> Iterator[list[tuple[str, Word
         yield held
 
 
+def counted_phrases(trie: Trie, root: int, words: np.ndarray, there: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """How often each state is reached by whole phrases, a row of word numbers each."""
+    state, last = np.full(len(words), root), there.sum(axis=1)
+    ends = np.full(len(words), -1)
+    for level in range(LONGEST):
+        state = trie.step(state, words[:, level])
+        ends = np.where(last == level + 1, state, ends)
+    reached = ends >= 0
+    return np.bincount(ends[reached], times[reached], len(trie.base)).astype(np.int64)  # exact up to 2^53
+
+
 def count_states(trie: Trie, batches: Iterator[tuple[str, Words]]) -> np.ndarray:
     """How often each state is reached at levels 2 and 3."""
     n = np.zeros(len(trie.base), np.int64)
@@ -355,6 +398,9 @@ def count_states(trie: Trie, batches: Iterator[tuple[str, Words]]) -> np.ndarray
             own = np.append(number[begin : begin + len(words.words)], -1)  # the last, at -1: between pieces
             begin += len(words.words)
             word = own[words.at]
+            if words.times is not None:
+                n += counted_phrases(trie, root[lang], word.reshape(-1, LONGEST), words.at.reshape(-1, LONGEST) >= 0, words.times)
+                continue
             state = trie.step(np.full(len(word), root[lang]), word)
             for level in range(1, LONGEST):
                 state = trie.step(state[:-1], word[level:])
@@ -376,6 +422,100 @@ def _count_phrases(sent) -> Callable:
     return run
 
 
+def one_vocabulary(rows: list[Words]) -> Words:
+    """Several rows of words as one."""
+    every = pa.concat_arrays([x.words for x in rows]).dictionary_encode()
+    number = np.append(every.indices.to_numpy(zero_copy_only=False).astype(np.int64), -1)
+    hashes = np.zeros(len(every.dictionary), np.uint64)
+    hashes[number[:-1]] = np.concatenate([x.hashes for x in rows])
+    begin, at = 0, []
+    for x in rows:
+        at += [np.where(x.at >= 0, number[x.at + begin], -1), np.array([-1])]
+        begin += len(x.words)
+    return Words(np.concatenate(at), every.dictionary, hashes)
+
+
+def different(at: np.ndarray, place: np.ndarray, length: int, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different phrase among those of ``length`` words at some places, and how many have it."""
+    key, most = at[place], n_words
+    for i in range(1, length):
+        if most * n_words >= 1 << 63:
+            key, most = np.unique(key, return_inverse=True)[1], len(place)
+        key, most = key * n_words + at[place + i], most * n_words
+    order = np.argsort(key)
+    key = key[order]
+    begin = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])[0]
+    return place[order[begin]], np.diff(np.append(begin, len(key)))
+
+
+def block_of(hashes: np.ndarray, blocks: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
+
+
+def dealt(lang: str, words: Words, bitmap: np.ndarray, blocks: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each block the phrases with bits in the bitmap, ``LONGEST`` places each, and how often they occur."""
+    own, inside = words.in_place(lang), words.at >= 0
+    hashes, whole, parts = own, inside, []
+    for length in range(2, LONGEST + 1):
+        hashes, whole = longer(hashes[:-1], own[length - 1 :]), whole[:-1] & inside[length - 1 :]
+        place, times = different(words.at, np.nonzero(whole & has_bit(bitmap, hashes))[0], length, len(words.words))
+        phrases = np.full((len(place), LONGEST), -1)
+        phrases[:, :length] = words.at[place[:, None] + np.arange(length)]
+        parts.append((block_of(hashes[place], blocks), phrases, times))
+    block, phrases, times = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(block, kind="stable")
+    ends = np.cumsum(np.bincount(block, minlength=blocks))
+    for b in np.nonzero(np.diff(ends, prepend=0))[0].tolist():
+        these = order[ends[b - 1] if b else 0 : ends[b]]
+        yield b, phrases[these], times[these]
+
+
+DEALT = "block int, part int, lang string, words array<string>, at array<int>, times array<long>"
+
+
+def _deal(sent: Broadcast, blocks: int, parts: int):
+    """Different phrases of the rows of words, dealt to their blocks: a row for
+    each block that has some of several rows of a language."""
+
+    def of(lang: str, rows: list[Words], part: int) -> Iterator[pa.RecordBatch]:
+        words = one_vocabulary(rows)
+        for block, phrases, times in dealt(lang, words, sent.value, blocks):
+            at = phrases.reshape(-1)
+            used, at[at >= 0] = np.unique(at[at >= 0], return_inverse=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int32()), pa.array([part], pa.int32()), pa.array([lang], pa.string()),
+                 one_list(words.words.take(pa.array(used))), one_list(pa.array(at.astype(np.int32))), one_list(pa.array(times.astype(np.int64)))],
+                ["block", "part", "lang", "words", "at", "times"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[Words]] = defaultdict(list)
+        size: dict[str, int] = defaultdict(int)
+        for lang, words in by_language(batches):
+            held[lang].append(words)
+            size[lang] += len(words.at)
+            part = words.row % parts
+            if size[lang] > HELD or sum(size.values()) > 4 * HELD:
+                most = max(size, key=size.get)
+                size.pop(most)
+                yield from of(most, held.pop(most), part)
+        for lang, rows in held.items():
+            yield from of(lang, rows, rows[0].row % parts)
+
+    return run
+
+
+def _count_block(key: tuple, wanted: pa.Table, rows: pa.Table) -> pa.Table:
+    """The counts of a block's phrases in the rows dealt to it."""
+    if not len(wanted) or not len(rows):
+        return pa.table({"lang": pa.array([], pa.string()), "phrase": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
+    made = _tries(key, wanted)
+    accepts = made.column("accepts").combine_chunks().flatten()
+    sent = SimpleNamespace(value=made.column("trie")[0].as_py())
+    n = pa.concat_tables(map(pa.Table.from_batches, ([x] for x in _count_phrases(sent)(rows.select(["lang", "words", "at", "times"]).to_batches()))))
+    place = pc.index_in(n.column("state").combine_chunks(), value_set=accepts.field("state"))
+    return pa.table({"lang": accepts.field("lang").take(place), "phrase": accepts.field("phrase").take(place), "n": n.column("n")})
+
+
 def tokens_of(docs: DataFrame) -> DataFrame:
     """The words of ``docs`` (``lang``, ``text`` as bytes, neither null),
     written: a numbered row for each language of each few MB of text."""
@@ -418,25 +558,24 @@ def candidates(tokens: DataFrame, words: DataFrame, min_count: int = MIN_COUNT)
 
 def count_phrases(tokens: DataFrame, wanted: DataFrame) -> DataFrame:
     """``lang``, ``phrase`` and ``f``: all occurrences in ``tokens`` of the
-    different rows of ``wanted`` that occur. One pass for each block of them."""
-    context = tokens.sparkSession.sparkContext
+    different rows of ``wanted`` that occur. One pass, whatever their number."""
     blocks = 1 + wanted.count() // BLOCK_PHRASES
-    tries = materialize(
-        wanted.withColumn("block", F.pmod(F.xxhash64("lang", "phrase"), F.lit(blocks)).cast("int"))
-        .groupBy("block").applyInArrow(_tries, "block int, trie binary, accepts array<struct<state:long,lang:string,phrase:string>>"))
-    out, read = None, in_fewer_tasks(tokens, "lang", "words", "at")
-    for block in range(blocks):
-        own = tries.where(F.col("block") == block)
-        blob = own.select("trie").toArrow().column("trie")
-        if not len(blob):
-            continue
-        sent = context.broadcast(blob[0].as_py())
-        del blob
-        n = read.mapInArrow(_count_phrases(sent), "state long, n long").groupBy("state").agg(F.sum("n").alias("f"))
-        part = materialize(own.select(F.inline("accepts")).join(n, "state").select("lang", "phrase", "f"), tidy=True)
-        sent.destroy()
-        out = part if out is None else out.union(part)
-    return wanted.select("lang", "phrase", F.lit(0).cast("long").alias("f")).limit(0) if out is None else out
+    parts = 1 + tokens.count() // (ROWS_A_PART * blocks)
+    sent = tokens.sparkSession.sparkContext.broadcast(bitmap_of(wanted, phrase_rows))
+
+    def in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = pa.array(block_of(phrase_rows(batch), blocks).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([block, batch.column("lang"), batch.column("phrase")], ["block", "lang", "phrase"])
+
+    own = (wanted.mapInArrow(in_blocks, "block int, lang string, phrase string")
+           .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
+    rows = in_fewer_tasks(tokens, "row", "lang", "words", "hashes", "at").mapInArrow(_deal(sent, blocks, parts), DEALT)
+    counted = (own.groupBy("block", "part").cogroup(rows.groupBy("block", "part"))
+               .applyInArrow(_count_block, "lang string, phrase string, n long"))
+    out = materialize(counted.groupBy("lang", "phrase").agg(F.sum("n").alias("f")), tidy=True)
+    sent.destroy()
+    return out
 
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) -> DataFrame:
