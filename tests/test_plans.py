@@ -96,6 +96,21 @@ def test_previous_close_runs_its_input_once(spark):
     assert "ReusedExchange" in plan or plan.count("LeftAnti") == 1
 
 
+def test_yahoo_job_deals_its_rows_once(spark):
+    """History was made, filtered and dealt twice, and all bars met the stored ones in one more shuffle."""
+    from tidemark.plans import catalog
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _ran(catalog.QUERIES["job_yf_bars"](spark, "/root/testdata/sf0.001")).split("\n+- == Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
+    # bars by (part, day) for history, stored rows and stored keys; history with
+    # stored keys, and stored rows, by year; last closes by instrument, and back
+    assert len(dealt) == 7
+
+
 def test_building_a_query_starts_no_job(spark, monkeypatch):
     from tidemark.plans import catalog
     frame = type(spark.range(0))

@@ -45,6 +45,24 @@ def test_upsert_once_is_upsert_with_the_batch_computed_once(spark):
     assert calls.value == 6
 
 
+def test_upsert_once_of_a_batch_that_is_dealt_already(spark):
+    spec = S.TableSpec("t", S.struct("k:s?, d:d?, c:s?, v:i?"), ("k", "d"))
+    cols = [F.expr(e) for e in ("k", "cast(d as date) AS d", "k AS c", "v")]
+    frame = lambda rows: spark.createDataFrame(rows, "k string, d string, v int").select(*cols)
+    stored = frame([("a", "2026-01-01", 0), ("a", "2026-01-01", 1), ("a", "2025-01-01", 2), (None, "2026-01-01", 3),
+                    (None, "2026-01-01", 3), ("a", None, 4), (None, None, 5)])
+    batch = frame([("a", "2026-01-01", 6), ("a", "2026-01-01", 6), ("c", "2026-01-01", 7), (None, "2026-01-01", 8), ("a", None, 9), (None, None, 5)])
+    by = [F.col("k"), F.year("d")]
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    dealt = batch.repartition(*by)
+    out = ST.upsert_once(stored, dealt, spec, by)
+    assert out.columns == ["k", "d", "c", "v"]
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    want = rows(ST.upsert(stored, batch, spec))
+    assert rows(out) == rows(ST.upsert_once(stored, batch, spec, by)) == want
+    assert rows(ST.upsert_once(stored.limit(0), dealt, spec, by)) == rows(batch)
+
+
 def test_upsert_missing_columns_sorted(spark):
     spec = S.TableSpec("t", S.struct("k:s, z:i?, y:i?"), ("k",))
     with pytest.raises(ValueError, match=r"\['y', 'z'\]"):

@@ -65,6 +65,17 @@ def test_first_new_row_has_no_pre_close(spark):
     assert rows == {2: (None, None, None), 3: (2.0, 1.0, 0.5)}
 
 
+def test_new_rows_by_year_are_those_of_the_anti_join(spark):
+    days = [dt.datetime(2025 + i % 3, 1 + i % 2, 1 + i % 5, i % 7) for i in range(60)] + [None]
+    hist = spark.createDataFrame([(t, d, float(i)) for t in ("A", "B", None) for i, d in enumerate(days)] * 2,
+                                 "ticker string, date timestamp_ntz, close double")
+    stored = spark.createDataFrame(
+        [(t, dt.date(2025 + i % 3, 1, 1 + i % 4) if i else None, "yfinance" if i % 2 else "tushare")
+         for t in ("A", "C", None) for i in range(12)] * 2, "instrument_id string, trade_date date, source_id string")
+    rows = lambda **k: sorted(map(tuple, J.new_rows(hist, stored, "ticker", "date", "yfinance", **k).collect()), key=str)
+    assert rows(by_year=True) == rows() and 0 < len(rows()) < hist.count()
+
+
 def test_pct_chg_zero_pre_close(spark):
     hist = spark.createDataFrame(
         [("T", dt.datetime(2026, 6, d), c) for d, c in ((1, 0.0), (2, 3.0))],

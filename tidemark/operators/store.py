@@ -172,19 +172,32 @@ def upsert(stored: DataFrame | None, incoming: DataFrame, spec: TableSpec) -> Da
     return kept.unionByName(incoming)
 
 
-def upsert_once(stored: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
+def upsert_once(stored: DataFrame, incoming: DataFrame, spec: TableSpec, dealt_by=()) -> DataFrame:
     """:func:`upsert` for a batch that is still to be computed: an anti join
     needs it as keys and as rows, so Spark would compute it twice. Here both
     sides meet in one shuffle on the key. Stored rows with a null in their key
-    stay, so these rows are dealt by all their columns."""
+    stay, so these rows are dealt by all their columns.
+
+    ``dealt_by``: functions of the key by which the batch's rows are dealt out
+    already. Stored rows are dealt likewise, and the batch isn't shuffled."""
     new, replaced = "_is_incoming", "_is_replaced"
     cols, keys = [_q(c) for c in spec.columns], [_q(k) for k in spec.primary_key]
-    both = (stored.select(*cols).withColumn(new, F.lit(False))
-            .unionByName(check_upsert_columns(incoming, spec).withColumn(new, F.lit(True))))
+    incoming = check_upsert_columns(incoming, spec)
     nameless = reduce(lambda a, b: a | b, [k.isNull() for k in keys])
-    same_key = Window.partitionBy(*keys, F.when(nameless, F.xxhash64(*cols)))
-    return (both.withColumn(replaced, F.max(new).over(same_key))
-            .where(F.col(new) | ~F.col(replaced) | nameless).select(*cols))
+    if not dealt_by:
+        both = stored.select(*cols).withColumn(new, F.lit(False)).unionByName(incoming.withColumn(new, F.lit(True)))
+        same_key = Window.partitionBy(*keys, F.when(nameless, F.xxhash64(*cols)))
+        return (both.withColumn(replaced, F.max(new).over(same_key))
+                .where(F.col(new) | ~F.col(replaced) | nameless).select(*cols))
+    # A union is known to be dealt as both of its sides are, if one way only
+    # names it: so key and row are one column each beside what deals them.
+    by = [f"_by{i}" for i in range(len(dealt_by))]
+    dealt = [c.alias(name) for c, name in zip(dealt_by, by, strict=True)]
+    row = [F.struct(*keys).alias("_key"), F.struct(*cols).alias("_row"), nameless.alias("_is_nameless")]
+    both = (stored.repartition(*dealt_by).select(*dealt, *row, F.lit(False).alias(new))
+            .unionByName(incoming.select(*dealt, *row, F.lit(True).alias(new))))
+    return (both.withColumn(replaced, F.max(new).over(Window.partitionBy(*by, "_key")))
+            .where(F.col(new) | ~F.col(replaced) | F.col("_is_nameless")).select("_row.*"))
 
 
 # ---------------------------------------------------------------- S9 ----------

@@ -219,7 +219,7 @@ def yahoo_instrument(info: DataFrame, currency: str | None = None) -> DataFrame:
 
 
 def previous_close(df: DataFrame, id_col: str, order_col: str,
-                   close_col: str = "close") -> DataFrame:
+                   close_col: str = "close", day_col: str | None = None) -> DataFrame:
     """N1 + N2: pre_close = previous row's close within the instrument by date;
     change = close - pre_close; pct_chg = change / pre_close (a fraction),
     null when pre_close is null or zero.
@@ -231,12 +231,18 @@ def previous_close(df: DataFrame, id_col: str, order_col: str,
     segment, from an aggregate with one row per (instrument, year).
 
     The rows are dealt out by segment once: lag and aggregate ask for the same
-    columns of the same exchange, so Spark runs ``df`` once and reuses it.
+    columns of the same exchange, so Spark runs ``df`` once and reuses it. The
+    join's keys come out of the aggregate's rows: were they its groups, their
+    null check would be pushed into ``df`` on that side only, and make it
+    another one. ``day_col`` has the rows' days, if they are dealt by them.
     """
     seg = "_segment"
-    dealt = df.withColumn(seg, F.year(order_col)).repartition(id_col, seg)
+    year = F.year(day_col or order_col)
+    dealt = df.repartition(id_col, year).withColumn(seg, year)
     last = F.max_by(F.struct(*dealt.columns), F.col(order_col))
-    ends = dealt.groupBy(id_col, seg).agg(last[close_col].alias("_last_close"))
+    ends = dealt.groupBy(id_col, seg).agg(
+        last[id_col].alias("_id"), last[seg].alias("_seg"), last[close_col].alias("_last_close"),
+    ).select(F.col("_id").alias(id_col), F.col("_seg").alias(seg), "_last_close")
     before = ends.select(
         id_col, seg,
         F.lag("_last_close").over(Window.partitionBy(id_col).orderBy(seg)).alias("_prev_close"),
@@ -254,10 +260,10 @@ def yahoo_bars(raw: DataFrame, updated_at: Column | None = None) -> DataFrame:
     """Long-form history -> market_bars_daily (lag computed on the rows
     given, i.e. after the new-key filter)."""
     bars = ["ticker", "date", *(c for c in ("open", "high", "low", "close", "volume") if c in raw.columns)]
-    with_prev = previous_close(raw.select(*bars), "ticker", "date")
+    dated = raw.select(*bars).withColumn("trade_date", to_calendar_date("date"))
+    with_prev = previous_close(dated, "ticker", "date", day_col="trade_date")
     m = {
         "instrument_id": F.col("ticker"),
-        "trade_date": to_calendar_date("date"),
         "source_code": F.col("ticker"),
         "source_id": F.lit(YFINANCE),
         "volume": _number(raw, "volume"),

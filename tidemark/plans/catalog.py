@@ -68,7 +68,7 @@ def _c(cols):
     "history", "stored_half"))
 def yf_new_bars(spark, d):
     """J2 -> J1 -> N1/N2 -> P14 -> C1: new Yahoo bars, previous close after the filter."""
-    new = J.new_rows(fx.history(spark, d), fx.stored_half(spark, d), "ticker", "date", "yfinance")
+    new = J.new_rows(fx.history(spark, d), fx.stored_half(spark, d), "ticker", "date", "yfinance", by_year=True)
     return P.yahoo_bars(new, updated_at=fx.loaded_at())
 
 
@@ -753,15 +753,16 @@ def quote_scan(spark, d):
 # The plans of the load jobs over a stored view: what Loader selects and maps,
 # upserted (S10) instead of written.
 
-def _job(name: str, spec: S.TableSpec, mapped_sql: str, stored_sql: str | None = None):
+def _job(name: str, spec: S.TableSpec, mapped_sql: str, stored_sql: str | None = None, dealt_by=tuple):
     """Registers ``mapped`` (Spark) upserted over a stored state; without
-    ``stored_sql`` the state is made from the mapped rows themselves."""
+    ``stored_sql`` the state is made from the mapped rows themselves.
+    ``dealt_by`` gives the columns by which ``mapped`` is dealt out already."""
     stored_sql = stored_sql or stored_state_sql(mapped_sql)
 
     def deco(fn):
         def run(spark, d):
             mapped, stored = fn(spark, d)
-            return ST.upsert_once(fx.stored_state(mapped) if stored is None else stored, mapped, spec)
+            return ST.upsert_once(fx.stored_state(mapped) if stored is None else stored, mapped, spec, dealt_by())
         run.__doc__ = fn.__doc__
         return register(name, upsert_sql(stored_sql, mapped_sql, spec.columns, spec.primary_key))(run)
     return deco
@@ -864,7 +865,8 @@ def _job_yf_instrument(spark, d):
     return yf_instrument(spark, d), None
 
 
-@_job("job_yf_bars", S.MARKET_BARS_DAILY, SQL["yf_new_bars"], _HALF)
+@_job("job_yf_bars", S.MARKET_BARS_DAILY, SQL["yf_new_bars"], _HALF,
+      dealt_by=lambda: (F.col("instrument_id"), F.year("trade_date")))
 def _job_yf_bars(spark, d):
     """yf_market_bars_daily: J2 -> J1 -> N1/N2 -> P14 -> C1 -> S10."""
     return yf_new_bars(spark, d), fx.stored_half(spark, d)
